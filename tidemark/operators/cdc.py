@@ -5,8 +5,9 @@
 * SCD type 2: one row per version with ``__START_AT`` / ``__END_AT``
   (``__END_AT`` NULL = current). With no exclusion list every distinct
   sequence point is a version; with ``except_cols`` a new version opens
-  only when a tracked column changes, and the untracked columns of a
-  version carry the values of its latest event.
+  only when a tracked column (any column not listed, the sequence column
+  included) changes, and the untracked columns of a version carry the
+  values of its latest event.
 
 Fixed semantics:
 * rows with a NULL sequence value are not applied;
@@ -95,7 +96,9 @@ def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
     if except_cols is None:
         v = with_next(p, seq, END)
         return v.select(*cols, F.col(seq).alias(START), END)
-    tracked = [c for c in cols if c not in keys and c != seq and c not in set(except_cols)]
+    # every non-key column is tracked unless listed -- the sequence column
+    # too, so it must be listed for versions to collapse
+    tracked = [c for c in cols if c not in keys and c not in set(except_cols)]
     p = with_run_number(p, seq, F.struct(*[F.col(c) for c in tracked]), "__run")
     values = [c for c in cols if c not in keys]
     runs = (p.groupBy(KEY, "__run")

@@ -52,13 +52,43 @@ def remove(spark: SparkSession, path: str, guard_root: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file in one put (overwrites)."""
+    """Write a small text file so that readers see all of it or nothing:
+    write a hidden temporary file next to it, then rename it into place."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
+    out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise IOError(f"could not move {tmp} to {path}")
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
+    """Move folder ``src`` to ``dst``, replacing what ``dst`` held (the
+    per-partition step of a dynamic partition overwrite). Re-runnable: if
+    ``src`` is gone the move already happened."""
+    fs, s = _fs(spark, src)
+    if not fs.exists(s):
+        return
+    _, d = _fs(spark, dst)
+    if fs.exists(d):
+        fs.delete(d, True)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise IOError(f"could not move {src} to {dst}")
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

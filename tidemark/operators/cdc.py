@@ -44,14 +44,18 @@ def valid_sequence(df: DataFrame, seq: str) -> DataFrame:
     return df.where(F.col(seq).isNotNull())
 
 
-def _prepare(df: DataFrame, keys: Sequence[str], seq: str, granularity: str) -> DataFrame:
-    """Key struct + chunk column, one shuffle on (key, chunk) that every later
-    window / aggregate of the SCD2 computation reuses."""
+def _keyed(df: DataFrame, keys: Sequence[str], seq: str, granularity: str) -> DataFrame:
+    """Valid rows with the key struct and the chunk column."""
     dtype = df.schema[seq].dataType
     return (valid_sequence(df, seq)
             .withColumn(KEY, key_struct(keys))
-            .withColumn(CHUNK, chunk_expr(seq, dtype, granularity))
-            .repartition(KEY, CHUNK))
+            .withColumn(CHUNK, chunk_expr(seq, dtype, granularity)))
+
+
+def _prepare(keyed: DataFrame) -> DataFrame:
+    """One shuffle on (key, chunk) that the tie aggregate and every window of
+    the SCD2 computation reuse (no further exchange of the wide rows)."""
+    return keyed.repartition(KEY, CHUNK)
 
 
 def _resolve_ties(df: DataFrame, seq: str, cols: Sequence[str]) -> DataFrame:
@@ -92,9 +96,10 @@ def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
                   granularity: str = "hour") -> DataFrame:
     """All versions with validity intervals from a set of events."""
     cols = data_columns(events)
-    p = _resolve_ties(_prepare(events.select(*cols), keys, seq, granularity), seq, cols)
+    keyed = _keyed(events.select(*cols), keys, seq, granularity)
+    p = _resolve_ties(_prepare(keyed), seq, cols)
     if except_cols is None:
-        v = with_next(p, seq, END)
+        v = with_next(p, seq, END, summary_src=keyed)
         return v.select(*cols, F.col(seq).alias(START), END)
     # every non-key column is tracked unless listed -- the sequence column
     # too, so it must be listed for versions to collapse

@@ -38,14 +38,19 @@ def chunk_expr(seq: str, dtype: T.DataType, granularity: str = "hour") -> Column
     return F.lit(0)
 
 
-def with_next(df: DataFrame, seq: str, out: str) -> DataFrame:
+def with_next(df: DataFrame, seq: str, out: str, summary_src: DataFrame | None = None) -> DataFrame:
     """``out`` = the next ``seq`` of the same key (NULL on the last row).
 
     Expects columns ``__key`` and ``__chunk``; (key, seq) must be unique.
+    ``summary_src`` may be the same rows before their shuffle (duplicates of
+    (key, seq) allowed): the per-chunk minimum is then aggregated map-side
+    from just the key and sequence columns, so that branch shuffles about
+    one row per (key, chunk) and task instead of every row.
     """
     w = Window.partitionBy(KEY, CHUNK).orderBy(seq)
+    firsts = ((summary_src if summary_src is not None else df)
+              .groupBy(KEY, CHUNK).agg(F.min(seq).alias("__cfirst")))
     df = df.withColumn(out, F.lead(seq).over(w))
-    firsts = df.groupBy(KEY, CHUNK).agg(F.min(seq).alias("__cfirst"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
     edge = (firsts.withColumn("__cnext", F.lead("__cfirst").over(wc))
             .select(KEY, CHUNK, "__cnext"))

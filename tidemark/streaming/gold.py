@@ -8,8 +8,9 @@ B)``. Applying a micro-batch recomputes only the buckets its keys fall in:
 3. old rows of those buckets (partition-pruned read) + the batch ->
    SCD1 / SCD2 computation (``tidemark.operators.cdc``);
 4. the result is written to a staging folder for this batch id (cuts the
-   lineage, and makes the publish step re-runnable), then published with a
-   dynamic partition overwrite, which replaces exactly the touched buckets.
+   lineage), then each staged bucket folder replaces the target's (delete +
+   rename per bucket, the commit step of a dynamic partition overwrite
+   without copying the data again).
 
 Replaying a batch (driver restart before the stream checkpoint commit) is
 harmless: if the staging folder of that batch is complete it is simply
@@ -23,6 +24,8 @@ a late event would need (A@1, A@3, then B@2 must give A, B, A).
 
 from __future__ import annotations
 
+import json
+
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
@@ -33,12 +36,12 @@ from pyspark.sql import functions as F
 from .. import fs
 from ..functions.columns import bucket_of
 from ..operators.cdc import END, START, data_columns, resolve_ties, scd1_latest, scd2_versions
-from ..operators.quality import expect_all_or_drop, metric_columns
+from ..operators.quality import all_rules, rule_column
 
 BUCKET = "__bucket"
 
 FLOW_LOG_SCHEMA = ("flow string, target string, batch_id long, rows_in long, rows_out long, "
-                   "null_sequence long, buckets_touched long, rules string")
+                   "null_sequence long, buckets_touched long, rules map<string,long>")
 
 
 @dataclass
@@ -73,14 +76,6 @@ def _old_rows(spark: SparkSession, folder: str, touched: list[int]) -> DataFrame
     return spark.read.parquet(folder).where(F.col(BUCKET).isin(touched))
 
 
-def _publish(spark: SparkSession, staged: str, folder: str) -> None:
-    (spark.read.parquet(staged)
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET)
-     .parquet(folder))
-
-
 def _stage(df: DataFrame, staged: str) -> None:
     # REBALANCE on the bucket: one file per bucket normally, AQE splits a
     # skewed (hot-key) bucket into several files instead of one huge task.
@@ -88,6 +83,27 @@ def _stage(df: DataFrame, staged: str) -> None:
      .write.mode("overwrite").partitionBy(BUCKET).parquet(staged))
 
 
+def _publish(spark: SparkSession, staged: str, folder: str) -> None:
+    """Swap every staged bucket folder into the target (delete + rename per
+    bucket, like Spark's dynamic partition overwrite commit, but re-runnable:
+    buckets already moved are simply no longer in the staging folder)."""
+    for name in fs.list_dirs(spark, staged):
+        if name.startswith(f"{BUCKET}="):
+            fs.replace_dir(spark, f"{staged}/{name}", f"{folder}/{name}")
+
+
+def _bucket_stats(raw: DataFrame, rules: Mapping[str, str], seq: str) -> list[dict]:
+    """Rule counters and applicable-row counts per bucket in one aggregate
+    job; at most ``buckets`` small rows reach the driver."""
+    applicable = all_rules(rules) & F.col(seq).isNotNull()
+    cols = [F.count(F.lit(1)).alias("rows_in")]
+    cols += [F.count_if(~rule_column(r)).alias(f"failed_{n}") for n, r in rules.items()]
+    cols += [F.count_if(all_rules(rules)).alias("rows_out"),
+             F.count_if(F.col(seq).isNull()).alias("null_sequence"),
+             F.count_if(applicable).alias("applicable")]
+    return [r.asDict() for r in raw.groupBy(BUCKET).agg(*cols).collect()]
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_path: str,
                 batch_id: int, log: bool = True) -> dict:
     """Apply one batch of change events to the target. Returns batch metrics."""
@@ -99,22 +115,21 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
 
     # a complete staging folder means this batch was computed before: publish only
     if fs.exists(spark, f"{stage_root}/data/_SUCCESS"):
-        if keep_events and fs.exists(spark, f"{stage_root}/events/_SUCCESS"):
+        if keep_events:
             _publish(spark, f"{stage_root}/events", events_dir)
         _publish(spark, f"{stage_root}/data", data_dir)
         fs.remove(spark, stage_root, target_path)
         return {"batch_id": batch_id, "replayed": True}
 
+    rules = dict(flow.expectations)
     cols = data_columns(batch)
-    raw = batch.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = (batch.select(*cols)
+           .withColumn(BUCKET, bucket_of(keys, flow.buckets))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        rules = dict(flow.expectations)
-        stats = raw.agg(*metric_columns(rules),
-                        F.count_if(F.col(seq).isNull()).alias("null_sequence")).first().asDict()
-        clean = (expect_all_or_drop(raw, rules)
-                 .where(F.col(seq).isNotNull())
-                 .withColumn(BUCKET, bucket_of(keys, flow.buckets)))
-        touched = sorted(r[0] for r in clean.select(BUCKET).distinct().collect())
+        per_bucket = _bucket_stats(raw, rules, seq)
+        touched = sorted(r[BUCKET] for r in per_bucket if r["applicable"] > 0)
+        clean = raw.where(all_rules(rules) & F.col(seq).isNotNull())
         if touched:
             if keep_events:
                 old_ev = _old_rows(spark, events_dir, touched)
@@ -142,24 +157,23 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
             fs.remove(spark, stage_root, target_path)
     finally:
         raw.unpersist()
+    total = {k: sum(int(r[k]) for r in per_bucket) for k in
+             ["rows_in", "rows_out", "null_sequence"] + [f"failed_{n}" for n in rules]}
     metrics = {
         "flow": flow.flow_name, "target": flow.target, "batch_id": int(batch_id),
-        "rows_in": int(stats["rows_in"]), "rows_out": int(stats["rows_out"]),
-        "null_sequence": int(stats["null_sequence"]), "buckets_touched": len(touched),
-        "rules": ",".join(f"{k}={stats[f'failed_{k}']}" for k in rules),
+        "rows_in": total["rows_in"], "rows_out": total["rows_out"],
+        "null_sequence": total["null_sequence"], "buckets_touched": len(touched),
+        "rules": {n: total[f"failed_{n}"] for n in rules},
     }
     if log:
-        (spark.createDataFrame([tuple(metrics[k] for k in
-                                      ("flow", "target", "batch_id", "rows_in", "rows_out",
-                                       "null_sequence", "buckets_touched", "rules"))],
-                               FLOW_LOG_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(f"{target_path}/_log"))
+        fs.write_text(spark, f"{target_path}/_log/{flow.flow_name}-{int(batch_id):012d}.json",
+                      json.dumps(metrics) + "\n")
     return metrics
 
 
 def flow_log(spark: SparkSession, target_path: str) -> DataFrame:
     """Per-batch metrics of every flow into a target (rules, rows applied)."""
-    return spark.read.parquet(f"{target_path}/_log")
+    return spark.read.schema(FLOW_LOG_SCHEMA).json(f"{target_path}/_log")
 
 
 def run_flow(spark: SparkSession, source: DataFrame, flow: CdcFlow, target_path: str,

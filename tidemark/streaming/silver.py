@@ -88,18 +88,25 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
     else:
         q = w.start()
     q.awaitTermination()
-    return read_silver(spark, spec, layout)
+    return read_silver(spark, spec, layout, schema=df.schema)
 
 
-def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
+def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
+                schema: T.StructType | None = None) -> DataFrame:
     """Batch view of a silver table (the sink's commit log decides which
-    files are visible, so a half-written batch is never read)."""
-    return spark.read.parquet(layout.silver_data(spec.table))
+    files are visible, so a half-written batch is never read).
+
+    Files written before a column was added lack it; reading with the
+    stream's output schema (or merging footers) shows it as NULL there.
+    """
+    r = spark.read
+    r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
+    return r.parquet(layout.silver_data(spec.table))
 
 
 def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
     """Append-only stream over a silver table (the gold staging input)."""
-    schema = spark.read.parquet(layout.silver_data(spec.table)).schema
+    schema = read_silver(spark, spec, layout).schema
     return spark.readStream.schema(schema).parquet(layout.silver_data(spec.table))
 
 

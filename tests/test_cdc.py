@@ -129,3 +129,16 @@ def test_incremental_equals_batch_for_any_split_and_order(spark, events, splits,
         want = brute_scd1(ev) if scd == 1 else brute_scd2(ev, exc)
         cols = ["k", "seq", "a", "b"] + ([] if scd == 1 else ["__START_AT", "__END_AT"])
         assert rows(got, cols) == want, (scd, exc)
+
+
+def test_range_buckets_touch_only_recent_buckets(spark, root):
+    """Growing keys with range buckets: a batch of new keys leaves the
+    existing buckets alone (and the result equals the batch computation)."""
+    flow = CdcFlow(target="f", source="s", keys=["k"], sequence_by="seq", stored_as_scd_type=1,
+                   bucket_width=10)
+    first = [(k, t(k), "A", k) for k in range(0, 30)]
+    merge_batch(spark, spark.createDataFrame(first, SCHEMA), flow, root, 0)
+    later = [(k, t(k), "B", k) for k in range(30, 35)] + [(29, t(99), "late", 0)]
+    m = merge_batch(spark, spark.createDataFrame(later, SCHEMA), flow, root, 1)
+    assert m["buckets_touched"] == 2   # buckets 2 (key 29) and 3 (keys 30-34)
+    assert rows(read_target(spark, root), ["k", "seq", "a", "b"]) == brute_scd1(first + later)

@@ -81,9 +81,21 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Stable bucket number of a key: ``pmod(xxhash64(keys), buckets)``."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def bucket_of(keys: Sequence[str], buckets: int, width: int | None = None) -> Column:
+    """Stable bucket number of a key.
+
+    Hash buckets (default): ``pmod(xxhash64(keys), buckets)`` -- a fixed
+    number of evenly filled buckets, for keys that are updated anywhere.
+    Range buckets (``width`` set, one integral key): ``floor(key / width)``
+    -- for keys that grow over time (fact ids): new keys fill new buckets and
+    late changes touch recent ones only, so a merge rewrites recent data,
+    not the whole target. NULL keys go to bucket -1.
+    """
+    if width is not None:
+        if len(keys) != 1:
+            raise ValueError("range buckets need exactly one integral key")
+        return F.coalesce(F.floor(F.col(keys[0]) / F.lit(width)), F.lit(-1)).cast("long")
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("long")
 
 
 def casted_to(df: DataFrame, schema: T.StructType, truncate: bool = True) -> DataFrame:

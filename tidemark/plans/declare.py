@@ -48,6 +48,7 @@ class _Target:
     name: str
     expectations: dict = field(default_factory=dict)
     buckets: int = 64
+    bucket_width: int | None = None
 
 
 class Registry:
@@ -75,8 +76,10 @@ class Registry:
         return wrap
 
     def create_streaming_table(self, name: str, expect_all_or_drop: Mapping[str, str] | None = None,
-                               buckets: int = 64) -> None:
-        self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets)
+                               buckets: int = 64, bucket_width: int | None = None) -> None:
+        """Declare a keyed target. ``buckets`` hash buckets by default;
+        ``bucket_width`` switches to range buckets on a growing integral key."""
+        self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets, bucket_width)
 
     def create_auto_cdc_flow(self, target: str, source: str, keys: Sequence[str], sequence_by: str,
                              stored_as_scd_type: int = 1,
@@ -90,7 +93,8 @@ class Registry:
                        track_history_except_column_list=(list(track_history_except_column_list)
                                                          if track_history_except_column_list is not None
                                                          else None),
-                       name=name, once=once, expectations=t.expectations, buckets=t.buckets)
+                       name=name, once=once, expectations=t.expectations, buckets=t.buckets,
+                       bucket_width=t.bucket_width)
         self.flows.append(flow)
         return flow
 

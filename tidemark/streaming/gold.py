@@ -58,12 +58,16 @@ class CdcFlow:
     once: bool = False
     expectations: Mapping[str, str] = field(default_factory=dict)
     buckets: int = 64
+    bucket_width: int | None = None   # range buckets on a growing integral key
     granularity: str = "hour"
 
     @property
     def flow_name(self) -> str:
         return self.name or f"{self.target}_flow"
 
+    def bucket(self):
+        return bucket_of(list(self.keys), self.buckets, self.bucket_width)
+
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
     """Current contents of a gold target (bucket column hidden)."""
@@ -124,7 +128,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
     rules = dict(flow.expectations)
     cols = data_columns(batch)
     raw = (batch.select(*cols)
-           .withColumn(BUCKET, bucket_of(keys, flow.buckets))
+           .withColumn(BUCKET, flow.bucket())
            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         per_bucket = _bucket_stats(raw, rules, seq)
@@ -135,7 +139,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                 old_ev = _old_rows(spark, events_dir, touched)
                 events = clean if old_ev is None else old_ev.unionByName(clean, allowMissingColumns=True)
                 events = resolve_ties(events.drop(BUCKET), keys, seq)
-                _stage(events.withColumn(BUCKET, bucket_of(keys, flow.buckets)), f"{stage_root}/events")
+                _stage(events.withColumn(BUCKET, flow.bucket()), f"{stage_root}/events")
                 staged_events = spark.read.parquet(f"{stage_root}/events").drop(BUCKET)
                 result = scd2_versions(staged_events, keys, seq,
                                        flow.track_history_except_column_list, flow.granularity)
@@ -150,7 +154,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     result = scd1_latest(events, keys, seq)
                 else:
                     result = scd2_versions(events, keys, seq, None, flow.granularity)
-            _stage(result.withColumn(BUCKET, bucket_of(keys, flow.buckets)), f"{stage_root}/data")
+            _stage(result.withColumn(BUCKET, flow.bucket()), f"{stage_root}/data")
             if keep_events:
                 _publish(spark, f"{stage_root}/events", events_dir)
             _publish(spark, f"{stage_root}/data", data_dir)

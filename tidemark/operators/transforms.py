@@ -24,6 +24,12 @@ def with_columns(exprs: Mapping[str, Column]):
     return lambda df: df.withColumns(dict(exprs))
 
 
+def with_constants(values: Mapping[str, object]):
+    """Add the same literal value(s) to every row (``additionalColumns``)."""
+    from pyspark.sql import functions as F
+    return lambda df: df.withColumns({k: F.lit(v) for k, v in values.items()})
+
+
 def upper_case(*cols: str):
     return lambda df: df.withColumns({c: upper(c) for c in cols})
 

@@ -41,7 +41,8 @@ from ..operators.quality import all_rules, rule_column
 BUCKET = "__bucket"
 
 FLOW_LOG_SCHEMA = ("flow string, target string, batch_id long, rows_in long, rows_out long, "
-                   "null_sequence long, buckets_touched long, rules map<string,long>")
+                   "null_sequence long, rows_applied long, buckets_touched long, "
+                   "rules map<string,long>")
 
 
 @dataclass
@@ -162,11 +163,12 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
     finally:
         raw.unpersist()
     total = {k: sum(int(r[k]) for r in per_bucket) for k in
-             ["rows_in", "rows_out", "null_sequence"] + [f"failed_{n}" for n in rules]}
+             ["rows_in", "rows_out", "null_sequence", "applicable"] + [f"failed_{n}" for n in rules]}
     metrics = {
         "flow": flow.flow_name, "target": flow.target, "batch_id": int(batch_id),
         "rows_in": total["rows_in"], "rows_out": total["rows_out"],
-        "null_sequence": total["null_sequence"], "buckets_touched": len(touched),
+        "null_sequence": total["null_sequence"], "rows_applied": total["applicable"],
+        "buckets_touched": len(touched),
         "rules": {n: total[f"failed_{n}"] for n in rules},
     }
     if log:
@@ -180,6 +182,30 @@ def flow_log(spark: SparkSession, target_path: str) -> DataFrame:
     return spark.read.schema(FLOW_LOG_SCHEMA).json(f"{target_path}/_log")
 
 
+def upsert_report(spark: SparkSession, target_paths: Mapping[str, str]) -> DataFrame:
+    """Rows applied per target over all batches (the run view's "records
+    upserted"), plus rows dropped by rules and rows without a sequence."""
+    logs = [flow_log(spark, p) for p in target_paths.values() if fs.exists(spark, f"{p}/_log")]
+    if not logs:
+        return spark.createDataFrame([], "target string, batches long, rows_upserted long, "
+                                         "rows_dropped long, null_sequence long")
+    df = logs[0]
+    for other in logs[1:]:
+        df = df.unionByName(other)
+    return (df.groupBy("target")
+            .agg(F.count(F.lit(1)).alias("batches"),
+                 F.sum("rows_applied").alias("rows_upserted"),
+                 F.sum(F.col("rows_in") - F.col("rows_out")).alias("rows_dropped"),
+                 F.sum("null_sequence").alias("null_sequence")))
+
+
+def reset_target(spark: SparkSession, target_path: str, checkpoint: str | None, guard_root: str) -> None:
+    """Delete a target and its flow checkpoint so the next run rebuilds it."""
+    fs.remove(spark, target_path, guard_root)
+    if checkpoint:
+        fs.remove(spark, checkpoint, guard_root)
+
+
 def run_flow(spark: SparkSession, source: DataFrame, flow: CdcFlow, target_path: str,
              checkpoint: str) -> None:
     """Drain everything pending in ``source`` into the target and stop.

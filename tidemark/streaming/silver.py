@@ -105,7 +105,10 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
 
 
 def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
-    """Append-only stream over a silver table (the gold staging input)."""
+    """Append-only stream over a silver table (the gold staging input); by
+    catalog name when the table is registered."""
+    if spec.catalog_name and spark.catalog.tableExists(spec.catalog_name):
+        return spark.readStream.table(spec.catalog_name)
     schema = read_silver(spark, spec, layout).schema
     return spark.readStream.schema(schema).parquet(layout.silver_data(spec.table))
 

@@ -54,3 +54,21 @@ def test_rate_limited_run_drains_everything(spark, layout):
     spec = SilverSpec(table="t", max_files_per_trigger=1)
     assert sorted(r.user_id for r in run_silver(spark, spec, layout).collect()) == [1, 2, 3]
     assert read_silver(spark, spec, layout).count() == 3
+
+
+def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layout):
+    """Merge-mode dedup: within one run the earliest file wins (not an
+    arbitrary row), later runs never replace a key, and a hot key with many
+    rows in one batch is reduced to one row."""
+    spec = SilverSpec(table="u", dedup_keys=["user_id"], dedup_mode="merge", dedup_buckets=4)
+    first = [(1, "first", t(1)), (2, "b", t(1))] + [(7, f"hot{i}", t(1)) for i in range(50)]
+    append_bronze(spark.createDataFrame(first, SCHEMA).coalesce(1), layout.bronze("u"))
+    append_bronze(spark.createDataFrame([(1, "second", t(2)), (3, "c", t(2))], SCHEMA), layout.bronze("u"))
+    out = {r.user_id: r.user_name for r in run_silver(spark, spec, layout).collect()}
+    assert out == {1: "first", 2: "b", 3: "c", 7: "hot0"}
+    append_bronze(spark.createDataFrame([(2, "later", t(3)), (4, "d", t(3)), (None, "n", t(3))], SCHEMA),
+                  layout.bronze("u"))
+    out = {r.user_id: r.user_name for r in run_silver(spark, spec, layout).collect()}
+    assert out == {1: "first", 2: "b", 3: "c", 4: "d", 7: "hot0", None: "n"}
+    # restart without new files: nothing changes
+    assert run_silver(spark, spec, layout).count() == 6

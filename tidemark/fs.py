@@ -91,6 +91,32 @@ def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"could not move {src} to {dst}")
 
 
+def move_files(spark: SparkSession, src: str, dst: str) -> int:
+    """Move every visible file of folder ``src`` (recursively, keeping the
+    relative sub-folders) under ``dst``. Files already moved are no longer
+    in ``src``, so a second call finishes an interrupted one."""
+    fs, s = _fs(spark, src)
+    if not fs.exists(s):
+        return 0
+    jvm = spark.sparkContext._jvm
+    base = s.toUri().getPath().rstrip("/")
+    moved = 0
+    it = fs.listFiles(s, True)
+    files = []
+    while it.hasNext():
+        files.append(it.next().getPath())
+    for f in files:
+        if f.getName().startswith(("_", ".")):
+            continue
+        rel = f.toUri().getPath()[len(base) + 1:]
+        target = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}/{rel}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(f, target):
+            raise IOError(f"could not move {f} to {target}")
+        moved += 1
+    return moved
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -58,6 +58,8 @@ ORACLES: dict[str, str] = {
                    "WHEN p_size < 30 THEN 'medium' ELSE 'high' END AS size_flag FROM part"),
     "stream_copy": "SELECT * FROM events",
     "stream_first_arrival": "SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events GROUP BY user_id",
+    "stream_first_arrival_merge": ("SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events "
+                                   "GROUP BY user_id"),
     "expect_or_drop": f"SELECT * FROM events WHERE {_RULES}",
     "expect_metrics": " UNION ALL ".join(_metric_row(n, r) for n, r in EVENT_RULES.items()),
     "scd1_latest": _SCD1_EVENTS,

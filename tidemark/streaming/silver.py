@@ -13,12 +13,19 @@ import json
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
+from ..functions.columns import bucket_of, key_struct
 from ..paths import Layout
 
+ARRIVAL = "__arrival"
+BUCKET = "__bucket"
+KEY = "__key"
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -30,6 +37,15 @@ class SilverSpec:
     max_files_per_trigger: int | None = None
     catalog_name: str | None = None             # register the silver table under this name
     schema: T.StructType | None = None          # declared; otherwise inferred and remembered
+    # "state": Spark's stateful dropDuplicates (one state entry per key; within
+    #          a micro-batch an arbitrary row of a key wins; every row of a key
+    #          is shuffled to one task).
+    # "merge": per micro-batch, the earliest arrival per key (file time, file
+    #          name, row) is found with a map-side combined aggregate, then
+    #          anti-joined with a bucketed table of keys already seen. Hot keys
+    #          collapse before the shuffle and the winner is deterministic.
+    dedup_mode: str = "state"
+    dedup_buckets: int = 64
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -58,26 +74,89 @@ def stream_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.St
     return schema
 
 
+def _merge_mode(spec: SilverSpec) -> bool:
+    if spec.dedup_mode not in ("state", "merge"):
+        raise ValueError(f"dedup_mode must be 'state' or 'merge', not {spec.dedup_mode!r}")
+    return bool(spec.dedup_keys) and spec.dedup_mode == "merge"
+
+
 def silver_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
-    """The streaming DataFrame of one silver table (source + transforms + dedup)."""
+    """The streaming DataFrame of one silver table (source + transforms + dedup).
+
+    In ``merge`` dedup mode the stream carries the arrival order column and
+    the dedup itself happens per micro-batch (``first_arrivals``)."""
     reader = spark.readStream.schema(stream_schema(spark, spec, layout))
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(spec.max_files_per_trigger))
     df = reader.parquet(layout.bronze(spec.table))
+    if _merge_mode(spec):
+        df = df.withColumn(ARRIVAL, F.struct(F.col("_metadata.file_modification_time").alias("t"),
+                                             F.col("_metadata.file_name").alias("f"),
+                                             F.col("_metadata.row_index").alias("r")))
     if spec.transform is not None:
         df = spec.transform(df)
-    if spec.dedup_keys:
+    if spec.dedup_keys and not _merge_mode(spec):
         # keyed state (RocksDB at scale): one entry per key ever seen
         df = df.dropDuplicates(list(spec.dedup_keys))
     return df
 
 
+def _seen_dir(spec: SilverSpec, layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/silver/{spec.table}/seen_keys"
+
+
+def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: SilverSpec,
+                   layout: Layout) -> None:
+    """Append to silver the rows of keys never seen before (earliest arrival
+    per key), and record those keys. Re-runnable for the same batch id."""
+    keys = list(spec.dedup_keys or [])
+    base = f"{layout.root.rstrip('/')}/silver/{spec.table}"
+    stage = f"{base}/_staging/batch={batch_id}"
+    seen_dir = _seen_dir(spec, layout)
+    if not fs.exists(spark, f"{stage}/_COMPLETE"):
+        cols = [c for c in batch.columns if c != ARRIVAL]
+        # min_by is combined map-side: a hot key leaves each task as one row
+        firsts = (batch.groupBy(*keys)
+                  .agg(F.min_by(F.struct(*cols), F.col(ARRIVAL)).alias("__w"))
+                  .select("__w.*")
+                  .withColumn(BUCKET, bucket_of(keys, spec.dedup_buckets))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            touched = [r[0] for r in firsts.select(BUCKET).distinct().collect()]  # <= buckets
+            new = firsts
+            if touched and fs.has_data_files(spark, seen_dir):
+                seen = (spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
+                        .select(BUCKET, key_struct(keys).alias(KEY)))
+                new = (firsts.withColumn(KEY, key_struct(keys))
+                       .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+            new.drop(BUCKET).select(*cols).write.mode("overwrite").parquet(f"{stage}/data")
+            (new.select(BUCKET, *keys).hint("rebalance", BUCKET)
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{stage}/seen"))
+            new.unpersist()
+        finally:
+            firsts.unpersist()
+        fs.write_text(spark, f"{stage}/_COMPLETE", str(batch_id))
+    # publish: move the staged files in (moved files leave the staging folder)
+    fs.move_files(spark, f"{stage}/seen", seen_dir)
+    fs.move_files(spark, f"{stage}/data", layout.silver_data(spec.table))
+    fs.remove(spark, stage, layout.root)
+
+
 def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
     """Process all pending bronze files, wait for the run to finish, and
     return the silver table as a batch DataFrame."""
     if not fs.has_data_files(spark, layout.bronze(spec.table)):
         return read_silver(spark, spec, layout)
     df = silver_stream(spark, spec, layout)
+    if _merge_mode(spec):
+        q = (df.writeStream
+             .foreachBatch(lambda b, i: first_arrivals(spark, b, i, spec, layout))
+             .option("checkpointLocation", layout.silver_checkpoint(spec.table))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
+        return read_silver(spark, spec, layout, schema=out_schema)
     w = (df.writeStream.format("parquet")
          .outputMode("append")
          .option("checkpointLocation", layout.silver_checkpoint(spec.table))

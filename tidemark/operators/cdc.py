@@ -23,13 +23,13 @@ computation restricted to the keys the batch touches.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import key_struct
-from .sequence import CHUNK, KEY, chunk_expr, with_next, with_run_number
+from .sequence import CHUNK, KEY, chunk_expr, with_next, with_run_number  # noqa: F401
 
 START = "__START_AT"
 END = "__END_AT"
@@ -93,8 +93,15 @@ def scd1_latest(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
                   except_cols: Sequence[str] | None = None,
-                  granularity: str = "hour") -> DataFrame:
-    """All versions with validity intervals from a set of events."""
+                  granularity: str = "hour",
+                  materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All versions with validity intervals from a set of events.
+
+    ``materialize`` (optional) is applied to the run-numbered events of the
+    exclusion-list path, which two branches read; passing a function that
+    writes them to the shared work folder and reads them back keeps Spark
+    from computing the windows twice.
+    """
     cols = data_columns(events)
     keyed = _keyed(events.select(*cols), keys, seq, granularity)
     p = _resolve_ties(_prepare(keyed), seq, cols)
@@ -105,15 +112,16 @@ def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
     # too, so it must be listed for versions to collapse
     tracked = [c for c in cols if c not in keys and c not in set(except_cols)]
     p = with_run_number(p, seq, F.struct(*[F.col(c) for c in tracked]), "__run")
+    if materialize is not None:
+        p = materialize(p)
     values = [c for c in cols if c not in keys]
+    # one row per run; a long run of a hot key is combined map-side
     runs = (p.groupBy(KEY, "__run")
             .agg(F.min(seq).alias(START),
-                 F.max_by(F.struct(*values), seq).alias("__w"))
-            .select(KEY, START, "__w.*"))
-    dtype = events.schema[seq].dataType
-    runs = (runs.withColumn(CHUNK, chunk_expr(START, dtype, granularity))
-            .repartition(KEY, CHUNK))
-    v = with_next(runs, START, END)
+                 F.max_by(F.struct(*values), seq).alias("__w")))
+    # run numbers are consecutive per key: a version ends where run + 1 starts
+    nexts = runs.select(KEY, (F.col("__run") - 1).alias("__run"), F.col(START).alias(END))
+    v = runs.join(nexts, [KEY, "__run"], "left").select(KEY, START, END, "__w.*")
     return v.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], *values, START, END).select(*cols, START, END)
 
 

@@ -142,8 +142,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                 events = resolve_ties(events.drop(BUCKET), keys, seq)
                 _stage(events.withColumn(BUCKET, flow.bucket()), f"{stage_root}/events")
                 staged_events = spark.read.parquet(f"{stage_root}/events").drop(BUCKET)
+
+                def written(df: DataFrame, path: str = f"{stage_root}/runs") -> DataFrame:
+                    df.write.mode("overwrite").parquet(path)   # cut the lineage once
+                    return spark.read.parquet(path)
+
                 result = scd2_versions(staged_events, keys, seq,
-                                       flow.track_history_except_column_list, flow.granularity)
+                                       flow.track_history_except_column_list, flow.granularity,
+                                       materialize=written)
             else:
                 old = _old_rows(spark, data_dir, touched)
                 events = clean.drop(BUCKET)

@@ -14,7 +14,7 @@ from tidemark.plans.declare import Registry
 from tidemark.plans.ingest import ingest_all
 from tidemark.sources.relational import frame_reader
 from tidemark.sources.watermark import read_watermark
-from tidemark.streaming.gold import merge_batch, read_target, CdcFlow
+from tidemark.streaming.gold import merge_batch, read_target, upsert_report, CdcFlow
 from tidemark.streaming.silver import SilverSpec, run_silver, read_silver
 from tidemark.session import scratch
 
@@ -64,12 +64,22 @@ def test_golden_run_a(spark, layout):
             for t in init}
     bronze_counts = []
     gold = {}
+    staged_rules = []
     for state in (init, both, both):
         rep = ingest_all(spark, CONFIGS, frame_reader(state), layout)
         bronze_counts.append({r.table_name: r.rows_read for r in rep.collect()})
         for spec in SILVER.values():
             run_silver(spark, spec, layout)
-        gold = _registry(spark, layout).run(spark, layout)
+        reg = _registry(spark, layout)
+        gold = reg.run(spark, layout)
+        staged_rules.append(reg.metrics.get("dimuser_stg", []))
+    # the published run view: records upserted per gold table
+    ups = {r.target: r.rows_upserted for r in upsert_report(
+        spark, {t: layout.gold(t) for t in ("dimdate", "dimtrack", "dimuser", "factstream")}).collect()}
+    assert ups == {"dimdate": 365, "dimtrack": 502, "dimuser": 500, "factstream": 1000}
+    # staging rule counters (observed metrics of the staging stream): nothing violates the rule
+    assert sum(m["rows_in"] for m in staged_rules[0]) == 500
+    assert all(m["failed_rule_1"] == 0 for ms in staged_rules for m in ms)
     assert bronze_counts[0] == {"dim_user": 500, "dim_track": 500, "dim_date": 365,
                                 "dim_artist": 500, "fact_stream": 1000}
     assert bronze_counts[1] == {"dim_user": 20, "dim_track": 2, "dim_date": 0,

@@ -142,3 +142,28 @@ def test_range_buckets_touch_only_recent_buckets(spark, root):
     m = merge_batch(spark, spark.createDataFrame(later, SCHEMA), flow, root, 1)
     assert m["buckets_touched"] == 2   # buckets 2 (key 29) and 3 (keys 30-34)
     assert rows(read_target(spark, root), ["k", "seq", "a", "b"]) == brute_scd1(first + later)
+
+
+def test_small_batch_recomputes_only_its_keys(spark):
+    """A small batch against a long history: stored rows of untouched keys
+    are copied, touched keys (a NULL key, late events, an event inside a
+    collapsed run) are recomputed; same result as brute force, and as the
+    whole-bucket recompute."""
+    from tidemark.session import scratch
+    history = [(k, t(h), "A" if (h // 3) % 2 else "B", h % 4) for k in range(40) for h in range(0, 12, 2)]
+    history += [(None, t(h), "N", h) for h in (1, 5)]
+    late = [(3, t(3), "Q", 0), (7, t(20), "B", 1), (None, t(2), "M", 9),
+            (11, t(5), "A" if (4 // 3) % 2 else "B", 3)]   # same values as its run: no new version
+    for scd, exc in ((1, None), (2, None), (2, ["seq", "b"])):
+        outs = []
+        for bmax in (1_000_000, 0):
+            root = scratch(spark, "small_batch")
+            flow = CdcFlow(target="x", source="y", keys=["k"], sequence_by="seq", stored_as_scd_type=scd,
+                           track_history_except_column_list=exc, buckets=2, broadcast_keys_max=bmax)
+            merge_batch(spark, spark.createDataFrame(history, SCHEMA), flow, root, 0)
+            m = merge_batch(spark, spark.createDataFrame(late, SCHEMA), flow, root, 1)
+            assert m["split_by_keys"] is (bmax > 0), (scd, exc, m)
+            cols = ["k", "seq", "a", "b"] + ([] if scd == 1 else ["__START_AT", "__END_AT"])
+            outs.append(rows(read_target(spark, root), cols))
+        want = brute_scd1(history + late) if scd == 1 else brute_scd2(history + late, exc)
+        assert outs[0] == want and outs[1] == want, (scd, exc)

@@ -4,9 +4,16 @@ Storage: a parquet folder partitioned by ``__bucket = pmod(xxhash64(keys),
 B)``. Applying a micro-batch recomputes only the buckets its keys fall in:
 
 1. rules (expect-or-drop) and NULL-sequence rejection on the batch;
-2. touched buckets = distinct ``__bucket`` of the batch (at most B values);
-3. old rows of those buckets (partition-pruned read) + the batch ->
-   SCD1 / SCD2 computation (``tidemark.operators.cdc``);
+2. touched buckets = distinct ``__bucket`` of the batch (at most B values),
+   with the exact count of applicable rows per bucket;
+3. old rows of those buckets (partition-pruned read) are split by key:
+   rows of keys the batch does not touch are copied as they are (map-only,
+   no shuffle); rows of touched keys + the batch go through the SCD1 /
+   SCD2 computation (``tidemark.operators.cdc``). The split is a broadcast
+   semi / anti join against the batch's keys, used only when the measured
+   row count of the batch bounds that key set below ``broadcast_keys_max``
+   and the stored rows of the touched buckets outnumber the batch; else the
+   touched buckets are recomputed whole (one shuffle);
 4. the result is written to a staging folder for this batch id (cuts the
    lineage), then each staged bucket folder replaces the target's (delete +
    rename per bucket, the commit step of a dynamic partition overwrite
@@ -34,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
-from ..functions.columns import bucket_of
+from ..functions.columns import bucket_of, key_struct
 from ..operators.cdc import END, START, data_columns, resolve_ties, scd1_latest, scd2_versions
 from ..operators.quality import all_rules, rule_column
 
@@ -42,7 +49,7 @@ BUCKET = "__bucket"
 
 FLOW_LOG_SCHEMA = ("flow string, target string, batch_id long, rows_in long, rows_out long, "
                    "null_sequence long, rows_applied long, buckets_touched long, "
-                   "rules map<string,long>")
+                   "split_by_keys boolean, rules map<string,long>")
 
 
 @dataclass
@@ -61,6 +68,12 @@ class CdcFlow:
     buckets: int = 64
     bucket_width: int | None = None   # range buckets on a growing integral key
     granularity: str = "hour"
+    # largest batch (applicable rows, counted exactly before the merge) whose
+    # key set is broadcast to split old rows into touched / untouched keys
+    broadcast_keys_max: int = 1_000_000
+    # ... and only when the stored rows of the touched buckets are at least
+    # this many times the batch (else recomputing the buckets whole is cheaper)
+    split_min_ratio: int = 4
 
     @property
     def flow_name(self) -> str:
@@ -81,11 +94,47 @@ def _old_rows(spark: SparkSession, folder: str, touched: list[int]) -> DataFrame
     return spark.read.parquet(folder).where(F.col(BUCKET).isin(touched))
 
 
-def _stage(df: DataFrame, staged: str) -> None:
+KEY = "__key"
+
+
+def _split_by_keys(old: DataFrame, batch_keys: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys in the batch, rows of other keys) of the stored rows.
+
+    ``batch_keys`` is a broadcast, size-checked key set: both joins are
+    map-side, so the untouched rows are never shuffled.
+    """
+    k = old.withColumn(KEY, key_struct(keys))
+    return (k.join(batch_keys, KEY, "left_semi").drop(KEY),
+            k.join(batch_keys, KEY, "left_anti").drop(KEY))
+
+
+def _batch_key_set(clean: DataFrame, keys: Sequence[str], applied: int,
+                   stored: DataFrame | None, flow: "CdcFlow") -> DataFrame | None:
+    """The batch's distinct keys, to be broadcast, or ``None`` to recompute
+    the touched buckets whole.
+
+    Broadcast only with a proven bound: the key set has at most ``applied``
+    rows (an exact count). Splitting pays when the stored rows of the
+    touched buckets outnumber the batch (a daily batch against a long
+    history); their count reads parquet footers only.
+    """
+    if stored is None or applied > flow.broadcast_keys_max:
+        return None
+    if applied * flow.split_min_ratio > stored.count():
+        return None
+    return (clean.select(key_struct(keys).alias(KEY)).distinct()
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _stage(df: DataFrame, staged: str, unchanged: DataFrame | None = None) -> None:
     # REBALANCE on the bucket: one file per bucket normally, AQE splits a
     # skewed (hot-key) bucket into several files instead of one huge task.
-    (df.hint("rebalance", BUCKET)
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(staged))
+    # Unchanged rows keep the bucket they were read from and are written
+    # map-only next to the recomputed ones.
+    out = df.hint("rebalance", BUCKET)
+    if unchanged is not None:
+        out = unchanged.unionByName(out, allowMissingColumns=True)
+    out.write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
 
 
 def _publish(spark: SparkSession, staged: str, folder: str) -> None:
@@ -131,17 +180,33 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
     raw = (batch.select(*cols)
            .withColumn(BUCKET, flow.bucket())
            .persist(StorageLevel.MEMORY_AND_DISK))
+    cached = [raw]
     try:
         per_bucket = _bucket_stats(raw, rules, seq)
         touched = sorted(r[BUCKET] for r in per_bucket if r["applicable"] > 0)
         clean = raw.where(all_rules(rules) & F.col(seq).isNotNull())
+        applied = sum(int(r["applicable"]) for r in per_bucket)
+        unchanged, key_set = None, None
         if touched:
+            # the rows a merge recomputes: stored events (exclusion list) or versions
+            base = _old_rows(spark, events_dir if keep_events else data_dir, touched)
+            key_set = _batch_key_set(clean, keys, applied, base, flow)
+            if key_set is not None:
+                cached.append(key_set)
+                key_set = F.broadcast(key_set)
             if keep_events:
-                old_ev = _old_rows(spark, events_dir, touched)
+                old_ev, kept_ev = base, None
+                if old_ev is not None and key_set is not None:
+                    old_ev, kept_ev = _split_by_keys(old_ev, key_set, keys)
                 events = clean if old_ev is None else old_ev.unionByName(clean, allowMissingColumns=True)
                 events = resolve_ties(events.drop(BUCKET), keys, seq)
-                _stage(events.withColumn(BUCKET, flow.bucket()), f"{stage_root}/events")
+                _stage(events.withColumn(BUCKET, flow.bucket()), f"{stage_root}/events", kept_ev)
                 staged_events = spark.read.parquet(f"{stage_root}/events").drop(BUCKET)
+                if key_set is not None:
+                    staged_events, _ = _split_by_keys(staged_events, key_set, keys)
+                    old = _old_rows(spark, data_dir, touched)
+                    if old is not None:
+                        _, unchanged = _split_by_keys(old, key_set, keys)
 
                 def written(df: DataFrame, path: str = f"{stage_root}/runs") -> DataFrame:
                     df.write.mode("overwrite").parquet(path)   # cut the lineage once
@@ -151,9 +216,11 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                                        flow.track_history_except_column_list, flow.granularity,
                                        materialize=written)
             else:
-                old = _old_rows(spark, data_dir, touched)
+                old = base
                 events = clean.drop(BUCKET)
                 if old is not None:
+                    if key_set is not None:
+                        old, unchanged = _split_by_keys(old, key_set, keys)
                     # stored rows are events again (a version row is its event)
                     events = (old.drop(START, END, BUCKET)
                               .unionByName(events, allowMissingColumns=True))
@@ -161,13 +228,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     result = scd1_latest(events, keys, seq)
                 else:
                     result = scd2_versions(events, keys, seq, None, flow.granularity)
-            _stage(result.withColumn(BUCKET, flow.bucket()), f"{stage_root}/data")
+            _stage(result.withColumn(BUCKET, flow.bucket()), f"{stage_root}/data", unchanged)
             if keep_events:
                 _publish(spark, f"{stage_root}/events", events_dir)
             _publish(spark, f"{stage_root}/data", data_dir)
             fs.remove(spark, stage_root, target_path)
     finally:
-        raw.unpersist()
+        for df in cached:
+            df.unpersist()
     total = {k: sum(int(r[k]) for r in per_bucket) for k in
              ["rows_in", "rows_out", "null_sequence", "applicable"] + [f"failed_{n}" for n in rules]}
     metrics = {
@@ -175,6 +243,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
         "rows_in": total["rows_in"], "rows_out": total["rows_out"],
         "null_sequence": total["null_sequence"], "rows_applied": total["applicable"],
         "buckets_touched": len(touched),
+        "split_by_keys": key_set is not None,
         "rules": {n: total[f"failed_{n}"] for n in rules},
     }
     if log:

@@ -72,3 +72,26 @@ def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layo
     assert out == {1: "first", 2: "b", 3: "c", 4: "d", 7: "hot0", None: "n"}
     # restart without new files: nothing changes
     assert run_silver(spark, spec, layout).count() == 6
+
+
+def test_schema_check_reads_only_new_files(spark, layout):
+    """After the first run only footers of files newer than the previous
+    check are read: an old bronze file that became unreadable (and is
+    already processed) does not matter, a new column is still picked up,
+    and a run with no new file reuses the remembered schema."""
+    import glob
+    import os
+    spec = SilverSpec(table="s")
+    append_bronze(spark.createDataFrame([(1, "a", t(1))], SCHEMA), layout.bronze("s"))
+    run_silver(spark, spec, layout)
+    old = [f for f in glob.glob(layout.bronze("s").replace("file:", "") + "/*.parquet")]
+    assert old
+    for f in old:
+        with open(f, "wb") as fh:
+            fh.write(b"not parquet")
+        os.utime(f, (0, 0))
+    assert run_silver(spark, spec, layout).count() == 1          # nothing new: remembered schema
+    append_bronze(spark.createDataFrame([(2, "b", t(2), "DE")], SCHEMA + ", country string"),
+                  layout.bronze("s"))
+    out = {r.user_id: r.country for r in run_silver(spark, spec, layout).collect()}
+    assert out == {1: None, 2: "DE"}

@@ -9,11 +9,14 @@ when bronze gains columns; older rows read NULL in new columns.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
+import time
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,25 +58,66 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(list(old.fields) + extra)
 
 
+# Files modified up to this long before the previous schema check are read
+# again (covers clock differences between the driver and the file store).
+SCHEMA_RECHECK_MARGIN_S = 600
+
+
+def _load_schema_doc(text: str | None) -> tuple[T.StructType | None, float | None]:
+    """(remembered schema, time of the check that produced it)."""
+    if not text:
+        return None, None
+    doc = json.loads(text)
+    if "schema" in doc:
+        return T.StructType.fromJson(doc["schema"]), doc.get("checked_at")
+    return T.StructType.fromJson(doc), None          # a bare StructType document
+
+
 def stream_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.StructType:
     """Declared schema, or the remembered one widened by what bronze holds now.
 
-    Inference reads parquet footers (``mergeSchema``, a distributed job when
-    there are many files), never the data.
+    Inference reads parquet footers (``mergeSchema``), never the data, and
+    after the first run only the footers of files modified since the
+    previous check (the reader's ``modifiedAfter`` filter), so a run costs
+    the new files, not the whole bronze history.
     """
     if spec.schema is not None:
         return spec.schema
     path = layout.silver_schema(spec.table)
-    stored = fs.read_text(spark, path)
-    current = (spark.read.option("mergeSchema", "true")
-               .parquet(layout.bronze(spec.table)).schema)
-    schema = current if stored is None else merge_schemas(
-        T.StructType.fromJson(json.loads(stored)), current)
-    if stored is None or schema.json() != T.StructType.fromJson(json.loads(stored)).json():
-        fs.write_text(spark, path, schema.json())
+    stored, checked_at = _load_schema_doc(fs.read_text(spark, path))
+    started = time.time()
+    reader = spark.read.option("mergeSchema", "true")
+    if stored is not None and checked_at is not None:
+        since = _dt.datetime.fromtimestamp(checked_at - SCHEMA_RECHECK_MARGIN_S, _dt.timezone.utc)
+        reader = (reader.option("timeZone", "UTC")
+                  .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")))
+    try:
+        current = reader.parquet(layout.bronze(spec.table)).schema
+    except AnalysisException:
+        if stored is None:
+            raise
+        current = None                               # no file changed since the last check
+    schema = stored if current is None else (current if stored is None else merge_schemas(stored, current))
+    fs.write_text(spark, path, json.dumps({"schema": schema.jsonValue(), "checked_at": started}))
     return schema
 
 
+def _save_output_schema(spark: SparkSession, spec: SilverSpec, layout: Layout,
+                        schema: T.StructType) -> None:
+    fs.write_text(spark, _output_schema_path(spec, layout), schema.json())
+
+
+def _output_schema_path(spec: SilverSpec, layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/silver/{spec.table}/output_schema.json"
+
+
+def output_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.StructType | None:
+    """Schema of the silver table as its last run wrote it (``None`` before
+    the first run)."""
+    text = fs.read_text(spark, _output_schema_path(spec, layout))
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
 def _merge_mode(spec: SilverSpec) -> bool:
     if spec.dedup_mode not in ("state", "merge"):
         raise ValueError(f"dedup_mode must be 'state' or 'merge', not {spec.dedup_mode!r}")
@@ -156,6 +200,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
              .trigger(availableNow=True).start())
         q.awaitTermination()
         out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
+        _save_output_schema(spark, spec, layout, out_schema)
         return read_silver(spark, spec, layout, schema=out_schema)
     w = (df.writeStream.format("parquet")
          .outputMode("append")
@@ -167,6 +212,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
     else:
         q = w.start()
     q.awaitTermination()
+    _save_output_schema(spark, spec, layout, df.schema)
     return read_silver(spark, spec, layout, schema=df.schema)
 
 
@@ -176,9 +222,11 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
     files are visible, so a half-written batch is never read).
 
     Files written before a column was added lack it; reading with the
-    stream's output schema (or merging footers) shows it as NULL there.
+    stream's output schema (remembered by the last run; footers are merged
+    only when there is none) shows it as NULL there.
     """
     r = spark.read
+    schema = schema or output_schema(spark, spec, layout)
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
     return r.parquet(layout.silver_data(spec.table))
 
@@ -188,7 +236,7 @@ def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataF
     catalog name when the table is registered."""
     if spec.catalog_name and spark.catalog.tableExists(spec.catalog_name):
         return spark.readStream.table(spec.catalog_name)
-    schema = read_silver(spark, spec, layout).schema
+    schema = output_schema(spark, spec, layout) or read_silver(spark, spec, layout).schema
     return spark.readStream.schema(schema).parquet(layout.silver_data(spec.table))
 
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from tidemark.config import SourceTable
 from tidemark.plans.ingest import ingest_table
 from tidemark.sinks.bronze import append_bronze
@@ -56,11 +58,14 @@ def test_rate_limited_run_drains_everything(spark, layout):
     assert read_silver(spark, spec, layout).count() == 3
 
 
-def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layout):
+@pytest.mark.parametrize("broadcast_keys_max", [1_000_000, 0])
+def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layout, broadcast_keys_max):
     """Merge-mode dedup: within one run the earliest file wins (not an
     arbitrary row), later runs never replace a key, and a hot key with many
-    rows in one batch is reduced to one row."""
-    spec = SilverSpec(table="u", dedup_keys=["user_id"], dedup_mode="merge", dedup_buckets=4)
+    rows in one batch is reduced to one row (with and without the broadcast
+    filter of the seen keys)."""
+    spec = SilverSpec(table="u", dedup_keys=["user_id"], dedup_mode="merge", dedup_buckets=4,
+                      broadcast_keys_max=broadcast_keys_max)
     first = [(1, "first", t(1)), (2, "b", t(1))] + [(7, f"hot{i}", t(1)) for i in range(50)]
     append_bronze(spark.createDataFrame(first, SCHEMA).coalesce(1), layout.bronze("u"))
     append_bronze(spark.createDataFrame([(1, "second", t(2)), (3, "c", t(2))], SCHEMA), layout.bronze("u"))

@@ -45,10 +45,15 @@ class SilverSpec:
     #          is shuffled to one task).
     # "merge": per micro-batch, the earliest arrival per key (file time, file
     #          name, row) is found with a map-side combined aggregate, then
-    #          anti-joined with a bucketed table of keys already seen. Hot keys
-    #          collapse before the shuffle and the winner is deterministic.
+    #          anti-joined with a bucketed table of keys already seen (filtered
+    #          map-side by the batch's broadcast keys when their count allows).
+    #          Hot keys collapse before the shuffle and the winner is
+    #          deterministic.
     dedup_mode: str = "state"
     dedup_buckets: int = 64
+    # merge mode: a micro-batch with at most this many distinct keys (an exact
+    # count) is broadcast to filter the seen-key table map-side
+    broadcast_keys_max: int = 1_000_000
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -166,11 +171,18 @@ def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: S
                   .withColumn(BUCKET, bucket_of(keys, spec.dedup_buckets))
                   .persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            touched = [r[0] for r in firsts.select(BUCKET).distinct().collect()]  # <= buckets
+            per_bucket = firsts.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()  # <= buckets
+            touched = [r[BUCKET] for r in per_bucket]
+            n_firsts = sum(int(r["n"]) for r in per_bucket)   # one row per key: exact key count
             new = firsts
             if touched and fs.has_data_files(spark, seen_dir):
                 seen = (spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
                         .select(BUCKET, key_struct(keys).alias(KEY)))
+                batch_keys = firsts.select(BUCKET, key_struct(keys).alias(KEY))
+                if n_firsts <= spec.broadcast_keys_max:
+                    # map-only scan of the seen keys: only those of this batch survive,
+                    # so the anti join below shuffles batch-sized data, not the key history
+                    seen = seen.join(F.broadcast(batch_keys), [BUCKET, KEY], "left_semi")
                 new = (firsts.withColumn(KEY, key_struct(keys))
                        .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
             new = new.persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 
 import pytest
@@ -18,14 +19,19 @@ def spark():
     s.stop()
 
 
+def _folder(request) -> str:
+    # parametrized ids like "[merge]" would be read as glob patterns in paths
+    return re.sub(r"[^A-Za-z0-9_]", "_", f"test_{request.node.name}")[:60]
+
+
 @pytest.fixture
 def layout(spark, request):
-    return Layout(scratch(spark, f"test_{request.node.name}"[:60]))
+    return Layout(scratch(spark, _folder(request)))
 
 
 @pytest.fixture
 def root(spark, request):
-    return scratch(spark, f"test_{request.node.name}"[:60])
+    return scratch(spark, _folder(request))
 
 
 def rows(df, cols=None):

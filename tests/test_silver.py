@@ -17,8 +17,9 @@ def t(d):
     return dt.datetime(2025, 1, d)
 
 
-def test_restart_reads_only_new_files_and_dedup_holds(spark, layout):
-    spec = SilverSpec(table="users", transform=clean_users, dedup_keys=["user_id"])
+@pytest.mark.parametrize("mode", ["merge", "state"])
+def test_restart_reads_only_new_files_and_dedup_holds(spark, layout, mode):
+    spec = SilverSpec(table="users", transform=clean_users, dedup_keys=["user_id"], dedup_mode=mode)
     append_bronze(spark.createDataFrame([(1, "a", t(1)), (2, "b", t(1))], SCHEMA), layout.bronze("users"))
     assert run_silver(spark, spec, layout).count() == 2
     # second run without new files: nothing new
@@ -29,8 +30,9 @@ def test_restart_reads_only_new_files_and_dedup_holds(spark, layout):
     assert out == {1: "A", 2: "B", 3: "C"}
 
 
-def test_added_column_survives_restart(spark, layout):
-    spec = SilverSpec(table="t", dedup_keys=["user_id"])
+@pytest.mark.parametrize("mode", ["merge", "state"])
+def test_added_column_survives_restart(spark, layout, mode):
+    spec = SilverSpec(table="t", dedup_keys=["user_id"], dedup_mode=mode)
     append_bronze(spark.createDataFrame([(1, "a", t(1))], SCHEMA), layout.bronze("t"))
     run_silver(spark, spec, layout)
     newer = spark.createDataFrame([(2, "b", t(2), "DE")], SCHEMA + ", country string")

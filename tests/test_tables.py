@@ -23,6 +23,16 @@ def test_catalog_tables_namespace_and_preview(spark, layout):
     assert preview(spark.table("tm_dev.silver_t"), 5).count() == 1
     drop_table(spark, "tm_dev.silver_t")
     assert not spark.catalog.tableExists("tm_dev.silver_t")
+    # a deduplicated (merge-mode) silver table is registered too
+    dspec = SilverSpec(table="d", catalog_name="tm_dev.silver_d", dedup_keys=["k"])
+    append_bronze(spark.createDataFrame([(1, dt.datetime(2025, 1, 1), "a"), (1, dt.datetime(2025, 1, 2), "b")],
+                                        SCHEMA).coalesce(1), layout.bronze("d"))
+    run_silver(spark, dspec, layout)
+    append_bronze(spark.createDataFrame([(2, dt.datetime(2025, 1, 3), "c")], SCHEMA), layout.bronze("d"))
+    run_silver(spark, dspec, layout)
+    assert sorted(r.k for r in spark.table("tm_dev.silver_d").collect()) == [1, 2]
+    assert table_stream(spark, dspec, layout).isStreaming
+    drop_table(spark, "tm_dev.silver_d")
     t = create_table(spark, "tm_dev.empty_t", f"{layout.root}/empty", spark.createDataFrame([], SCHEMA).schema)
     assert t.count() == 0
     reset_table(spark, "tm_dev.empty_t", [f"{layout.root}/empty"], layout.root)

@@ -170,7 +170,7 @@ def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     is the day order)."""
     lay, _ = _daily_runs(spark, sf_dir, "stream_first_arrival")
     spec = SilverSpec(table="events", transform=drop_rescued, dedup_keys=["user_id"],
-                      max_files_per_trigger=1)
+                      dedup_mode="state", max_files_per_trigger=1)
     return run_silver(spark, spec, lay).select("user_id", F.to_date("ts").alias("day"))
 
 

@@ -40,16 +40,17 @@ class SilverSpec:
     max_files_per_trigger: int | None = None
     catalog_name: str | None = None             # register the silver table under this name
     schema: T.StructType | None = None          # declared; otherwise inferred and remembered
-    # "state": Spark's stateful dropDuplicates (one state entry per key; within
-    #          a micro-batch an arbitrary row of a key wins; every row of a key
-    #          is shuffled to one task).
-    # "merge": per micro-batch, the earliest arrival per key (file time, file
+    # "merge" (default): per micro-batch, the earliest arrival per key (file time, file
     #          name, row) is found with a map-side combined aggregate, then
     #          anti-joined with a bucketed table of keys already seen (filtered
     #          map-side by the batch's broadcast keys when their count allows).
     #          Hot keys collapse before the shuffle and the winner is
     #          deterministic.
-    dedup_mode: str = "state"
+    # "state": Spark's stateful dropDuplicates (one RocksDB state entry per
+    #          key; within a micro-batch an arbitrary row of a key wins; every
+    #          row of a key is shuffled to one task, so a hot key makes one
+    #          long task).
+    dedup_mode: str = "merge"
     dedup_buckets: int = 64
     # merge mode: a micro-batch with at most this many distinct keys (an exact
     # count) is broadcast to filter the seen-key table map-side
@@ -213,6 +214,13 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
         q.awaitTermination()
         out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
         _save_output_schema(spark, spec, layout, out_schema)
+        if spec.catalog_name:
+            # the file sink registers its table itself; here the batches move
+            # files in, so register the folder once and refresh its listing
+            if not spark.catalog.tableExists(spec.catalog_name):
+                spark.catalog.createTable(spec.catalog_name, path=layout.silver_data(spec.table),
+                                          source="parquet", schema=out_schema)
+            spark.catalog.refreshTable(spec.catalog_name)
         return read_silver(spark, spec, layout, schema=out_schema)
     w = (df.writeStream.format("parquet")
          .outputMode("append")

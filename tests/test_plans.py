@@ -58,3 +58,30 @@ def test_projection_and_filters_reach_the_scan(spark):
     from tidemark.sources.extract import incremental_extract
     plan = _plan(incremental_extract(orders, "o_orderdate", "1998-01-01", "1999-01-01"))
     assert "GreaterThan(o_orderdate" in plan and "LessThanOrEqual(o_orderdate" in plan
+
+
+def test_untouched_keys_are_copied_without_a_shuffle(spark, root):
+    """Gold merge of a small batch: stored rows of keys the batch does not
+    touch leave through a broadcast anti join (map-only), and the touched
+    keys through a broadcast semi join; neither reads the stored rows
+    through a shuffle."""
+    from pyspark import StorageLevel
+    from tidemark.functions.columns import key_struct
+    from tidemark.streaming.gold import KEY, CdcFlow, _old_rows, _split_by_keys, merge_batch
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    flow = CdcFlow(target="e", source="s", keys=["user_id"], sequence_by="ts", stored_as_scd_type=2, buckets=4)
+    merge_batch(spark, ev, flow, root, 0)
+    batch = ev.where(F.col("user_id") < 3)
+    keys = batch.select(key_struct(["user_id"]).alias(KEY)).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hit, kept = _split_by_keys(_old_rows(spark, f"{root}/data", [0, 1, 2, 3]), F.broadcast(keys), ["user_id"])
+        for df, kind in ((kept, "LeftAnti"), (hit, "LeftSemi")):
+            plan = _plan(df)
+            assert f"BroadcastHashJoin [{KEY}" in plan and kind in plan, plan
+            # the only shuffle is inside the cached, batch-sized key set
+            stored_side = plan.split("InMemoryRelation")[0]
+            assert "Exchange hashpartitioning" not in stored_side, plan
+        m = merge_batch(spark, batch.withColumn("value", F.col("value") + 1), flow, root, 1)
+        assert m["split_by_keys"]
+    finally:
+        keys.unpersist()

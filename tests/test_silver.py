@@ -58,6 +58,12 @@ def test_rate_limited_run_drains_everything(spark, layout):
     spec = SilverSpec(table="t", max_files_per_trigger=1)
     assert sorted(r.user_id for r in run_silver(spark, spec, layout).collect()) == [1, 2, 3]
     assert read_silver(spark, spec, layout).count() == 3
+    # the same bronze files through a size limit (one small file per batch)
+    by_size = SilverSpec(table="t", dedup_keys=["user_id"], max_bytes_per_trigger=1024)
+    from tidemark.paths import Layout
+    other = Layout(layout.root + "_bytes")
+    fs.move_files(spark, layout.bronze("t"), other.bronze("t"))
+    assert sorted(r.user_id for r in run_silver(spark, by_size, other).collect()) == [1, 2, 3]
 
 
 @pytest.mark.parametrize("broadcast_keys_max", [1_000_000, 0])

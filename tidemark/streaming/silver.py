@@ -38,6 +38,9 @@ class SilverSpec:
     transform: Transform | None = None
     dedup_keys: Sequence[str] | None = None     # None = no dedup (per-table option)
     max_files_per_trigger: int | None = None
+    # rate limit by size instead (bytes, e.g. 64 << 30): a large backlog is
+    # drained in several bounded micro-batches (not with max_files_per_trigger)
+    max_bytes_per_trigger: int | None = None
     catalog_name: str | None = None             # register the silver table under this name
     schema: T.StructType | None = None          # declared; otherwise inferred and remembered
     # "merge" (default): per micro-batch, the earliest arrival per key (file time, file
@@ -138,6 +141,8 @@ def silver_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> Data
     reader = spark.readStream.schema(stream_schema(spark, spec, layout))
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(spec.max_files_per_trigger))
+    if spec.max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(int(spec.max_bytes_per_trigger)))
     df = reader.parquet(layout.bronze(spec.table))
     if _merge_mode(spec):
         df = df.withColumn(ARRIVAL, F.struct(F.col("_metadata.file_modification_time").alias("t"),

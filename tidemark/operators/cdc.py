@@ -94,17 +94,22 @@ def scd1_latest(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
                   except_cols: Sequence[str] | None = None,
                   granularity: str = "hour",
-                  materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                  materialize: Callable[[DataFrame], DataFrame] | None = None,
+                  resolved: bool = False) -> DataFrame:
     """All versions with validity intervals from a set of events.
 
     ``materialize`` (optional) is applied to the run-numbered events of the
     exclusion-list path, which two branches read; passing a function that
     writes them to the shared work folder and reads them back keeps Spark
-    from computing the windows twice.
+    from computing the windows twice. ``resolved=True`` says the events are
+    already one row per (key, sequence) (``resolve_ties`` output), which
+    skips a sort of every row.
     """
     cols = data_columns(events)
     keyed = _keyed(events.select(*cols), keys, seq, granularity)
-    p = _resolve_ties(_prepare(keyed), seq, cols)
+    p = _prepare(keyed)
+    if not resolved:
+        p = _resolve_ties(p, seq, cols)
     if except_cols is None:
         v = with_next(p, seq, END, summary_src=keyed)
         return v.select(*cols, F.col(seq).alias(START), END)

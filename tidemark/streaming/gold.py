@@ -214,7 +214,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
 
                 result = scd2_versions(staged_events, keys, seq,
                                        flow.track_history_except_column_list, flow.granularity,
-                                       materialize=written)
+                                       materialize=written, resolved=True)
             else:
                 old = base
                 events = clean.drop(BUCKET)

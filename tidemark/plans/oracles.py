@@ -30,6 +30,20 @@ SELECT user_id, ts, event_type, value, s AS "__START_AT",
 FROM c"""
 
 
+_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+# latest order per customer; ties on (customer, date) go to the greatest row
+_SCD1_ORDERS = (f"SELECT {_ORDERS} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+                "ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders "
+                "WHERE o_orderdate IS NOT NULL) WHERE rn = 1")
+
+# one version per (customer, date), the greatest row of a tie
+_SCD2_ORDERS = (f"SELECT {_ORDERS}, o_orderdate AS \"__START_AT\", "
+                "lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS \"__END_AT\" "
+                "FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate "
+                "ORDER BY o_orderkey DESC) AS rn FROM orders WHERE o_orderdate IS NOT NULL) WHERE rn = 1")
+
+
 def _report_row(table: str, col: str) -> str:
     return (f"SELECT '{table}' AS table_name, 'SUCCEEDED' AS status, count(*) AS rows_read, "
             f"strftime(max({col}), '%Y-%m-%d %H:%M:%S.%f') AS watermark "
@@ -72,6 +86,11 @@ ORACLES: dict[str, str] = {
     "scd2_out_of_order": _SCD2_EVENTS,
     "scd2_batch": _SCD2_EVENTS,
     "scd2_except_columns": _SCD2_EXCEPT,
+    "scd1_daily_merge": _SCD1_EVENTS,
+    "scd2_daily_merge": _SCD2_EVENTS,
+    "scd2_except_daily_merge": _SCD2_EXCEPT,
+    "scd1_orders_daily_merge": _SCD1_ORDERS,
+    "scd2_orders_daily_merge": _SCD2_ORDERS,
     "scd2_closed": f'SELECT * FROM ({_SCD2_EVENTS}) WHERE "__END_AT" IS NOT NULL',
     "scd2_lineage": (f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id IN "
                      f"({', '.join(str(k) for k in LINEAGE_KEYS)})"),

@@ -12,8 +12,9 @@ B)``. Applying a micro-batch recomputes only the buckets its keys fall in:
    SCD2 computation (``tidemark.operators.cdc``). The split is a broadcast
    semi / anti join against the batch's keys, used only when the measured
    row count of the batch bounds that key set below ``broadcast_keys_max``
-   and the stored rows of the touched buckets outnumber the batch; else the
-   touched buckets are recomputed whole (one shuffle);
+   and at least half of the stored rows of the touched buckets belong to
+   untouched keys; else the touched buckets are recomputed whole (one
+   shuffle);
 4. the result is written to a staging folder for this batch id (cuts the
    lineage), then each staged bucket folder replaces the target's (delete +
    rename per bucket, the commit step of a dynamic partition overwrite
@@ -71,9 +72,9 @@ class CdcFlow:
     # largest batch (applicable rows, counted exactly before the merge) whose
     # key set is broadcast to split old rows into touched / untouched keys
     broadcast_keys_max: int = 1_000_000
-    # ... and only when the stored rows of the touched buckets are at least
-    # this many times the batch (else recomputing the buckets whole is cheaper)
-    split_min_ratio: int = 4
+    # ... and only when at least this share of the stored rows of the touched
+    # buckets belongs to untouched keys (else recomputing them whole is cheaper)
+    split_min_untouched: float = 0.5
 
     @property
     def flow_name(self) -> str:
@@ -110,20 +111,27 @@ def _split_by_keys(old: DataFrame, batch_keys: DataFrame, keys: Sequence[str]) -
 
 def _batch_key_set(clean: DataFrame, keys: Sequence[str], applied: int,
                    stored: DataFrame | None, flow: "CdcFlow") -> DataFrame | None:
-    """The batch's distinct keys, to be broadcast, or ``None`` to recompute
-    the touched buckets whole.
+    """The batch's distinct keys (cached), to be broadcast, or ``None`` to
+    recompute the touched buckets whole.
 
     Broadcast only with a proven bound: the key set has at most ``applied``
-    rows (an exact count). Splitting pays when the stored rows of the
-    touched buckets outnumber the batch (a daily batch against a long
-    history); their count reads parquet footers only.
+    rows (an exact count). Splitting pays when many stored rows belong to
+    keys the batch does not touch (a day of changes against a long history);
+    one job over the stored key columns only counts them (map-side join with
+    the broadcast keys, then a global count).
     """
     if stored is None or applied > flow.broadcast_keys_max:
         return None
-    if applied * flow.split_min_ratio > stored.count():
+    key_set = (clean.select(key_struct(keys).alias(KEY)).distinct()
+               .persist(StorageLevel.MEMORY_AND_DISK))
+    r = (stored.select(key_struct(keys).alias(KEY))
+         .join(F.broadcast(key_set.withColumn("__hit", F.lit(True))), KEY, "left")
+         .agg(F.count(F.lit(1)).alias("n"), F.count("__hit").alias("hit"))
+         .first())
+    if r["n"] == 0 or (r["n"] - r["hit"]) < flow.split_min_untouched * r["n"]:
+        key_set.unpersist()
         return None
-    return (clean.select(key_struct(keys).alias(KEY)).distinct()
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return key_set
 
 
 def _stage(df: DataFrame, staged: str, unchanged: DataFrame | None = None) -> None:

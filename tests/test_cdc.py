@@ -167,3 +167,16 @@ def test_small_batch_recomputes_only_its_keys(spark):
             outs.append(rows(read_target(spark, root), cols))
         want = brute_scd1(history + late) if scd == 1 else brute_scd2(history + late, exc)
         assert outs[0] == want and outs[1] == want, (scd, exc)
+
+
+def test_batch_touching_most_keys_recomputes_buckets_whole(spark, root):
+    """When most stored rows belong to keys the batch touches, splitting
+    saves nothing: the touched buckets are recomputed whole (same result)."""
+    history = [(k, t(h), "A", h) for k in range(20) for h in range(0, 6, 2)]
+    later = [(k, t(7), "B", 7) for k in range(18)]
+    flow = CdcFlow(target="x", source="y", keys=["k"], sequence_by="seq", stored_as_scd_type=2, buckets=2)
+    merge_batch(spark, spark.createDataFrame(history, SCHEMA), flow, root, 0)
+    m = merge_batch(spark, spark.createDataFrame(later, SCHEMA), flow, root, 1)
+    assert m["split_by_keys"] is False
+    cols = ["k", "seq", "a", "b", "__START_AT", "__END_AT"]
+    assert rows(read_target(spark, root), cols) == brute_scd2(history + later)

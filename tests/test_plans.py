@@ -85,3 +85,21 @@ def test_untouched_keys_are_copied_without_a_shuffle(spark, root):
         assert m["split_by_keys"]
     finally:
         keys.unpersist()
+
+
+def test_seen_key_history_is_filtered_map_side(spark, root):
+    """Merge-mode dedup: the seen-key table is filtered by the batch's
+    broadcast keys without a shuffle of the key history."""
+    from pyspark import StorageLevel
+    from tidemark.functions.columns import bucket_of
+    from tidemark.streaming.silver import BUCKET, seen_keys
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn(BUCKET, bucket_of(["user_id"], 4))
+    (ev.select(BUCKET, "user_id").distinct().write.partitionBy(BUCKET).parquet(f"{root}/seen"))
+    batch = ev.where(F.col("user_id") < 3).select(BUCKET, "user_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        batch.count()
+        plan = _plan(seen_keys(spark, f"{root}/seen", [0, 1, 2, 3], ["user_id"], batch))
+        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan, plan
+        assert "Exchange hashpartitioning" not in plan.split("InMemoryRelation")[0], plan
+    finally:
+        batch.unpersist()

@@ -160,6 +160,23 @@ def _seen_dir(spec: SilverSpec, layout: Layout) -> str:
     return f"{layout.root.rstrip('/')}/silver/{spec.table}/seen_keys"
 
 
+def seen_keys(spark: SparkSession, seen_dir: str, touched: list[int], keys: Sequence[str],
+              batch: DataFrame | None = None) -> DataFrame:
+    """``(__bucket, __key)`` of the keys already seen in the touched buckets.
+
+    With ``batch`` (size-checked by the caller) only the seen keys of that
+    batch are kept, through a broadcast semi join: the key history is
+    scanned map-only, so the anti join that follows shuffles batch-sized
+    data, not every key ever seen.
+    """
+    seen = (spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
+            .select(BUCKET, key_struct(keys).alias(KEY)))
+    if batch is not None:
+        seen = seen.join(F.broadcast(batch.select(BUCKET, key_struct(keys).alias(KEY))),
+                         [BUCKET, KEY], "left_semi")
+    return seen
+
+
 def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: SilverSpec,
                    layout: Layout) -> None:
     """Append to silver the rows of keys never seen before (earliest arrival
@@ -182,13 +199,8 @@ def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: S
             n_firsts = sum(int(r["n"]) for r in per_bucket)   # one row per key: exact key count
             new = firsts
             if touched and fs.has_data_files(spark, seen_dir):
-                seen = (spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
-                        .select(BUCKET, key_struct(keys).alias(KEY)))
-                batch_keys = firsts.select(BUCKET, key_struct(keys).alias(KEY))
-                if n_firsts <= spec.broadcast_keys_max:
-                    # map-only scan of the seen keys: only those of this batch survive,
-                    # so the anti join below shuffles batch-sized data, not the key history
-                    seen = seen.join(F.broadcast(batch_keys), [BUCKET, KEY], "left_semi")
+                seen = seen_keys(spark, seen_dir, touched, keys,
+                                 firsts if n_firsts <= spec.broadcast_keys_max else None)
                 new = (firsts.withColumn(KEY, key_struct(keys))
                        .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
             new = new.persist(StorageLevel.MEMORY_AND_DISK)

@@ -22,7 +22,7 @@ from ..paths import Layout
 from ..session import scratch
 from ..sources.extract import high_water_mark
 from ..sources.relational import frame_reader, parquet_reader
-from ..sources.watermark import read_watermark, write_watermark
+from ..sources.watermark import write_watermark
 from ..streaming.gold import CdcFlow, merge_batch, read_target, run_flow
 from ..streaming.silver import SilverSpec, read_silver, run_silver, table_stream
 from .declare import Registry

@@ -49,6 +49,7 @@ class _Target:
     expectations: dict = field(default_factory=dict)
     buckets: int = 64
     bucket_width: int | None = None
+    broadcast_keys_max: int = 1_000_000
 
 
 class Registry:
@@ -76,10 +77,13 @@ class Registry:
         return wrap
 
     def create_streaming_table(self, name: str, expect_all_or_drop: Mapping[str, str] | None = None,
-                               buckets: int = 64, bucket_width: int | None = None) -> None:
+                               buckets: int = 64, bucket_width: int | None = None,
+                               broadcast_keys_max: int = 1_000_000) -> None:
         """Declare a keyed target. ``buckets`` hash buckets by default;
-        ``bucket_width`` switches to range buckets on a growing integral key."""
-        self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets, bucket_width)
+        ``bucket_width`` switches to range buckets on a growing integral key;
+        ``broadcast_keys_max`` bounds the batch key set a merge may broadcast."""
+        self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets, bucket_width,
+                                     broadcast_keys_max)
 
     def create_auto_cdc_flow(self, target: str, source: str, keys: Sequence[str], sequence_by: str,
                              stored_as_scd_type: int = 1,
@@ -94,7 +98,7 @@ class Registry:
                                                          if track_history_except_column_list is not None
                                                          else None),
                        name=name, once=once, expectations=t.expectations, buckets=t.buckets,
-                       bucket_width=t.bucket_width)
+                       bucket_width=t.bucket_width, broadcast_keys_max=t.broadcast_keys_max)
         self.flows.append(flow)
         return flow
 

@@ -111,7 +111,7 @@ def _scan(buckets: int):
             yield {"doc_id": int(ids[i]), "text_id": rows[i][1].hex(), "copies": copies.tobytes()}
         keep = np.flatnonzero(~later)
         d, s, n, who = d[keep], s[keep], n[keep], who[keep]
-        bucket = (((d >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        bucket = (((d >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
         d, s, n, who, bucket = d[order], s[order], n[order], who[order], bucket[order]
         cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))

@@ -24,8 +24,6 @@ An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,73 +31,80 @@ from pyspark.sql import functions as F
 
 from .native import text_key
 from .store import arrow_groups, arrow_map, bucket_count, table, text_bytes, written
-from .text import U, mix, words
+from .text import U, lower_hashes, mix
 
 ALPHA = 0.4
 MIN_BIGRAM = 2
 VOCAB_SHARE = 2e-7
 HOT_SHARE = 1e-3
 BYTES_PER_BUCKET = 16 << 20
-GATHER = 400_000
+GATHER = 2_000_000
 PACKED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()),
                     ("counts", pa.binary()), ("weights", pa.binary())])
 
 
 class Vocabulary:
-    """Word ids by descending count (0 is the unknown word), and counts by id."""
+    """Word ids by descending count (0 is the unknown word), and counts by id.
+    Words are known by their 64-bit hash."""
 
-    def __init__(self, known: list[tuple[bytes, int]], unknown: int):
-        known = sorted(known, key=lambda x: (-x[1], x[0]))
-        self.counts = np.array([unknown, *(n for _, n in known)], np.int64)
+    def __init__(self, words: np.ndarray, n: np.ndarray, unknown: int):
+        order = np.lexsort((words, -n))
+        self.counts = np.concatenate(([unknown], n[order])).astype(np.int64)
         self.total = int(self.counts.sum())
-        self.words = [w for w, _ in known]
-        self.hot = int((self.counts[1:] >= max(2, HOT_SHARE * self.total)).sum())
+        by_hash = np.argsort(words[order])
+        self.words, self.at = words[order][by_hash], by_hash + 1
+        self.hot = int((n >= max(2, HOT_SHARE * self.total)).sum())
 
-    def ids(self, w: list[bytes]) -> np.ndarray:
-        if not hasattr(self, "index"):
-            self.index = {x: i for i, x in enumerate(self.words, 1)}
-        get = self.index.get
-        return np.fromiter((get(x, 0) for x in w), np.int64, len(w))
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(h), np.int64)
+        i = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[i] == h, self.at[i], 0)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n over all documents."""
+    """word (its hash), n over all documents."""
+    def count(h: list) -> pa.RecordBatch:
+        w, n = np.unique(np.concatenate(h), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
     def run(batches):
-        seen = Counter()
+        held, size = [], 0
         for b in batches:
             for t in b.column("text").to_pylist():
-                seen.update(words(t))
-                if len(seen) > GATHER:
-                    yield pa.RecordBatch.from_pydict({"word": list(seen), "n": list(seen.values())}, kind)
-                    seen.clear()
-        yield pa.RecordBatch.from_pydict({"word": list(seen), "n": list(seen.values())}, kind)
+                held.append(lower_hashes(t))
+                size += len(held[-1])
+                if size > GATHER:
+                    yield count(held)
+                    held, size = [], 0
+        if held:
+            yield count(held)
 
-    kind = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-    return arrow_map(docs.select("text"), run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return arrow_map(docs.select("text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
     counts = written(word_counts(docs), "word_counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     known = counts.where(F.col("n") >= max(2.0, VOCAB_SHARE * total)).toArrow()  # at most 1 / VOCAB_SHARE rows
-    n = known.column("n").to_pylist()
-    return Vocabulary(list(zip(known.column("word").to_pylist(), n, strict=True)), total - sum(n))
+    n = known.column("n").to_numpy().astype(np.int64)
+    return Vocabulary(known.column("word").to_numpy().astype(np.int64).view(U), n, total - int(n.sum()))
 
 
 def hot_bigrams(docs: DataFrame, vocab) -> np.ndarray:
     """Counts [v, w] of bigrams of the hot words (ids 1 to ``hot``)."""
     def run(batches):
         v = vocab.value
-        m, seen = v.hot + 1, Counter()
+        m, total = v.hot + 1, np.zeros((v.hot + 1) ** 2, np.int64)
         for b in batches:
-            total = np.zeros(m * m, np.int64)
+            pairs = [np.empty(0, np.int64)]
             for t in b.column("text").to_pylist():
-                i = v.ids(words(t))
+                i = v.ids(lower_hashes(t))
                 both = (i[1:] <= v.hot) & (i[:-1] <= v.hot) & (i[1:] > 0) & (i[:-1] > 0)
-                np.add.at(total, i[:-1][both] * m + i[1:][both], 1)
-            at = np.flatnonzero(total)
-            seen.update(dict(zip(at.tolist(), total[at].tolist(), strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["pair", "n"])
+                pairs.append(i[:-1][both] * m + i[1:][both])
+            total += np.bincount(np.concatenate(pairs), minlength=m * m)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
     m = vocab.value.hot + 1
     got = (arrow_map(docs.select("text"), run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))).toArrow()
@@ -129,7 +134,7 @@ def scores(docs: DataFrame) -> DataFrame:
         for b in batches:
             n, seen, score = [], [], []
             for t in b.column("text").to_pylist():
-                i = v.ids(words(t))
+                i = v.ids(lower_hashes(t))
                 s, k = float(base[i].sum()), 0
                 if len(i):
                     s -= np.log(ALPHA)  # the first word is not backed off
@@ -155,7 +160,7 @@ def scores(docs: DataFrame) -> DataFrame:
             names = np.frombuffer(b"".join(owners), "V16")
             weights = np.fromiter(owners.values(), np.uint32, len(owners))
             k = np.concatenate(keys)
-            bucket = (((mix(k) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+            bucket = (((mix(k) >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
             who = np.repeat(np.arange(len(counts)), counts)
             order = np.argsort(bucket, kind="stable")
             k, who, bucket = k[order], who[order], bucket[order]
@@ -177,7 +182,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 if own in owners:  # a copy: sent once with its number
                     owners[own] += 1
                     continue
-                x = v.ids(words(t))
+                x = v.ids(lower_hashes(t))
                 x, y = x[:-1], x[1:]
                 cold = ((x > v.hot) | (y > v.hot)) & (x > 0) & (y > 0)
                 if not cold.any():

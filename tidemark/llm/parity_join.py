@@ -44,6 +44,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ BYTES_PER_BUCKET = 24 << 20
 PAIRS_PER_MEMBER = 100
 #: 64-bit words of the bit sketch that pairs are tested with before their sets meet
 BIT_WORDS = 16
-SKETCH = 2  # sketch words per shingle of the band's smallest set
+SKETCH = 1  # sketch words per shingle of the band's smallest set
 #: at least so many sketch words: small sets get (nearly) a word per shingle
 LEAST_WORDS = 64
 
@@ -82,13 +83,14 @@ def sketch(s: np.ndarray, band: int, role: int) -> tuple[np.ndarray, int]:
     place = ((s >> U(32)) * U(k)) >> U(32)
     # s is sorted, so the places come sorted too: XOR each run
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    words = np.bitwise_xor.reduceat(mix(s), first)
-    touched = words != 0
-    place, words = place[first][touched], words[touched]
+    words = np.bitwise_xor.reduceat(s, first)
+    place = place[first]
+    if not words.all():
+        place, words = place[words != 0], words[words != 0]
     # the largest |A ^ B| of a linked pair that is compared in this band
     partner = end - 1 if role else 4 * n // 3
     need = len(words) - (n + partner) // 7
-    keys = mix(words ^ mix(place + U(band << 40)))
+    keys = mix(words + place * U(0xD6E8FEB86659FD93) + U(band << 40))
     if need <= 0:
         keys, need = np.append(keys, mix(np.array([band], U))), 1
     return keys, need
@@ -98,26 +100,8 @@ def set_id(s: np.ndarray) -> int:
     """62-bit digest of a set of shingle hashes; 0 for the empty set."""
     if not len(s):
         return 0
-    d = mix(np.array([np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))) + U(len(s))], U)
-            + np.add.reduce(mix(s), dtype=U))[0]
-    return max(1, int(d) >> 2)
-
-
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id, n_shingles and set_id of every row."""
-    def run(batches):
-        for b in batches:
-            n, ids = [], []
-            for t in b.column("text").to_pylist():
-                s = shingle_set(t)
-                n.append(len(s))
-                ids.append(set_id(s))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64())],
-                ["doc_id", "text_id", "n_shingles", "set_id"])
-
-    return arrow_map(
-        docs.select("doc_id", "text", "text_id"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_id string, n_shingles long, set_id long")
+    both = np.array([np.bitwise_xor.reduce(s), np.add.reduce(s), len(s)], U)
+    return max(1, xxhash.xxh3_64_intdigest(both.tobytes()) >> 2)
 
 
 def _pack(keys, owners, needs, buckets: int):
@@ -125,7 +109,7 @@ def _pack(keys, owners, needs, buckets: int):
     lens = np.fromiter(map(len, keys), np.int64, len(keys))
     k = np.concatenate(keys)
     who = np.repeat(np.arange(len(keys)), lens)
-    bucket = (((k >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+    bucket = (((k >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
     order = np.argsort(bucket, kind="stable")
     k, who, bucket = k[order].astype(np.uint32), who[order], bucket[order]
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
@@ -144,20 +128,29 @@ def _pack(keys, owners, needs, buckets: int):
 
 PACKED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()),
                     ("counts", pa.binary()), ("needs", pa.binary())])
-PACKED_SQL = "bucket long, keys binary, owners binary, counts binary, needs binary"
+PACKED_SQL = ("bucket long, keys binary, owners binary, counts binary, needs binary, "
+              "doc_id long, text_id string, n_shingles long, set_id long")
 
 
 def sketches(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed sketch words of all sets, a row per batch of sets and bucket."""
+    """Packed sketch words of all sets, a row per batch of sets and bucket; and
+    a row per document, its bucket negative and given by its text."""
+    full = pa.schema([*PACKED, ("doc_id", pa.int64()), ("text_id", pa.string()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
+
+    def both(rows: pa.Table | pa.RecordBatch) -> pa.RecordBatch:
+        n, have = rows.num_rows, set(rows.schema.names)
+        return pa.RecordBatch.from_arrays([rows.column(f.name) if f.name in have else pa.nulls(n, f.type) for f in full], schema=full)
+
     def run(batches):
         keys, owners, needs, seen, held = [], [], [], set(), 0
         for b in batches:
+            n, ids = [], []
             for t in b.column("text").to_pylist():
                 s = shingle_set(t)
-                if not len(s):
-                    continue
                 i = set_id(s)
-                if i in seen:
+                n.append(len(s))
+                ids.append(i)
+                if not i or i in seen:
                     continue
                 seen.add(i)
                 band = int(np.searchsorted(BORDERS, len(s), "right")) - 1
@@ -168,25 +161,38 @@ def sketches(docs: DataFrame, buckets: int) -> DataFrame:
                     needs.append(need)
                     held += len(k)
                 if held > 3_000_000:
-                    yield _pack(keys, np.array(owners, np.int64), np.array(needs, np.uint32), buckets)
+                    yield both(_pack(keys, np.array(owners, np.int64), np.array(needs, np.uint32), buckets))
                     keys, owners, needs, held = [], [], [], 0
                     seen.clear()
+            to = [-1 - int(x[:8], 16) % buckets for x in b.column("text_id").to_pylist()]
+            yield both(pa.RecordBatch.from_arrays(
+                [pa.array(to, pa.int64()), b.column("doc_id"), b.column("text_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64())],
+                ["bucket", "doc_id", "text_id", "n_shingles", "set_id"]))
         if keys:
-            yield _pack(keys, np.array(owners, np.int64), np.array(needs, np.uint32), buckets)
+            yield both(_pack(keys, np.array(owners, np.int64), np.array(needs, np.uint32), buckets))
 
-    return arrow_map(docs.select("text"), run, PACKED_SQL)
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "text_id"), run, PACKED_SQL)
+
+
+MEMBERS_SQL = "key long, owner long, need long, size long, doc_id long, text_id string, n_shingles long, set_id long"
 
 
 def _group(t: pa.Table) -> pa.Table:
     """Of one bucket: the members of groups (equal key) with two sets or more,
     at least one of them in role 0. A row per member."""
+    names = [x.split()[0] for x in MEMBERS_SQL.split(", ")]
+    bucket = t.column("bucket")[0].as_py()
+    if bucket < 0:  # documents pass
+        return pa.table([t.column(c) if c in t.column_names and c not in ("key", "owner") else pa.nulls(t.num_rows, pa.int64())
+                         for c in names], names)
+
     def cat(c, kind):
         return np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
 
     key, owner, need = cat("keys", np.uint32), cat("owners", np.int64), cat("needs", np.uint32)
     n = cat("counts", np.uint32)
     owner, need = np.repeat(owner, n), np.repeat(need, n)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     order = order[_alike(key[order])]  # drop keys that occur once before the costly sort
     key, owner, need = key[order], owner[order], need[order]
     order = np.lexsort((owner, key))
@@ -194,16 +200,17 @@ def _group(t: pa.Table) -> pa.Table:
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
     key, owner, need = key[fresh], owner[fresh], need[fresh]
+    size = np.empty(0, np.int64)
     if len(key):
-        start = np.concatenate(([True], key[1:] != key[:-1]))
-        g = np.cumsum(start) - 1
-        size = np.bincount(g)
-        native = np.bincount(g, weights=(owner & 1) == 0)
-        keep = ((size > 1) & (native > 0))[g]
-        key, owner, need = key[keep], owner[keep], need[keep]
-    bucket = t.column("bucket")[0].as_py()
-    return pa.table({"key": pa.array((np.int64(bucket) << 32) | key.astype(np.int64)),
-                     "owner": pa.array(owner), "need": pa.array(need.astype(np.int64))})
+        g = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))) - 1
+        size = np.bincount(g)[g]
+        native = np.bincount(g, weights=(owner & 1) == 0)[g]
+        keep = (size > 1) & (native > 0)
+        key, owner, need, size = key[keep], owner[keep], need[keep], size[keep]
+    n = len(key)
+    return pa.table([pa.array((np.int64(bucket) << 32) | key.astype(np.int64)), pa.array(owner), pa.array(need.astype(np.int64)),
+                     pa.array(size), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
+                     pa.nulls(n, pa.int64())], names)
 
 
 def _alike(k: np.ndarray) -> np.ndarray:
@@ -215,31 +222,20 @@ def _alike(k: np.ndarray) -> np.ndarray:
     return out
 
 
-def members(docs: DataFrame) -> DataFrame:
+def members(found: DataFrame) -> DataFrame:
     """(key, owner): members of groups of equal sketch words that may be linked.
 
     A set needs ``need`` words in common with any linked one, so sets that
-    share fewer words with all others together are dropped (twice: the first
-    drop empties groups). Of the words left, ordered by the size of their group,
-    a set keeps all but the last ``need - 1``: two linked sets still meet in
-    one, while words of a passage that thousands of texts hold are left out
-    wherever a set has rarer ones.
+    share fewer words with all others together are dropped. Of a set's shared
+    words, ordered by the size of their group, all but the last ``need - 1``
+    are kept: two linked sets still meet in one, while words of a passage that
+    thousands of texts hold are left out wherever a set has rarer ones.
     """
-    buckets = bucket_count(text_bytes(docs), BYTES_PER_BUCKET)
-    found = arrow_groups(sketches(docs, buckets), ["bucket"], _group, "key long, owner long, need long")
-    found = written(found, "sketch_groups")
-
-    def counted(m: DataFrame) -> DataFrame:
-        return m.groupBy("owner").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need")
-
-    m = written(found.join(counted(found).select("owner"), "owner", "left_semi"), "sketch_groups")
-    shared = (m.groupBy("key").agg(F.count("*").alias("df"), F.min(F.col("owner").bitwiseAND(1)).alias("role"))
-              .where("df > 1 and role = 0").select("key", "df"))
-    m = written(m.join(shared, "key"), "sketch_groups")
-    rare = W.partitionBy("owner").orderBy("df", "key")
-    return written(m.join(counted(m).select("owner", "n"), "owner")
-                   .withColumn("at", F.row_number().over(rare))
-                   .where("at <= n - need + 1").select("key", "owner"), "sketch_members")
+    own = W.partitionBy("owner")
+    return written(found.where("key is not null").select("key", "owner", "need", "size")
+                   .withColumn("n", F.count("*").over(own))
+                   .withColumn("at", F.row_number().over(own.orderBy("size", "key")))
+                   .where("n >= need and at <= n - need + 1").select("key", "owner"), "sketch_members")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -303,10 +299,9 @@ def _near() -> Column:
     return (4 * F.least("x_size", "y_size") >= 3 * F.greatest("x_size", "y_size")) & (7 * distance <= sizes)
 
 
-def linked(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
     """(node, component) in set ids, of all sets that link with another one.
     ``docs`` and ``sets`` carry doc_id and text_id; ``sets`` also set_id."""
-    m = members(docs)
     wanted = (sets.join(m.select(F.shiftright("owner", 1).alias("set_id")).distinct(), "set_id", "left_semi")
               .groupBy("set_id").agg(F.min(F.struct("text_id", "doc_id")).alias("one"))
               .select("set_id", F.col("one.text_id").alias("its_text"), F.col("one.doc_id").alias("its_doc")))
@@ -358,8 +353,11 @@ def linked(docs: DataFrame, sets: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, text_id, n_shingles, component_id of every row."""
     docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_id"))
-    rows = written(sets_of(docs), "sets")
-    comp = linked(docs, rows.where("n_shingles > 0")).withColumnRenamed("node", "set_id")
+    buckets = bucket_count(text_bytes(docs), BYTES_PER_BUCKET)
+    # one scan and one shuffle: documents' sets, and the groups of equal sketch words
+    found = written(arrow_groups(sketches(docs, buckets), ["bucket"], _group, MEMBERS_SQL), "sketch_groups")
+    rows = found.where("key is null").select("doc_id", "text_id", "n_shingles", "set_id")
+    comp = linked(docs, rows.where("n_shingles > 0"), members(found)).withColumnRenamed("node", "set_id")
     named = (rows.join(comp, "set_id", "left")
              .withColumn("component", F.coalesce("component", "set_id")))
     named = written(named, "components")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_map, table, written
-from .text import HASHES, ngram_hashes
+from .text import ngram_hashes, word_hashes
 
 KEEP_FROM = 0.5
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -46,10 +46,14 @@ def repeat_words(h: np.ndarray, k: int = 5) -> int:
     grams = ngram_hashes(h, k)
     if len(grams) < 2:
         return 0
-    _, back, n = np.unique(grams, return_inverse=True, return_counts=True)
-    again = n[back] > 1
-    if not again.any():
+    order = np.argsort(grams)
+    s = grams[order]
+    same = s[1:] == s[:-1]
+    if not same.any():
         return 0
+    again = np.zeros(len(s), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
     edge = np.zeros(len(h) + 1, np.int32)
     edge[:len(grams)] += again
     edge[k:k + len(grams)] -= again
@@ -61,16 +65,15 @@ def features(text: str | None) -> tuple[int, ...]:
     if not text:
         return (0,) * len(FEATURES)
     raw = text.encode("utf-8")
-    w = raw.split()
-    if not w:
+    h = word_hashes(raw)
+    if not len(h):
         return (0,) * len(FEATURES)
-    lines = [x for x in raw.split(b"\n") if x.split()]
-    h = HASHES.of(w)
+    lines = [x for x in raw.split(b"\n") if x and not x.isspace()]
     kinds = raw.translate(_KIND)
     marked = kinds.count(b"1 ") + kinds.endswith(b"1")
-    return (len(w), len(text) - sum(map(text.count, _BLANKS)), _count(raw, _SYMBOLS),
+    return (len(h), len(text) - sum(map(text.count, _BLANKS)), _count(raw, _SYMBOLS),
             len(lines) - len(set(lines)), repeat_words(h), len(lines), _count(raw, _UPPER), _count(raw, _LOWER),
-            len(w) - marked, raw.count(b"!!"), int((h[1:] == h[:-1]).sum()))
+            len(h) - marked, raw.count(b"!!"), int((h[1:] == h[:-1]).sum()))
 
 
 def with_features(docs: DataFrame) -> DataFrame:

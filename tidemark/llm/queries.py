@@ -26,4 +26,38 @@ QUERIES = {
     "op10_packing": op10,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op4_parity_join": rf"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+          FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM both_ JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+      WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT DISTINCT a AS d, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.d),
+least_ AS (SELECT d, min(m) AS m FROM r GROUP BY d)
+SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least_.m, documents.doc_id) AS component_id
+FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN least_ ON least_.d = documents.doc_id""",
+    "op7_decontamination": rf"""
+WITH
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+v AS (SELECT item_id, least(len(w), 10) AS l, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM v),
+ls AS (SELECT DISTINCT l FROM win),
+p AS (SELECT doc_id, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM d, ls WHERE len(w) >= l),
+hit AS (SELECT DISTINCT doc_id, i, p.l, item_id FROM p JOIN win ON win.l = p.l AND win.s = array_to_string(w[i:i + p.l - 1], ' ')),
+at_ AS (SELECT DISTINCT doc_id, unnest(range(i, i + l)) AS k FROM hit),
+nh AS (SELECT doc_id, count(*) AS n FROM at_ GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(nh.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, coalesce(nh.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN nh ON nh.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id""",
+}

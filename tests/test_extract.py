@@ -3,6 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.config import SourceTable
+import pytest
+
 from tidemark.plans.ingest import FAILED, NO_DATA, SUCCEEDED, failures, ingest_all, ingest_table
 from tidemark.sources.extract import window_stats
 from tidemark.sources.relational import frame_reader
@@ -85,7 +87,10 @@ def test_window_is_bounded_by_high(spark):
 def test_ingest_all_reports_failures_without_stopping(spark, layout):
     good = _users(spark, [(1, "a", ts("2025-01-01 00:00:00"))])
     bad = SourceTable(table="missing", cdc_col="updated_at")
-    rep = ingest_all(spark, [bad, USERS], frame_reader({"dim_user": good}), layout)
+    rep = ingest_all(spark, [bad, USERS], frame_reader({"dim_user": good}), layout, raise_on_failure=False)
+    assert {r.pipeline for r in rep.collect()} == {"ingest"}
+    with pytest.raises(RuntimeError, match="1 table"):
+        ingest_all(spark, [bad], frame_reader({"dim_user": good}), layout)
     got = {r.table_name: r.status for r in rep.collect()}
     assert got == {"missing": FAILED, "dim_user": SUCCEEDED}
     assert failures(rep).count() == 1
@@ -98,3 +103,20 @@ def test_parallel_ingest(spark, layout):
     rep = ingest_all(spark, cfgs, frame_reader({f"t{i}": a for i in range(3)}), layout, max_parallel=3)
     assert rows(rep, ["table_name", "status", "rows_read"]) == [
         ("t0", SUCCEEDED, 1), ("t1", SUCCEEDED, 1), ("t2", SUCCEEDED, 1)]
+
+
+def test_window_query_is_computed_by_the_database():
+    from tidemark.config import SourceTable
+    from tidemark.sources.relational import window_query
+    cfg = SourceTable(table="t", cdc_col="c")
+    assert window_query(cfg, None) == "SELECT COUNT(*) AS n, MAX(c) AS high FROM dbo.t WHERE c IS NOT NULL"
+    assert window_query(cfg, "x'y").endswith("WHERE c > 'x''y'")
+
+
+def test_a_reader_may_compute_the_window(spark, layout):
+    from tidemark.config import SourceTable
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, c string")
+    read = frame_reader({"t": df})
+    read.window = lambda cfg, low: spark.createDataFrame([(2, "b")], "n long, high string")
+    r = ingest_table(spark, SourceTable(table="t", cdc_col="c"), read, layout)
+    assert (r.rows_read, r.watermark) == (2, "b")

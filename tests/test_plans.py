@@ -67,14 +67,15 @@ def test_untouched_keys_are_copied_without_a_shuffle(spark, root):
     through a shuffle."""
     from pyspark import StorageLevel
     from tidemark.functions.columns import key_struct
-    from tidemark.streaming.gold import KEY, CdcFlow, _old_rows, _split_by_keys, merge_batch
+    from tidemark.streaming import live as L
+    from tidemark.streaming.gold import KEY, CdcFlow, _split_by_keys, merge_batch
     ev = spark.read.parquet(f"{SF}/events.parquet")
     flow = CdcFlow(target="e", source="s", keys=["user_id"], sequence_by="ts", stored_as_scd_type=2, buckets=4)
     merge_batch(spark, ev, flow, root, 0)
     batch = ev.where(F.col("user_id") < 3)
     keys = batch.select(key_struct(["user_id"]).alias(KEY)).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hit, kept = _split_by_keys(_old_rows(spark, f"{root}/data", [0, 1, 2, 3]), F.broadcast(keys), ["user_id"])
+        hit, kept = _split_by_keys(L.rows(spark, root, L.latest(spark, root), "data"), F.broadcast(keys), ["user_id"])
         for df, kind in ((kept, "LeftAnti"), (hit, "LeftSemi")):
             plan = _plan(df)
             assert f"BroadcastHashJoin [{KEY}" in plan and kind in plan, plan
@@ -103,3 +104,14 @@ def test_seen_key_history_is_filtered_map_side(spark, root):
         assert "Exchange hashpartitioning" not in plan.split("InMemoryRelation")[0], plan
     finally:
         batch.unpersist()
+
+
+def test_scd2_shuffles_rows_once(spark):
+    """SCD2 with and without an exclusion list: one exchange of the rows on
+    (key, chunk), the others carry one row per (key, chunk)."""
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    for except_cols in (None, ["ts", "value", "event_id", "props"]):
+        plan = _plan(scd2_versions(ev, ["user_id"], "ts", except_cols))
+        wide = [ln for ln in plan.splitlines() if "Exchange" in ln and "REPARTITION_BY_COL" in ln]
+        assert 1 <= len(set(ln.split("[plan_id")[0].lstrip(" :+-*()0123456789") for ln in wide)) <= 2, plan
+        assert plan.count("Exchange hashpartitioning") <= 5, plan

@@ -62,7 +62,7 @@ def test_rate_limited_run_drains_everything(spark, layout):
     by_size = SilverSpec(table="t", dedup_keys=["user_id"], max_bytes_per_trigger=1024)
     from tidemark.paths import Layout
     other = Layout(layout.root + "_bytes")
-    fs.move_files(spark, layout.bronze("t"), other.bronze("t"))
+    spark.read.parquet(layout.bronze("t")).repartition(3).write.parquet(other.bronze("t"))
     assert sorted(r.user_id for r in run_silver(spark, by_size, other).collect()) == [1, 2, 3]
 
 
@@ -108,3 +108,41 @@ def test_schema_check_reads_only_new_files(spark, layout):
                   layout.bronze("s"))
     out = {r.user_id: r.country for r in run_silver(spark, spec, layout).collect()}
     assert out == {1: None, 2: "DE"}
+
+
+def test_old_dated_file_is_read_and_its_new_column_kept(spark, layout):
+    """A file that carries an old modification time (restored, copied late) is
+    processed like any other, and so is a column only it has."""
+    import glob
+    import os
+    spec = SilverSpec(table="o")
+    for i in (0, 1):
+        append_bronze(spark.createDataFrame([(i, "a", t(1))], SCHEMA), layout.bronze("o"))
+        run_silver(spark, spec, layout)
+    before = set(glob.glob(layout.bronze("o") + "/*.parquet"))
+    append_bronze(spark.createDataFrame([(2, "b", t(2), "DE")], SCHEMA + ", country string"), layout.bronze("o"))
+    for f in set(glob.glob(layout.bronze("o") + "/*.parquet")) - before:
+        os.utime(f, (1, 1))
+    append_bronze(spark.createDataFrame([(3, "c", t(3))], SCHEMA), layout.bronze("o"))
+    out = {r.user_id: r.country for r in run_silver(spark, spec, layout).collect()}
+    assert out == {0: None, 1: None, 2: "DE", 3: None}
+
+
+def test_dedup_cannot_change_under_a_table(spark, layout):
+    append_bronze(spark.createDataFrame([(1, "a", t(1))], SCHEMA), layout.bronze("x"))
+    run_silver(spark, SilverSpec(table="x"), layout)
+    with pytest.raises(ValueError, match="reset_silver"):
+        run_silver(spark, SilverSpec(table="x", dedup_keys=["user_id"]), layout)
+
+
+def test_replayed_merge_batch_writes_the_same_rows(spark, layout):
+    from tidemark.streaming.silver import ARRIVAL, first_arrivals
+    from pyspark.sql import functions as F
+    spec = SilverSpec(table="r", dedup_keys=["user_id"], dedup_buckets=4)
+    def batch(rows):
+        return spark.createDataFrame(rows, SCHEMA).withColumn(ARRIVAL, F.struct(F.col("updated_at").alias("t")))
+    first_arrivals(spark, batch([(1, "a", t(1)), (2, "b", t(1))]), 0, spec, layout)
+    for _ in range(2):
+        first_arrivals(spark, batch([(2, "x", t(2)), (3, "c", t(2))]), 1, spec, layout)
+    out = read_silver(spark, spec, layout, schema=spark.createDataFrame([], SCHEMA).schema).collect()
+    assert {r.user_id: r.user_name for r in out} == {1: "a", 2: "b", 3: "c"} and len(out) == 3

@@ -51,6 +51,9 @@ class JoinSpec:
     alias: str
     cols: Sequence[str]
     condition: str | None = None
+    #: the table's size is bounded whatever the facts' size (a calendar, a band
+    #: table): it may be sent to every task, and its condition needs no equality
+    bounded: bool = False
 
 
 @dataclass

@@ -52,8 +52,9 @@ def remove(spark: SparkSession, path: str, guard_root: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file so that readers see all of it or nothing:
-    write a hidden temporary file next to it, then rename it into place."""
+    """Write a small text file through a hidden temporary file next to it and a
+    rename. A file of a new name appears whole or not at all; a file that is
+    written again is gone for the moment between delete and rename."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
@@ -76,47 +77,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Move folder ``src`` to ``dst``, replacing what ``dst`` held (the
-    per-partition step of a dynamic partition overwrite). Re-runnable: if
-    ``src`` is gone the move already happened."""
-    fs, s = _fs(spark, src)
-    if not fs.exists(s):
-        return
-    _, d = _fs(spark, dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise IOError(f"could not move {src} to {dst}")
-
-
-def move_files(spark: SparkSession, src: str, dst: str) -> int:
-    """Move every visible file of folder ``src`` (recursively, keeping the
-    relative sub-folders) under ``dst``. Files already moved are no longer
-    in ``src``, so a second call finishes an interrupted one."""
-    fs, s = _fs(spark, src)
-    if not fs.exists(s):
-        return 0
-    jvm = spark.sparkContext._jvm
-    base = s.toUri().getPath().rstrip("/")
-    moved = 0
-    it = fs.listFiles(s, True)
-    files = []
-    while it.hasNext():
-        files.append(it.next().getPath())
-    for f in files:
-        if f.getName().startswith(("_", ".")):
-            continue
-        rel = f.toUri().getPath()[len(base) + 1:]
-        target = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}/{rel}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(f, target):
-            raise IOError(f"could not move {f} to {target}")
-        moved += 1
-    return moved
-
-
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -115,3 +115,43 @@ def casted_to(df: DataFrame, schema: T.StructType, truncate: bool = True) -> Dat
             c = F.lit(None).cast(f.dataType)
         out.append(c.alias(f.name))
     return df.select(*out)
+
+
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: the wider number, the timestamp
+    of a date and a timestamp, else text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if a in _WHOLE and b in _WHOLE:
+        return _WHOLE[max(_WHOLE.index(a), _WHOLE.index(b))]
+    numbers = (T.FloatType, T.DoubleType)
+    if (a in _WHOLE or isinstance(a, numbers)) and (b in _WHOLE or isinstance(b, numbers)):
+        return T.DoubleType()
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        return next((t for t in (a, b) if not isinstance(t, T.DateType)), a)
+    return T.StringType()
+
+
+def wider_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """``old`` with the columns only ``new`` has appended, every column in a
+    type that holds both sides' values."""
+    by_name = {f.name: f for f in new.fields}
+    kept = [T.StructField(f.name, wider_type(f.dataType, by_name[f.name].dataType) if f.name in by_name else f.dataType)
+            for f in old.fields]
+    names = set(old.fieldNames())
+    return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in new.fields if f.name not in names])
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the columns and types of ``schema``; missing ones are NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        (F.lit(None).cast(f.dataType) if f.name not in have
+         else F.col(f"`{f.name}`") if have[f.name] == f.dataType else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name)
+        for f in schema.fields])

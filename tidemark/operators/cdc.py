@@ -23,21 +23,30 @@ computation restricted to the keys the batch touches.
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import key_struct
-from .sequence import CHUNK, KEY, chunk_expr, with_next, with_run_number  # noqa: F401
+from .sequence import CHUNK, KEY, chunk_expr, last_of_runs, with_next
 
 START = "__START_AT"
 END = "__END_AT"
 INTERVAL_COLS = (START, END)
 
 
+#: columns the engine adds itself; a source must not bring them
+OWN_COLS = frozenset((*INTERVAL_COLS, KEY, CHUNK, "__bucket", "__w", "__run", "__arrival"))
+
+
 def data_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in INTERVAL_COLS and not c.startswith("__")]
+    """The source's columns. A name the engine uses itself is an error: taking
+    the column for the engine's would lose its values."""
+    clash = sorted(OWN_COLS.intersection(df.columns))
+    if clash:
+        raise ValueError(f"column names reserved by the engine: {', '.join(clash)}")
+    return list(df.columns)
 
 
 def valid_sequence(df: DataFrame, seq: str) -> DataFrame:
@@ -93,20 +102,14 @@ def scd1_latest(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
                   except_cols: Sequence[str] | None = None,
-                  granularity: str = "hour",
-                  materialize: Callable[[DataFrame], DataFrame] | None = None,
-                  resolved: bool = False) -> DataFrame:
+                  granularity: str = "hour", resolved: bool = False) -> DataFrame:
     """All versions with validity intervals from a set of events.
 
-    ``materialize`` (optional) is applied to the run-numbered events of the
-    exclusion-list path, which two branches read; passing a function that
-    writes them to the shared work folder and reads them back keeps Spark
-    from computing the windows twice. ``resolved=True`` says the events are
-    already one row per (key, sequence) (``resolve_ties`` output), which
-    skips a sort of every row.
+    ``resolved=True`` says the events are already one row per (key,
+    sequence) (``resolve_ties`` output), which skips a sort of every row.
     """
     cols = data_columns(events)
-    keyed = _keyed(events.select(*cols), keys, seq, granularity)
+    keyed = _keyed(events, keys, seq, granularity)
     p = _prepare(keyed)
     if not resolved:
         p = _resolve_ties(p, seq, cols)
@@ -116,18 +119,8 @@ def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
     # every non-key column is tracked unless listed -- the sequence column
     # too, so it must be listed for versions to collapse
     tracked = [c for c in cols if c not in keys and c not in set(except_cols)]
-    p = with_run_number(p, seq, F.struct(*[F.col(c) for c in tracked]), "__run")
-    if materialize is not None:
-        p = materialize(p)
-    values = [c for c in cols if c not in keys]
-    # one row per run; a long run of a hot key is combined map-side
-    runs = (p.groupBy(KEY, "__run")
-            .agg(F.min(seq).alias(START),
-                 F.max_by(F.struct(*values), seq).alias("__w")))
-    # run numbers are consecutive per key: a version ends where run + 1 starts
-    nexts = runs.select(KEY, (F.col("__run") - 1).alias("__run"), F.col(START).alias(END))
-    v = runs.join(nexts, [KEY, "__run"], "left").select(KEY, START, END, "__w.*")
-    return v.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], *values, START, END).select(*cols, START, END)
+    v = last_of_runs(p, seq, F.struct(*[F.col(c) for c in tracked]), START, END)
+    return v.select(*cols, START, END)
 
 
 def current_versions(target: DataFrame) -> DataFrame:

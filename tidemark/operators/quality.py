@@ -47,8 +47,10 @@ def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule: ``rule, failed_rows, total_rows`` (distributed
     aggregate; only the rule count of rows reaches the result)."""
     agg = df.agg(*metric_columns(rules))
-    stack = ", ".join(f"'{n}', failed_{n}" for n in rules)
-    return agg.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, failed_rows)", "rows_in AS total_rows")
+    per_rule = [F.struct(F.lit(n).alias("rule"), F.col(f"`failed_{n}`").alias("failed_rows")) for n in rules]
+    kind = "array<struct<rule:string,failed_rows:bigint>>"
+    return (agg.select(F.inline(F.array(*per_rule).cast(kind)), F.col("rows_in"))
+            .withColumnRenamed("rows_in", "total_rows"))
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:

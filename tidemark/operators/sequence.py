@@ -31,10 +31,12 @@ def chunk_expr(seq: str, dtype: T.DataType, granularity: str = "hour") -> Column
     if isinstance(dtype, T.DateType):
         return F.date_trunc("month" if granularity in ("month", "year") else "day", c)
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return F.floor(c / F.lit(1 << 20))
+        return F.floor(c / F.lit(1 << 10))
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return F.floor(c)
-    # strings and other orderable types: no split (one chunk per key)
+        return F.floor(c / F.lit(1 << 10))
+    if isinstance(dtype, T.StringType):
+        return F.substring(c, 1, 10)  # orders like the text; the day of an ISO timestamp
+    # other orderable types: no split (one chunk per key)
     return F.lit(0)
 
 
@@ -59,38 +61,40 @@ def with_next(df: DataFrame, seq: str, out: str, summary_src: DataFrame | None =
             .drop("__cnext"))
 
 
-def with_run_number(df: DataFrame, seq: str, tracked: Column, out: str) -> DataFrame:
-    """Gaps-and-islands: ``out`` numbers the runs of equal ``tracked`` values
-    per key in ``seq`` order (1, 2, ...). NULL-safe comparison.
+def last_of_runs(df: DataFrame, seq: str, tracked: Column, start: str, end: str) -> DataFrame:
+    """The last row of every run of equal ``tracked`` values per key in ``seq``
+    order (NULL-safe), with the run's first ``seq`` as ``start`` and the next
+    run's first ``seq`` as ``end`` (NULL for the last run).
 
-    Expects ``__key`` and ``__chunk``; (key, seq) unique.
+    Expects ``__key`` and ``__chunk``; (key, seq) unique. The rows are shuffled
+    once, on (key, chunk); what crosses chunks travels in one small row per
+    (key, chunk).
     """
-    df = df.withColumn("__tv", tracked)
     w = Window.partitionBy(KEY, CHUNK).orderBy(seq)
-    df = (df.withColumn("__prev", F.lag("__tv").over(w))
-          .withColumn("__first_in_chunk", F.col("__prev").isNull())
-          # change flag inside the chunk; the chunk's first row is decided below
-          .withColumn("__inner", F.when(F.col("__first_in_chunk"), F.lit(0))
-                      .when(~F.col("__prev").eqNullSafe(F.col("__tv")), F.lit(1))
-                      .otherwise(F.lit(0)))
-          .withColumn("__cum_inner", F.sum("__inner").over(
-              w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    summary = df.groupBy(KEY, CHUNK).agg(
-        F.min_by("__tv", seq).alias("__cfirst_v"),
-        F.max_by("__tv", seq).alias("__clast_v"),
-        F.sum("__inner").alias("__cinner"))
+    df = (df.withColumn("__tv", F.struct(tracked.alias("v")))  # never NULL: a NULL below means "no row"
+          .withColumn("__prev", F.lag("__tv").over(w))
+          .withColumn("__next", F.lead("__tv").over(w))
+          .withColumn("__next_seq", F.lead(seq).over(w))
+          # first row of a run inside the chunk; the chunk's first row is decided below
+          .withColumn("__begins", F.when(F.col("__prev").isNotNull() & ~F.col("__prev").eqNullSafe(F.col("__tv")), F.col(seq))))
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
-    summary = (summary
-               .withColumn("__prev_last", F.lag("__clast_v").over(wc))
-               .withColumn("__first_flag",
-                           F.when(F.col("__prev_last").isNull(), F.lit(1))
-                           .when(~F.col("__prev_last").eqNullSafe(F.col("__cfirst_v")), F.lit(1))
-                           .otherwise(F.lit(0)))
-               .withColumn("__ctotal", F.col("__first_flag") + F.col("__cinner"))
-               .withColumn("__offset", F.coalesce(F.sum("__ctotal").over(
-                   wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select(KEY, CHUNK, "__first_flag", "__offset"))
-    return (df.join(summary, [KEY, CHUNK], "left")
-            .withColumn(out, (F.col("__offset") + F.col("__first_flag") + F.col("__cum_inner")).cast("long"))
-            .drop("__tv", "__prev", "__first_in_chunk", "__inner", "__cum_inner",
-                  "__first_flag", "__offset"))
+    edge = (df.groupBy(KEY, CHUNK).agg(
+        F.min(seq).alias("__cfirst"), F.min_by("__tv", seq).alias("__cfirst_v"),
+        F.max_by("__tv", seq).alias("__clast_v"), F.max("__begins").alias("__cbegin"))
+        .withColumn("__before_v", F.lag("__clast_v").over(wc))
+        .withColumn("__opens", F.when(F.col("__before_v").isNull()
+                                      | ~F.col("__before_v").eqNullSafe(F.col("__cfirst_v")), F.col("__cfirst")))
+        .withColumn("__carried", F.last(F.coalesce("__cbegin", "__opens"), ignorenulls=True).over(
+            wc.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("__after_v", F.lead("__cfirst_v").over(wc))
+        .withColumn("__after_seq", F.lead("__cfirst").over(wc))
+        .select(KEY, CHUNK, "__opens", "__carried", "__after_v", "__after_seq"))
+    df = (df.withColumn("__begun", F.last("__begins", ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .join(edge, [KEY, CHUNK], "left")
+        .withColumn("__next", F.coalesce("__next", "__after_v"))
+        .where(F.col("__next").isNull() | ~F.col("__next").eqNullSafe(F.col("__tv")))
+        .withColumn(start, F.coalesce("__begun", "__opens", "__carried"))
+        .withColumn(end, F.coalesce("__next_seq", "__after_seq")))
+    return df.drop("__tv", "__prev", "__next", "__next_seq", "__begins", "__begun", "__opens", "__carried",
+                   "__after_v", "__after_seq")

@@ -31,6 +31,13 @@ def star_join(specs: Sequence[JoinSpec], resolve: TableResolver) -> DataFrame:
     for spec in specs[1:]:
         if not spec.condition:
             raise ValueError(f"join entry {spec.alias!r} needs a condition")
-        acc = acc.join(resolve(spec.table).alias(spec.alias), F.expr(spec.condition), "left")
+        side = resolve(spec.table).alias(spec.alias)
+        if spec.bounded:
+            side = F.broadcast(side)
+        joined = acc.join(side, F.expr(spec.condition), "left")
+        if not spec.bounded and "BroadcastNestedLoopJoin" in joined._jdf.queryExecution().executedPlan().toString():
+            raise ValueError(f"join entry {spec.alias!r} has no equality between the sides, so one side goes whole "
+                             "to every task: set bounded=True if this table's size is bounded")
+        acc = joined
     cols = [c for s in specs for c in s.cols]
     return acc.select(*[F.col(c) for c in cols])

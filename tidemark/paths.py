@@ -39,8 +39,5 @@ class Layout:
     def gold_checkpoint(self, flow: str) -> str:
         return self._p("gold", "_checkpoints", flow)
 
-    def staging(self, name: str) -> str:
-        return self._p("gold", "_staging", name)
-
     def reports(self) -> str:
         return self._p("reports", "ingest")

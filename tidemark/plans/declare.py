@@ -6,32 +6,41 @@ The names follow Spark's declarative-pipelines vocabulary:
 
     @reg.table
     @reg.expect_all_or_drop({"rule_1": "user_id IS NOT NULL"})
-    def dimuser_stg(spark):
+    def events_clean(spark):
         return spark.readStream...               # any streaming DataFrame
 
-    reg.create_streaming_table("dimuser", expect_all_or_drop={...})
-    reg.create_auto_cdc_flow(target="dimuser", source="dimuser_stg",
-                             keys=["user_id"], sequence_by="updated_at",
-                             stored_as_scd_type=2)
-    reg.run(spark, layout)
+    @reg.table(reads=["events_clean"])           # built from another declared table
+    def purchases(spark):
+        return reg.read_stream(spark, "events_clean").where("event_type = 'purchase'")
 
-``run`` materialises every declared table as an append-only stream
-(checkpointed, ``availableNow``), then drains each flow from its source
+    reg.create_streaming_table("last_purchase", expect_all_or_drop={...})
+    reg.create_auto_cdc_flow(target="last_purchase", source="purchases",
+                             keys=["user_id"], sequence_by="ts")
+    reg.run(spark, layout, namespace=Namespace(schema="gold"))
+
+``run`` materialises every declared table, the ones it reads first, as an
+append-only stream (checkpointed, ``availableNow``), then drains each flow from its source
 table into its keyed target with ``foreachBatch`` merges. Rule counters of
-the staging tables are read from the streams' observed metrics.
+the staging tables are collected from every micro-batch's progress report. With
+a namespace, targets get a catalog view of their name there.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass, field
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import fs
+from ..config import Namespace
 from ..operators.quality import expect_all_or_drop, observe_rules
 from ..paths import Layout
-from ..streaming.gold import CdcFlow, read_target, run_flow
+from ..streaming.gold import CdcFlow, read_target, register_target, run_flow, target_exists
 
 DatasetFn = Callable[[SparkSession], DataFrame]
 
@@ -41,6 +50,7 @@ class _Dataset:
     name: str
     fn: DatasetFn
     expectations: dict = field(default_factory=dict)
+    reads: tuple[str, ...] = ()
 
 
 @dataclass
@@ -50,6 +60,29 @@ class _Target:
     buckets: int = 64
     bucket_width: int | None = None
     broadcast_keys_max: int = 1_000_000
+    granularity: str = "hour"
+
+
+class _Progress(StreamingQueryListener):
+    """Keeps a stream's observed metrics of every micro-batch (the query itself
+    remembers the last hundred only)."""
+
+    def __init__(self, name: str):
+        self.name, self.seen = name, {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        got = event.progress.observedMetrics.get(self.name)
+        if got is not None:
+            self.seen[event.progress.batchId] = got.asDict()
 
 
 class Registry:
@@ -58,12 +91,15 @@ class Registry:
         self.targets: dict[str, _Target] = {}
         self.flows: list[CdcFlow] = []
         self.metrics: dict[str, list[dict]] = {}
+        self._schemas: dict[str, T.StructType] = {}
+        self._layout: Layout | None = None
 
     # -- declarations -------------------------------------------------------
-    def table(self, fn: DatasetFn | None = None, *, name: str | None = None):
+    def table(self, fn: DatasetFn | None = None, *, name: str | None = None, reads: Sequence[str] = ()):
+        """Declare a table; ``reads`` names the declared tables it is built from."""
         def wrap(f: DatasetFn) -> DatasetFn:
             rules = dict(getattr(f, "_expectations", {}))
-            self.datasets[name or f.__name__] = _Dataset(name or f.__name__, f, rules)
+            self.datasets[name or f.__name__] = _Dataset(name or f.__name__, f, rules, tuple(reads))
             return f
         return wrap(fn) if fn is not None else wrap
 
@@ -78,12 +114,13 @@ class Registry:
 
     def create_streaming_table(self, name: str, expect_all_or_drop: Mapping[str, str] | None = None,
                                buckets: int = 64, bucket_width: int | None = None,
-                               broadcast_keys_max: int = 1_000_000) -> None:
+                               broadcast_keys_max: int = 1_000_000, granularity: str = "hour") -> None:
         """Declare a keyed target. ``buckets`` hash buckets by default;
         ``bucket_width`` switches to range buckets on a growing integral key;
-        ``broadcast_keys_max`` bounds the batch key set a merge may broadcast."""
+        ``broadcast_keys_max`` bounds the batch key set a merge may broadcast;
+        ``granularity`` is the piece of the time axis a hot key is split by."""
         self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets, bucket_width,
-                                     broadcast_keys_max)
+                                     broadcast_keys_max, granularity)
 
     def create_auto_cdc_flow(self, target: str, source: str, keys: Sequence[str], sequence_by: str,
                              stored_as_scd_type: int = 1,
@@ -98,7 +135,10 @@ class Registry:
                                                          if track_history_except_column_list is not None
                                                          else None),
                        name=name, once=once, expectations=t.expectations, buckets=t.buckets,
-                       bucket_width=t.bucket_width, broadcast_keys_max=t.broadcast_keys_max)
+                       bucket_width=t.bucket_width, broadcast_keys_max=t.broadcast_keys_max,
+                       granularity=t.granularity)
+        if any(f.flow_name == flow.flow_name for f in self.flows):
+            raise ValueError(f"a flow named {flow.flow_name!r} exists: flows share nothing, give each a name")
         self.flows.append(flow)
         return flow
 
@@ -114,32 +154,74 @@ class Registry:
         if not df.isStreaming:
             df.write.mode("overwrite").parquet(self._dataset_path(layout, ds.name))
             return
-        q = (df.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", layout.gold_checkpoint(f"table_{ds.name}"))
-             .option("path", self._dataset_path(layout, ds.name))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        obs = [p.get("observedMetrics", {}).get(f"dq_{ds.name}") for p in q.recentProgress]
-        self.metrics[ds.name] = [o for o in obs if o]
-
-    def run(self, spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-        """Materialise the sources of every flow, then run the flows."""
-        needed = {f.source for f in self.flows} | set(self.datasets)
-        for name in needed:
+        progress = _Progress(f"dq_{ds.name}")
+        spark.streams.addListener(progress)
+        try:
+            q = (df.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", layout.gold_checkpoint(f"table_{ds.name}"))
+                 .option("path", self._dataset_path(layout, ds.name))
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+            # the listener is called a moment after the query has ended
+            last = max((p["batchId"] for p in q.recentProgress if f"dq_{ds.name}" in p.get("observedMetrics", {})),
+                       default=None)
+            until = time.monotonic() + 10
+            while last is not None and last not in progress.seen and time.monotonic() < until:
+                time.sleep(0.05)
+        finally:
+            spark.streams.removeListener(progress)
+        self.metrics[ds.name] = [progress.seen[i] for i in sorted(progress.seen)]
+        fs.write_text(spark, self._schema_path(layout, ds.name), df.schema.json())
+        self._schemas[ds.name] = df.schema
+
+    def _schema_path(self, layout: Layout, name: str) -> str:
+        return f"{layout.gold(name)}/schema.json"
+
+    def read_stream(self, spark: SparkSession, name: str) -> DataFrame:
+        """Stream of a declared table, for the tables that read it."""
+        path = self._dataset_path(self._layout, name)
+        if name in self._schemas:
+            return spark.readStream.schema(self._schemas[name]).parquet(path)
+        raise ValueError(f"{name!r} has not been built yet: name it in reads=[...]")
+
+    def _in_order(self) -> list[str]:
+        """Declared tables, each behind those it reads."""
+        done: list[str] = []
+
+        def visit(name: str, path: tuple[str, ...]) -> None:
             if name not in self.datasets:
-                raise ValueError(f"flow source {name!r} is not a declared table")
+                raise ValueError(f"{name!r} is not a declared table")
+            if name in path:
+                raise ValueError("declared tables read each other: " + " -> ".join((*path, name)))
+            if name not in done:
+                for r in self.datasets[name].reads:
+                    visit(r, (*path, name))
+                done.append(name)
+
+        for name in (*self.datasets, *(f.source for f in self.flows)):
+            visit(name, ())
+        return done
+
+    def run(self, spark: SparkSession, layout: Layout, namespace: Namespace | None = None) -> dict[str, DataFrame]:
+        """Materialise the declared tables, then run the flows."""
+        self._layout = layout
+        for name in self._in_order():
             self._materialise(spark, layout, self.datasets[name])
         out: dict[str, DataFrame] = {}
         for flow in self.flows:
             src_path = self._dataset_path(layout, flow.source)
             if not fs.has_data_files(spark, src_path):
                 continue
-            schema = spark.read.parquet(src_path).schema
-            src = (spark.read.parquet(src_path) if flow.once
+            # the table's own schema: older files lack its newer columns
+            stored = fs.read_text(spark, self._schema_path(layout, flow.source))
+            schema = T.StructType.fromJson(json.loads(stored)) if stored else spark.read.parquet(src_path).schema
+            src = (spark.read.schema(schema).parquet(src_path) if flow.once
                    else spark.readStream.schema(schema).parquet(src_path))
             run_flow(spark, src, flow, layout.gold(flow.target),
                      layout.gold_checkpoint(flow.flow_name))
         for t in self.targets:
-            if fs.has_data_files(spark, f"{layout.gold(t)}/data"):
+            if target_exists(spark, layout.gold(t)):
                 out[t] = read_target(spark, layout.gold(t))
+                if namespace is not None:
+                    register_target(spark, layout.gold(t), namespace.qualify(t))
         return out

@@ -10,8 +10,8 @@ Per table and run:
    the same rows are delivered again, which the gold merges absorb.
 
 A table list is processed in order (or with a bounded thread pool); a
-failing table does not stop the others and shows up as FAILED in the
-report, which is the run's alert feed.
+failing table does not stop the others, shows up as FAILED in the report,
+which is the run's alert feed, and ends the run in an error.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,6 +43,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("low_mark", T.StringType()),
     T.StructField("watermark", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("pipeline", T.StringType()),
 ])
 
 SUCCEEDED, NO_DATA, FAILED = "SUCCEEDED", "NO_DATA", "FAILED"
@@ -59,9 +60,9 @@ class IngestResult:
     watermark: str | None
     error: str | None = None
 
-    def as_row(self) -> tuple:
+    def as_row(self, pipeline: str) -> tuple:
         return (self.run_id, self.run_at, self.table_name, self.status,
-                self.rows_read, self.low_mark, self.watermark, self.error)
+                self.rows_read, self.low_mark, self.watermark, self.error, pipeline)
 
 
 def utc_now() -> str:
@@ -83,7 +84,8 @@ def ingest_table(spark: SparkSession, cfg: SourceTable, reader: SourceReader, la
     stored = read_watermark(spark, layout.watermark(cfg.table))
     low = override or stored
     src = reader(cfg)
-    stats = window_stats(src, cfg.cdc_col, low)
+    at_source = getattr(reader, "window", None)
+    stats = window_stats(src, cfg.cdc_col, low, at_source(cfg, low) if at_source else None)
     if stats.rows == 0:
         return IngestResult(run_id, run_at, cfg.table, NO_DATA, 0, low, stored)
     delta = incremental_extract(src, cfg.cdc_col, low, stats.high)
@@ -107,14 +109,17 @@ def _safe_ingest(spark, cfg, reader, layout, run_id, run_at, schemas) -> IngestR
         except Exception:  # noqa: BLE001
             pass
         return IngestResult(run_id, run_at, cfg.table, FAILED, 0, cfg.from_date or stored,
-                            stored, f"{type(e).__name__}: {e}"[:2000])
+                            stored, f"{type(e).__name__}: {e}")
 
 
 def ingest_all(spark: SparkSession, configs: Sequence[SourceTable], reader: SourceReader,
                layout: Layout, *, run_id: str | None = None, run_at: str | None = None,
                max_parallel: int = 1, schemas: dict | None = None,
-               raise_on_failure: bool = False, persist_report: bool = True) -> DataFrame:
-    """Ingest every configured table; return the run report DataFrame.
+               raise_on_failure: bool = True, persist_report: bool = True,
+               pipeline: str = "ingest") -> DataFrame:
+    """Ingest every configured table; return the run report DataFrame. A run
+    with a failed table ends in an error once all tables were tried and the
+    report is stored (``raise_on_failure=False`` returns it instead).
 
     The report has one row per table (bounded by the config list), so it is
     built on the driver; it is also appended to the reports folder.
@@ -127,12 +132,12 @@ def ingest_all(spark: SparkSession, configs: Sequence[SourceTable], reader: Sour
                 lambda c: _safe_ingest(spark, c, reader, layout, run_id, run_at, schemas), configs))
     else:
         results = [_safe_ingest(spark, c, reader, layout, run_id, run_at, schemas) for c in configs]
-    report = spark.createDataFrame([r.as_row() for r in results], REPORT_SCHEMA)
+    report = spark.createDataFrame([r.as_row(pipeline) for r in results], REPORT_SCHEMA)
     if persist_report:
         report.coalesce(1).write.mode("append").parquet(layout.reports())
     failed = [r for r in results if r.status == FAILED]
     if raise_on_failure and failed:
-        raise RuntimeError(f"ingest run {run_id}: {len(failed)} table(s) failed: "
+        raise RuntimeError(f"{pipeline} run {run_id}: {len(failed)} table(s) failed: "
                            + ", ".join(f"{r.table_name} ({r.error})" for r in failed))
     return report
 
@@ -140,7 +145,3 @@ def ingest_all(spark: SparkSession, configs: Sequence[SourceTable], reader: Sour
 def failures(report: DataFrame) -> DataFrame:
     """Alert feed: the FAILED rows of a run report."""
     return report.where(F.col("status") == FAILED)
-
-
-def with_backfill(cfg: SourceTable, from_date: str) -> SourceTable:
-    return replace(cfg, from_date=from_date)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from .queries import (EVENT_RULES, LINEAGE_KEYS, ORDERS_BACKFILL_FROM, ORDERS_FIRST_RUN_CAP,
+from .queries import (EVENT_RULES, TARGET_RULES, LINEAGE_KEYS, ORDERS_BACKFILL_FROM, ORDERS_FIRST_RUN_CAP,
                       ORDERS_LOW_MARK)
 
 _RULES = " AND ".join(f"coalesce({r}, false)" for r in EVENT_RULES.values())
 
+_TARGET = "coalesce(" + TARGET_RULES["bought"] + ", false)"
+
 _EVENTS = "event_id, ts, user_id, event_type, value, props"
 
 _SCD2_EVENTS = ('SELECT *, ts AS "__START_AT", '
@@ -17,15 +19,15 @@ _SCD1_EVENTS = (f"SELECT {_EVENTS} FROM (SELECT *, row_number() OVER "
 
 _SCD2_EXCEPT = """
 WITH a AS (
-  SELECT user_id, ts, event_type, value,
+  SELECT user_id, ts, event_type, value, event_id, props,
          CASE WHEN row_number() OVER w = 1
                 OR event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS n
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 b AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts) AS r FROM a),
 c AS (SELECT user_id, r, min(ts) AS s, max(ts) AS ts, arg_max(event_type, ts) AS event_type,
-             arg_max(value, ts) AS value
+             arg_max(value, ts) AS value, arg_max(event_id, ts) AS event_id, arg_max(props, ts) AS props
       FROM b GROUP BY user_id, r)
-SELECT user_id, ts, event_type, value, s AS "__START_AT",
+SELECT user_id, ts, event_type, value, event_id, props, s AS "__START_AT",
        lead(s) OVER (PARTITION BY user_id ORDER BY s) AS "__END_AT"
 FROM c"""
 
@@ -112,4 +114,32 @@ ORACLES: dict[str, str] = {
                      "regexp_replace(o.o_orderpriority, '-', ' ', 'g') AS o_orderpriority, "
                      "o.o_totalprice, c.c_name, c.c_mktsegment "
                      "FROM orders AS o LEFT JOIN customer AS c ON o.o_custkey = c.c_custkey"),
+    "scd2_added_column": (
+        "SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN props END AS props, "
+        'ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT" FROM events'),
+    "gold_by_name": f'SELECT * FROM ({_SCD2_ORDERS}) WHERE "__END_AT" IS NOT NULL',
+    "table_stream_by_name": _SCD1_EVENTS,
+    "declared_chain": (
+        f"SELECT {_EVENTS} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn "
+        f"FROM events WHERE event_type = 'purchase' AND {_RULES}) WHERE rn = 1"),
+    "target_expectation": (
+        'SELECT *, ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT" '
+        f"FROM events WHERE {_RULES} AND {_TARGET}"),
+    "upserted_rows": (
+        "SELECT 'purchases' AS target, 1::BIGINT AS batches, count(*) FILTER (WHERE p AND ts IS NOT NULL) AS rows_upserted, "
+        "count(*) FILTER (WHERE NOT p) AS rows_dropped, count(*) FILTER (WHERE ts IS NULL) AS null_sequence "
+        f"FROM (SELECT *, {_TARGET} AS p FROM events WHERE {_RULES})"),
+    "failed_table_report": (
+        "SELECT 'daily' AS pipeline, 'orders' AS table_name, 'SUCCEEDED' AS status, count(*) AS rows_read FROM orders "
+        "WHERE o_orderdate IS NOT NULL UNION ALL SELECT 'daily', 'events', 'FAILED', 0 UNION ALL "
+        "SELECT 'daily', 'lineitem', 'SUCCEEDED', count(*) FROM lineitem WHERE l_shipdate IS NOT NULL"),
+    "converted_copy": ("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS o_totalprice, "
+                       "o_orderdate FROM orders WHERE o_orderdate IS NOT NULL"),
+    "constant_column": "SELECT *, '2025-01-01' AS cdc FROM customer",
+    "range_flag_nulls": (
+        "SELECT p_partkey, s AS p_size, CASE WHEN s < 15 THEN 'low' WHEN s < 30 THEN 'medium' ELSE 'high' END AS size_flag "
+        "FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 > 0 THEN p_size END AS s FROM part)"),
+    "expect_or_drop_nulls": (
+        f"SELECT {_EVENTS} FROM (SELECT event_id, ts, CASE WHEN event_id % 5 > 0 THEN user_id END AS user_id, "
+        f"CASE WHEN event_id % 3 > 0 THEN event_type END AS event_type, value, props FROM events) WHERE {_RULES}"),
 }

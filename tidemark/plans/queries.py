@@ -7,23 +7,25 @@ scratch folder of the shared work root) and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import JoinSpec, SourceTable
+from ..config import JoinSpec, Namespace, SourceTable
 from ..functions.columns import band, drop_columns, replace_all, upper
 from ..operators.cdc import closed_versions, lineage, scd1_latest, scd2_versions
 from ..operators.quality import duplicate_keys, expect_all_or_drop, expectation_metrics
 from ..operators.star import star_join
-from ..operators.transforms import drop_rescued
+from ..operators.transforms import drop_rescued, with_constants
 from ..paths import Layout
 from ..session import scratch
 from ..sources.extract import high_water_mark
 from ..sources.relational import frame_reader, parquet_reader
 from ..sources.watermark import write_watermark
-from ..streaming.gold import CdcFlow, merge_batch, read_target, run_flow
+from ..streaming.gold import CdcFlow, merge_batch, read_target, run_flow, upsert_report
 from ..streaming.silver import SilverSpec, read_silver, run_silver, table_stream
 from .declare import Registry
 from .ingest import NO_DATA, ingest_all, ingest_table
@@ -42,7 +44,9 @@ EVENT_RULES = {
     "rule_1": "user_id IS NOT NULL",
     "known_type": "event_type IN ('click', 'view', 'purchase', 'signup')",
 }
+UNTRACKED = ["ts", "value", "event_id", "props"]
 LINEAGE_KEYS = (46, 5)
+TARGET_RULES = {"bought": "event_type = 'purchase' AND value > 0"}
 SIZE_BANDS = ((15, "low"), (30, "medium"))
 SIZE_DEFAULT = "high"
 ORDER_BUCKET_WIDTH = 8192
@@ -252,10 +256,10 @@ def scd2_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_except_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only event_type opens a version; value and ts are updated in place."""
+    """Only event_type opens a version; all else is updated in place."""
     root = scratch(spark, "scd2_except_columns")
-    flow = _flow(2, except_cols=["ts", "value"])
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    flow = _flow(2, except_cols=UNTRACKED)
+    ev = table(spark, sf_dir, "events")
     for i, b in enumerate(_shuffled_batches(ev)):
         merge_batch(spark, b, flow, root, i)
     return read_target(spark, root)
@@ -270,7 +274,7 @@ def scd2_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_merge(spark: SparkSession, sf_dir: str, name: str, flow: CdcFlow,
-                 cols: list[str] | None = None, source: str = "events", seq: str = "ts") -> DataFrame:
+                 source: str = "events", seq: str = "ts") -> DataFrame:
     """A target holding the history before the last day, then the last day's
     rows merged as one batch: the daily incremental case. When the day
     touches few keys (orders by customer), the merge recomputes only those
@@ -278,8 +282,6 @@ def _daily_merge(spark: SparkSession, sf_dir: str, name: str, flow: CdcFlow,
     recomputes the touched buckets whole."""
     root = scratch(spark, name)
     src = table(spark, sf_dir, source)
-    if cols:
-        src = src.select(*cols)
     cut = src.agg(F.date_trunc("day", F.max(seq)).alias("d")).first()["d"]   # one value
     before = F.col(seq) < F.lit(cut)
     merge_batch(spark, src.where(before), flow, root, 0)
@@ -311,8 +313,7 @@ def scd2_daily_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_except_daily_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_merge(spark, sf_dir, "scd2_except_daily_merge", _flow(2, except_cols=["ts", "value"]),
-                        ["user_id", "ts", "event_type", "value"])
+    return _daily_merge(spark, sf_dir, "scd2_except_daily_merge", _flow(2, except_cols=UNTRACKED))
 
 
 def scd2_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,6 +345,134 @@ def declared_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.run(spark, lay)["events_dim"]
 
 
+def scd2_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of three events arrive without ``props``, then the others with it,
+    then a few again without: the column appears, and stays."""
+    root = scratch(spark, "scd2_added_column")
+    ev, flow = table(spark, sf_dir, "events"), _flow(2)
+    late = F.col("event_id") % 3 == 0
+    merge_batch(spark, ev.where(~late & (F.col("event_id") % 100 > 0)).drop("props"), flow, root, 0)
+    merge_batch(spark, ev.where(late), flow, root, 1)
+    merge_batch(spark, ev.where(~late & (F.col("event_id") % 100 == 0)).drop("props"), flow, root, 2)
+    return read_target(spark, root)
+
+
+def _named(name: str) -> str:
+    return f"tidemark_{name}_{uuid.uuid4().hex[:8]}"
+
+
+def gold_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of a declared target by SQL over its catalog name."""
+    lay = Layout(scratch(spark, "gold_by_name"))
+    reg, name = Registry(), _named("orders")
+    orders = table(spark, sf_dir, "orders")
+
+    @reg.table
+    def orders_stg(s: SparkSession) -> DataFrame:
+        return orders
+
+    reg.create_streaming_table(name, buckets=16)
+    reg.create_auto_cdc_flow(target=name, source="orders_stg", keys=["o_custkey"], sequence_by="o_orderdate",
+                             stored_as_scd_type=2)
+    reg.run(spark, lay, namespace=Namespace(schema="default"))
+    return spark.sql(f"SELECT * FROM default.{name} WHERE __END_AT IS NOT NULL")
+
+
+def table_stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver table streamed by its catalog name into an SCD1 target."""
+    lay = Layout(scratch(spark, "table_stream_by_name"))
+    ingest_table(spark, EVENTS, parquet_reader(spark, _paths(sf_dir)), lay)
+    spec = SilverSpec(table="events", transform=drop_rescued, catalog_name=_named("silver"))
+    run_silver(spark, spec, lay)
+    flow = _flow(1)
+    run_flow(spark, table_stream(spark, spec, lay), flow, lay.gold(flow.target), lay.gold_checkpoint(flow.flow_name))
+    return read_target(spark, lay.gold(flow.target))
+
+
+def declared_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared table built from a declared table, declared in any order."""
+    lay = Layout(scratch(spark, "declared_chain"))
+    ingest_table(spark, EVENTS, parquet_reader(spark, _paths(sf_dir)), lay)
+    reg, schema = Registry(), table(spark, sf_dir, "events").schema
+
+    @reg.table(reads=["events_stg"])
+    def purchases(s: SparkSession) -> DataFrame:
+        return reg.read_stream(s, "events_stg").where("event_type = 'purchase'")
+
+    @reg.table
+    @reg.expect_all_or_drop(EVENT_RULES)
+    def events_stg(s: SparkSession) -> DataFrame:
+        return s.readStream.schema(schema).parquet(lay.bronze("events"))
+
+    reg.create_streaming_table("last_purchase", buckets=16)
+    reg.create_auto_cdc_flow(target="last_purchase", source="purchases", keys=["user_id"], sequence_by="ts")
+    return reg.run(spark, lay)["last_purchase"]
+
+
+def _ruled_target(spark: SparkSession, sf_dir: str, name: str) -> Layout:
+    lay = Layout(scratch(spark, name))
+    reg, ev = Registry(), table(spark, sf_dir, "events")
+
+    @reg.table
+    @reg.expect_all_or_drop(EVENT_RULES)
+    def events_stg(s: SparkSession) -> DataFrame:
+        return ev
+
+    reg.create_streaming_table("purchases", expect_all_or_drop=TARGET_RULES, buckets=16)
+    reg.create_auto_cdc_flow(target="purchases", source="events_stg", keys=["user_id"], sequence_by="ts",
+                             stored_as_scd_type=2)
+    reg.run(spark, lay)
+    return lay
+
+
+def target_expectation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target's own rule drops rows that the staging rules keep."""
+    return read_target(spark, _ruled_target(spark, sf_dir, "target_expectation").gold("purchases"))
+
+
+def upserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows upserted and dropped per target."""
+    lay = _ruled_target(spark, sf_dir, "upserted_rows")
+    return upsert_report(spark, {"purchases": lay.gold("purchases")})
+
+
+def failed_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that can't be read is recorded; the others are ingested."""
+    lay = Layout(scratch(spark, "failed_table_report"))
+    paths = _paths(sf_dir) | {"events": f"{sf_dir}/no_such_table.parquet"}
+    rep = ingest_all(spark, [ORDERS, EVENTS, LINEITEM], parquet_reader(spark, paths), lay, raise_on_failure=False,
+                     pipeline="daily")
+    return rep.select("pipeline", "table_name", "status", "rows_read")
+
+
+def converted_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type conversion on the way to bronze: prices cut to whole numbers, keys to text."""
+    lay = Layout(scratch(spark, "converted_copy"))
+    schema = T.StructType([T.StructField("o_orderkey", T.StringType()), T.StructField("o_totalprice", T.IntegerType()),
+                           T.StructField("o_orderdate", T.TimestampNTZType())])
+    ingest_table(spark, ORDERS, parquet_reader(spark, _paths(sf_dir)), lay, target_schema=schema)
+    return spark.read.parquet(lay.bronze("orders"))
+
+
+def constant_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").transform(with_constants({"cdc": "2025-01-01"}))
+
+
+def range_flag_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Banding with NULLs: every seventh size is missing."""
+    size = F.when(F.col("p_partkey") % 7 > 0, F.col("p_size"))
+    p = table(spark, sf_dir, "part").select("p_partkey", size.alias("p_size"))
+    return p.withColumn("size_flag", band("p_size", SIZE_BANDS, SIZE_DEFAULT))
+
+
+def expect_or_drop_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over NULLs: every fifth user is missing, every third type."""
+    ev = table(spark, sf_dir, "events")
+    ev = (ev.withColumn("user_id", F.when(F.col("event_id") % 5 > 0, F.col("user_id")))
+          .withColumn("event_type", F.when(F.col("event_id") % 3 > 0, F.col("event_type"))))
+    return expect_all_or_drop(ev, EVENT_RULES)
+
+
 # --- star joins -------------------------------------------------------------------
 
 STAR = [
@@ -432,4 +561,15 @@ QUERIES: dict[str, Query] = {
     "star_left_join": star_left_join,
     "star_dup_dimension": star_dup_dimension,
     "orders_chain": orders_chain,
+    "scd2_added_column": scd2_added_column,
+    "gold_by_name": gold_by_name,
+    "table_stream_by_name": table_stream_by_name,
+    "declared_chain": declared_chain,
+    "target_expectation": target_expectation,
+    "upserted_rows": upserted_rows,
+    "failed_table_report": failed_table_report,
+    "converted_copy": converted_copy,
+    "constant_column": constant_column,
+    "range_flag_nulls": range_flag_nulls,
+    "expect_or_drop_nulls": expect_or_drop_nulls,
 }

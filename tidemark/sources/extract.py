@@ -39,19 +39,20 @@ class WindowStats:
     high: str | None  # text form of the max change value in the window
 
 
-def window_stats(df: DataFrame, cdc_col: str, low: str | None) -> WindowStats:
+def window_stats(df: DataFrame, cdc_col: str, low: str | None, window: DataFrame | None = None) -> WindowStats:
     """Row count and maximum change value above ``low`` in one aggregate.
 
-    Only the change column is read (column pruning), the filter is pushed
-    down, and Spark plans a partial + final aggregate: one small row comes
-    back to the driver whatever the table size.
+    ``window`` is a one-row (n, high) result that the source has computed;
+    without it only the change column is read (column pruning), the filter is
+    pushed down, and Spark plans a partial + final aggregate: one small row
+    comes back to the driver whatever the table size.
     """
     dtype = df.schema[cdc_col].dataType
-    r = (df.where(change_filter(df, cdc_col, low))
-         .agg(F.count(F.lit(1)).alias("rows"),
-              watermark_string(F.max(cdc_col), dtype).alias("high"))
-         .first())
-    return WindowStats(rows=int(r["rows"]), high=r["high"])
+    if window is None:
+        window = (df.where(change_filter(df, cdc_col, low))
+                  .agg(F.count(F.lit(1)).alias("n"), F.max(cdc_col).alias("high")))
+    r = window.select("n", watermark_string(F.col("high").cast(dtype), dtype).alias("high")).first()
+    return WindowStats(rows=int(r["n"]), high=r["high"])
 
 
 def high_water_mark(df: DataFrame, cdc_col: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A *source reader* is a callable ``(SourceTable) -> DataFrame`` that returns
 the whole source relation lazily. Filters and aggregates applied afterwards
-are pushed to the source by Catalyst (JDBC WHERE / aggregate pushdown,
-parquet row-group skipping), so the reader never materialises the table.
+are pushed to the source by Catalyst (JDBC WHERE, parquet row-group
+skipping), so the reader never materialises the table. A reader may also have
+``window(cfg, low)``, a one-row (n, high) DataFrame that the source computes.
 """
 
 from __future__ import annotations
@@ -17,31 +18,53 @@ from ..config import JdbcOptions, SourceTable
 SourceReader = Callable[[SourceTable], DataFrame]
 
 
+def _jdbc(spark: SparkSession, opts: JdbcOptions):
+    r = (spark.read.format("jdbc")
+         .option("url", opts.url)
+         .option("fetchsize", str(opts.fetch_size))
+         .option("queryTimeout", str(opts.query_timeout_s))
+         # a zone-less DATETIME stays zone-less
+         .option("preferTimestampNTZ", "true"))
+    for k, v in opts.properties.items():
+        r = r.option(k, v)
+    return r
+
+
 def jdbc_reader(spark: SparkSession, opts: JdbcOptions) -> SourceReader:
     """Read ``schema.table`` over JDBC, split into parallel range queries when
     a partition column is configured (the default single reader does not
     scale to large extracts)."""
+    split = (opts.partition_column, opts.num_partitions, opts.lower_bound, opts.upper_bound)
+    if any(x is not None for x in split) and any(x is None for x in split):
+        raise ValueError("a split JDBC read needs partition_column, num_partitions, lower_bound and upper_bound")
 
     def read(cfg: SourceTable) -> DataFrame:
-        r = (spark.read.format("jdbc")
-             .option("url", opts.url)
-             .option("dbtable", cfg.qualified)
-             .option("fetchsize", str(opts.fetch_size))
-             .option("queryTimeout", str(opts.query_timeout_s))
-             .option("pushDownPredicate", "true")
-             .option("pushDownAggregate", "true"))
-        if opts.partition_column and opts.num_partitions:
+        r = _jdbc(spark, opts).option("dbtable", cfg.qualified).option("pushDownPredicate", "true")
+        if opts.partition_column is not None:
             r = (r.option("partitionColumn", opts.partition_column)
                  .option("lowerBound", str(opts.lower_bound))
                  .option("upperBound", str(opts.upper_bound))
                  .option("numPartitions", str(opts.num_partitions)))
-        for k, v in opts.properties.items():
-            r = r.option(k, v)
         return r.load()
 
+    # the window's count and maximum are computed by the database
+    read.window = lambda cfg, low: jdbc_window(spark, opts, cfg, low)
     return read
 
 
+def window_query(cfg: SourceTable, low: str | None) -> str:
+    """The query that counts a change window and finds its end in the database.
+    ``low`` is a stored mark, written as a text literal the database compares
+    in the column's type."""
+    where = f"{cfg.cdc_col} IS NOT NULL" if low is None else f"{cfg.cdc_col} > '{low.replace(chr(39), chr(39) * 2)}'"
+    return f"SELECT COUNT(*) AS n, MAX({cfg.cdc_col}) AS high FROM {cfg.qualified} WHERE {where}"
+
+
+def jdbc_window(spark: SparkSession, opts: JdbcOptions, cfg: SourceTable, low: str | None) -> DataFrame:
+    """(n, high) of the window: one row comes through the connection."""
+    return _jdbc(spark, opts).option("query", window_query(cfg, low)).load()
+
+
 def parquet_reader(spark: SparkSession, paths: Mapping[str, str]) -> SourceReader:
     """Source tables stored as parquet (tests, lake-to-lake copies)."""
 

@@ -15,17 +15,18 @@ B)``. Applying a micro-batch recomputes only the buckets its keys fall in:
    and at least half of the stored rows of the touched buckets belong to
    untouched keys; else the touched buckets are recomputed whole (one
    shuffle);
-4. the result is written to a staging folder for this batch id (cuts the
-   lineage), then each staged bucket folder replaces the target's (delete +
-   rename per bucket, the commit step of a dynamic partition overwrite
-   without copying the data again).
-
-Replaying a batch (driver restart before the stream checkpoint commit) is
-harmless: if the staging folder of that batch is complete it is simply
-published again; otherwise the merge is recomputed, and SCD1 / SCD2 merges
-are idempotent (identical events collapse).
-
-Targets with a history exclusion list keep a bucketed ``_events`` log next
+4. the result is written to a new folder (cuts the lineage), and one small
+   numbered file then names, for every bucket, the folder that holds it
+   (``live``). Readers follow the last such file.
+
+A run that stops anywhere leaves the target as it was before the batch or as
+it is after it; a replayed batch is merged again, and SCD1 / SCD2 merges are
+idempotent (identical events collapse). The schema of the target is stored
+with its folders and widened by every batch: a new column is NULL in older
+rows, a batch without a column keeps it, and a changed type becomes the
+type that holds both.
+
+Targets with a history exclusion list keep their events, bucketed alike, next
 to the data, because collapsed versions have lost the inner sequence points
 a late event would need (A@1, A@3, then B@2 must give A, B, A).
 """
@@ -40,13 +41,14 @@ from typing import Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fs
-from ..functions.columns import bucket_of, key_struct
+from ..functions.columns import bucket_of, conform, key_struct, wider_schema
 from ..operators.cdc import END, START, data_columns, resolve_ties, scd1_latest, scd2_versions
 from ..operators.quality import all_rules, rule_column
-
-BUCKET = "__bucket"
+from . import live as L
+from .live import BUCKET
 
 FLOW_LOG_SCHEMA = ("flow string, target string, batch_id long, rows_in long, rows_out long, "
                    "null_sequence long, rows_applied long, buckets_touched long, "
@@ -86,13 +88,19 @@ class CdcFlow:
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
     """Current contents of a gold target (bucket column hidden)."""
-    return spark.read.parquet(f"{path}/data").drop(BUCKET)
+    found = L.rows(spark, path, L.latest(spark, path), "data")
+    if found is None:
+        raise ValueError(f"nothing has been merged into {path}")
+    return found.drop(BUCKET)
 
 
-def _old_rows(spark: SparkSession, folder: str, touched: list[int]) -> DataFrame | None:
-    if not fs.has_data_files(spark, folder):
-        return None
-    return spark.read.parquet(folder).where(F.col(BUCKET).isin(touched))
+def target_exists(spark: SparkSession, path: str) -> bool:
+    return bool(L.latest(spark, path).parts.get("data"))
+
+
+def register_target(spark: SparkSession, path: str, name: str) -> None:
+    """Give the target's present contents a catalog name (a view)."""
+    spark.sql(L.view_sql(spark, path, name))
 
 
 KEY = "__key"
@@ -134,24 +142,13 @@ def _batch_key_set(clean: DataFrame, keys: Sequence[str], applied: int,
     return key_set
 
 
-def _stage(df: DataFrame, staged: str, unchanged: DataFrame | None = None) -> None:
+def _with_unchanged(df: DataFrame, unchanged: DataFrame | None) -> DataFrame:
     # REBALANCE on the bucket: one file per bucket normally, AQE splits a
     # skewed (hot-key) bucket into several files instead of one huge task.
     # Unchanged rows keep the bucket they were read from and are written
     # map-only next to the recomputed ones.
     out = df.hint("rebalance", BUCKET)
-    if unchanged is not None:
-        out = unchanged.unionByName(out, allowMissingColumns=True)
-    out.write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
-
-
-def _publish(spark: SparkSession, staged: str, folder: str) -> None:
-    """Swap every staged bucket folder into the target (delete + rename per
-    bucket, like Spark's dynamic partition overwrite commit, but re-runnable:
-    buckets already moved are simply no longer in the staging folder)."""
-    for name in fs.list_dirs(spark, staged):
-        if name.startswith(f"{BUCKET}="):
-            fs.replace_dir(spark, f"{staged}/{name}", f"{folder}/{name}")
+    return out if unchanged is None else unchanged.unionByName(out, allowMissingColumns=True)
 
 
 def _bucket_stats(raw: DataFrame, rules: Mapping[str, str], seq: str) -> list[dict]:
@@ -166,26 +163,27 @@ def _bucket_stats(raw: DataFrame, rules: Mapping[str, str], seq: str) -> list[di
     return [r.asDict() for r in raw.groupBy(BUCKET).agg(*cols).collect()]
 
 
+def _widened(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    """Stored rows in the columns and types of ``schema`` (intervals and bucket kept)."""
+    extra = [f for f in stored.schema.fields if f.name in (START, END, BUCKET)]
+    return conform(stored, T.StructType([*schema.fields, *extra]))
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_path: str,
                 batch_id: int, log: bool = True) -> dict:
     """Apply one batch of change events to the target. Returns batch metrics."""
     keys, seq = list(flow.keys), flow.sequence_by
-    stage_root = f"{target_path}/_staging/{flow.flow_name}/batch={batch_id}"
-    data_dir = f"{target_path}/data"
-    events_dir = f"{target_path}/_events"
     keep_events = flow.stored_as_scd_type == 2 and flow.track_history_except_column_list is not None
-
-    # a complete staging folder means this batch was computed before: publish only
-    if fs.exists(spark, f"{stage_root}/data/_SUCCESS"):
-        if keep_events:
-            _publish(spark, f"{stage_root}/events", events_dir)
-        _publish(spark, f"{stage_root}/data", data_dir)
-        fs.remove(spark, stage_root, target_path)
-        return {"batch_id": batch_id, "replayed": True}
+    live = L.latest(spark, target_path)
 
     rules = dict(flow.expectations)
     cols = data_columns(batch)
-    raw = (batch.select(*cols)
+    # stored columns first; the batch's new ones behind them
+    stored = live.schema("events" if keep_events else "data")
+    plain = T.StructType([f for f in stored.fields if f.name not in (START, END)]) if stored else None
+    incoming = batch.select(*cols)
+    schema = wider_schema(plain, incoming.schema) if plain else incoming.schema
+    raw = (conform(incoming, schema)
            .withColumn(BUCKET, flow.bucket())
            .persist(StorageLevel.MEMORY_AND_DISK))
     cached = [raw]
@@ -197,32 +195,28 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
         unchanged, key_set = None, None
         if touched:
             # the rows a merge recomputes: stored events (exclusion list) or versions
-            base = _old_rows(spark, events_dir if keep_events else data_dir, touched)
+            base = L.rows(spark, target_path, live, "events" if keep_events else "data", touched)
+            base = None if base is None else _widened(base, schema)
             key_set = _batch_key_set(clean, keys, applied, base, flow)
             if key_set is not None:
                 cached.append(key_set)
                 key_set = F.broadcast(key_set)
+            staged = []
             if keep_events:
                 old_ev, kept_ev = base, None
                 if old_ev is not None and key_set is not None:
                     old_ev, kept_ev = _split_by_keys(old_ev, key_set, keys)
-                events = clean if old_ev is None else old_ev.unionByName(clean, allowMissingColumns=True)
+                events = clean if old_ev is None else old_ev.unionByName(clean)
                 events = resolve_ties(events.drop(BUCKET), keys, seq)
-                _stage(events.withColumn(BUCKET, flow.bucket()), f"{stage_root}/events", kept_ev)
-                staged_events = spark.read.parquet(f"{stage_root}/events").drop(BUCKET)
+                staged.append(L.stage(_with_unchanged(events.withColumn(BUCKET, flow.bucket()), kept_ev), target_path, "events"))
+                staged_events = L.staged_rows(spark, target_path, staged[0]).drop(BUCKET)
                 if key_set is not None:
                     staged_events, _ = _split_by_keys(staged_events, key_set, keys)
-                    old = _old_rows(spark, data_dir, touched)
+                    old = L.rows(spark, target_path, live, "data", touched)
                     if old is not None:
-                        _, unchanged = _split_by_keys(old, key_set, keys)
-
-                def written(df: DataFrame, path: str = f"{stage_root}/runs") -> DataFrame:
-                    df.write.mode("overwrite").parquet(path)   # cut the lineage once
-                    return spark.read.parquet(path)
-
+                        _, unchanged = _split_by_keys(_widened(old, schema), key_set, keys)
                 result = scd2_versions(staged_events, keys, seq,
-                                       flow.track_history_except_column_list, flow.granularity,
-                                       materialize=written, resolved=True)
+                                       flow.track_history_except_column_list, flow.granularity, resolved=True)
             else:
                 old = base
                 events = clean.drop(BUCKET)
@@ -230,17 +224,13 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     if key_set is not None:
                         old, unchanged = _split_by_keys(old, key_set, keys)
                     # stored rows are events again (a version row is its event)
-                    events = (old.drop(START, END, BUCKET)
-                              .unionByName(events, allowMissingColumns=True))
+                    events = old.drop(START, END, BUCKET).unionByName(events)
                 if flow.stored_as_scd_type == 1:
                     result = scd1_latest(events, keys, seq)
                 else:
                     result = scd2_versions(events, keys, seq, None, flow.granularity)
-            _stage(result.withColumn(BUCKET, flow.bucket()), f"{stage_root}/data", unchanged)
-            if keep_events:
-                _publish(spark, f"{stage_root}/events", events_dir)
-            _publish(spark, f"{stage_root}/data", data_dir)
-            fs.remove(spark, stage_root, target_path)
+            staged.append(L.stage(_with_unchanged(result.withColumn(BUCKET, flow.bucket()), unchanged), target_path, "data"))
+            L.publish(spark, target_path, live, staged, flow.flow_name, batch_id)
     finally:
         for df in cached:
             df.unpersist()
@@ -294,10 +284,11 @@ def run_flow(spark: SparkSession, source: DataFrame, flow: CdcFlow, target_path:
     """Drain everything pending in ``source`` into the target and stop.
 
     Streaming source: ``foreachBatch`` + ``availableNow`` trigger, progress in
-    ``checkpoint``. ``once=True`` or a batch source: a one-shot backfill,
-    applied at most once per checkpoint folder.
+    ``checkpoint`` (``once=True`` adds nothing: a row is applied once anyway).
+    Batch source with ``once=True``: a one-shot backfill, applied at most once
+    per checkpoint folder.
     """
-    if flow.once or not source.isStreaming:
+    if not source.isStreaming:
         marker = f"{checkpoint}/_once_done"
         if flow.once and fs.exists(spark, marker):
             return

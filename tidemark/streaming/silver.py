@@ -9,20 +9,17 @@ when bronze gains columns; older rows read NULL in new columns.
 
 from __future__ import annotations
 
-import datetime as _dt
 import json
-import time
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from ..functions.columns import bucket_of, key_struct
+from ..functions.columns import bucket_of, key_struct, wider_schema
 from ..paths import Layout
 
 ARRIVAL = "__arrival"
@@ -60,54 +57,59 @@ class SilverSpec:
     broadcast_keys_max: int = 1_000_000
 
 
-def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """``old`` with the columns only ``new`` has appended (nullable)."""
-    names = set(old.fieldNames())
-    extra = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in names]
-    return T.StructType(list(old.fields) + extra)
+def _load_doc(spark: SparkSession, spec: SilverSpec, layout: Layout) -> dict:
+    text = fs.read_text(spark, layout.silver_schema(spec.table))
+    doc = json.loads(text) if text else {}
+    return doc if "schema" in doc or not doc else {"schema": doc}   # a bare StructType document
 
 
-# Files modified up to this long before the previous schema check are read
-# again (covers clock differences between the driver and the file store).
-SCHEMA_RECHECK_MARGIN_S = 600
-
-
-def _load_schema_doc(text: str | None) -> tuple[T.StructType | None, float | None]:
-    """(remembered schema, time of the check that produced it)."""
-    if not text:
-        return None, None
-    doc = json.loads(text)
-    if "schema" in doc:
-        return T.StructType.fromJson(doc["schema"]), doc.get("checked_at")
-    return T.StructType.fromJson(doc), None          # a bare StructType document
+def unseen_files(spark: SparkSession, spec: SilverSpec, layout: Layout) -> list[str] | None:
+    """Bronze files this stream has not processed: the listing without the
+    files its checkpoint names. ``None`` before the first run. Only names of
+    new files reach the driver."""
+    log = f"{layout.silver_checkpoint(spec.table)}/sources/0"
+    if not fs.exists(spark, log):
+        return None
+    plain = F.regexp_replace("path", "^([a-z]+):/+(?=[^/])", "$1:/")
+    done = (spark.read.text(log).select(F.get_json_object("value", "$.path").alias("path"))
+            .where("path is not null").select(plain.alias("path")).distinct())
+    there = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .load(layout.bronze(spec.table)).select(plain.alias("path")))
+    return [r["path"] for r in there.join(done, "path", "left_anti").collect()]
 
 
 def stream_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.StructType:
-    """Declared schema, or the remembered one widened by what bronze holds now.
+    """Declared schema, or the remembered one widened by the files the stream
+    has not processed yet, whatever their dates.
 
     Inference reads parquet footers (``mergeSchema``), never the data, and
-    after the first run only the footers of files modified since the
-    previous check (the reader's ``modifiedAfter`` filter), so a run costs
-    the new files, not the whole bronze history.
+    after the first run only those of new files, so a run costs its new
+    files, not the whole bronze history. The document also remembers how the
+    table deduplicates; a change would mix two storage forms and needs
+    ``reset_silver``.
     """
+    doc = _load_doc(spark, spec, layout)
+    mode = f"{spec.dedup_mode}:{','.join(spec.dedup_keys)}" if spec.dedup_keys else "none"
+    if doc.get("dedup", mode) != mode:
+        raise ValueError(f"silver table {spec.table!r} was built with dedup {doc['dedup']!r}, not {mode!r}: "
+                         "reset_silver it first")
     if spec.schema is not None:
-        return spec.schema
-    path = layout.silver_schema(spec.table)
-    stored, checked_at = _load_schema_doc(fs.read_text(spark, path))
-    started = time.time()
-    reader = spark.read.option("mergeSchema", "true")
-    if stored is not None and checked_at is not None:
-        since = _dt.datetime.fromtimestamp(checked_at - SCHEMA_RECHECK_MARGIN_S, _dt.timezone.utc)
-        reader = (reader.option("timeZone", "UTC")
-                  .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")))
-    try:
-        current = reader.parquet(layout.bronze(spec.table)).schema
-    except AnalysisException:
-        if stored is None:
-            raise
-        current = None                               # no file changed since the last check
-    schema = stored if current is None else (current if stored is None else merge_schemas(stored, current))
-    fs.write_text(spark, path, json.dumps({"schema": schema.jsonValue(), "checked_at": started}))
+        schema = spec.schema
+    else:
+        stored = T.StructType.fromJson(doc["schema"]) if "schema" in doc else None
+        new = unseen_files(spark, spec, layout) if stored is not None else None
+        if new is None:
+            current = spark.read.option("mergeSchema", "true").parquet(layout.bronze(spec.table)).schema
+        elif new:
+            current = spark.read.option("mergeSchema", "true").parquet(*new).schema
+        else:
+            current = stored
+        schema = current if stored is None else wider_schema(stored, current)
+        changed = [f.name for f in (stored or schema).fields if schema[f.name].dataType != f.dataType]
+        if changed:
+            raise ValueError(f"bronze {spec.table!r}: the type of {', '.join(changed)} changed; land it under a "
+                             "declared schema (ingest_table(target_schema=...)) or reset_silver the table")
+    fs.write_text(spark, layout.silver_schema(spec.table), json.dumps({"schema": schema.jsonValue(), "dedup": mode}))
     return schema
 
 
@@ -138,7 +140,8 @@ def silver_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> Data
 
     In ``merge`` dedup mode the stream carries the arrival order column and
     the dedup itself happens per micro-batch (``first_arrivals``)."""
-    reader = spark.readStream.schema(stream_schema(spark, spec, layout))
+    # the file source would skip files older than the newest one seen by this age
+    reader = spark.readStream.schema(stream_schema(spark, spec, layout)).option("maxFileAge", "36500d")
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(spec.max_files_per_trigger))
     if spec.max_bytes_per_trigger:
@@ -161,7 +164,7 @@ def _seen_dir(spec: SilverSpec, layout: Layout) -> str:
 
 
 def seen_keys(spark: SparkSession, seen_dir: str, touched: list[int], keys: Sequence[str],
-              batch: DataFrame | None = None) -> DataFrame:
+              batch: DataFrame | None = None, batch_id: int | None = None) -> DataFrame:
     """``(__bucket, __key)`` of the keys already seen in the touched buckets.
 
     With ``batch`` (size-checked by the caller) only the seen keys of that
@@ -169,8 +172,10 @@ def seen_keys(spark: SparkSession, seen_dir: str, touched: list[int], keys: Sequ
     scanned map-only, so the anti join that follows shuffles batch-sized
     data, not every key ever seen.
     """
-    seen = (spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
-            .select(BUCKET, key_struct(keys).alias(KEY)))
+    seen = spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
+    if batch_id is not None:   # not the keys of this batch's own earlier attempt
+        seen = seen.where(F.col("batch") != batch_id)
+    seen = seen.select(BUCKET, key_struct(keys).alias(KEY))
     if batch is not None:
         seen = seen.join(F.broadcast(batch.select(BUCKET, key_struct(keys).alias(KEY))),
                          [BUCKET, KEY], "left_semi")
@@ -179,42 +184,38 @@ def seen_keys(spark: SparkSession, seen_dir: str, touched: list[int], keys: Sequ
 
 def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: SilverSpec,
                    layout: Layout) -> None:
-    """Append to silver the rows of keys never seen before (earliest arrival
-    per key), and record those keys. Re-runnable for the same batch id."""
+    """Write the rows of keys never seen before (earliest arrival per key), and
+    those keys, to folders of this batch. A replayed batch writes the same
+    rows to the same folders again: keys of its first attempt are not looked at."""
     keys = list(spec.dedup_keys or [])
-    base = f"{layout.root.rstrip('/')}/silver/{spec.table}"
-    stage = f"{base}/_staging/batch={batch_id}"
     seen_dir = _seen_dir(spec, layout)
-    if not fs.exists(spark, f"{stage}/_COMPLETE"):
-        cols = [c for c in batch.columns if c != ARRIVAL]
-        # min_by is combined map-side: a hot key leaves each task as one row
-        firsts = (batch.groupBy(*keys)
-                  .agg(F.min_by(F.struct(*cols), F.col(ARRIVAL)).alias("__w"))
-                  .select("__w.*")
-                  .withColumn(BUCKET, bucket_of(keys, spec.dedup_buckets))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            per_bucket = firsts.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()  # <= buckets
-            touched = [r[BUCKET] for r in per_bucket]
-            n_firsts = sum(int(r["n"]) for r in per_bucket)   # one row per key: exact key count
-            new = firsts
-            if touched and fs.has_data_files(spark, seen_dir):
-                seen = seen_keys(spark, seen_dir, touched, keys,
-                                 firsts if n_firsts <= spec.broadcast_keys_max else None)
-                new = (firsts.withColumn(KEY, key_struct(keys))
-                       .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            new.drop(BUCKET).select(*cols).write.mode("overwrite").parquet(f"{stage}/data")
-            (new.select(BUCKET, *keys).hint("rebalance", BUCKET)
-             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{stage}/seen"))
-            new.unpersist()
-        finally:
-            firsts.unpersist()
-        fs.write_text(spark, f"{stage}/_COMPLETE", str(batch_id))
-    # publish: move the staged files in (moved files leave the staging folder)
-    fs.move_files(spark, f"{stage}/seen", seen_dir)
-    fs.move_files(spark, f"{stage}/data", layout.silver_data(spec.table))
-    fs.remove(spark, stage, layout.root)
+    own = f"batch={batch_id}"
+    cols = [c for c in batch.columns if c != ARRIVAL]
+    # min_by is combined map-side: a hot key leaves each task as one row
+    firsts = (batch.groupBy(*keys)
+              .agg(F.min_by(F.struct(*cols), F.col(ARRIVAL)).alias("__w"))
+              .select("__w.*")
+              .withColumn(BUCKET, bucket_of(keys, spec.dedup_buckets))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        per_bucket = firsts.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()  # <= buckets
+        touched = [r[BUCKET] for r in per_bucket]
+        n_firsts = sum(int(r["n"]) for r in per_bucket)   # one row per key: exact key count
+        new = firsts
+        if touched and [d for d in fs.list_dirs(spark, seen_dir) if d != own]:
+            seen = seen_keys(spark, seen_dir, touched, keys,
+                             firsts if n_firsts <= spec.broadcast_keys_max else None, batch_id)
+            new = (firsts.withColumn(KEY, key_struct(keys))
+                   .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        (new.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{layout.silver_data(spec.table)}/{own.replace('=', '-')}"))
+        (new.select(BUCKET, *keys).hint("rebalance", BUCKET)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(BUCKET).parquet(f"{seen_dir}/{own}"))
+        new.unpersist()
+    finally:
+        firsts.unpersist()
 
 
 def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
@@ -232,11 +233,11 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
         out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
         _save_output_schema(spark, spec, layout, out_schema)
         if spec.catalog_name:
-            # the file sink registers its table itself; here the batches move
-            # files in, so register the folder once and refresh its listing
+            # the file sink registers its table itself; here each batch has a
+            # folder, so register the parent once and refresh its listing
             if not spark.catalog.tableExists(spec.catalog_name):
                 spark.catalog.createTable(spec.catalog_name, path=layout.silver_data(spec.table),
-                                          source="parquet", schema=out_schema)
+                                          source="parquet", schema=out_schema, recursiveFileLookup="true")
             spark.catalog.refreshTable(spec.catalog_name)
         return read_silver(spark, spec, layout, schema=out_schema)
     w = (df.writeStream.format("parquet")
@@ -265,6 +266,8 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
     r = spark.read
     schema = schema or output_schema(spark, spec, layout)
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
+    if _merge_mode(spec):
+        r = r.option("recursiveFileLookup", "true")   # a folder per batch
     return r.parquet(layout.silver_data(spec.table))
 
 
@@ -274,7 +277,10 @@ def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataF
     if spec.catalog_name and spark.catalog.tableExists(spec.catalog_name):
         return spark.readStream.table(spec.catalog_name)
     schema = output_schema(spark, spec, layout) or read_silver(spark, spec, layout).schema
-    return spark.readStream.schema(schema).parquet(layout.silver_data(spec.table))
+    r = spark.readStream.schema(schema).option("maxFileAge", "36500d")
+    if _merge_mode(spec):
+        r = r.option("recursiveFileLookup", "true")
+    return r.parquet(layout.silver_data(spec.table))
 
 
 def reset_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> None:

@@ -53,7 +53,9 @@ from .native import text_key
 from .store import arrow_groups, arrow_map, bucket_count, table, text_bytes, written
 from .text import U, mix, shingle_set
 
-BYTES_PER_BUCKET = 24 << 20
+BYTES_PER_BUCKET = 10 << 20
+#: sketch words a task gathers before it sends them
+SEND = 1_500_000
 PAIRS_PER_MEMBER = 100
 #: 64-bit words of the bit sketch that pairs are tested with before their sets meet
 BIT_WORDS = 16
@@ -160,7 +162,7 @@ def sketches(docs: DataFrame, buckets: int) -> DataFrame:
                     owners.append(2 * i + role)
                     needs.append(need)
                     held += len(k)
-                if held > 3_000_000:
+                if held > SEND:
                     yield both(_pack(keys, np.array(owners, np.int64), np.array(needs, np.uint32), buckets))
                     keys, owners, needs, held = [], [], [], 0
                     seen.clear()

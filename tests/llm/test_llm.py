@@ -147,7 +147,7 @@ def test_sketch_words_meet_their_bound(base, drop, add, data):
 def test_keep_one_keeps_columns_and_one_of_each_group(odd):
     out = parity_join.keep_one(odd)
     assert out.columns == odd.columns
-    assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1, 2, 3, 4, 5, 7, 10, 11, 12, 13, 14]
+    assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1, 2, 3, 4, 5, 7, 10, 12, 13, 14]
 
 
 def test_components_of_a_long_chain(spark):

@@ -4,15 +4,14 @@ Texts are lower-cased (A-Z) and cut into words. A window is 10 consecutive
 words of a benchmark item (an item of fewer words is one window). A window of a
 document holds a full ``gram`` (5 words) that begins at a multiple of 6, so
 only every sixth 5-gram of a document is hashed and looked up in the
-broadcast hash set of all 5-grams of benchmark windows. Hits are verified
-against the whole window, word by word, and every word inside an occurrence is
-marked. Shorter items are searched the same way with their own, shorter,
+broadcast hash set of all 5-grams of benchmark windows. A hit leaves the scan
+with the words around it, is verified against the whole window, word by word,
+and every word inside an occurrence is marked. Shorter items are searched the same way with their own, shorter,
 grams.
 
 The broadcast set grows with the benchmark only; its row count is taken first
-and beyond ``BROADCAST_ROWS`` the same join runs as a shuffle join. Texts are
-matched once per distinct text (joined back by digest), so copies cost one
-match. DataFrame functions only.
+and beyond ``BROADCAST_ROWS`` the same join runs as a shuffle join. Matches
+are kept per distinct text and joined back by digest. DataFrame functions only.
 
 Nulls and texts without words: no words, no hits, one row. Repeated rows each
 keep their row. A benchmark item without words has no window; a null item_id
@@ -71,17 +70,16 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFram
         if keys.count() <= BROADCAST_ROWS:
             keys = F.broadcast(keys)
         at = F.sequence(F.lit(0), F.size("w") - g, F.lit(step))
+        # each looked-up gram takes the words around it along, so that the texts
+        # themselves never move
+        base = lambda q: F.greatest(q - (length - g), F.lit(0))
         looked = (texts.where(F.size("w") >= length)
-                  .select("text_id", F.explode(F.transform(
-                      at, lambda q: F.struct(q.alias("q"), F.xxhash64(F.slice("w", q + 1, g)).alias("gram")))).alias("x"))
-                  .select("text_id", "x.q", "x.gram"))
-        hits = written(looked.join(keys, "gram", "left_semi").distinct(), "gram_hits")
-        # the words around a hit: read again for the texts that have one
-        around = (texts.join(hits.select("text_id").distinct(), "text_id", "left_semi")
-                  .dropDuplicates(["text_id"]).join(hits, "text_id")
-                  .select("text_id", "q", "gram", F.slice(
-                      "w", F.greatest(F.col("q") - (length - g), F.lit(0)) + 1, 2 * length - g).alias("part"),
-                      F.greatest(F.col("q") - (length - g), F.lit(0)).alias("base")))
+                  .select("text_id", F.explode(F.transform(at, lambda q: F.struct(
+                      q.alias("q"), F.xxhash64(F.slice("w", q + 1, g)).alias("gram"),
+                      F.slice("w", base(q) + 1, 2 * length - g).alias("part")))).alias("x"))
+                  .select("text_id", "x.q", "x.gram", "x.part"))
+        around = looked.join(keys, "gram", "left_semi").withColumn("base", base(F.col("q")))
+        around = written(around, "gram_hits")
         verified = (around.join(grams, "gram")
                     .withColumn("start", F.col("q") - F.col("o"))
                     .where((F.col("start") >= 0)

@@ -42,8 +42,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
 BLOCK = 1024
 SEGMENT = 1 << 17  # ids from which a segment is closed
-LANES = 2048  # blocks that are coded together
-PART_BYTES = 24 << 20
+LANES = 4096  # blocks that are coded together
+PART_BYTES = 40 << 20
 
 SLOTS = 1 << 9  # contexts a block remembers, by hash, for each order
 TOTAL = 1 << 16

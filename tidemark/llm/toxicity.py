@@ -107,6 +107,7 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model.tolist()
         self.memory: dict[str, str] = {}
+        self.seen: dict[str, tuple[str, ...]] = {}
 
     def options(self, s: str) -> list[tuple[int, list[tuple[str, float]]]]:
         """(characters taken, [(what they may stand for, cost)]) from left to right."""
@@ -163,25 +164,41 @@ class Restorer:
         return restored
 
 
+    def words_of(self, token: str) -> tuple[str, ...]:
+        """The words a blank-separated piece of a lower-case text may stand
+        for: as it stands without marks at its edges, and restored."""
+        if len(self.seen) > 300_000:
+            self.seen.clear()
+        got = self.seen.get(token)
+        if got is None:
+            plain = token.strip(_EDGE)
+            found = {plain}
+            if disguised(plain):
+                found.update(self.restore(plain).split())
+            if not token.isalpha():  # a sign at the edge may be a letter, too
+                core = token.strip(".,;:?\"'()[]{}")
+                if len(plain) > 1 and core != plain and core.strip("*#$%&|") == core and any(map(str.isalpha, core)):
+                    found.update(self.restore(core).split())
+            found.discard("")
+            got = self.seen[token] = tuple(found)
+        return got
+
+
 def disguised(word: str) -> bool:
     return not word.isalpha() and _INNER.search(word) is not None or _RUN.search(word) is not None
 
 
+def spaced_words(low: str, fix: Restorer) -> list[str]:
+    """Words behind single letters in a row."""
+    return [w for m in _SPACED.findall(low) for w in fix.restore(m).split()]
+
+
 def restored_words(text: str, fix: Restorer) -> set[str]:
     """Distinct words of the restored text, with the words as they stand."""
     low = text.lower()
-    found = {w.strip(_EDGE) for w in low.split()}
-    for w in [w for w in found if disguised(w)]:
-        found.update(fix.restore(w).split())
-    for w in set(low.split()):
-        if w[:1] in _SIGN_SET or w[-1:] in _SIGN_SET:  # a sign at the edge may be a letter, too
-            core = w.strip(".,;:?\"'()[]{}")
-            if any(c.isalpha() for c in core) and core[:1] + core[-1:] != "" and len(core.strip(_EDGE)) > 1 and not core.isalpha() \
-                    and core.strip("*#$%&|") == core:
-                found.update(fix.restore(core).split())
-    for m in _SPACED.findall(low):
-        found.update(fix.restore(m).split())
-    found.discard("")
+    found = set(spaced_words(low, fix))
+    for t in set(low.split()):
+        found.update(fix.words_of(t))
     return found
 
 
@@ -233,18 +250,22 @@ def _leading(docs: DataFrame, model, keep: list[str]) -> DataFrame:
         lm, rank = model.value
         fix = Restorer(lm)
 
+        def best(words):
+            return max(((rank[f], f) for w in words for f in features(w) if f in rank), default=(0.0, ""))
+
         class Memory(dict):
-            def __missing__(self, word):
-                v = self[word] = max(((rank[f], f) for f in features(word) if f in rank), default=(0.0, ""))
+            def __missing__(self, token):
+                v = self[token] = best(fix.words_of(token))
                 return v
 
-        words = Memory()
+        tokens = Memory()
         for b in batches:
             out = []
             for t in b.column("text").to_pylist():
-                if len(words) > 400_000:
-                    words.clear()
-                out.append(max(map(words.__getitem__, restored_words(t, fix)), default=(0.0, ""))[1] if t else "")
+                if len(tokens) > 400_000:
+                    tokens.clear()
+                low = t.lower() if t else ""
+                out.append(max(max(map(tokens.__getitem__, set(low.split())), default=(0.0, "")), best(spaced_words(low, fix)))[1])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "feature"])
 
     return arrow_map(docs, run, ", ".join(f"{c} {types[c]}" for c in keep) + ", feature string")

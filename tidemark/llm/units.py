@@ -23,7 +23,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: words remembered by a worker; the memory is emptied when it holds more
-MEMORY = 1_000_000
+MEMORY = 500_000
 _ODD_BYTES = bytes([9, 11, 12, 13, 28, 29, 30, 31])
 _ODD = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 _BEFORE_WORD = re.compile(r"(?= \S)")

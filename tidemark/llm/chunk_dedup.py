@@ -226,7 +226,7 @@ def remove(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
         F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")).agg(
         F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__cut"))
     same = docs["doc_id"].eqNullSafe(cut["__doc"]) & (text_key(docs["text"]) == cut["__text"])
-    joined = docs.join(cut, same, "left").drop("__doc", "__text")
+    joined = docs.join(cut.hint("merge"), same, "left").drop("__doc", "__text")
     raw = F.col("text").cast("binary")
     ends = F.transform("__cut", lambda c: c["start"] + c["length"])
     # the kept pieces lie between the end of a span and the start of the next

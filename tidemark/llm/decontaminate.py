@@ -113,7 +113,8 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
 def remove_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any occurrence, with their own columns."""
     found = matches(docs, bench, window).select(F.col("text_id").alias("__text")).distinct()
-    return docs.join(found, text_key(docs["text"]) == found["__text"], "left_anti")
+    # sort-merge at every size: the number of contaminated texts has no bound
+    return docs.join(found.hint("merge"), text_key(docs["text"]) == found["__text"], "left_anti")
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -126,7 +127,7 @@ def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Dat
     hit = at.select(F.col("text_id").alias("__text"), F.col("hit").alias("__hit"))
     w = word_array(docs["text"])
     kept = F.array_join(F.filter(w, lambda x, i: ~F.array_contains(F.col("__hit"), i.cast("int"))), " ")
-    return (docs.join(hit, text_key(docs["text"]) == hit["__text"], "left")
+    return (docs.join(hit.hint("merge"), text_key(docs["text"]) == hit["__text"], "left")
             .withColumn("text", F.when(F.col("__hit").isNull(), F.col("text")).otherwise(kept))
             .drop("__text", "__hit"))
 

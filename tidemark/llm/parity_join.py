@@ -376,7 +376,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     drop = (classes(docs).where("n_shingles > 0 and doc_id <> component_id")
             .select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")).distinct())
     same = (docs["doc_id"] == drop["__doc"]) & (text_key(docs["text"]) == drop["__text"])
-    return docs.join(drop, same, "left_anti")
+    return docs.join(drop.hint("merge"), same, "left_anti")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

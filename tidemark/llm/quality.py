@@ -124,7 +124,7 @@ BELIEF = 0.5
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], steps: int = 100) -> tuple[float, np.ndarray]:
     """EM: share of good documents, and P(vote | class) as [class, rule, vote + 1]."""
-    m = len(patterns[0][0]) if patterns else 0
+    m = len(patterns[0][0]) if patterns else len(rules())
     votes = np.array([p for p, _ in patterns], int).reshape(len(patterns), m) + 1
     n = np.array([c for _, c in patterns], float)
     believed = np.array([[SYMPTOM[c]] * (m - 1) + [PROSE[c]] * min(m, 1) for c in (0, 1)]).reshape(2, m, 3)
@@ -148,20 +148,22 @@ def posterior(votes: np.ndarray, prior: float, table_: np.ndarray) -> np.ndarray
     return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """Features, votes and posterior of every document, base rule and verdict."""
-    spark = docs.sparkSession
-    by = rules()
-    feats = with_features(docs)
-    voted = written(feats.select("*", F.struct(*[v.cast("int").alias(k) for k, v in by.items()]).alias("votes")),
-                    "quality_votes")
+def votes_of(feats: DataFrame) -> DataFrame:
+    return feats.select("*", F.struct(*[v.cast("int").alias(k) for k, v in rules().items()]).alias("votes"))
+
+
+def learned(voted: DataFrame) -> tuple[float, np.ndarray]:
+    """EM on the number of documents per vote pattern: at most 3^rules rows."""
     counted = [(tuple(r["votes"]), r["n"]) for r in
-               voted.where("n_words > 0").groupBy("votes").agg(F.count("*").alias("n")).collect()]  # at most 3^rules rows
-    counted.sort()
-    prior, tab = estimate(counted)
-    # the pattern's posterior from the estimated tables, as a column expression
+               voted.where("n_words > 0").groupBy("votes").agg(F.count("*").alias("n")).collect()]
+    return estimate(sorted(counted))
+
+
+def verdicts(voted: DataFrame, model: tuple[float, np.ndarray]) -> DataFrame:
+    """p_good, base_failed and kept from the estimated tables, as column expressions."""
+    prior, tab = model
     logit = F.lit(float(np.log(prior / (1 - prior))))
-    for j, k in enumerate(by):
+    for j, k in enumerate(rules()):
         odds = np.log(tab[1, j] / tab[0, j])
         logit = logit + F.element_at(F.array(*[F.lit(float(x)) for x in odds]), F.col(f"votes.{k}") + 2)
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -171,13 +173,26 @@ def judged(docs: DataFrame) -> DataFrame:
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_FROM)))
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """Features, votes and posterior of every document, base rule and verdict."""
+    voted = written(votes_of(with_features(docs)), "quality_votes")
+    return verdicts(voted, learned(voted))
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The kept documents with their own columns. The verdict depends on the
-    text alone, so it is joined by text digest and repeated ids do no harm."""
-    from .native import text_key
-    keyed = docs.select(text_key(F.col("text")).alias("doc_id"), "text")
-    bad = judged(keyed).where(~F.col("kept")).select(F.col("doc_id").alias("__text")).distinct()
-    return docs.join(bad, text_key(docs["text"]) == bad["__text"], "left_anti")
+    """The kept documents with their own columns. The features are computed again
+    beside the rows, so no row moves."""
+    model = learned(written(votes_of(with_features(docs)), "quality_votes"))
+    own = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("text"))
+    schema = f"row {dict(packed.dtypes)['row']}, " + ", ".join(f"{c} long" for c in FEATURES)
+
+    def run(batches):
+        for b in batches:
+            cols = np.array([features(t) for t in b.column("text").to_pylist()], np.int64).reshape(b.num_rows, len(FEATURES)).T
+            yield pa.RecordBatch.from_arrays([b.column("row"), *map(pa.array, cols)], ["row", *FEATURES])
+
+    return verdicts(votes_of(arrow_map(packed, run, schema)), model).where("kept").select("row.*")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

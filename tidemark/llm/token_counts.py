@@ -4,7 +4,7 @@
    ``units``) with their frequency; an aggregate makes the vocabulary.
 2. Pieces are counted once per distinct unit.
 3. Per-document unit frequencies are joined with the counts and summed. The
-   ``HEAD`` most frequent units (a fixed number, 10 bytes each) are broadcast and
+   ``HEAD`` most frequent units (a fixed number, 12 bytes each: 96 MB at most) are broadcast and
    joined map-side; the rest of a document's units leave the task as
    (text, unit, frequency) rows and meet the vocabulary in a shuffle join,
    summed per text.
@@ -33,7 +33,7 @@ from .units import encoder, units
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 1024
-HEAD = 2_000_000
+HEAD = 8_000_000
 #: units a task gathers before it sends them on
 GATHER = 400_000
 _TAIL = 1 << 40

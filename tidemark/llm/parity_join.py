@@ -308,7 +308,7 @@ def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
               .groupBy("set_id").agg(F.min(F.struct("text_id", "doc_id")).alias("one"))
               .select("set_id", F.col("one.text_id").alias("its_text"), F.col("one.doc_id").alias("its_doc")))
     shingles = written(_shingles(docs, wanted), "shingles")
-    links = written(docs.sparkSession.createDataFrame([], "a long, b long"), "links")
+    links = written(docs.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b")), "links")
     label, budget = None, 0
     while True:
         # a row per member: its set, role and current component

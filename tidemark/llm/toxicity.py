@@ -53,7 +53,6 @@ SIGN_COST, DROP_COST, SHORTEN_COST, BREAK_COST, ANY_COST = 1.0, 0.3, 0.3, 1.5, 3
 _WORD = re.compile(r"\S+")
 _SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:[^\S\n]\S){2,}(?=\s|$)")
 _EDGE = ".,;:!?\"'()[]{}<>*#$%&|-_~`"
-_SIGN_SET = frozenset(SIGNS)
 _INNER = re.compile(r"[^\W\d_][" + re.escape("".join(SIGNS) + SEPARATORS.strip()) + r"]+[^\W\d_]|"
                     r"^[" + re.escape("".join(SIGNS)) + r"]+[^\W\d_]|[^\W\d_][0-9@$]+$")
 _RUN = re.compile(r"([^\W\d_])\1\1")

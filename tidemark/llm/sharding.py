@@ -40,8 +40,9 @@ ROWS_PER_CELL = 20_000
 def ring_points(spark, shards: int, vnodes: int) -> list[tuple[int, int]]:
     """(position, shard) of every virtual node, clockwise."""
     at = (spark.range(shards * vnodes)
-          .select((F.col("id") % shards).cast("int").alias("shard"),
-                  F.pmod(F.xxhash64(F.lit("vnode"), F.col("id")), F.lit(RING)).alias("at")))
+          .select(F.floor(F.col("id") / vnodes).cast("int").alias("shard"), (F.col("id") % vnodes).alias("copy"))
+          # a point depends on its shard and number alone: other shards come and go without moving it
+          .select("shard", F.pmod(F.xxhash64(F.lit("vnode"), "shard", "copy"), F.lit(RING)).alias("at")))
     return sorted((r["at"], r["shard"]) for r in at.collect())
 
 

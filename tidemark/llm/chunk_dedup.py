@@ -226,19 +226,19 @@ def remove(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
         F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")).agg(
         F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__cut"))
     same = docs["doc_id"].eqNullSafe(cut["__doc"]) & (text_key(docs["text"]) == cut["__text"])
-    joined = docs.join(cut.hint("merge"), same, "left").drop("__doc", "__text")
-    raw = F.col("text").cast("binary")
-    ends = F.transform("__cut", lambda c: c["start"] + c["length"])
+    joined = docs.join(cut.hint("merge"), same, "left")
+    spans_, raw = cut["__cut"], docs["text"].cast("binary")
+    ends = F.transform(spans_, lambda c: c["start"] + c["length"])
     # the kept pieces lie between the end of a span and the start of the next
     pieces = F.transform(
-        F.sequence(F.lit(0), F.size("__cut")),
+        F.sequence(F.lit(0), F.size(spans_)),
         lambda i: F.substring(
             raw, F.coalesce(F.get(ends, i - 1), F.lit(0)).cast("int") + 1,
-            (F.coalesce(F.get(F.col("__cut"), i)["start"], F.octet_length("text").cast("long"))
+            (F.coalesce(F.get(spans_, i)["start"], F.octet_length(docs["text"]).cast("long"))
              - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("int")))
     kept = F.decode(F.aggregate(pieces, F.lit(b"").cast("binary"), lambda a, b: F.concat(a, b)), "UTF-8")
-    return (joined.withColumn("text", F.when(F.col("__cut").isNull(), F.col("text")).otherwise(kept))
-            .drop("__cut"))
+    text = F.when(spans_.isNull(), docs["text"]).otherwise(kept).alias("text")
+    return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

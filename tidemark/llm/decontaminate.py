@@ -126,10 +126,10 @@ def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Dat
           .groupBy("text_id").agg(F.collect_set("at").alias("hit")))
     hit = at.select(F.col("text_id").alias("__text"), F.col("hit").alias("__hit"))
     w = word_array(docs["text"])
-    kept = F.array_join(F.filter(w, lambda x, i: ~F.array_contains(F.col("__hit"), i.cast("int"))), " ")
-    return (docs.join(hit.hint("merge"), text_key(docs["text"]) == hit["__text"], "left")
-            .withColumn("text", F.when(F.col("__hit").isNull(), F.col("text")).otherwise(kept))
-            .drop("__text", "__hit"))
+    kept = F.array_join(F.filter(w, lambda x, i: ~F.array_contains(hit["__hit"], i.cast("int"))), " ")
+    text = F.when(hit["__hit"].isNull(), docs["text"]).otherwise(kept).alias("text")
+    joined = docs.join(hit.hint("merge"), text_key(docs["text"]) == hit["__text"], "left")
+    return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

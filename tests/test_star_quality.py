@@ -35,6 +35,6 @@ def test_star_join_left_outer_with_duplicates_and_theta(spark):
     tables = {"fact": fact, "dim": dim, "rng": rng}
     specs = [JoinSpec("fact", "f", ["f.id"]),
              JoinSpec("dim", "d", ["d.name"], "f.k = d.k"),
-             JoinSpec("rng", "r", ["r.size"], "f.d >= r.lo AND f.d < r.hi")]
+             JoinSpec("rng", "r", ["r.size"], "f.d >= r.lo AND f.d < r.hi", bounded=True)]
     out = rows(star_join(specs, tables.__getitem__))
     assert out == [(1, "x", "small"), (1, "x2", "small"), (2, "y", "big"), (3, None, "big")]

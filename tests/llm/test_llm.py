@@ -464,6 +464,32 @@ def test_scores_equal_brute_force(odd, docs, none, monkeypatch, hot):
         assert np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+def whole_scores(texts):
+    """Every word with its own count, no class of unknown words."""
+    w = [(t or "").encode().lower().split() for t in texts]
+    uni, bi = collections.Counter(x for t in w for x in t), collections.Counter(p for t in w for p in zip(t, t[1:]))
+    total, out = sum(uni.values()), []
+    for t in w:
+        hits = [bi[p] >= 2 for p in zip(t, t[1:])]
+        s = sum(np.log(uni[x] / total) + np.log(lm_scores.ALPHA) * (i > 0) if not i or not hits[i - 1]
+                else np.log(bi[t[i - 1], x] / uni[t[i - 1]]) for i, x in enumerate(t))
+        out.append((len(t), sum(hits), s))
+    return out
+
+
+@pytest.mark.parametrize("share", [2e-7, 1e-3, 0.5])
+def test_scores_keep_every_word(spark, odd, docs, none, monkeypatch, share):
+    """Whatever part of the words is broadcast, all are counted."""
+    monkeypatch.setattr(lm_scores, "VOCAB_SHARE", share)
+    twice = odd.unionByName(odd).repartition(5)  # copies in several batches
+    for df in (odd, twice, docs, none):
+        rows = df.select("doc_id", "text").collect()
+        want = sorted(((r.doc_id, *s) for r, s in zip(rows, whole_scores([r.text for r in rows]), strict=True)), key=str)
+        got = sorted((tuple(r) for r in lm_scores.scores(df, pool_once=False).collect()), key=str)
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
 # --- 1: toxicity -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -4,18 +4,19 @@ A word w after v scores c(v w) / c(v) if the bigram was seen at least
 ``MIN_BIGRAM`` times in the corpus, else ``ALPHA`` * c(w) / N; a text's first word
 has no v. All texts are both corpus and scored texts, and every word counts.
 
-* Unigrams: words are counted over all documents by an aggregate. The vocabulary
-  holds the words with at least ``VOCAB_SHARE`` of all occurrences (so at most
-  1 / VOCAB_SHARE words, whatever the input: a bound on the broadcast); the
-  others are one class, the unknown word, counted together. A bigram with an
-  unknown word counts as unseen.
+* Unigrams: words are counted over all documents by an aggregate, and every word
+  keeps its own count. The counts of the head (words with at least ``VOCAB_SHARE``
+  of all occurrences, so at most 1 / VOCAB_SHARE words) are broadcast; all other
+  words are counted and looked up in the partition of their hash.
 * Bigrams of two words that each make up ``HOT_SHARE`` of the corpus (at most
   1 / HOT_SHARE words, squared) are summed to a small table and joined map-side,
   so no group of the shuffle holds a larger share than that.
 * All other bigrams go to the partition of their hash, packed (8 bytes each,
   one row per Arrow batch and bucket; a text that a batch holds many times is
   sent once with its number). There they are counted, joined with the
-  documents' occurrences and summed per text; only sums come back.
+  documents' occurrences and summed per text; only sums come back. A bigram with
+  a word outside the head travels as two words (16 bytes); if it was seen, it asks
+  the partitions of those words for their counts.
 
 Null and empty texts, and texts without words, have 0 words and score 0. Equal
 texts are all counted and get equal scores (sums are joined by text digest).
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .native import text_key
 from .store import arrow_groups, arrow_map, bucket_count, table, text_bytes, written
-from .text import U, lower_hashes, mix
+from .text import _STEP, U, lower_hashes, mix
 
 ALPHA = 0.4
 MIN_BIGRAM = 2
@@ -39,18 +40,27 @@ VOCAB_SHARE = 2e-7
 HOT_SHARE = 1e-3
 BYTES_PER_BUCKET = 16 << 20
 GATHER = 2_000_000
-PACKED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()),
+IDS, PAIRS, WORDS = range(3)  # what a packed row holds: id pairs, word pairs with a rare word, rare words
+RARE = U(1 << 63)  # marks the hash of a word outside the head among ids
+PACKED = pa.schema([("kind", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()),
                     ("counts", pa.binary()), ("weights", pa.binary())])
+PACKED_SQL = "kind long, bucket long, keys binary, owners binary, counts binary, weights binary"
+#: sums of a text, or (with a bucket) counts of rare words and the texts that ask for them
+SUMS = pa.schema([("text_id", pa.string()), ("seen", pa.int64()), ("gain", pa.float64()),
+                  ("bucket", pa.int64()), ("known", pa.binary()), ("asked", pa.binary())])
+SUMS_SQL = "text_id string, seen long, gain double, bucket long, known binary, asked binary"
+KNOWN = np.dtype([("word", "<u8"), ("n", "<i8")])
+ASKED = np.dtype([("word", "<u8"), ("owner", "V16"), ("times", "<f8")])
 
 
 class Vocabulary:
-    """Word ids by descending count (0 is the unknown word), and counts by id.
-    Words are known by their 64-bit hash."""
+    """Ids of the head's words by descending count (0 is a word outside the
+    head), and counts by id. Words are known by their 64-bit hash."""
 
-    def __init__(self, words: np.ndarray, n: np.ndarray, unknown: int):
+    def __init__(self, words: np.ndarray, n: np.ndarray, total: int):
         order = np.lexsort((words, -n))
-        self.counts = np.concatenate(([unknown], n[order])).astype(np.int64)
-        self.total = int(self.counts.sum())
+        self.counts = np.concatenate(([1], n[order])).astype(np.int64)
+        self.total = total
         by_hash = np.argsort(words[order])
         self.words, self.at = words[order][by_hash], by_hash + 1
         self.hot = int((n >= max(2, HOT_SHARE * self.total)).sum())
@@ -83,12 +93,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
+def vocabulary(docs: DataFrame) -> tuple[Vocabulary, int]:
+    """The head, and the number of words that occur once."""
     counts = written(word_counts(docs), "word_counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    known = counts.where(F.col("n") >= max(2.0, VOCAB_SHARE * total)).toArrow()  # at most 1 / VOCAB_SHARE rows
-    n = known.column("n").to_numpy().astype(np.int64)
-    return Vocabulary(known.column("word").to_numpy().astype(np.int64).view(U), n, total - int(n.sum()))
+    total, once = counts.agg(F.sum("n"), F.count_if(F.col("n") == 1)).first()
+    total = total or 0
+    head = counts.where(F.col("n") >= max(2.0, VOCAB_SHARE * total)).toArrow()  # at most 1 / VOCAB_SHARE rows
+    n = head.column("n").to_numpy().astype(np.int64)
+    return Vocabulary(head.column("word").to_numpy().astype(np.int64).view(U), n, total), once
 
 
 def hot_bigrams(docs: DataFrame, vocab) -> np.ndarray:
@@ -119,17 +131,21 @@ def _gain(v: Vocabulary, first, second, n):
     return np.log(n) - np.log(c[first]) - (np.log(ALPHA) + np.log(c[second]) - np.log(v.total))
 
 
-def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_seen (words scored by a bigram), log_score."""
+def scores(docs: DataFrame, pool_once: bool = True) -> DataFrame:
+    """doc_id, n_words, n_seen (words scored by a bigram), log_score.
+    ``pool_once``: words that occur once count together, as one unknown word;
+    else each has its count of 1 (a bigram with one is never seen twice)."""
     sc = docs.sparkSession.sparkContext
     buckets = bucket_count(text_bytes(docs), BYTES_PER_BUCKET)
-    vocab = sc.broadcast(vocabulary(docs))
+    head, once = vocabulary(docs)
+    single = max(once, 1) if pool_once else 1  # the count of a word that occurs once
+    vocab = sc.broadcast(head)
     hot = sc.broadcast(hot_bigrams(docs, vocab))
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_id"))
 
     def sums(batches):
         v, h = vocab.value, hot.value
-        base = np.log(np.maximum(v.counts, 1)) - np.log(max(v.total, 1)) + np.log(ALPHA)
+        base = np.log(v.counts) - np.log(max(v.total, 1)) + np.log(ALPHA)
         m = v.hot + 1
         for b in batches:
             n, seen, score = [], [], []
@@ -152,28 +168,41 @@ def scores(docs: DataFrame) -> DataFrame:
                 [b.column("doc_id"), b.column("text_id"), pa.array(n, pa.int64()), pa.array(seen, pa.int64()),
                  pa.array(score, pa.float64())], ["doc_id", "text_id", "n_words", "hot_seen", "hot_score"])
 
+    def bucket_of(hashed):
+        return (((hashed >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+
+    def cuts_of(sorted_values):
+        cuts = np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
+        return zip(cuts, [*cuts[1:], len(sorted_values)], strict=True)
+
+    def paired(k):
+        return mix(k[:, 0] * _STEP + k[:, 1])
+
     def explode(batches):
         v = vocab.value
-        keys, owners, counts, held = [], {}, [], 0
+        keys, owners, held = ([], [], []), {}, 0
 
         def pack():
             names = np.frombuffer(b"".join(owners), "V16")
             weights = np.fromiter(owners.values(), np.uint32, len(owners))
-            k = np.concatenate(keys)
-            bucket = (((mix(k) >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
-            who = np.repeat(np.arange(len(counts)), counts)
-            order = np.argsort(bucket, kind="stable")
-            k, who, bucket = k[order], who[order], bucket[order]
-            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             out = {c: [] for c in PACKED.names}
-            for lo, hi in zip(cuts, [*cuts[1:], len(k)], strict=True):
-                w = who[lo:hi]
-                run = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-                out["bucket"].append(int(bucket[lo]))
-                out["keys"].append(k[lo:hi].tobytes())
-                out["owners"].append(names[w[run]].tobytes())
-                out["weights"].append(weights[w[run]].tobytes())
-                out["counts"].append(np.diff(np.append(run, hi - lo)).astype(np.uint32).tobytes())
+            for kind, each in enumerate(keys):
+                k = np.concatenate(each)
+                if not len(k):
+                    continue
+                bucket = bucket_of(paired(k) if kind == PAIRS else mix(k))
+                who = np.repeat(np.arange(len(each)), [len(x) for x in each])
+                order = np.argsort(bucket, kind="stable")
+                k, who, bucket = k[order], who[order], bucket[order]
+                for lo, hi in cuts_of(bucket):
+                    w = who[lo:hi]
+                    run = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+                    out["kind"].append(kind)
+                    out["bucket"].append(int(bucket[lo]))
+                    out["keys"].append(k[lo:hi].tobytes())
+                    out["owners"].append(names[w[run]].tobytes())
+                    out["weights"].append(weights[w[run]].tobytes())
+                    out["counts"].append(np.diff(np.append(run, hi - lo)).astype(np.uint32).tobytes())
             return pa.RecordBatch.from_pydict(out, PACKED)
 
         for b in batches:
@@ -182,49 +211,96 @@ def scores(docs: DataFrame) -> DataFrame:
                 if own in owners:  # a copy: sent once with its number
                     owners[own] += 1
                     continue
-                x = v.ids(lower_hashes(t))
-                x, y = x[:-1], x[1:]
-                cold = ((x > v.hot) | (y > v.hot)) & (x > 0) & (y > 0)
-                if not cold.any():
+                h = lower_hashes(t)
+                i = v.ids(h)
+                x, y = i[:-1], i[1:]
+                rare = (x == 0) | (y == 0)
+                cold = ((x > v.hot) | (y > v.hot)) & ~rare
+                code = np.where(i > 0, i.astype(U), h | RARE)
+                found = ((x[cold].astype(U) << U(32)) | y[cold].astype(U),
+                         np.stack((code[:-1][rare], code[1:][rare]), 1), code[i == 0])
+                size = sum(k.size for k in found)
+                if not size:
                     continue
-                keys.append((x[cold].astype(U) << U(32)) | y[cold].astype(U))
+                for k, each in zip(found, keys, strict=True):
+                    each.append(k)
                 owners[own] = 1
-                counts.append(len(keys[-1]))
-                held += counts[-1]
+                held += size
                 if held > 2_000_000:
                     yield pack()
-                    keys, owners, counts, held = [], {}, [], 0
-        if keys:
+                    keys, owners, held = ([], [], []), {}, 0
+        if owners:
             yield pack()
 
+    def texts(names):
+        return pa.array([x.ljust(16, b"\0").hex() for x in names.tolist()], pa.string())
+
     def resolve(t: pa.Table) -> pa.Table:
         v = vocab.value
-        key = np.frombuffer(b"".join(t.column("keys").to_pylist()), U)
+        kind, own_bucket = t.column("kind")[0].as_py(), t.column("bucket")[0].as_py()
+        raw = np.frombuffer(b"".join(t.column("keys").to_pylist()), U)
         runs = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
         owner = np.frombuffer(b"".join(t.column("owners").to_pylist()), "S16")
         weight = np.repeat(np.frombuffer(b"".join(t.column("weights").to_pylist()), np.uint32), runs).astype(np.int64)
         names, place = np.unique(owner, return_inverse=True)
         sent = np.bincount(place)  # by how many batches a text was sent
         place = np.repeat(place, runs)
+        if kind == PAIRS:
+            raw = raw.reshape(-1, 2)
+        key = paired(raw) if kind == PAIRS else raw
         order = np.argsort(key)
         key, place = key[order], place[order]
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         times = np.diff(np.append(start, len(key)))
         n = np.add.reduceat(weight[order], start)
-        ok = n >= MIN_BIGRAM
-        gain = np.zeros(len(n))
-        k = key[start]
-        gain[ok] = _gain(v, (k[ok] >> U(32)).astype(np.int64), (k[ok] & U(0xFFFFFFFF)).astype(np.int64), n[ok])
+        extra = []
+        if kind == WORDS:
+            ok, gain = np.zeros(len(n), bool), np.log(np.where(n == 1, single, n))
+            again = np.empty(int((n >= MIN_BIGRAM).sum()), KNOWN)
+            again["word"], again["n"] = key[start][n >= MIN_BIGRAM], n[n >= MIN_BIGRAM]
+            extra.append((own_bucket, again.tobytes(), None))
+        else:
+            ok = n >= MIN_BIGRAM
+            gain = np.zeros(len(n))
+            k = raw[order[start[ok]]]
+            x, y = (k[:, 0], k[:, 1]) if kind == PAIRS else (k >> U(32), k & U(0xFFFFFFFF))
+            gain[ok] = _gain(v, *(np.where(w < RARE, w, U(0)).astype(np.int64) for w in (x, y)), n[ok])
+        if kind == PAIRS:  # the counts of the rare words are yet to be taken off
+            seen = np.repeat(ok, times)
+            word, who = raw[order[seen]], place[seen]
+            rare = word >= RARE
+            ask = np.empty(int(rare.sum()), ASKED)
+            ask["word"] = word[rare]
+            who = np.broadcast_to(who[:, None], word.shape)[rare]
+            ask["owner"], ask["times"] = names.view("V16")[who], 1.0 / sent[who]
+            bucket = bucket_of(mix(ask["word"]))
+            by = np.argsort(bucket, kind="stable")
+            ask, bucket = ask[by], bucket[by]
+            if len(ask):
+                extra += [(int(bucket[lo]), None, ask[lo:hi].tobytes()) for lo, hi in cuts_of(bucket)]
         total = np.bincount(place, weights=np.repeat(gain, times), minlength=len(names)) / sent
         hits = np.bincount(place, weights=np.repeat(ok, times), minlength=len(names)).astype(np.int64) // sent
-        some = hits > 0
-        ids = pa.array([x.ljust(16, b"\0").hex() for x in names[some].tolist()], pa.string())
-        return pa.table({"text_id": ids, "seen": pa.array(hits[some]), "gain": pa.array(total[some])})
+        some = (hits > 0) | (total != 0)
+        none, more = [None] * int(some.sum()), [None] * len(extra)
+        return pa.concat_tables([
+            pa.table([texts(names[some]), pa.array(hits[some]), pa.array(total[some]), none, none, none], schema=SUMS),
+            pa.table([more, more, more, *([e[c] for e in extra] for c in range(3))], schema=SUMS)])
+
+    def correct(t: pa.Table) -> pa.Table:
+        known = np.sort(np.frombuffer(b"".join(t.column("known").drop_null().to_pylist()), KNOWN), order="word")
+        ask = np.frombuffer(b"".join(t.column("asked").drop_null().to_pylist()), ASKED)
+        n = known["n"][np.searchsorted(known["word"], ask["word"])] if len(ask) else np.empty(0)
+        names, place = np.unique(np.ascontiguousarray(ask["owner"]).view("S16"), return_inverse=True)
+        off = np.bincount(place, weights=-ask["times"] * np.log(n), minlength=len(names)).astype(float)
+        return pa.table({"text_id": texts(names), "seen": pa.array(np.zeros(len(names), np.int64)), "gain": pa.array(off)})
 
     rows = arrow_map(keyed, sums, f"doc_id {dict(docs.dtypes)['doc_id']}, text_id string, n_words long, hot_seen long, hot_score double")
-    packed = arrow_map(keyed.select("text", "text_id"), explode, "bucket long, keys binary, owners binary, counts binary, weights binary")
-    got = arrow_groups(packed, ["bucket"], resolve, "text_id string, seen long, gain double")
-    per_text = written(got, "bigram_gains").groupBy("text_id").agg(F.sum("seen").alias("seen"), F.sum("gain").alias("gain"))
+    packed = arrow_map(keyed.select("text", "text_id"), explode, PACKED_SQL)
+    got = written(arrow_groups(packed, ["kind", "bucket"], resolve, SUMS_SQL), "bigram_gains")
+    off = arrow_groups(got.where("bucket is not null").select("bucket", "known", "asked"), ["bucket"], correct,
+                       "text_id string, seen long, gain double")
+    per_text = (got.where("bucket is null").select("text_id", "seen", "gain").unionByName(off)
+                .groupBy("text_id").agg(F.sum("seen").alias("seen"), F.sum("gain").alias("gain")))
     return (written(rows, "hot_scores").join(per_text, "text_id", "left")
             .select("doc_id", "n_words", (F.col("hot_seen") + F.coalesce("seen", F.lit(0))).alias("n_seen"),
                     (F.col("hot_score") + F.coalesce("gain", F.lit(0.0))).alias("log_score")))
@@ -232,5 +308,5 @@ def scores(docs: DataFrame) -> DataFrame:
 
 def op9(spark, sf_dir: str) -> DataFrame:
     """Per document: words, words scored by a bigram, log score and its mean per word."""
-    out = scores(table(spark, sf_dir, "documents"))
+    out = scores(table(spark, sf_dir, "documents"), pool_once=False)
     return out.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

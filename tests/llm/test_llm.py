@@ -430,6 +430,28 @@ def test_remove_keeps_columns_and_rows(odd):
     assert {r.text for r in out.where("doc_id = 12").collect()} == {ROWS[12][1]}
 
 
+def common_bytes(passage, seed):
+    """Bytes of a text in chunks that it shares with another, which holds
+    ``passage`` at another place."""
+    r, texts = np.random.default_rng(seed), []
+    for _ in range(2):
+        raw = (" ".join(f"c{k}" for k in r.integers(0, 10**9, r.integers(20, 60))) + passage + " the end").encode()
+        ends = chunk_dedup.chunk_ends(raw)
+        texts.append([raw[a:b] for a, b in zip([0, *ends], ends)])
+    return sum(len(c) for c in texts[0] if c in texts[1])
+
+
+def test_chunks_follow_the_content_without_blanks():
+    r = np.random.default_rng(3)
+    for i in range(30):
+        words = [f"p{k}" for k in r.integers(0, 10**6, 100)]
+        odd = {sep: sep.join(words) for sep in ("\t", "\r", "\x0b", "\x0c", "\u00a0", ",")}
+        odd["chinese"] = "".join(chr(k) for k in r.integers(0x4E00, 0x9000, 250))
+        odd["periodic"] = "".join(words[:4]) * 30
+        for name, passage in odd.items():
+            assert common_bytes(passage, i) >= 0.6 * min(len(passage.encode()), 512), name
+
+
 # --- 9: language-model scores ---------------------------------------------------
 
 def brute_scores(texts):

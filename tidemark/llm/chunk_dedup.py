@@ -1,8 +1,9 @@
 """Operator 5: substring deduplication by content-defined chunks.
 
-A gear hash rolls over the UTF-8 bytes; a chunk ends behind a blank where the
-hash's low bits are zero (chunks of ``MIN_CHUNK`` to ``MAX_CHUNK`` bytes), so
-borders follow the content and an insertion moves only the chunks it touches.
+A gear hash rolls over the UTF-8 bytes; a chunk ends behind any character where
+some of the hash's bits are zero (chunks of ``MIN_CHUNK`` to ``MAX_CHUNK`` bytes;
+a stretch without such a place ends at its largest hash), so borders follow the
+content, with or without blanks, and an insertion moves only the chunks it touches.
 Chunks meet by digest (64 bits and length, in hash buckets). The first
 occurrence of a chunk, by (doc_id, start), stays; later ones are copies. Copies
 that follow each other without a gap form a span, and a span is reported (or
@@ -33,7 +34,7 @@ from .text import U, mix
 
 MIN_CHUNK = 16
 MAX_CHUNK = 256
-CUT_BITS = 2  # of the blanks beyond MIN_CHUNK, one in 2^CUT_BITS ends a chunk
+CUT_BITS = 4  # of the characters beyond MIN_CHUNK, one in 2^CUT_BITS ends a chunk
 MIN_SPAN = 128
 BYTES_PER_BUCKET = 48 << 20
 #: the gear table: 256 pseudo-random words
@@ -58,27 +59,28 @@ def chunk_ends(raw: bytes) -> list[int]:
     h = gear_hash(b)
     # bits 8 and up depend on at least 9 bytes
     cut = ((h >> np.uint32(12)) & np.uint32((1 << CUT_BITS) - 1)) == 0
+    h[:-1][(b[1:] & 0xC0) == 0x80] = 0  # inside a character
     ends, last = [], 0
-    for e in (np.flatnonzero(cut & ((b == 32) | (b == 10))) + 1).tolist():
+    for e in (np.flatnonzero(cut & (h > 0)) + 1).tolist():
         while e - last > MAX_CHUNK:  # a long stretch without a border
-            last = _whole(raw, last + MAX_CHUNK)
+            last = _strongest(h, last)
             ends.append(last)
         if e - last >= MIN_CHUNK:
             ends.append(e)
             last = e
     while n - last > MAX_CHUNK:
-        last = _whole(raw, last + MAX_CHUNK)
+        last = _strongest(h, last)
         ends.append(last)
     if last < n:
         ends.append(n)
     return ends
 
 
-def _whole(raw: bytes, at: int) -> int:
-    """The character border at or before ``at``."""
-    while raw[at] & 0xC0 == 0x80:
-        at -= 1
-    return at
+def _strongest(h: np.ndarray, last: int) -> int:
+    """The end with the largest hash (the latest of equal ones) that a chunk
+    from ``last`` may have."""
+    w = h[last + MIN_CHUNK - 1:last + MAX_CHUNK]
+    return last + MAX_CHUNK - int(w[::-1].argmax())
 
 
 KIND = pa.schema([("bucket", pa.int64()), ("digests", pa.binary()), ("starts", pa.binary()), ("lengths", pa.binary()),

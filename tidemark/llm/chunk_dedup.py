@@ -1,9 +1,10 @@
 """Operator 5: substring deduplication by content-defined chunks.
 
-A gear hash rolls over the UTF-8 bytes; a chunk ends behind any character where
-some of the hash's bits are zero (chunks of ``MIN_CHUNK`` to ``MAX_CHUNK`` bytes;
-a stretch without such a place ends at its largest hash), so borders follow the
-content, with or without blanks, and an insertion moves only the chunks it touches.
+A gear hash rolls over the UTF-8 bytes; a chunk ends behind any character whose
+hash is the largest of the ``MIN_CHUNK`` bytes before and behind it (chunks of
+``MIN_CHUNK`` to ``MAX_CHUNK`` bytes; a longer stretch without such a place ends at
+its largest hash), so borders follow the content alone, with or without blanks,
+and an insertion moves only the chunks it touches.
 Chunks meet by digest (64 bits and length, in hash buckets). The first
 occurrence of a chunk, by (doc_id, start), stays; later ones are copies. Copies
 that follow each other without a gap form a span, and a span is reported (or
@@ -34,7 +35,6 @@ from .text import U, mix
 
 MIN_CHUNK = 16
 MAX_CHUNK = 256
-CUT_BITS = 4  # of the characters beyond MIN_CHUNK, one in 2^CUT_BITS ends a chunk
 MIN_SPAN = 128
 BYTES_PER_BUCKET = 48 << 20
 #: the gear table: 256 pseudo-random words
@@ -57,11 +57,17 @@ def chunk_ends(raw: bytes) -> list[int]:
         return []
     b = np.frombuffer(raw, np.uint8)
     h = gear_hash(b)
-    # bits 8 and up depend on at least 9 bytes
-    cut = ((h >> np.uint32(12)) & np.uint32((1 << CUT_BITS) - 1)) == 0
     h[:-1][(b[1:] & 0xC0) == 0x80] = 0  # inside a character
+    before, behind = np.zeros(n + MIN_CHUNK, np.uint32), np.zeros(n + MIN_CHUNK, np.uint32)
+    before[MIN_CHUNK:], behind[:n] = h, h
+    for w in (before, behind):  # the largest of MIN_CHUNK hashes, by doubling
+        step = 1
+        while step < MIN_CHUNK:
+            k = min(step, MIN_CHUNK - step)
+            w[:-k] = np.maximum(w[:-k], w[k:])
+            step += k
     ends, last = [], 0
-    for e in (np.flatnonzero(cut & (h > 0)) + 1).tolist():
+    for e in (np.flatnonzero((h > before[:n]) & (h >= behind[1:n + 1])) + 1).tolist():
         while e - last > MAX_CHUNK:  # a long stretch without a border
             last = _strongest(h, last)
             ends.append(last)

@@ -452,6 +452,46 @@ def test_chunks_follow_the_content_without_blanks():
             assert common_bytes(passage, i) >= 0.6 * min(len(passage.encode()), 512), name
 
 
+def test_short_passages_are_found_whole(spark):
+    """Passages of 51 short words: each later holder gets one span, to the byte."""
+    r, rows, want = np.random.default_rng(12), [], {}
+    letters = list("abcdefghijklmnopqrstuvwxyzé")
+    for i in range(120):
+        words = ["".join(r.choice(letters, r.integers(2, 4))) for _ in range(51)]
+        passage = " ".join(words)
+        for k in range(2):
+            before = " ".join(f"c{x}" for x in r.integers(0, 10**9, r.integers(5, 40))) + "<[" [k]
+            text = before + passage + ">]"[k] + " ".join(f"e{x}" for x in r.integers(0, 10**9, 20))
+            rows.append((1000 * k + i, text))
+            want[1000 + i] = (len(before.encode()), len(passage.encode()), i)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert min(n for _, n, _ in want.values()) >= chunk_dedup.MIN_SPAN
+    got = {s.doc_id: (s.start, s.length, s.first_doc_id) for s in chunk_dedup.spans(df).collect()}
+    assert got == want
+    for text in (x.text for x in chunk_dedup.remove(df).collect()):
+        assert "\ufffd" not in text
+
+
+def test_patchwork_is_no_span(spark):
+    """Pieces of 60 bytes of many documents in a row are no copied passage."""
+    r = np.random.default_rng(13)
+    rows = [(i, " ".join(f"q{x}" for x in r.integers(0, 10**9, 40))) for i in range(30)]
+    rows.append((99, "".join(t[100:160] for _, t in rows)))
+    rows.append((100, "start " + rows[7][1][50:300] + " end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(s.doc_id, s.start, s.length, s.first_doc_id) for s in chunk_dedup.spans(df).collect()]
+    assert got == [(100, 6, 250, 7)] or [g[0] for g in got] == [100] and 250 <= got[0][2] <= 254
+
+
+def test_long_growth_takes_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(chunk_dedup, "PAD", 4)
+    text = "".join(words_of(21, 200))
+    rows = [(1, "two " + text + " more"), (2, "other things before " + text + "!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(s.doc_id, s.start, s.length, s.first_doc_id) for s in chunk_dedup.spans(df).collect()]
+    assert got == [(2, 19, len(text) + 1, 1)]
+
+
 # --- 9: language-model scores ---------------------------------------------------
 
 def brute_scores(texts):

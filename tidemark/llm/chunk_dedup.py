@@ -7,13 +7,15 @@ its largest hash), so borders follow the content alone, with or without blanks,
 and an insertion moves only the chunks it touches.
 Chunks meet by digest (64 bits and length, in hash buckets). The first
 occurrence of a chunk, by (doc_id, start), stays; later ones are copies. Copies
-that follow each other without a gap form a span, and a span is reported (or
-removed) if it has ``MIN_SPAN`` bytes or more, so shared phrases stay.
+that follow each other in both documents are a seed. A seed grows byte by byte,
+as far as its document and the earlier one agree; grown seeds of ``MIN_SPAN`` bytes
+or more are spans (so shared phrases stay), and spans that touch are one.
 
 Within an Arrow batch all occurrences but the first go straight to the result,
 so a chunk that a third of all documents hold costs its bucket one
 entry per batch. Entries travel packed, one row per batch and bucket; the number
-of buckets follows the data. Spans are merged per document.
+of buckets follows the data. To grow, seeds meet the two texts in two joins and
+take ``PAD`` bytes at either side along; those that agree that far go again.
 
 Null and empty texts have no chunks. Equal documents: all but the first are
 copies as a whole. Rows that share a doc_id are told apart by their text; equal
@@ -36,6 +38,7 @@ from .text import U, mix
 MIN_CHUNK = 16
 MAX_CHUNK = 256
 MIN_SPAN = 128
+PAD = 128  # bytes by which a seed may grow in the first round
 BYTES_PER_BUCKET = 48 << 20
 #: the gear table: 256 pseudo-random words
 GEAR = (mix(np.arange(1, 257, dtype=U)) >> U(32)).astype(np.uint32)
@@ -94,8 +97,8 @@ KIND = pa.schema([("bucket", pa.int64()), ("digests", pa.binary()), ("starts", p
                   ("doc_id", pa.int64()), ("text_id", pa.string()), ("copies", pa.binary())])
 KIND_SQL = ("bucket long, digests binary, starts binary, lengths binary, docs binary, texts binary, counts binary, "
             "doc_id long, text_id string, copies binary")
-#: a copied chunk: start and length in its document, and a document that holds it earlier
-COPY = np.dtype([("start", "<i8"), ("length", "<i8"), ("first", "<i8")])
+#: a copied chunk: start and length in its document, and a place that holds it earlier
+COPY = np.dtype([("start", "<i8"), ("length", "<i8"), ("first", "<i8"), ("lead_text", "S16"), ("lead_start", "<i8")])
 COPIES = pa.schema([("doc_id", pa.int64()), ("text_id", pa.string()), ("copies", pa.binary())])
 NO_ID = -(1 << 63)  # a null doc_id
 
@@ -111,11 +114,13 @@ def _scan(buckets: int):
         lead = first[back]
         later = lead != np.arange(len(d))
         ids = np.array([r[0] for r in rows], np.int64)
+        names = np.array([r[1] for r in rows], "S16")
         for i in np.unique(who[later]).tolist():
             lo, hi = np.searchsorted(who, [i, i + 1])
             at = lo + np.flatnonzero(later[lo:hi])
             copies = np.empty(len(at), COPY)
             copies["start"], copies["length"], copies["first"] = s[at], n[at], ids[who[lead[at]]]
+            copies["lead_text"], copies["lead_start"] = names[who[lead[at]]], s[lead[at]]
             yield {"doc_id": int(ids[i]), "text_id": rows[i][1].hex(), "copies": copies.tobytes()}
         keep = np.flatnonzero(~later)
         d, s, n, who = d[keep], s[keep], n[keep], who[keep]
@@ -189,31 +194,131 @@ def _copies(t: pa.Table) -> pa.Table:
     for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
         c = np.empty(hi - lo, COPY)
         c["start"], c["length"], c["first"] = s[at[lo:hi]], n[at[lo:hi]], docs[row[lead[lo:hi]]]
+        c["lead_text"], c["lead_start"] = texts.view("S16")[row[lead[lo:hi]]], s[lead[lo:hi]]
         out["doc_id"].append(int(docs[row[at[lo]]]))
         out["text_id"].append(texts[row[at[lo]]].tobytes().hex())
         out["copies"].append(c.tobytes())
     return pa.table(out, schema=COPIES)
 
 
-def _merge(min_span: int):
-    def run(t: pa.Table) -> pa.Table:
-        c = np.unique(np.frombuffer(b"".join(t.column("copies").to_pylist()), COPY))
-        c = c[np.concatenate(([True], c["start"][1:] != c["start"][:-1]))]
-        gap = np.concatenate(([True], c["start"][1:] != (c["start"] + c["length"])[:-1]))
-        at = np.flatnonzero(gap)
-        size = np.add.reduceat(c["length"], at)
-        keep = size >= min_span
-        n = int(keep.sum())
-        return pa.table({"doc_id": pa.array([t.column("doc_id")[0].as_py()] * n, pa.int64()),
-                         "text_id": pa.array([t.column("text_id")[0].as_py()] * n, pa.string()),
-                         "start": pa.array(c["start"][at][keep]), "length": pa.array(size[keep]),
-                         "first_doc_id": pa.array(c["first"][at][keep])})
+SEED = "doc_id long, text_id string, start long, length long, lead_doc long, lead_text string, lead_start long"
+
+
+def _seeds(t: pa.Table) -> pa.Table:
+    """Of one document: copied chunks that follow each other here and in one earlier text."""
+    c = np.unique(np.frombuffer(b"".join(t.column("copies").to_pylist()), COPY))
+    shift = c["start"] - c["lead_start"]
+    c = c[np.lexsort((c["start"], shift, c["lead_text"], c["first"]))]
+    shift = c["start"] - c["lead_start"]
+    cut = np.ones(len(c), bool)
+    cut[1:] = ((c["first"][1:] != c["first"][:-1]) | (c["lead_text"][1:] != c["lead_text"][:-1]) | (shift[1:] != shift[:-1])
+               | (c["start"][1:] != (c["start"] + c["length"])[:-1]))
+    at = np.flatnonzero(cut)
+    n, lead = len(at), c[at]
+    return pa.table({"doc_id": pa.array([t.column("doc_id")[0].as_py()] * n, pa.int64()),
+                     "text_id": pa.array([t.column("text_id")[0].as_py()] * n, pa.string()),
+                     "start": pa.array(lead["start"]), "length": pa.array(np.add.reduceat(c["length"], at)),
+                     "lead_doc": pa.array(lead["first"]),
+                     "lead_text": pa.array([x.ljust(16, b"\0").hex() for x in lead["lead_text"].tolist()], pa.string()),
+                     "lead_start": pa.array(lead["lead_start"])})
+
+
+def _agree(a: bytes, b: bytes, order: str) -> int:
+    """Bytes in which two byte strings of one length agree from the start
+    ("little") or from the end ("big")."""
+    x = int.from_bytes(a, order) ^ int.from_bytes(b, order)
+    return ((x & -x).bit_length() - 1) // 8 if x else len(a)
+
+
+def _grow(pad: int):
+    """Seeds as far as both texts agree, at character borders; ``more`` if
+    that is as far as they see."""
+    def run(batches):
+        for b in batches:
+            out = {c: b.column(c).to_pylist() for c in ("start", "length", "lead_start")}
+            more = []
+            for i, (left, right, lead_left, lead_right) in enumerate(zip(
+                    *(b.column(c).to_pylist() for c in ("left", "right", "lead_left", "lead_right")), strict=True)):
+                n, m = min(len(left), len(lead_left)), min(len(right), len(lead_right), pad)
+                back = _agree(left[len(left) - n:], lead_left[len(lead_left) - n:], "big")
+                on = _agree(right[:m], lead_right[:m], "little")
+                more.append(back == pad or on == pad)
+                while back and left[len(left) - back] & 0xC0 == 0x80:
+                    back -= 1
+                while on and on < len(right) and right[on] & 0xC0 == 0x80:
+                    on -= 1
+                out["start"][i] -= back
+                out["lead_start"][i] -= back
+                out["length"][i] += back + on
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("text_id"), pa.array(out["start"], pa.int64()), pa.array(out["length"], pa.int64()),
+                 b.column("lead_doc"), b.column("lead_text"), pa.array(out["lead_start"], pa.int64()), pa.array(more, pa.bool_())],
+                ["doc_id", "text_id", "start", "length", "lead_doc", "lead_text", "lead_start", "more"])
     return run
 
 
+def _joined(t: pa.Table) -> pa.Table:
+    """Of one document: seeds that overlap or touch in the same earlier text at the same distance are one."""
+    c = {x: t.column(x).to_numpy() for x in ("start", "length", "lead_doc", "lead_start")}
+    name = np.unique(np.array(t.column("lead_text").to_pylist(), "S32"), return_inverse=True)[1]
+    shift = c["start"] - c["lead_start"]
+    order = np.lexsort((c["start"], shift, name, c["lead_doc"]))
+    start, end = c["start"][order], (c["start"] + c["length"])[order]
+    key = np.stack((c["lead_doc"], name, shift), 1)[order]
+    fresh = np.concatenate(([True], (key[1:] != key[:-1]).any(1)))
+    part = np.cumsum(fresh) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + part) - part
+    at = np.flatnonzero(fresh | np.concatenate(([True], start[1:] > reach[:-1])))
+    out = t.take(pa.array(order[at]))
+    size = reach[np.append(at[1:], len(start)) - 1] - start[at]
+    return out.set_column(out.column_names.index("length"), "length", pa.array(size, pa.int64()))
+
+
+def _with_sides(seeds: DataFrame, texts: DataFrame, pad: int, doc: str, text: str, start: str, left: str, right: str) -> DataFrame:
+    """``seeds`` with the bytes before and behind them in the text that (doc, text) name."""
+    same = (F.col(doc) == F.col("__doc")) & (F.col(text) == F.col("__text"))
+    raw, at = F.col("__raw"), F.col(start).cast("int")
+    n = F.least(at, F.lit(pad))
+    # a byte more behind: where its character begins is seen
+    return seeds.join(texts.hint("merge"), same).select(
+        *seeds.columns, F.substring(raw, at - n + 1, n).alias(left),
+        F.substring(raw, at + F.col("length").cast("int") + 1, F.lit(pad + 1)).alias(right))
+
+
+def _grown(seeds: DataFrame, texts: DataFrame) -> DataFrame:
+    """Seeds as far as their document and the earlier one agree. What still
+    grows is joined and sees eight times as far in the next round."""
+    done, pad = None, PAD
+    seeds = written(seeds, "seeds")
+    while True:
+        own = _with_sides(seeds, texts, pad, "doc_id", "text_id", "start", "left", "right").distinct()
+        both = _with_sides(own, texts, pad, "lead_doc", "lead_text", "lead_start", "lead_left", "lead_right")
+        grown = written(arrow_map(both, _grow(pad), SEED + ", more boolean"), "grown")
+        here = grown.where("not more").drop("more")
+        done = here if done is None else done.unionByName(here)
+        seeds = grown.where("more").drop("more")
+        if seeds.isEmpty():
+            return done
+        seeds, pad = written(arrow_groups(seeds, ["doc_id", "text_id"], _joined, SEED), "seeds"), min(8 * pad, 1 << 28)
+
+
+def _merge(t: pa.Table) -> pa.Table:
+    """Of one document: spans that overlap or touch are one."""
+    t = t.sort_by([("start", "ascending"), ("length", "descending"), ("lead_doc", "ascending")])
+    start, first = t.column("start").to_numpy(), t.column("lead_doc").to_numpy()
+    end = np.maximum.accumulate(start + t.column("length").to_numpy())
+    at = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
+    stop = end[np.append(at[1:], len(start)) - 1]
+    n = len(at)
+    return pa.table({"doc_id": pa.array([t.column("doc_id")[0].as_py()] * n, pa.int64()),
+                     "text_id": pa.array([t.column("text_id")[0].as_py()] * n, pa.string()),
+                     "start": pa.array(start[at]), "length": pa.array(stop - start[at]), "first_doc_id": pa.array(first[at])})
+
+
 def spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """Copied spans: doc_id, text_id, start and length in UTF-8 bytes, and a
-    document that holds the span's beginning earlier (``first_doc_id``)."""
+    document that holds the span's beginning (``min_span`` bytes or more) earlier
+    (``first_doc_id``)."""
     buckets = bucket_count(text_bytes(docs), BYTES_PER_BUCKET)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("text_id"))
     # a document's batch of copies and the buckets' rows leave the same scan
@@ -221,9 +326,13 @@ def spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     own = scan.where("bucket is null").select("doc_id", "text_id", "copies")
     met = arrow_groups(scan.where("bucket is not null").drop("doc_id", "text_id", "copies"), ["bucket"], _copies,
                        "doc_id long, text_id string, copies binary")
-    out = arrow_groups(own.unionByName(met), ["doc_id", "text_id"], _merge(min_span),
-                       "doc_id long, text_id string, start long, length long, first_doc_id long")
+    seeds = arrow_groups(own.unionByName(met), ["doc_id", "text_id"], _seeds, SEED)
     null = F.lit(NO_ID)
+    texts = keyed.where("text <> ''").select(F.coalesce("doc_id", null).alias("__doc"), F.col("text_id").alias("__text"),
+                                             F.col("text").cast("binary").alias("__raw"))
+    long = _grown(seeds, texts).where(F.col("length") >= min_span).select("doc_id", "text_id", "start", "length", "lead_doc")
+    out = arrow_groups(long, ["doc_id", "text_id"], _merge,
+                       "doc_id long, text_id string, start long, length long, first_doc_id long")
     return out.withColumn("doc_id", F.nullif("doc_id", null)).withColumn("first_doc_id", F.nullif("first_doc_id", null))
 
 

@@ -567,6 +567,14 @@ def test_disguises_are_restored(restorer, disguise):
     assert "idiot" in toxicity.restored_words(f"what an {disguise} he is", restorer)
 
 
+@pytest.mark.parametrize("disguise, word", [
+    ("$tupid", "stupid"), ("|diot", "idiot"), ("$tupid!", "stupid"), ("(lown", "clown"), ("#idiot#", "idiot"), ("idiot###", "idiot"),
+    ("lo$er$", "loser"), ("i  d  i  o  t", "idiot"), ("i d\ni o t", "idiot"), ("i\td\ti\to\tt", "idiot")])
+def test_signs_at_the_edge_are_read_both_ways(restorer, disguise, word):
+    found = toxicity.restored_words(f"what a {disguise} he is", restorer)
+    assert any(w.startswith(word) for w in found), found
+
+
 def test_plain_words_stay(restorer):
     assert toxicity.restored_words("A plain text, with words: 2024 and 3.5", restorer) >= {"plain", "text", "with", "words", "2024"}
 

@@ -52,7 +52,9 @@ SIGN_COST, DROP_COST, SHORTEN_COST, BREAK_COST, ANY_COST = 1.0, 0.3, 0.3, 1.5, 3
 
 _WORD = re.compile(r"\S+")
 _SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:[^\S\n]\S){2,}(?=\s|$)")
+_APART = re.compile(r"(?:(?<=\s)|^)\S(?:\s+\S){2,}(?=\s|$)")  # any blanks between the letters
 _EDGE = ".,;:!?\"'()[]{}<>*#$%&|-_~`"
+_NO_LETTER = "".join(c for c in _EDGE if c not in SIGNS)  # marks that stand for no letter
 _INNER = re.compile(r"[^\W\d_][" + re.escape("".join(SIGNS) + SEPARATORS.strip()) + r"]+[^\W\d_]|"
                     r"^[" + re.escape("".join(SIGNS)) + r"]+[^\W\d_]|[^\W\d_][0-9@$]+$")
 _RUN = re.compile(r"([^\W\d_])\1\1")
@@ -175,9 +177,9 @@ class Restorer:
             if disguised(plain):
                 found.update(self.restore(plain).split())
             if not token.isalpha():  # a sign at the edge may be a letter, too
-                core = token.strip(".,;:?\"'()[]{}")
-                if len(plain) > 1 and core != plain and core.strip("*#$%&|") == core and any(map(str.isalpha, core)):
-                    found.update(self.restore(core).split())
+                for core in {token.strip(".,;:?\"'()[]{}"), token.strip(_NO_LETTER)}:
+                    if core != plain and any(map(str.isalpha, core)):
+                        found.update(self.restore(core).split())
             found.discard("")
             got = self.seen[token] = tuple(found)
         return got
@@ -188,8 +190,9 @@ def disguised(word: str) -> bool:
 
 
 def spaced_words(low: str, fix: Restorer) -> list[str]:
-    """Words behind single letters in a row."""
-    return [w for m in _SPACED.findall(low) for w in fix.restore(m).split()]
+    """Words behind single letters in a row, a blank or any blanks between them."""
+    rows = dict.fromkeys(" ".join(m.split()) for r in (_SPACED, _APART) for m in r.findall(low))
+    return [w for m in rows for w in fix.restore(m).split()]
 
 
 def restored_words(text: str, fix: Restorer) -> set[str]:

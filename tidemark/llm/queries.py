@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from .chunk_dedup import op5
+from .collocations import op13
 from .decontaminate import op7
+from .divergence import op12
+from .kernel_quality import op11
 from .lm_scores import op9
 from .packing import op10
 from .parity_join import op4
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_quality_rules": op8,
     "op9_lm_scores": op9,
     "op10_packing": op10,
+    "op11_kernel_quality": op11,
+    "op12_source_divergence": op12,
+    "op13_collocations": op13,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -60,4 +66,51 @@ it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS item
 SELECT d.doc_id, len(w) AS n_words, coalesce(nh.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
        sha256(coalesce(it.items, '')) AS items_sha256, coalesce(nh.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN nh ON nh.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id""",
+    "op12_source_divergence": rf"""
+WITH
+d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+             regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT lang, source, doc, unnest(w) AS t FROM d),
+k AS (SELECT lang, t FROM o GROUP BY lang, t HAVING count(DISTINCT doc) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, t, count(*) AS n FROM o JOIN k USING (lang, t) GROUP BY lang, source, t),
+lc AS (SELECT lang, t, sum(n) AS n FROM c GROUP BY lang, t),
+ln AS (SELECT lang, sum(n) AS n FROM lc GROUP BY lang),
+gn AS (SELECT lang, source, coalesce(any_value(v.v), 0) AS v, coalesce(sum(c.n), 0) AS n
+       FROM g LEFT JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT gn.lang, gn.source, k.t, coalesce(c.n, 0) AS n,
+             CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (gn.n + gn.v) AS HUGEINT) AS p
+      FROM gn JOIN k ON k.lang = gn.lang LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.t = k.t),
+q AS (SELECT lang, lc.t, CAST(1 + (1000000000::HUGEINT * (lc.n + 1)) // (ln.n + v.v) AS HUGEINT) AS q
+      FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.t AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value
+          FROM p JOIN q ON p.lang = q.lang AND p.t = q.t WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200""",
+    "op13_collocations": rf"""
+WITH
+d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS k)) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM g WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, k, g, f, w, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (SELECT cut.lang, cut.k, cut.g, cut.f, cut.j, a.f AS l, b.f AS r,
+             (1000000::HUGEINT * cut.f * cut.f) // (a.f::HUGEINT * b.f) AS score
+      FROM cut JOIN g AS a ON a.lang = cut.lang AND a.g = x JOIN g AS b ON b.lang = cut.lang AND b.g = y
+      QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.g ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, g, max(f) AS f FROM (SELECT lang, array_to_string(w[1:2], ' ') AS g, f FROM c WHERE k = 3
+           UNION ALL SELECT lang, array_to_string(w[2:3], ' '), f FROM c WHERE k = 3) GROUP BY lang, g),
+r AS (SELECT s.lang, s.g AS phrase, s.f AS a, s.l, s.r, CAST(s.score AS BIGINT) AS score,
+             row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.f DESC, s.g) AS rank
+      FROM s LEFT JOIN inner_ AS i ON i.lang = s.lang AND i.g = s.g WHERE i.f IS NULL OR 100 * i.f < 50 * s.f)
+SELECT r.lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000""",
 }

@@ -72,12 +72,12 @@ class _Ids(dict):
         return v
 
 
-def _cuts(ids: np.ndarray) -> list[np.ndarray]:
-    """Parts of about SHARD words, cut at ends of pieces."""
+def _cuts(ids: np.ndarray, size: int) -> list[np.ndarray]:
+    """Parts of about ``size`` words, cut at ends of pieces."""
     ends = np.flatnonzero(ids == 0)
     out, at = [], 0
-    while len(ids) - at > SHARD + SHARD // 2:
-        i = np.searchsorted(ends, at + SHARD)
+    while len(ids) - at > size + size // 2:
+        i = np.searchsorted(ends, at + size)
         if i == len(ends):
             break
         out.append(ids[at:ends[i]])
@@ -99,7 +99,7 @@ def shards(docs: DataFrame) -> DataFrame:
             nonlocal made
             known, parts, _ = held.pop(lang)
             words = np.array([*known, b""], object)[:-1]
-            for ids in _cuts(np.concatenate(parts)):
+            for ids in _cuts(np.concatenate(parts), SHARD):
                 own, n = np.unique(ids[ids > 0], return_counts=True)
                 local = np.zeros(len(words) + 1, np.int32)
                 local[own] = np.arange(1, len(own) + 1)

@@ -173,7 +173,8 @@ def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 # --- pairs ----------------------------------------------------------------------
 
-def _cells(term: np.ndarray, source: np.ndarray, p: np.ndarray, p0: np.ndarray, n_sources: int) -> dict[int, int]:
+def _cells(term: np.ndarray, source: np.ndarray, p: np.ndarray, p0: np.ndarray, n_sources: int,
+           cells: int) -> dict[int, int]:
     """pair (a * n_sources + b) -> what terms that both sources have add to the value
     beyond what each of them adds alone. Rows are sorted by term."""
     starts = np.flatnonzero(np.diff(term, prepend=-1))
@@ -196,16 +197,16 @@ def _cells(term: np.ndarray, source: np.ndarray, p: np.ndarray, p0: np.ndarray,
 
     for k in np.unique(sizes[sizes > 1]).tolist():
         first = starts[sizes == k]
-        step = max(1, CELLS // (k * k))
-        if k * k <= CELLS:
+        step = max(1, cells // (k * k))
+        if k * k <= cells:
             for i in range(0, len(first), step):
                 rows = first[i:i + step, None] + np.arange(k)
                 pairs(np.repeat(rows, k, axis=1), np.tile(rows, (1, k)))
         else:  # a term of very many sources: some rows of it against all
             for f in first.tolist():
                 rows = np.arange(f, f + k)
-                for i in range(0, k, max(1, CELLS // k)):
-                    some = rows[i:i + max(1, CELLS // k)]
+                for i in range(0, k, max(1, cells // k)):
+                    some = rows[i:i + max(1, cells // k)]
                     pairs(np.repeat(some, k), np.tile(rows, len(some)))
     return total
 
@@ -224,7 +225,7 @@ def met(rows: DataFrame) -> DataFrame:
         # a source of two langs is two sources
         source = lang.indices.to_numpy().astype(np.int64) * len(names) + name.indices.to_numpy()
         own, source = np.unique(source, return_inverse=True)
-        got = _cells(change, source, t.column("p").to_numpy(), t.column("p0").to_numpy(), len(own))
+        got = _cells(change, source, t.column("p").to_numpy(), t.column("p0").to_numpy(), len(own), CELLS)
         langs = lang.dictionary.to_pylist()
         a = [own[c // len(own)] for c in got]
         b = [own[c % len(own)] for c in got]

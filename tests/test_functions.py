@@ -50,9 +50,9 @@ def test_typed_literal_pushes_down(spark, tmp_path):
 
 def test_bucket_is_stable_and_in_range(spark):
     df = spark.createDataFrame([(i,) for i in range(100)] + [(None,)], "k int")
-    b = [r[0] for r in df.select(bucket_of(["k"], 7)).collect()]
+    b = [r[0] for r in df.select(bucket_of(df.schema, ["k"], 7)).collect()]
     assert all(0 <= x < 7 for x in b)
-    assert b == [r[0] for r in df.select(bucket_of(["k"], 7)).collect()]
+    assert b == [r[0] for r in df.select(bucket_of(df.schema, ["k"], 7)).collect()]
 
 
 def test_casted_to_truncates_bad_values(spark):

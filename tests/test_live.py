@@ -87,15 +87,79 @@ def test_old_folders_go(spark, root):
     assert len(fs.list_dirs(spark, f"{root}/data")) == 2   # the live one and the one before
 
 
-def test_target_by_name(spark, root):
+def test_target_by_name_follows_merges_columns_and_types(spark, root):
+    """A name given once shows every later merge: moved buckets, new buckets, new
+    columns, wider types and a whole rewrite; queries built before still work."""
     flow = CdcFlow("t", "s", ["k"], "s", 2, buckets=3)
-    merge_batch(spark, frame(spark, FIRST), flow, root, 0)
-    merge_batch(spark, frame(spark, [(0, t(5), "z", 1)], SCHEMA + ", c int"), flow, root, 1)
-    register_target(spark, root, "live_view_test")
-    got = spark.sql("SELECT k, v, c FROM live_view_test WHERE k = 0 ORDER BY s").collect()
+    merge_batch(spark, frame(spark, FIRST[:1]), flow, root, 0)
+    register_target(spark, root, "live_name_test")
+    register_target(spark, root, "live_name_test")   # again: no harm
+    merge_batch(spark, frame(spark, FIRST[1:]), flow, root, 1)
+    assert spark.table("live_name_test").count() == 40
+    merge_batch(spark, frame(spark, [(0, t(5), "z", 1)], SCHEMA + ", c int"), flow, root, 2)
+    got = spark.sql("SELECT k, v, c FROM live_name_test WHERE k = 0 ORDER BY s").collect()
     assert [(r.v, r.c) for r in got] == [("a", None), ("z", 1)]
-    assert spark.table("live_view_test").count() == 41
-    spark.sql("DROP VIEW live_view_test")
+    for i, (k, c, kind) in enumerate([(1, 1 << 40, "long"), (2, "text", "string"), (3, "more", "string")]):
+        merge_batch(spark, frame(spark, [(k, t(6), "y", c)], SCHEMA + f", c {kind}"), flow, root, 3 + i)
+        by_name, by_path = (sorted(map(str, df.collect())) for df in (spark.table("live_name_test"), read_target(spark, root)))
+        assert by_name == by_path and len(by_name) == 42 + i
+    L.unregister(spark, root, "live_name_test")
+    merge_batch(spark, frame(spark, [(1, t(9), "last", "x")], SCHEMA + ", c string"), flow, root, 9)
+    assert not spark.catalog.tableExists("live_name_test") and read_target(spark, root).count() == 45
+
+
+def test_an_old_state_of_a_name_is_brought_up_to_date(spark, root, monkeypatch):
+    """A catalog that missed merges (another session's) gets them with the next one."""
+    flow = CdcFlow("t", "s", ["k"], "s", 1, buckets=4)
+    merge_batch(spark, frame(spark, FIRST), flow, root, 0)
+    register_target(spark, root, "live_missed_test")
+    with monkeypatch.context() as m:
+        m.setattr(L, "names", lambda *a: [])
+        for i in (1, 2, 3):
+            merge_batch(spark, frame(spark, [(k, t(i), str(i)) for k in range(i, 50, 3)]), flow, root, i)
+    merge_batch(spark, frame(spark, [(0, t(9), "z")]), flow, root, 4)
+    assert sorted(map(str, spark.table("live_missed_test").collect())) == sorted(map(str, read_target(spark, root).collect()))
+    L.unregister(spark, root, "live_missed_test")
+
+
+KINDS = [("tinyint", "smallint"), ("int", "bigint"), ("int", "double"), ("float", "double"), ("date", "timestamp_ntz"),
+         ("int", "string"), ("bigint", "decimal(20,0)"), ("decimal(10,2)", "decimal(12,2)"), ("date", "string"),
+         ("timestamp_ntz", "string")]
+
+
+@pytest.mark.parametrize("old,new,scd,except_cols", [(*k, 2, None) for k in KINDS] + [
+    (*k, *form) for k in (("int", "bigint"), ("int", "string")) for form in ((1, None), (2, ["s", "v"]))])
+def test_a_key_keeps_its_rows_when_its_type_changes(spark, root, scd, except_cols, old, new):
+    """Old keys, then a batch of the new type touching two of them and a new one."""
+    flow = CdcFlow("t", "s", ["k"], "s", scd, except_cols, buckets=16)
+    key = F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")) if old in ("date", "timestamp_ntz") else F.col("id")
+
+    def batch(ks, kind, s, v):
+        ids = spark.createDataFrame([(k,) for k in ks], "id long")
+        return ids.select(key.cast(old).cast(kind).alias("k"), F.lit(s).cast("timestamp_ntz").alias("s"), F.lit(v).alias("v"))
+
+    merge_batch(spark, batch(range(20), old, "2025-02-01", "a"), flow, root, 0)
+    m = merge_batch(spark, batch([3, 7, 25], new, "2025-02-02", "b"), flow, root, 1)
+    out = read_target(spark, root)
+    kept = 21 if scd == 1 or except_cols else 23   # ignored columns open no version
+    assert out.count() == kept and out.select("k").distinct().count() == 21
+    assert out.schema["k"].dataType.simpleString() == new
+    open_ = out if scd == 1 else out.where("__END_AT IS NULL")
+    assert open_.count() == 21 and open_.where("v = 'b'").count() == 3
+    assert m["rewritten"] == ((old, new) not in (("tinyint", "smallint"), ("int", "bigint"), ("float", "double"),
+                                                 ("date", "timestamp_ntz")))
+
+
+def test_targets_bucketed_without_canonical_keys_are_rewritten_once(spark, root):
+    flow = CdcFlow("t", "s", ["k"], "s", 1, buckets=16)
+    merge_batch(spark, frame(spark, FIRST), flow, root, 0)
+    live = L.latest(spark, root)
+    live.keys, live.number = [], live.number + 1
+    import json
+    fs.write_text(spark, f"{root}/_live/{live.number:012d}.json", json.dumps(live.__dict__))
+    assert merge_batch(spark, frame(spark, SECOND), flow, root, 1)["rewritten"]
+    assert not merge_batch(spark, frame(spark, SECOND), flow, root, 2)["rewritten"]
+    assert read_target(spark, root).count() == 41
 
 
 def test_registry_orders_tables_and_refuses_cycles_and_equal_names(spark, layout):

@@ -94,7 +94,8 @@ def test_seen_key_history_is_filtered_map_side(spark, root):
     from pyspark import StorageLevel
     from tidemark.functions.columns import bucket_of
     from tidemark.streaming.silver import BUCKET, seen_keys
-    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn(BUCKET, bucket_of(["user_id"], 4))
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev = ev.withColumn(BUCKET, bucket_of(ev.schema, ["user_id"], 4))
     (ev.select(BUCKET, "user_id").distinct().write.partitionBy(BUCKET).parquet(f"{root}/seen"))
     batch = ev.where(F.col("user_id") < 3).select(BUCKET, "user_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -146,3 +146,45 @@ def test_replayed_merge_batch_writes_the_same_rows(spark, layout):
         first_arrivals(spark, batch([(2, "x", t(2)), (3, "c", t(2))]), 1, spec, layout)
     out = read_silver(spark, spec, layout, schema=spark.createDataFrame([], SCHEMA).schema).collect()
     assert {r.user_id: r.user_name for r in out} == {1: "a", 2: "b", 3: "c"} and len(out) == 3
+
+
+@pytest.mark.parametrize("mode", ["merge", "state"])
+def test_plain_readers_of_the_folder_see_every_row(spark, layout, mode):
+    """A batch read and a stream of the table's folder, by any reader, in both
+    forms of storage, after a replay too."""
+    from pyspark.sql import functions as F
+    from tidemark.streaming.silver import ARRIVAL, BATCH, first_arrivals
+    spec = SilverSpec(table="p", dedup_keys=["user_id"], dedup_mode=mode, dedup_buckets=4)
+    for d in (1, 2):
+        append_bronze(spark.createDataFrame([(d, "a", t(d)), (9, "x", t(d))], SCHEMA), layout.bronze("p"))
+        run_silver(spark, spec, layout)
+    if mode == "merge":   # the second batch again
+        again = spark.createDataFrame([(2, "a", t(2)), (9, "x", t(2))], SCHEMA)
+        first_arrivals(spark, again.withColumn(ARRIVAL, F.struct(F.col("updated_at").alias("t"))), 1, spec, layout)
+    folder = layout.silver_data("p")
+    assert sorted(r.user_id for r in spark.read.parquet(folder).collect()) == [1, 2, 9]
+    schema = read_silver(spark, spec, layout).schema
+    assert schema.fieldNames() == ["user_id", "user_name", "updated_at"]
+    assert spark.read.schema(schema).parquet(folder).drop(BATCH).count() == 3
+    q = (spark.readStream.schema(schema).parquet(folder).writeStream.format("memory").queryName(f"plain_{mode}")
+         .option("checkpointLocation", f"{layout.root}/cp_{mode}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.user_id for r in spark.table(f"plain_{mode}").collect()) == [1, 2, 9]
+
+
+@pytest.mark.parametrize("dedup", [None, ["user_id"]])
+def test_a_name_shows_columns_added_later(spark, layout, dedup):
+    from tidemark.streaming.silver import table_stream
+    name = f"silver_added_{'merge' if dedup else 'plain'}"
+    spec = SilverSpec(table="n", dedup_keys=dedup, catalog_name=name)
+    append_bronze(spark.createDataFrame([(1, "a", t(1))], SCHEMA), layout.bronze("n"))
+    run_silver(spark, spec, layout)
+    append_bronze(spark.createDataFrame([(2, "b", t(2), "DE")], SCHEMA + ", country string"), layout.bronze("n"))
+    run_silver(spark, spec, layout)
+    want = {1: None, 2: "DE"}
+    assert {r.user_id: r.country for r in spark.table(name).collect()} == want
+    q = (table_stream(spark, spec, layout).writeStream.format("memory").queryName(f"s_{name}")
+         .option("checkpointLocation", f"{layout.root}/cp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert {r.user_id: r.country for r in spark.table(f"s_{name}").collect()} == want
+    spark.sql(f"DROP TABLE {name}")

@@ -81,11 +81,54 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def bucket_of(keys: Sequence[str], buckets: int, width: int | None = None) -> Column:
-    """Stable bucket number of a key.
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def key_class(dtype: T.DataType) -> str:
+    """Types of one class hold equal keys in equal canonical form."""
+    if dtype in _WHOLE:
+        return "whole"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "real"
+    if isinstance(dtype, T.DecimalType):
+        return f"decimal:{dtype.scale}"
+    if isinstance(dtype, _TIMES):
+        return "time"
+    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
+        return "text"
+    return dtype.simpleString()
+
+
+def canonical(col: str, dtype: T.DataType) -> Column:
+    """A key column in the widest type of its class: a key has the same form (and
+    hash) whether its column is an int today or a bigint tomorrow."""
+    c, kind = F.col(f"`{col}`"), key_class(dtype)
+    if kind == "whole":
+        return c.cast("long")
+    if kind == "real":
+        return c.cast("double") + F.lit(0.0)   # -0.0 is 0.0
+    if kind.startswith("decimal"):
+        return c.cast(T.DecimalType(38, dtype.scale))
+    if kind == "time":
+        return c.cast("timestamp_ntz")
+    return c.cast("string") if kind == "text" else c
+
+
+def key_classes(schema: T.StructType, keys: Sequence[str]) -> list[str]:
+    return [key_class(schema[k].dataType) for k in keys]
+
 
-    Hash buckets (default): ``pmod(xxhash64(keys), buckets)`` -- a fixed
-    number of evenly filled buckets, for keys that are updated anywhere.
+def canonical_key(schema: T.StructType, keys: Sequence[str]) -> Column:
+    """All key columns in canonical form as one non-null struct (see ``key_struct``)."""
+    return F.struct(*[canonical(k, schema[k].dataType).alias(k) for k in keys])
+
+
+def bucket_of(schema: T.StructType, keys: Sequence[str], buckets: int, width: int | None = None) -> Column:
+    """Stable bucket number of a key, whatever type of its class the column has.
+
+    Hash buckets (default): ``pmod(xxhash64(keys), buckets)`` of the canonical
+    keys -- a fixed number of evenly filled buckets, for keys that are updated anywhere.
     Range buckets (``width`` set, one integral key): ``floor(key / width)``
     -- for keys that grow over time (fact ids): new keys fill new buckets and
     late changes touch recent ones only, so a merge rewrites recent data,
@@ -95,7 +138,7 @@ def bucket_of(keys: Sequence[str], buckets: int, width: int | None = None) -> Co
         if len(keys) != 1:
             raise ValueError("range buckets need exactly one integral key")
         return F.coalesce(F.floor(F.col(keys[0]) / F.lit(width)), F.lit(-1)).cast("long")
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("long")
+    return F.pmod(F.xxhash64(*[canonical(k, schema[k].dataType) for k in keys]), F.lit(buckets)).cast("long")
 
 
 def casted_to(df: DataFrame, schema: T.StructType, truncate: bool = True) -> DataFrame:
@@ -117,12 +160,16 @@ def casted_to(df: DataFrame, schema: T.StructType, truncate: bool = True) -> Dat
     return df.select(*out)
 
 
-_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+_DIGITS = dict(zip(("tinyint", "smallint", "int", "bigint"), (3, 5, 10, 19), strict=True))
+
+
+def _decimal(t: T.DataType) -> T.DecimalType | None:
+    return t if isinstance(t, T.DecimalType) else T.DecimalType(_DIGITS[t.simpleString()], 0) if t in _WHOLE else None
 
 
 def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """A type that holds the values of both: the wider number, the timestamp
-    of a date and a timestamp, else text."""
+    """A type that holds the values of both: the wider number, the timestamp of a
+    date and a timestamp, else text (also for more than 38 digits)."""
     if a == b or isinstance(b, T.NullType):
         return a
     if isinstance(a, T.NullType):
@@ -132,12 +179,27 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
     numbers = (T.FloatType, T.DoubleType)
     if (a in _WHOLE or isinstance(a, numbers)) and (b in _WHOLE or isinstance(b, numbers)):
         return T.DoubleType()
-    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    if isinstance(a, times) and isinstance(b, times):
+    if (isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType)) and _decimal(a) and _decimal(b):
+        x, y = _decimal(a), _decimal(b)
+        scale = max(x.scale, y.scale)
+        digits = max(x.precision - x.scale, y.precision - y.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.StringType()
+    if isinstance(a, _TIMES) and isinstance(b, _TIMES):
         return next((t for t in (a, b) if not isinstance(t, T.DateType)), a)
     return T.StringType()
 
 
+def reads_as(stored: T.DataType, wanted: T.DataType) -> bool:
+    """Whether Parquet files of the stored type can be read as the wanted one."""
+    if stored == wanted:
+        return True
+    if stored in _WHOLE and wanted in _WHOLE:
+        return _WHOLE.index(stored) <= _WHOLE.index(wanted)
+    if isinstance(wanted, T.DoubleType):
+        return stored in _WHOLE[:3] or isinstance(stored, T.FloatType)
+    return isinstance(stored, T.DateType) and isinstance(wanted, T.TimestampNTZType)
+
+
 def wider_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """``old`` with the columns only ``new`` has appended, every column in a
     type that holds both sides' values."""

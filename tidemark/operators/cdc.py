@@ -119,7 +119,8 @@ def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
     # every non-key column is tracked unless listed -- the sequence column
     # too, so it must be listed for versions to collapse
     tracked = [c for c in cols if c not in keys and c not in set(except_cols)]
-    v = last_of_runs(p, seq, F.struct(*[F.col(c) for c in tracked]), START, END)
+    # with every column excluded a key has one version
+    v = last_of_runs(p, seq, F.struct(*([F.col(c) for c in tracked] or [F.lit(True)])), START, END)
     return v.select(*cols, START, END)
 
 

@@ -117,6 +117,14 @@ ORACLES: dict[str, str] = {
     "scd2_added_column": (
         "SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN props END AS props, "
         'ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT" FROM events'),
+    "scd1_key_widened": _SCD1_ORDERS,
+    "scd2_key_widened": _SCD2_ORDERS,
+    "scd2_key_to_text": f"SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey) FROM ({_SCD2_ORDERS})",
+    "gold_by_name_after_merges": (
+        "SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 4 > 1 THEN props END AS props, "
+        'ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT" FROM events'),
+    "silver_by_name_added_column": (
+        "SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events"),
     "gold_by_name": f'SELECT * FROM ({_SCD2_ORDERS}) WHERE "__END_AT" IS NOT NULL',
     "table_stream_by_name": _SCD1_EVENTS,
     "declared_chain": (

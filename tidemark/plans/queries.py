@@ -25,7 +25,8 @@ from ..session import scratch
 from ..sources.extract import high_water_mark
 from ..sources.relational import frame_reader, parquet_reader
 from ..sources.watermark import write_watermark
-from ..streaming.gold import CdcFlow, merge_batch, read_target, run_flow, upsert_report
+from ..sinks.bronze import append_bronze
+from ..streaming.gold import CdcFlow, merge_batch, read_target, register_target, run_flow, upsert_report
 from ..streaming.silver import SilverSpec, read_silver, run_silver, table_stream
 from .declare import Registry
 from .ingest import NO_DATA, ingest_all, ingest_table
@@ -357,6 +358,35 @@ def scd2_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_target(spark, root)
 
 
+def _drifting_keys(spark: SparkSession, sf_dir: str, name: str, flow: CdcFlow, kinds: list[str]) -> DataFrame:
+    """Orders merged in date slices, the customer key in another type each time."""
+    root = scratch(spark, name)
+    orders = table(spark, sf_dir, "orders")
+    r = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()   # two values
+    step = (r["hi"] - r["lo"]) / len(kinds)
+    for i, kind in enumerate(kinds):
+        part = orders if i + 1 == len(kinds) else orders.where(F.col("o_orderdate") < F.lit(r["lo"] + step * (i + 1)))
+        if i:
+            part = part.where(F.col("o_orderdate") >= F.lit(r["lo"] + step * i))
+        merge_batch(spark, part.withColumn("o_custkey", F.col("o_custkey").cast(kind)), flow, root, i)
+    return read_target(spark, root)
+
+
+def scd1_key_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key column is an int first, then a bigint: one row per key all the same."""
+    return _drifting_keys(spark, sf_dir, "scd1_key_widened", _orders_flow(1), ["int", "bigint"])
+
+
+def scd2_key_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above with versions; a later batch has ints again."""
+    return _drifting_keys(spark, sf_dir, "scd2_key_widened", _orders_flow(2), ["int", "bigint", "int"])
+
+
+def scd2_key_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key column becomes text: numbers keep their rows under the same digits."""
+    return _drifting_keys(spark, sf_dir, "scd2_key_to_text", _orders_flow(2), ["bigint", "string", "int"])
+
+
 def _named(name: str) -> str:
     return f"tidemark_{name}_{uuid.uuid4().hex[:8]}"
 
@@ -378,6 +408,30 @@ def gold_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM default.{name} WHERE __END_AT IS NOT NULL")
 
 
+def gold_by_name_after_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target named after its first merge and read by that name after three
+    further ones, the second of which brings a column."""
+    root, name = scratch(spark, "gold_by_name_after_merges"), _named("events")
+    ev, flow = table(spark, sf_dir, "events"), _flow(2)
+    for i in range(4):
+        part = ev.where(F.col("event_id") % 4 == i)
+        merge_batch(spark, part if i > 1 else part.drop("props"), flow, root, i)
+        if i == 0:
+            register_target(spark, root, name)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def silver_by_name_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table read by its catalog name after a file with a new column."""
+    lay = Layout(scratch(spark, "silver_by_name_added_column"))
+    ev = table(spark, sf_dir, "events")
+    spec = SilverSpec(table="events", transform=drop_rescued, catalog_name=_named("silver"))
+    for i, part in enumerate((ev.where("event_id % 2 = 0").drop("props"), ev.where("event_id % 2 = 1"))):
+        append_bronze(part, lay.bronze("events"))
+        run_silver(spark, spec, lay)
+    return spark.table(spec.catalog_name)
+
+
 def table_stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver table streamed by its catalog name into an SCD1 target."""
     lay = Layout(scratch(spark, "table_stream_by_name"))
@@ -562,7 +616,12 @@ QUERIES: dict[str, Query] = {
     "star_dup_dimension": star_dup_dimension,
     "orders_chain": orders_chain,
     "scd2_added_column": scd2_added_column,
+    "scd1_key_widened": scd1_key_widened,
+    "scd2_key_widened": scd2_key_widened,
+    "scd2_key_to_text": scd2_key_to_text,
     "gold_by_name": gold_by_name,
+    "gold_by_name_after_merges": gold_by_name_after_merges,
+    "silver_by_name_added_column": silver_by_name_added_column,
     "table_stream_by_name": table_stream_by_name,
     "declared_chain": declared_chain,
     "target_expectation": target_expectation,

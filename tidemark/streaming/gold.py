@@ -1,7 +1,9 @@
 """Keyed gold targets (SCD type 1 / type 2) fed by a stream of changes.
 
 Storage: a parquet folder partitioned by ``__bucket = pmod(xxhash64(keys),
-B)``. Applying a micro-batch recomputes only the buckets its keys fall in:
+B)`` of the keys in canonical form (``functions.canonical_key``: whole numbers as
+bigint, times as one type), so a key keeps its bucket when its column is widened.
+Applying a micro-batch recomputes only the buckets its keys fall in:
 
 1. rules (expect-or-drop) and NULL-sequence rejection on the batch;
 2. touched buckets = distinct ``__bucket`` of the batch (at most B values),
@@ -24,7 +26,11 @@ it is after it; a replayed batch is merged again, and SCD1 / SCD2 merges are
 idempotent (identical events collapse). The schema of the target is stored
 with its folders and widened by every batch: a new column is NULL in older
 rows, a batch without a column keeps it, and a changed type becomes the
-type that holds both.
+type that holds both. A key whose form changes (numbers that become texts), or a
+column whose older files can't be read in its new type, makes the merge recompute
+every bucket once.
+
+Targets registered in the catalog (``register_target``) follow every merge.
 
 Targets with a history exclusion list keep their events, bucketed alike, next
 to the data, because collapsed versions have lost the inner sequence points
@@ -44,11 +50,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from ..functions.columns import bucket_of, conform, key_struct, wider_schema
+from ..functions.columns import bucket_of, conform, key_classes, key_struct, reads_as, wider_schema
 from ..operators.cdc import END, START, data_columns, resolve_ties, scd1_latest, scd2_versions
 from ..operators.quality import all_rules, rule_column
 from . import live as L
 from .live import BUCKET
+from .silver import BATCH
 
 FLOW_LOG_SCHEMA = ("flow string, target string, batch_id long, rows_in long, rows_out long, "
                    "null_sequence long, rows_applied long, buckets_touched long, "
@@ -82,8 +89,8 @@ class CdcFlow:
     def flow_name(self) -> str:
         return self.name or f"{self.target}_flow"
 
-    def bucket(self):
-        return bucket_of(list(self.keys), self.buckets, self.bucket_width)
+    def bucket(self, schema: T.StructType):
+        return bucket_of(schema, list(self.keys), self.buckets, self.bucket_width)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
@@ -99,8 +106,10 @@ def target_exists(spark: SparkSession, path: str) -> bool:
 
 
 def register_target(spark: SparkSession, path: str, name: str) -> None:
-    """Give the target's present contents a catalog name (a view)."""
-    spark.sql(L.view_sql(spark, path, name))
+    """Give the target a catalog name that follows its merges: a partitioned table
+    ``<name>__parts`` whose partition locations each merge switches, and a view
+    ``<name>`` of its columns without the bucket."""
+    L.register(spark, path, name)
 
 
 KEY = "__key"
@@ -163,6 +172,15 @@ def _bucket_stats(raw: DataFrame, rules: Mapping[str, str], seq: str) -> list[di
     return [r.asDict() for r in raw.groupBy(BUCKET).agg(*cols).collect()]
 
 
+def _rewrites(live: L.Live, plain: T.StructType | None, schema: T.StructType, keys: Sequence[str]) -> bool:
+    """Whether every bucket has to be recomputed: the stored keys are bucketed in
+    another form, or stored files can't be read in the widened types."""
+    if plain is None:
+        return False
+    return live.keys != key_classes(schema, keys) or any(
+        not reads_as(f.dataType, schema[f.name].dataType) for f in plain.fields)
+
+
 def _widened(stored: DataFrame, schema: T.StructType) -> DataFrame:
     """Stored rows in the columns and types of ``schema`` (intervals and bucket kept)."""
     extra = [f for f in stored.schema.fields if f.name in (START, END, BUCKET)]
@@ -177,14 +195,17 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
     live = L.latest(spark, target_path)
 
     rules = dict(flow.expectations)
+    batch = batch.drop(BATCH)
     cols = data_columns(batch)
     # stored columns first; the batch's new ones behind them
     stored = live.schema("events" if keep_events else "data")
     plain = T.StructType([f for f in stored.fields if f.name not in (START, END)]) if stored else None
     incoming = batch.select(*cols)
     schema = wider_schema(plain, incoming.schema) if plain else incoming.schema
+    whole = _rewrites(live, plain, schema, keys)
+    bucket = flow.bucket(schema)
     raw = (conform(incoming, schema)
-           .withColumn(BUCKET, flow.bucket())
+           .withColumn(BUCKET, bucket)
            .persist(StorageLevel.MEMORY_AND_DISK))
     cached = [raw]
     try:
@@ -195,9 +216,9 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
         unchanged, key_set = None, None
         if touched:
             # the rows a merge recomputes: stored events (exclusion list) or versions
-            base = L.rows(spark, target_path, live, "events" if keep_events else "data", touched)
+            base = L.rows(spark, target_path, live, "events" if keep_events else "data", None if whole else touched)
             base = None if base is None else _widened(base, schema)
-            key_set = _batch_key_set(clean, keys, applied, base, flow)
+            key_set = None if whole else _batch_key_set(clean, keys, applied, base, flow)
             if key_set is not None:
                 cached.append(key_set)
                 key_set = F.broadcast(key_set)
@@ -208,7 +229,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     old_ev, kept_ev = _split_by_keys(old_ev, key_set, keys)
                 events = clean if old_ev is None else old_ev.unionByName(clean)
                 events = resolve_ties(events.drop(BUCKET), keys, seq)
-                staged.append(L.stage(_with_unchanged(events.withColumn(BUCKET, flow.bucket()), kept_ev), target_path, "events"))
+                staged.append(L.stage(_with_unchanged(events.withColumn(BUCKET, bucket), kept_ev), target_path, "events"))
                 staged_events = L.staged_rows(spark, target_path, staged[0]).drop(BUCKET)
                 if key_set is not None:
                     staged_events, _ = _split_by_keys(staged_events, key_set, keys)
@@ -229,8 +250,8 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     result = scd1_latest(events, keys, seq)
                 else:
                     result = scd2_versions(events, keys, seq, None, flow.granularity)
-            staged.append(L.stage(_with_unchanged(result.withColumn(BUCKET, flow.bucket()), unchanged), target_path, "data"))
-            L.publish(spark, target_path, live, staged, flow.flow_name, batch_id)
+            staged.append(L.stage(_with_unchanged(result.withColumn(BUCKET, bucket), unchanged), target_path, "data"))
+            L.publish(spark, target_path, live, staged, flow.flow_name, batch_id, key_classes(schema, keys), whole)
     finally:
         for df in cached:
             df.unpersist()
@@ -240,7 +261,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
         "flow": flow.flow_name, "target": flow.target, "batch_id": int(batch_id),
         "rows_in": total["rows_in"], "rows_out": total["rows_out"],
         "null_sequence": total["null_sequence"], "rows_applied": total["applicable"],
-        "buckets_touched": len(touched),
+        "buckets_touched": len(touched), "rewritten": whole and bool(touched),
         "split_by_keys": key_set is not None,
         "rules": {n: total[f"failed_{n}"] for n in rules},
     }

@@ -32,6 +32,7 @@ class Live:
     parts: dict[str, dict[str, str]] = field(default_factory=dict)
     schemas: dict[str, dict] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
+    keys: list[str] = field(default_factory=list)   # canonical forms the buckets were made of
 
     def schema(self, part: str) -> T.StructType | None:
         """The widest schema of the part's folders (without the bucket)."""
@@ -90,20 +91,27 @@ def staged_rows(spark: SparkSession, target: str, staged: tuple[str, str, dict])
 
 
 def publish(spark: SparkSession, target: str, live: Live, staged: list[tuple[str, str, dict]],
-            flow: str, batch_id: int) -> Live:
-    """Make the staged folders live for the buckets they hold, then drop
-    folders that neither this state nor the one before it names."""
+            flow: str, batch_id: int, keys: list[str], whole: bool = False) -> Live:
+    """Make the staged folders live for the buckets they hold (``whole``: for the
+    whole part), then drop folders that neither this state nor the one before it
+    names. Catalog names of the target follow."""
     parts = {p: dict(b) for p, b in live.parts.items()}
     schemas = dict(live.schemas)
     for part, folder, schema in staged:
+        if whole:
+            parts[part] = {}
         for b in fs.list_dirs(spark, f"{target}/{part}/{folder}"):
             if b.startswith(f"{BUCKET}="):
                 parts.setdefault(part, {})[b] = folder
         schemas[folder] = schema
     used = {f for b in parts.values() for f in b.values()}
     new = Live(live.number + 1, parts, {f: s for f, s in schemas.items() if f in used},
-               {**live.batches, flow: int(batch_id)})
+               {**live.batches, flow: int(batch_id)}, list(keys))
     fs.write_text(spark, f"{_pointers(target)}/{new.number:012d}.json", json.dumps(new.__dict__))
+    for name in names(spark, target):
+        # a name of another session's catalog is that session's to bring up to date
+        if spark.catalog.tableExists(_parts_name(name)):
+            follow(spark, target, name, new)
     before = {f for b in live.parts.values() for f in b.values()}
     for part in parts:
         for folder in fs.list_dirs(spark, f"{target}/{part}"):
@@ -113,20 +121,85 @@ def publish(spark: SparkSession, target: str, live: Live, staged: list[tuple[str
     return new
 
 
-def view_sql(spark: SparkSession, target: str, name: str) -> str:
-    """``CREATE OR REPLACE VIEW`` over the live folders (pruned to their buckets)."""
+# --- catalog names ------------------------------------------------------------
+
+_STATE = "tidemark.state"
+
+
+def _parts_name(name: str) -> str:
+    return f"{name}__parts"
+
+
+def names(spark: SparkSession, target: str) -> list[str]:
+    """Catalog names given to the target."""
+    return [n.removesuffix(".name") for n in fs.list_names(spark, f"{target}/_names") if n.endswith(".name")]
+
+
+def register(spark: SparkSession, target: str, name: str) -> None:
+    """Name the target in the catalog: an external table partitioned by bucket, whose
+    partition locations are the live folders, and a view of it without the bucket."""
     live = latest(spark, target)
-    schema, parts = live.schema("data"), live.parts.get("data", {})
-    by_folder: dict[str, list[str]] = {}
-    for b, f in parts.items():
-        by_folder.setdefault(f, []).append(b.split("=", 1)[1])
-    selects = []
-    for f, bs in sorted(by_folder.items()):
-        own = set(T.StructType.fromJson(live.schemas[f]).fieldNames())
-        cols = ", ".join(f"CAST({_quoted(c.name) if c.name in own else 'NULL'} AS {c.dataType.simpleString()}) AS {_quoted(c.name)}"
-                         for c in schema.fields)
-        selects.append(f"SELECT {cols} FROM parquet.`{target}/data/{f}` WHERE {BUCKET} IN ({', '.join(sorted(bs))})")
-    return f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(selects)
+    if not live.parts.get("data"):
+        raise ValueError(f"nothing has been merged into {target}")
+    if name not in names(spark, target):
+        fs.write_text(spark, f"{target}/_names/{name}.name", name)
+    follow(spark, target, name, live)
+
+
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _locations(spark: SparkSession, table: str) -> dict[str, str]:
+    """The state a table was brought to: folder of every bucket."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    n = int(props.get(f"{_STATE}.pieces", 0))
+    return json.loads("".join(props[f"{_STATE}.{i}"] for i in range(n))) if n else {}
+
+
+def follow(spark: SparkSession, target: str, name: str, live: Live) -> None:
+    """Bring a catalog name to the state ``live``: new columns are added, buckets that
+    moved get their new location. Readers of a name see every bucket (every key)
+    in one state."""
+    table, schema, parts = _parts_name(name), live.schema("data"), live.parts["data"]
+    old = [f for f in spark.table(table).schema.fields if f.name != BUCKET] if spark.catalog.tableExists(table) else None
+    new_columns = False
+    if old is not None and (schema.fieldNames()[:len(old)] != [f.name for f in old]
+                            or any(schema[f.name].dataType != f.dataType for f in old)):
+        spark.sql(f"DROP TABLE {table}")   # a type became wider: an external table, its files stay
+        old = None
+    if old is None:
+        spark.sql(f"CREATE TABLE {table} ({_columns(schema)}, {BUCKET} BIGINT) USING parquet PARTITIONED BY ({BUCKET}) "
+                  f"LOCATION '{target}/_names/{name}.parts'")
+        new_columns = True
+    elif len(schema.fields) > len(old):
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(T.StructType(schema.fields[len(old):]))})")
+        new_columns = True
+    there = _locations(spark, table)
+    added = [b for b in parts if b not in there]
+    for i in range(0, len(added), 500):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(
+            f"PARTITION ({b}) LOCATION '{target}/data/{parts[b]}/{b}'" for b in added[i:i + 500]))
+    for b, folder in parts.items():
+        if b in there and there[b] != folder:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({b}) SET LOCATION '{target}/data/{folder}/{b}'")
+    gone = [b for b in there if b not in parts]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({b})" for b in gone))
+    # a catalog may limit the length of a property
+    text = json.dumps(parts)
+    pieces = [text[i:i + 3500] for i in range(0, len(text), 3500)]
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_STATE}.pieces' = '{len(pieces)}', "
+              + ", ".join(f"'{_STATE}.{i}' = '{x}'" for i, x in enumerate(pieces)) + ")")
+    if new_columns or not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(_quoted(c) for c in schema.fieldNames())} FROM {table}")
+
+
+def unregister(spark: SparkSession, target: str, name: str) -> None:
+    """Drop a catalog name of the target; its data stays."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {_parts_name(name)}")
+    fs.remove(spark, f"{target}/_names/{name}.name", target)
 
 
 def _quoted(name: str) -> str:

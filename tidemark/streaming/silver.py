@@ -25,6 +25,9 @@ from ..paths import Layout
 ARRIVAL = "__arrival"
 BUCKET = "__bucket"
 KEY = "__key"
+#: merge mode and rescuing tables keep a folder per micro-batch: a replay replaces its own
+#: rows. A plain reader of the table's folder sees this column; ours hide it.
+BATCH = "__batch"
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -190,12 +193,13 @@ def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: S
     keys = list(spec.dedup_keys or [])
     seen_dir = _seen_dir(spec, layout)
     own = f"batch={batch_id}"
+    rows_dir = f"{layout.silver_data(spec.table)}/{BATCH}={batch_id}"
     cols = [c for c in batch.columns if c != ARRIVAL]
     # min_by is combined map-side: a hot key leaves each task as one row
     firsts = (batch.groupBy(*keys)
               .agg(F.min_by(F.struct(*cols), F.col(ARRIVAL)).alias("__w"))
               .select("__w.*")
-              .withColumn(BUCKET, bucket_of(keys, spec.dedup_buckets))
+              .withColumn(BUCKET, bucket_of(batch.schema, keys, spec.dedup_buckets))
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         per_bucket = firsts.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()  # <= buckets
@@ -209,7 +213,7 @@ def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: S
                    .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
         new = new.persist(StorageLevel.MEMORY_AND_DISK)
         (new.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(f"{layout.silver_data(spec.table)}/{own.replace('=', '-')}"))
+         .parquet(rows_dir))
         (new.select(BUCKET, *keys).hint("rebalance", BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(BUCKET).parquet(f"{seen_dir}/{own}"))
@@ -238,7 +242,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
             if not spark.catalog.tableExists(spec.catalog_name):
                 spark.catalog.createTable(spec.catalog_name, path=layout.silver_data(spec.table),
                                           source="parquet", schema=out_schema, recursiveFileLookup="true")
-            spark.catalog.refreshTable(spec.catalog_name)
+            _follow_schema(spark, spec.catalog_name, out_schema)
         return read_silver(spark, spec, layout, schema=out_schema)
     w = (df.writeStream.format("parquet")
          .outputMode("append")
@@ -251,9 +255,22 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
         q = w.start()
     q.awaitTermination()
     _save_output_schema(spark, spec, layout, df.schema)
+    if spec.catalog_name:
+        _follow_schema(spark, spec.catalog_name, df.schema)
     return read_silver(spark, spec, layout, schema=df.schema)
 
 
+def _follow_schema(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Columns the table has gained are added to its catalog entry, so that readers
+    and streams by name see them."""
+    there = set(spark.table(name).columns)
+    added = [f for f in schema.fields if f.name not in there]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
+                  + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added) + ")")
+    spark.catalog.refreshTable(name)
+
+
 def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
                 schema: T.StructType | None = None) -> DataFrame:
     """Batch view of a silver table (the sink's commit log decides which
@@ -266,9 +283,7 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
     r = spark.read
     schema = schema or output_schema(spark, spec, layout)
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
-    if _merge_mode(spec):
-        r = r.option("recursiveFileLookup", "true")   # a folder per batch
-    return r.parquet(layout.silver_data(spec.table))
+    return r.parquet(layout.silver_data(spec.table)).drop(BATCH)
 
 
 def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
@@ -277,10 +292,8 @@ def table_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataF
     if spec.catalog_name and spark.catalog.tableExists(spec.catalog_name):
         return spark.readStream.table(spec.catalog_name)
     schema = output_schema(spark, spec, layout) or read_silver(spark, spec, layout).schema
-    r = spark.readStream.schema(schema).option("maxFileAge", "36500d")
-    if _merge_mode(spec):
-        r = r.option("recursiveFileLookup", "true")
-    return r.parquet(layout.silver_data(spec.table))
+    return (spark.readStream.schema(schema).option("maxFileAge", "36500d")
+            .parquet(layout.silver_data(spec.table)).drop(BATCH))
 
 
 def reset_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> None:

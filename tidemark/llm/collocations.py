@@ -45,7 +45,8 @@ TOP = 2000
 COVERED = 50  # per cent of a phrase's occurrences inside a longer one
 SCALE = 1_000_000
 SHARD = 1 << 20  # words
-PLACE = 1 << 28  # places in a shard
+PLACE_BITS = 28  # of the places in a shard
+PLACE = 1 << PLACE_BITS
 SHARDS = 1 << 14  # shards of a task
 NO_LANG = "und"
 
@@ -211,13 +212,20 @@ def _bigrams(index: Index):
 
 # --- levels ---------------------------------------------------------------------
 
-def _named(rows: DataFrame, by: list[str], n: str, least: int) -> DataFrame:
-    """Rows of (shard, place, ``by``, ``n``) whose key has ``least`` in all shards, with
-    the sum ``f`` and the key's ``id``: the first (shard, place) that has it."""
+def _named(rows: DataFrame, by: list[str], least: int) -> DataFrame:
+    """Rows of (own, ``by``, n), own = shard and place in one number, whose key has
+    ``least`` in all shards: (own, id), id the first place that has the key, and on
+    that row the key with its sum ``f``."""
     of = Window.partitionBy(*by)
-    return (rows.withColumn("own", F.col("shard") * PLACE + F.col("place"))
-            .withColumn("f", F.sum(n).over(of)).withColumn("id", F.min("own").over(of))
-            .where(F.col("f") >= least))
+    first = F.col("own") == F.col("id")
+    return (rows.withColumn("f", F.sum("n").over(of)).withColumn("id", F.min("own").over(of))
+            .where(F.col("f") >= least)
+            .select("own", "id", *[F.when(first, F.col(c)).alias(c) for c in (*by, "f")]))
+
+
+def _known(named: DataFrame, place: Column) -> DataFrame:
+    """(shard, place, id): what a shard has of the named phrases."""
+    return named.select(F.shiftright("own", PLACE_BITS).alias("shard"), place.cast("int").alias("place"), "id")
 
 
 def _with(shards_: DataFrame, known: DataFrame, fn, schema: str) -> DataFrame:
@@ -230,53 +238,50 @@ def _with(shards_: DataFrame, known: DataFrame, fn, schema: str) -> DataFrame:
     return shards_.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(run, schema)
 
 
-def _empty(schema: str) -> pa.Table:
-    kinds = {"long": pa.int64(), "binary": pa.binary()}
-    return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in schema.split(", "))]).empty_table()
-
-
 def _column(t: pa.Table, name: str) -> np.ndarray:
     return t.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _sorted(t: pa.Table) -> pa.Table:
-    return t.sort_by("place")
+_PAIRS = "own long, a long, b long, n int"
+_TRIPLES = "a long, b long, n int"
 
 
-_PAIRS = "shard long, place long, a long, b long, n long"
-_TRIPLES = "shard long, a long, b long, n long"
+def _rows(schema: str, *columns) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns or [[]] * len(fields), strict=True)})
 
 
 def _pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows or not right.num_rows:
-        return _empty(_PAIRS)
-    right = _sorted(right)
+        return _rows(_PAIRS)
+    right = right.sort_by("place")
     ids = _column(right, "id")
     a, b, _, _, n = _bigrams(Index(_frequent(left.column("ids")[0].as_py(), _column(right, "place"))))
-    return pa.table({"shard": np.full(len(a), left.column("shard")[0].as_py()), "place": np.arange(len(a)),
-                     "a": ids[a - 1], "b": ids[b - 1], "n": n})
+    own = (left.column("shard")[0].as_py() << PLACE_BITS) + np.arange(len(a))
+    return _rows(_PAIRS, own, ids[a - 1], ids[b - 1], n.astype(np.int32))
 
 
 def _triples(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Trigrams as (bigram of the first two words, bigram of the last two, count)."""
+    """Trigrams as (bigram of the first two words, bigram of the last two, count).
+    Places below 0 are bigrams."""
     if not left.num_rows or not right.num_rows:
-        return _empty(_TRIPLES)
-    right = _sorted(right)
-    level = _column(right, "level")
-    words, pairs = right.filter(pa.array(level == 1)), right.filter(pa.array(level == 2))
-    if not pairs.num_rows:
-        return _empty(_TRIPLES)
-    index = Index(_frequent(left.column("ids")[0].as_py(), _column(words, "place")))
+        return _rows(_TRIPLES)
+    right = right.sort_by("place")
+    place, known = _column(right, "place"), _column(right, "id")
+    pairs = np.flatnonzero(place < 0)
+    if not len(pairs):
+        return _rows(_TRIPLES)
+    index = Index(_frequent(left.column("ids")[0].as_py(), place[place >= 0]))
     _, _, at, back, size = _bigrams(index)
     ids = np.full(len(at), -1, np.int64)
-    ids[_column(pairs, "place")] = _column(pairs, "id")
+    ids[-1 - place[pairs]] = known[pairs]
     grow = np.flatnonzero(ids >= 0)
     of, _, here, _, n = index.left(at[grow], back[grow], size[grow])
     # the bigram at the front is the forward interval that holds this one
     front = ids[np.searchsorted(at, here, "right") - 1]
     keep = front >= 0
-    return pa.table({"shard": np.full(int(keep.sum()), left.column("shard")[0].as_py()), "a": front[keep],
-                     "b": ids[grow][of][keep], "n": n[keep]})
+    return _rows(_TRIPLES, front[keep], ids[grow][of][keep], n[keep].astype(np.int32))
 
 
 # --- scores ---------------------------------------------------------------------
@@ -291,19 +296,18 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     """lang, rank, phrase, a, l, r, n, score of the best phrases of each lang."""
     parts = written(shards(docs), "colloc_shards")
     vocabulary = parts.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
-        "shard", "lang", (F.col("pos") + 1).cast("long").alias("place"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
+        "lang", (F.shiftleft("shard", PLACE_BITS) + F.col("pos") + 1).alias("own"), F.col("col.words").alias("word"),
+        F.col("col.counts").alias("n"))
     total = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    named = written(_named(vocabulary, ["lang", "word"], "n", min_count).select("shard", "place", "lang", "word", "f", "id", "own"),
-                    "colloc_words")
+    place = F.col("own").bitwiseAND(F.lit(PLACE - 1))
+    named = written(_named(vocabulary, ["lang", "word"], min_count), "colloc_words")
     words = named.where("own = id").select("id", "lang", "word", "f")
     ids = parts.select("shard", "ids")
-    pairs = written(_with(ids, named.select("shard", "place", "id"), _pairs, _PAIRS), "colloc_pairs")
-    found = written(_named(pairs, ["a", "b"], "n", min_count).select("shard", "place", "a", "b", "f", "id", "own"),
-                    "colloc_bigrams")
+    has_words = _known(named, place)
+    found = written(_named(_with(ids, has_words, _pairs, _PAIRS), ["a", "b"], min_count), "colloc_bigrams")
     bigrams = found.where("own = id").select("id", "a", "b", "f")
-    known = (named.select("shard", "place", "id", F.lit(1).cast("long").alias("level"))
-             .unionByName(found.select("shard", "place", "id", F.lit(2).cast("long").alias("level"))))
-    trigrams = written(_with(ids, known, _triples, _TRIPLES).groupBy("a", "b").agg(F.sum("n").alias("f"))
+    has = has_words.unionByName(_known(found, -1 - place))
+    trigrams = written(_with(ids, has, _triples, _TRIPLES).groupBy("a", "b").agg(F.sum("n").alias("f"))
                        .where(F.col("f") >= min_count), "colloc_trigrams")
 
     # a bigram goes when half of its occurrences or more are inside one trigram

@@ -88,21 +88,38 @@ def test_untouched_keys_are_copied_without_a_shuffle(spark, root):
         keys.unpersist()
 
 
-def test_seen_key_history_is_filtered_map_side(spark, root):
-    """Merge-mode dedup: the seen-key table is filtered by the batch's
-    broadcast keys without a shuffle of the key history."""
+def test_seen_key_history_is_filtered_map_side(spark, layout):
+    """Merge-mode dedup: of the history the second batch reads the buckets its keys
+    fall in, filtered by a broadcast of fixed size without a shuffle of the
+    history before it."""
     from pyspark import StorageLevel
-    from tidemark.functions.columns import bucket_of
-    from tidemark.streaming.silver import BUCKET, seen_keys
+    from tidemark.functions.columns import bucket_of, canonical_key
+    from tidemark.streaming import silver as S
+    spec = S.SilverSpec(table="e", dedup_keys=["event_id"], dedup_buckets=32)
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    ev = ev.withColumn(BUCKET, bucket_of(ev.schema, ["user_id"], 4))
-    (ev.select(BUCKET, "user_id").distinct().write.partitionBy(BUCKET).parquet(f"{root}/seen"))
-    batch = ev.where(F.col("user_id") < 3).select(BUCKET, "user_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    S.first_arrivals(spark, ev.withColumn(S.ARRIVAL, F.col("ts")), 0, spec, layout)
+    seen_dir = S._seen_dir(spec, layout)
+    folders = S._seen_state(spark, seen_dir)["folders"]
+    batch = (ev.where("event_id < 3").withColumn(S.BUCKET, bucket_of(ev.schema, ["event_id"], 32))
+             .withColumn(S.KEY, canonical_key(ev.schema, ["event_id"])).withColumn(S.HASH, F.xxhash64(S.KEY))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        batch.count()
-        plan = _plan(seen_keys(spark, f"{root}/seen", [0, 1, 2, 3], ["user_id"], batch))
-        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan, plan
-        assert "Exchange hashpartitioning" not in plan.split("InMemoryRelation")[0], plan
+        touched = [r[0] for r in batch.select(S.BUCKET).distinct().collect()]
+        assert 0 < len(touched) <= 3
+        history = S._seen(spark, seen_dir, folders, batch.select(S.KEY, S.HASH).schema)
+        out = S.unseen(batch, history, touched)
+        plan = _plan(out)
+        assert "__slot" in plan and "BroadcastHashJoin [__slot" in plan and "LeftSemi" in plan, plan
+        scan = next(ln for ln in plan.splitlines() if "FileScan parquet" in ln and "__hash" in ln)
+        assert "PartitionFilters: [__bucket" in scan or "PartitionFilters: [isnotnull(__bucket" in scan, scan
+        # the history is shuffled, if at all, behind the filter (plans list children below)
+        lines = plan.splitlines()
+        at = lines.index(scan)
+        semi = max(i for i, ln in enumerate(lines[:at]) if "LeftSemi" in ln)
+        assert not any("Exchange hashpartitioning" in ln for ln in lines[semi:at]), plan
+        assert out.count() == 0
+        # the share of the history that is read: its touched buckets
+        assert history.where(F.col(S.BUCKET).isin(touched)).count() < 0.25 * history.count()
     finally:
         batch.unpersist()
 

@@ -66,14 +66,11 @@ def test_rate_limited_run_drains_everything(spark, layout):
     assert sorted(r.user_id for r in run_silver(spark, by_size, other).collect()) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("broadcast_keys_max", [1_000_000, 0])
-def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layout, broadcast_keys_max):
+def test_merge_mode_first_arrival_is_deterministic_and_kept_for_ever(spark, layout):
     """Merge-mode dedup: within one run the earliest file wins (not an
     arbitrary row), later runs never replace a key, and a hot key with many
-    rows in one batch is reduced to one row (with and without the broadcast
-    filter of the seen keys)."""
-    spec = SilverSpec(table="u", dedup_keys=["user_id"], dedup_mode="merge", dedup_buckets=4,
-                      broadcast_keys_max=broadcast_keys_max)
+    rows in one batch is reduced to one row."""
+    spec = SilverSpec(table="u", dedup_keys=["user_id"], dedup_mode="merge", dedup_buckets=4)
     first = [(1, "first", t(1)), (2, "b", t(1))] + [(7, f"hot{i}", t(1)) for i in range(50)]
     append_bronze(spark.createDataFrame(first, SCHEMA).coalesce(1), layout.bronze("u"))
     append_bronze(spark.createDataFrame([(1, "second", t(2)), (3, "c", t(2))], SCHEMA), layout.bronze("u"))
@@ -188,3 +185,91 @@ def test_a_name_shows_columns_added_later(spark, layout, dedup):
     q.awaitTermination()
     assert {r.user_id: r.country for r in spark.table(f"s_{name}").collect()} == want
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_key_history_is_compacted_and_still_holds(spark, layout, monkeypatch):
+    from pyspark.sql import functions as F
+    from tidemark.streaming import silver as S
+    monkeypatch.setattr(S, "COMPACT_AFTER", 2)
+    spec = SilverSpec(table="h", dedup_keys=["user_id"], dedup_buckets=2)
+    for i in range(6):
+        rows = [(k, f"b{i}", t(1 + i)) for k in (i, i - 1, 0, None)]
+        S.first_arrivals(spark, spark.createDataFrame(rows, SCHEMA).withColumn(S.ARRIVAL, F.struct(F.col("updated_at"))), i, spec, layout)
+    out = read_silver(spark, spec, layout, schema=spark.createDataFrame([], SCHEMA).schema).collect()
+    assert sorted((str(r.user_id), r.user_name) for r in out) == sorted(
+        [("-1", "b0"), ("None", "b0"), *((str(k), f"b{k}") for k in range(6))])
+    state = S._seen_state(spark, S._seen_dir(spec, layout))
+    assert len(state["folders"]) <= 3 and state["batch"] == 5
+    assert sorted(n for n in fs.list_dirs(spark, S._seen_dir(spec, layout)) if n.startswith("keys-")) == sorted(state["folders"])
+
+
+# --- values that do not fit ----------------------------------------------------
+
+DRIFT = [[(1, "a", t(1))], [("2", "b", t(2)), ("x3", "c", t(3)), (None, "d", t(4))], [(5, "e", t(5))]]
+DRIFT_KINDS = ["user_id int", "user_id string", "user_id bigint"]
+
+
+def _drift(spark, layout, table, order=(0, 1, 2)):
+    for i in order:
+        append_bronze(spark.createDataFrame(DRIFT[i], f"{DRIFT_KINDS[i]}, user_name string, updated_at timestamp_ntz").coalesce(1),
+                      layout.bronze(table))
+
+
+@pytest.mark.parametrize("runs", [1, 3])
+def test_a_changed_type_keeps_the_rows(spark, layout, runs):
+    """int, text and bigint files, in one run or one after the other."""
+    spec = SilverSpec(table="d", rescue=True)
+    for i in range(3):
+        _drift(spark, layout, "d", (i,))
+        if runs == 3:
+            run_silver(spark, spec, layout)
+    out = run_silver(spark, spec, layout)
+    assert out.schema["user_id"].dataType.simpleString() == "int"
+    assert sorted((r.user_name, r.user_id, r._rescued_data) for r in out.collect()) == [
+        ("a", 1, None), ("b", 2, None), ("c", None, '{"user_id":"x3"}'), ("d", None, None), ("e", 5, None)]
+    assert run_silver(spark, spec, layout).count() == 5   # nothing new
+
+
+def test_rescue_with_dedup_transform_name_and_new_column(spark, layout):
+    from tidemark.operators.transforms import drop_rescued
+    from tidemark.streaming.silver import table_stream
+    spec = SilverSpec(table="e", rescue=True, transform=drop_rescued, dedup_keys=["user_name"], catalog_name="silver_rescue")
+    _drift(spark, layout, "e")
+    append_bronze(spark.createDataFrame([(1 << 40, "f", t(6), "DE"), (7, "a", t(7), "FR")],
+                                        "user_id bigint, user_name string, updated_at timestamp_ntz, country string"), layout.bronze("e"))
+    out = run_silver(spark, spec, layout)
+    want = [("a", 1, None), ("b", 2, None), ("c", None, None), ("d", None, None), ("e", 5, None), ("f", None, "DE")]
+    assert sorted((r.user_name, r.user_id, r.country) for r in out.collect()) == want
+    assert "_rescued_data" not in out.columns and spark.table("silver_rescue").count() == 6
+    assert table_stream(spark, spec, layout).columns == out.columns
+    spark.sql("DROP TABLE silver_rescue")
+
+
+def test_values_of_every_kind_fit_or_are_rescued(spark):
+    from pyspark.sql import types as T
+    from tidemark.streaming.silver import fitted
+    src = spark.createDataFrame([(1.0, 1 << 40, "2025-01-02", [1, 2], True), (1.5, 7, "never", None, None)],
+                                "a double, b bigint, c string, d array<int>, e boolean")
+    want = T._parse_datatype_string("a int, b int, c date, d string, e date, f string")
+    rows = fitted(src, want).collect()
+    assert [tuple(r)[:6] for r in rows] == [(1, None, dt.date(2025, 1, 2), "[1,2]", None, None), (None, 7, None, None, None, None)]
+    assert [r._rescued_data for r in rows] == ['{"b":1099511627776,"e":true}', '{"a":1.5,"c":"never"}']
+
+
+def test_without_rescue_a_changed_type_ends_the_run(spark, layout):
+    _drift(spark, layout, "w", (0,))
+    run_silver(spark, SilverSpec(table="w"), layout)
+    _drift(spark, layout, "w", (1,))
+    with pytest.raises(ValueError, match="rescue"):
+        run_silver(spark, SilverSpec(table="w"), layout)
+    with pytest.raises(ValueError, match="reset_silver"):
+        run_silver(spark, SilverSpec(table="w", rescue=True), layout)
+
+
+def test_namespace_names_silver_tables(spark, layout):
+    from tidemark.config import Namespace
+    append_bronze(spark.createDataFrame([(1, "a", t(1))], SCHEMA), layout.bronze("ns_users"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver_ns")
+    run_silver(spark, SilverSpec(table="ns_users"), layout, Namespace(schema="silver_ns"))
+    assert spark.table("silver_ns.ns_users").count() == 1
+    spark.sql("DROP DATABASE silver_ns CASCADE")

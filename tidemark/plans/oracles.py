@@ -17,6 +17,9 @@ _SCD2_EVENTS = ('SELECT *, ts AS "__START_AT", '
 _SCD1_EVENTS = (f"SELECT {_EVENTS} FROM (SELECT *, row_number() OVER "
                 "(PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1")
 
+_FIRST_EVENTS = (f"SELECT {_EVENTS} FROM (SELECT *, row_number() OVER "
+                 "(PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE ts IS NOT NULL) WHERE rn = 1")
+
 _SCD2_EXCEPT = """
 WITH a AS (
   SELECT user_id, ts, event_type, value, event_id, props,
@@ -73,9 +76,12 @@ ORACLES: dict[str, str] = {
     "range_flag": ("SELECT p_partkey, p_size, CASE WHEN p_size < 15 THEN 'low' "
                    "WHEN p_size < 30 THEN 'medium' ELSE 'high' END AS size_flag FROM part"),
     "stream_copy": "SELECT * FROM events",
-    "stream_first_arrival": "SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events GROUP BY user_id",
-    "stream_first_arrival_merge": ("SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events "
-                                   "GROUP BY user_id"),
+    "stream_first_arrival": _FIRST_EVENTS,
+    "stream_first_arrival_merge": _FIRST_EVENTS,
+    "stream_type_drift": (
+        "SELECT * EXCLUDE (bad) REPLACE (CAST(CASE WHEN bad THEN NULL ELSE o_custkey END AS INTEGER) AS o_custkey), "
+        "CASE WHEN bad THEN '{\"o_custkey\":\"C-' || o_custkey || '\"}' END AS _rescued_data "
+        "FROM (SELECT *, o_orderkey % 3 = 1 AND o_custkey % 10 = 0 AS bad FROM orders)"),
     "expect_or_drop": f"SELECT * FROM events WHERE {_RULES}",
     "expect_metrics": " UNION ALL ".join(_metric_row(n, r) for n, r in EVENT_RULES.items()),
     "scd1_latest": _SCD1_EVENTS,

@@ -158,10 +158,11 @@ def stream_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_runs(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, DataFrame]:
-    """One ingest run per day of events (the source grows day by day); the
-    day list is bounded by the time range, not the row count."""
+    """One ingest run per day of events (the source grows day by day, its rows in
+    order of time); the day list is bounded by the time range, not the row count."""
     lay = Layout(scratch(spark, name))
-    ev = table(spark, sf_dir, "events")
+    table(spark, sf_dir, "events").orderBy("ts", "event_id").write.parquet(f"{lay.root}/source")
+    ev = spark.read.parquet(f"{lay.root}/source")
     days = [r["d"] for r in ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
     for d in days:
         cap = f"{d.isoformat()} 23:59:59.999999"
@@ -176,7 +177,7 @@ def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     lay, _ = _daily_runs(spark, sf_dir, "stream_first_arrival")
     spec = SilverSpec(table="events", transform=drop_rescued, dedup_keys=["user_id"],
                       dedup_mode="state", max_files_per_trigger=1)
-    return run_silver(spark, spec, lay).select("user_id", F.to_date("ts").alias("day"))
+    return run_silver(spark, spec, lay)
 
 
 def stream_first_arrival_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +186,7 @@ def stream_first_arrival_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     lay, _ = _daily_runs(spark, sf_dir, "stream_first_arrival_merge")
     spec = SilverSpec(table="events", transform=drop_rescued, dedup_keys=["user_id"],
                       dedup_mode="merge")
-    return run_silver(spark, spec, lay).select("user_id", F.to_date("ts").alias("day"))
+    return run_silver(spark, spec, lay)
 
 
 # --- quality --------------------------------------------------------------------
@@ -432,6 +433,21 @@ def silver_by_name_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.catalog_name)
 
 
+def stream_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three bronze files: the customer key as int, as text (every tenth no number),
+    as bigint. All rows stay; texts that are no number are rescued."""
+    lay = Layout(scratch(spark, "stream_type_drift"))
+    orders = table(spark, sf_dir, "orders")
+    key, part = F.col("o_custkey"), F.col("o_orderkey") % 3
+    text = F.when(key % 10 == 0, F.concat(F.lit("C-"), key)).otherwise(key.cast("string"))
+    spec = SilverSpec(table="orders", rescue=True)
+    for i, c in enumerate((key.cast("int"), text, key.cast("bigint"))):
+        append_bronze(orders.where(part == i).withColumn("o_custkey", c), lay.bronze("orders"))
+        if i != 1:   # text and bigint files in one run
+            run_silver(spark, spec, lay)
+    return read_silver(spark, spec, lay)
+
+
 def table_stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver table streamed by its catalog name into an SCD1 target."""
     lay = Layout(scratch(spark, "table_stream_by_name"))
@@ -622,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "gold_by_name": gold_by_name,
     "gold_by_name_after_merges": gold_by_name_after_merges,
     "silver_by_name_added_column": silver_by_name_added_column,
+    "stream_type_drift": stream_type_drift,
     "table_stream_by_name": table_stream_by_name,
     "declared_chain": declared_chain,
     "target_expectation": target_expectation,

@@ -5,21 +5,30 @@ the table's row transforms and (optionally) the unbounded keyed dedup
 "first arrival wins, for ever", appends to the silver parquet table, and
 stops (``availableNow``). The schema is remembered per stream and widened
 when bronze gains columns; older rows read NULL in new columns.
+
+A column whose type changes ends the run, or (``SilverSpec(rescue=True)``) its
+values that do not fit go to ``_rescued_data`` and the rows stay.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from ..functions.columns import bucket_of, key_struct, wider_schema
+from ..config import Namespace
+from ..functions.columns import bucket_of, canonical_key, wider_schema
+from ..operators.transforms import RESCUED
 from ..paths import Layout
 
 ARRIVAL = "__arrival"
@@ -45,19 +54,18 @@ class SilverSpec:
     schema: T.StructType | None = None          # declared; otherwise inferred and remembered
     # "merge" (default): per micro-batch, the earliest arrival per key (file time, file
     #          name, row) is found with a map-side combined aggregate, then
-    #          anti-joined with a bucketed table of keys already seen (filtered
-    #          map-side by the batch's broadcast keys when their count allows).
-    #          Hot keys collapse before the shuffle and the winner is
-    #          deterministic.
+    #          anti-joined with the history of keys already seen (filtered
+    #          map-side by the batch's keys, see ``unseen``). Hot keys collapse
+    #          before the shuffle and the winner is deterministic.
     # "state": Spark's stateful dropDuplicates (one RocksDB state entry per
     #          key; within a micro-batch an arbitrary row of a key wins; every
     #          row of a key is shuffled to one task, so a hot key makes one
     #          long task).
     dedup_mode: str = "merge"
+    # folders of the key history: a batch reads those its keys fall in
     dedup_buckets: int = 64
-    # merge mode: a micro-batch with at most this many distinct keys (an exact
-    # count) is broadcast to filter the seen-key table map-side
-    broadcast_keys_max: int = 1_000_000
+    # keep rows whose values do not fit the table's types (``_rescued_data``)
+    rescue: bool = False
 
 
 def _load_doc(spark: SparkSession, spec: SilverSpec, layout: Layout) -> dict:
@@ -66,19 +74,19 @@ def _load_doc(spark: SparkSession, spec: SilverSpec, layout: Layout) -> dict:
     return doc if "schema" in doc or not doc else {"schema": doc}   # a bare StructType document
 
 
-def unseen_files(spark: SparkSession, spec: SilverSpec, layout: Layout) -> list[str] | None:
-    """Bronze files this stream has not processed: the listing without the
-    files its checkpoint names. ``None`` before the first run. Only names of
-    new files reach the driver."""
-    log = f"{layout.silver_checkpoint(spec.table)}/sources/0"
-    if not fs.exists(spark, log):
-        return None
-    plain = F.regexp_replace("path", "^([a-z]+):/+(?=[^/])", "$1:/")
-    done = (spark.read.text(log).select(F.get_json_object("value", "$.path").alias("path"))
-            .where("path is not null").select(plain.alias("path")).distinct())
+def _checked_dir(spec: SilverSpec, layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/silver/{spec.table}/checked_files"
+
+
+def unchecked_files(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
+    """(path) of the bronze files whose schema no run has looked at: the listing
+    without the list this table keeps."""
     there = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(layout.bronze(spec.table)).select(plain.alias("path")))
-    return [r["path"] for r in there.join(done, "path", "left_anti").collect()]
+             .load(layout.bronze(spec.table)).select("path"))
+    done = _checked_dir(spec, layout)
+    if not fs.has_data_files(spark, done):
+        return there
+    return there.join(spark.read.schema("path string").parquet(done).distinct(), "path", "left_anti")
 
 
 def stream_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.StructType:
@@ -92,30 +100,41 @@ def stream_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.St
     ``reset_silver``.
     """
     doc = _load_doc(spark, spec, layout)
-    mode = f"{spec.dedup_mode}:{','.join(spec.dedup_keys)}" if spec.dedup_keys else "none"
-    if doc.get("dedup", mode) != mode:
-        raise ValueError(f"silver table {spec.table!r} was built with dedup {doc['dedup']!r}, not {mode!r}: "
-                         "reset_silver it first")
+    mode = _mode(spark, spec, doc)
     if spec.schema is not None:
         schema = spec.schema
     else:
         stored = T.StructType.fromJson(doc["schema"]) if "schema" in doc else None
-        new = unseen_files(spark, spec, layout) if stored is not None else None
-        if new is None:
-            current = spark.read.option("mergeSchema", "true").parquet(layout.bronze(spec.table)).schema
-        elif new:
-            current = spark.read.option("mergeSchema", "true").parquet(*new).schema
-        else:
-            current = stored
+        new = unchecked_files(spark, spec, layout).persist(StorageLevel.MEMORY_AND_DISK)
+        names = [r["path"] for r in new.collect()]   # names of new files, as any file scan has them
+        current = spark.read.option("mergeSchema", "true").parquet(*names).schema if names else stored
         schema = current if stored is None else wider_schema(stored, current)
         changed = [f.name for f in (stored or schema).fields if schema[f.name].dataType != f.dataType]
         if changed:
             raise ValueError(f"bronze {spec.table!r}: the type of {', '.join(changed)} changed; land it under a "
-                             "declared schema (ingest_table(target_schema=...)) or reset_silver the table")
-    fs.write_text(spark, layout.silver_schema(spec.table), json.dumps({"schema": schema.jsonValue(), "dedup": mode}))
+                             "declared schema (ingest_table(target_schema=...)), rescue=True, or reset_silver the table")
+    _save_doc(spark, spec, layout, schema, mode)
+    if spec.schema is None:
+        if names:
+            new.coalesce(1 + len(names) // 100_000).write.mode("append").parquet(_checked_dir(spec, layout))
+        new.unpersist()
     return schema
 
 
+def _save_doc(spark: SparkSession, spec: SilverSpec, layout: Layout, schema: T.StructType, mode: str) -> None:
+    fs.write_text(spark, layout.silver_schema(spec.table), json.dumps({"schema": schema.jsonValue(), "dedup": mode}))
+
+
+def _mode(spark: SparkSession, spec: SilverSpec, doc: dict) -> str:
+    """How the table stores and deduplicates; a change needs ``reset_silver``."""
+    mode = f"{spec.dedup_mode}:{','.join(spec.dedup_keys)}" if spec.dedup_keys else "none"
+    mode += ":rescue" if spec.rescue else ""
+    if doc.get("dedup", mode) != mode:
+        raise ValueError(f"silver table {spec.table!r} was built with dedup {doc['dedup']!r}, not {mode!r}: "
+                         "reset_silver it first")
+    return mode
+
+
 def _save_output_schema(spark: SparkSession, spec: SilverSpec, layout: Layout,
                         schema: T.StructType) -> None:
     fs.write_text(spark, _output_schema_path(spec, layout), schema.json())
@@ -135,6 +154,8 @@ def output_schema(spark: SparkSession, spec: SilverSpec, layout: Layout) -> T.St
 def _merge_mode(spec: SilverSpec) -> bool:
     if spec.dedup_mode not in ("state", "merge"):
         raise ValueError(f"dedup_mode must be 'state' or 'merge', not {spec.dedup_mode!r}")
+    if spec.rescue and spec.dedup_keys and spec.dedup_mode == "state":
+        raise ValueError("a rescuing table deduplicates in 'merge' mode")
     return bool(spec.dedup_keys) and spec.dedup_mode == "merge"
 
 
@@ -151,9 +172,7 @@ def silver_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> Data
         reader = reader.option("maxBytesPerTrigger", str(int(spec.max_bytes_per_trigger)))
     df = reader.parquet(layout.bronze(spec.table))
     if _merge_mode(spec):
-        df = df.withColumn(ARRIVAL, F.struct(F.col("_metadata.file_modification_time").alias("t"),
-                                             F.col("_metadata.file_name").alias("f"),
-                                             F.col("_metadata.row_index").alias("r")))
+        df = df.withColumn(ARRIVAL, _arrival())
     if spec.transform is not None:
         df = spec.transform(df)
     if spec.dedup_keys and not _merge_mode(spec):
@@ -162,80 +181,236 @@ def silver_stream(spark: SparkSession, spec: SilverSpec, layout: Layout) -> Data
     return df
 
 
+def _arrival() -> Column:
+    return F.struct(F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_name").alias("f"),
+                    F.col("_metadata.row_index").alias("r"))
+
+
+# --- keys already seen --------------------------------------------------------
+#
+# The history is a set of folders, one per batch, each split by key bucket and
+# sorted by key hash; every COMPACT_AFTER batches they become one. A small
+# numbered file names the live folders and the last batch in them.
+
+HASH = "__hash"
+#: the batch's keys reach the history as the slots their hashes fall in: at most
+#: so many numbers are broadcast, whatever the size of the batch
+SLOTS = 1 << 20
+COMPACT_AFTER = 16
+
+
 def _seen_dir(spec: SilverSpec, layout: Layout) -> str:
     return f"{layout.root.rstrip('/')}/silver/{spec.table}/seen_keys"
 
 
-def seen_keys(spark: SparkSession, seen_dir: str, touched: list[int], keys: Sequence[str],
-              batch: DataFrame | None = None, batch_id: int | None = None) -> DataFrame:
-    """``(__bucket, __key)`` of the keys already seen in the touched buckets.
+def _seen_state(spark: SparkSession, seen_dir: str) -> dict:
+    names = [n for n in fs.list_names(spark, f"{seen_dir}/_live") if n.endswith(".json") and not n.startswith(".")]
+    if not names:
+        return {"number": 0, "folders": [], "batch": -1}
+    return json.loads(fs.read_text(spark, f"{seen_dir}/_live/{max(names)}"))
 
-    With ``batch`` (size-checked by the caller) only the seen keys of that
-    batch are kept, through a broadcast semi join: the key history is
-    scanned map-only, so the anti join that follows shuffles batch-sized
-    data, not every key ever seen.
-    """
-    seen = spark.read.parquet(seen_dir).where(F.col(BUCKET).isin(touched))
-    if batch_id is not None:   # not the keys of this batch's own earlier attempt
-        seen = seen.where(F.col("batch") != batch_id)
-    seen = seen.select(BUCKET, key_struct(keys).alias(KEY))
-    if batch is not None:
-        seen = seen.join(F.broadcast(batch.select(BUCKET, key_struct(keys).alias(KEY))),
-                         [BUCKET, KEY], "left_semi")
-    return seen
+
+def _seen(spark: SparkSession, seen_dir: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    read = [spark.read.schema(schema).option("basePath", f"{seen_dir}/{f}").parquet(f"{seen_dir}/{f}") for f in folders]
+    return reduce(DataFrame.unionByName, read)
+
+
+def unseen(keyed: DataFrame, seen: DataFrame, touched: list[int]) -> DataFrame:
+    """Rows of ``keyed`` (one per key, with bucket, hash and key) whose key is not in
+    ``seen``. Only the touched buckets of the history are read, and of those only
+    keys in a slot of the batch go on: a fixed-size filter, broadcast, with no
+    choice by row count. What is shuffled is about the size of the batch."""
+    slot = F.pmod(HASH, F.lit(SLOTS)).alias("__slot")
+    slots = F.broadcast(keyed.select(slot).distinct())
+    near = (seen.where(F.col(BUCKET).isin(touched)).withColumn("__slot", slot)
+            .join(slots, "__slot", "left_semi").drop("__slot"))
+    return keyed.join(near, [BUCKET, HASH, KEY], "left_anti")
 
 
 def first_arrivals(spark: SparkSession, batch: DataFrame, batch_id: int, spec: SilverSpec,
                    layout: Layout) -> None:
-    """Write the rows of keys never seen before (earliest arrival per key), and
-    those keys, to folders of this batch. A replayed batch writes the same
-    rows to the same folders again: keys of its first attempt are not looked at."""
+    """Write the rows of keys never seen before (earliest arrival per key) to a
+    folder of this batch, then add those keys to the history. A batch that is
+    replayed before its keys are there writes the same rows to the same folder
+    again; after that, nothing is left to do."""
     keys = list(spec.dedup_keys or [])
     seen_dir = _seen_dir(spec, layout)
-    own = f"batch={batch_id}"
+    state = _seen_state(spark, seen_dir)
+    if state["batch"] >= batch_id:
+        return
     rows_dir = f"{layout.silver_data(spec.table)}/{BATCH}={batch_id}"
     cols = [c for c in batch.columns if c != ARRIVAL]
+    key = canonical_key(batch.schema, keys)
     # min_by is combined map-side: a hot key leaves each task as one row
     firsts = (batch.groupBy(*keys)
               .agg(F.min_by(F.struct(*cols), F.col(ARRIVAL)).alias("__w"))
               .select("__w.*")
               .withColumn(BUCKET, bucket_of(batch.schema, keys, spec.dedup_buckets))
+              .withColumn(KEY, key).withColumn(HASH, F.xxhash64(KEY))
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        per_bucket = firsts.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()  # <= buckets
-        touched = [r[BUCKET] for r in per_bucket]
-        n_firsts = sum(int(r["n"]) for r in per_bucket)   # one row per key: exact key count
+        touched = [r[BUCKET] for r in firsts.select(BUCKET).distinct().collect()]   # <= buckets
+        if not touched:
+            return
+        history = T.StructType([f for f in firsts.schema.fields if f.name in (KEY, HASH)])
         new = firsts
-        if touched and [d for d in fs.list_dirs(spark, seen_dir) if d != own]:
-            seen = seen_keys(spark, seen_dir, touched, keys,
-                             firsts if n_firsts <= spec.broadcast_keys_max else None, batch_id)
-            new = (firsts.withColumn(KEY, key_struct(keys))
-                   .join(seen, [BUCKET, KEY], "left_anti").drop(KEY))
+        if state["folders"]:
+            new = unseen(firsts, _seen(spark, seen_dir, state["folders"], history), touched)
         new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        (new.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(rows_dir))
-        (new.select(BUCKET, *keys).hint("rebalance", BUCKET)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(BUCKET).parquet(f"{seen_dir}/{own}"))
+        _write_batch(new.select(*cols), rows_dir)
+        found = new.select(BUCKET, KEY, HASH)
+        folders = list(state["folders"])
+        if len(folders) >= COMPACT_AFTER:
+            found, folders = found.unionByName(_seen(spark, seen_dir, folders, history).select(BUCKET, KEY, HASH)), []
+        folder = f"keys-{batch_id}-{uuid.uuid4().hex[:8]}"
+        (found.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, HASH)
+         .write.option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(f"{seen_dir}/{folder}"))
         new.unpersist()
+        state = {"number": state["number"] + 1, "folders": [*folders, folder], "batch": int(batch_id)}
+        fs.write_text(spark, f"{seen_dir}/_live/{state['number']:012d}.json", json.dumps(state))
+        for old in fs.list_dirs(spark, seen_dir):
+            if old.startswith("keys-") and old not in state["folders"]:
+                fs.remove(spark, f"{seen_dir}/{old}", seen_dir)
     finally:
         firsts.unpersist()
 
 
-def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
+def _write_batch(df: DataFrame, folder: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
+
+# --- rescued values -----------------------------------------------------------
+
+#: columns of a stream of file names (contents are never read)
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+FILES_PER_BATCH = 10_000
+
+
+def file_names(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFrame:
+    """Stream of the names of new bronze files, at most ``FILES_PER_BATCH`` a batch."""
+    r = (spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.parquet")
+         .option("maxFileAge", "36500d"))
+    if spec.max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(int(spec.max_bytes_per_trigger)))
+    else:
+        r = r.option("maxFilesPerTrigger", str(spec.max_files_per_trigger or FILES_PER_BATCH))
+    return r.load(layout.bronze(spec.table)).select("path", "modificationTime")
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by schemas that go together. Spark merges the footers of all of
+    them in one job; only where types conflict are the files (in order of time)
+    halved, so a type that changed once costs a few jobs."""
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, list(paths))]
+    except (PySparkException, Py4JJavaError) as e:
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(e):
+            raise
+    half = len(paths) // 2
+    out: list[tuple[T.StructType, list[str]]] = []
+    for schema, files in schema_groups(spark, paths[:half]) + schema_groups(spark, paths[half:]):
+        if out and all(f.name not in out[-1][0].fieldNames() or out[-1][0][f.name].dataType == f.dataType
+                       for f in schema.fields):
+            out[-1] = (wider_schema(out[-1][0], schema), out[-1][1] + files)
+        else:
+            out.append((schema, files))
+    return out
+
+
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of ``schema``, with ``_rescued_data``: a JSON
+    object of the values that do not fit their column (NULL there). A number fits
+    when it comes back unchanged, a text when it converts."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    out, misfits = [], []
+    for f in schema.fields:
+        if f.name not in have:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c, stored = F.col(f"`{f.name}`"), have[f.name]
+        if stored == f.dataType:
+            out.append(c)
+            continue
+        if isinstance(f.dataType, T.StringType) and isinstance(stored, (T.StructType, T.ArrayType, T.MapType)):
+            out.append(F.to_json(c).alias(f.name))
+            continue
+        try:
+            value = c.try_cast(f.dataType)
+            fits = value.isNotNull() if isinstance(stored, T.StringType) else value.try_cast(stored).eqNullSafe(c)
+            df.select(value, fits)
+        except PySparkException:   # no conversion between these types
+            value, fits = F.lit(None).cast(f.dataType), F.lit(False)
+        out.append(F.when(fits, value).alias(f.name))
+        misfits.append((c.isNotNull() & ~fits, F.when(~fits, c).alias(f.name)))
+    rescued = F.lit(None).cast("string")
+    if misfits:
+        any_ = reduce(lambda a, b: a | b, [m for m, _ in misfits])
+        rescued = F.when(any_, F.to_json(F.struct(*[v for _, v in misfits])))
+    return df.select(*out, rescued.alias(RESCUED), *[c for c in (ARRIVAL,) if c in df.columns])
+
+
+def rescue_batch(spark: SparkSession, names: DataFrame, batch_id: int, spec: SilverSpec, layout: Layout) -> None:
+    """One micro-batch of a rescuing table: new files by schema, columns the table
+    lacks are added, values that do not fit its types are rescued."""
+    paths = [r["path"] for r in names.orderBy("modificationTime", "path").collect()]   # <= FILES_PER_BATCH
+    if not paths:
+        return
+    doc = _load_doc(spark, spec, layout)
+    mode = _mode(spark, spec, doc)
+    groups = schema_groups(spark, paths)
+    schema = spec.schema or (T.StructType.fromJson(doc["schema"]) if "schema" in doc else groups[0][0])
+    if spec.schema is None:
+        for found, _ in groups:   # types stay as they were first seen
+            known = set(schema.fieldNames())
+            schema = T.StructType([*schema.fields, *(f for f in found.fields if f.name not in known)])
+    _save_doc(spark, spec, layout, schema, mode)
+    merge = _merge_mode(spec)
+    parts = []
+    for found, files in groups:
+        df = spark.read.schema(found).parquet(*files)
+        parts.append(fitted(df.withColumn(ARRIVAL, _arrival()) if merge else df, schema))
+    df = reduce(DataFrame.unionByName, parts)
+    if spec.transform is not None:
+        df = spec.transform(df)
+    if merge:
+        first_arrivals(spark, df, batch_id, spec, layout)
+    else:
+        _write_batch(df, f"{layout.silver_data(spec.table)}/{BATCH}={batch_id}")
+    before = output_schema(spark, spec, layout)
+    after = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
+    _save_output_schema(spark, spec, layout, wider_schema(before, after) if before else after)
+
+
+# --- runs and readers ---------------------------------------------------------
+
+def _by_batch(spec: SilverSpec) -> bool:
+    return spec.rescue or _merge_mode(spec)
+
+
+def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
+               namespace: Namespace | None = None) -> DataFrame:
     """Process all pending bronze files, wait for the run to finish, and
-    return the silver table as a batch DataFrame."""
+    return the silver table as a batch DataFrame. With a namespace the table
+    is registered there under its own name, unless the spec names it."""
+    spec = named_in(spec, namespace)
     if not fs.has_data_files(spark, layout.bronze(spec.table)):
         return read_silver(spark, spec, layout)
-    df = silver_stream(spark, spec, layout)
-    if _merge_mode(spec):
+    if _by_batch(spec):
+        if spec.rescue:
+            _mode(spark, spec, _load_doc(spark, spec, layout))
+            df, step = file_names(spark, spec, layout), rescue_batch
+        else:
+            df, step = silver_stream(spark, spec, layout), first_arrivals
         q = (df.writeStream
-             .foreachBatch(lambda b, i: first_arrivals(spark, b, i, spec, layout))
+             .foreachBatch(lambda b, i: step(spark, b, i, spec, layout))
              .option("checkpointLocation", layout.silver_checkpoint(spec.table))
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
-        _save_output_schema(spark, spec, layout, out_schema)
+        if spec.rescue:
+            out_schema = output_schema(spark, spec, layout)
+        else:
+            out_schema = T.StructType([f for f in df.schema.fields if f.name != ARRIVAL])
+            _save_output_schema(spark, spec, layout, out_schema)
         if spec.catalog_name:
             # the file sink registers its table itself; here each batch has a
             # folder, so register the parent once and refresh its listing
@@ -244,6 +419,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
                                           source="parquet", schema=out_schema, recursiveFileLookup="true")
             _follow_schema(spark, spec.catalog_name, out_schema)
         return read_silver(spark, spec, layout, schema=out_schema)
+    df = silver_stream(spark, spec, layout)
     w = (df.writeStream.format("parquet")
          .outputMode("append")
          .option("checkpointLocation", layout.silver_checkpoint(spec.table))
@@ -260,6 +436,13 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFra
     return read_silver(spark, spec, layout, schema=df.schema)
 
 
+def named_in(spec: SilverSpec, namespace: Namespace | None) -> SilverSpec:
+    """The spec with its catalog name in ``namespace`` (a name of its own stays)."""
+    if namespace is None or spec.catalog_name:
+        return spec
+    return replace(spec, catalog_name=namespace.qualify(spec.table))
+
+
 def _follow_schema(spark: SparkSession, name: str, schema: T.StructType) -> None:
     """Columns the table has gained are added to its catalog entry, so that readers
     and streams by name see them."""

@@ -162,20 +162,54 @@ def test_targets_bucketed_without_canonical_keys_are_rewritten_once(spark, root)
     assert read_target(spark, root).count() == 41
 
 
-def test_registry_orders_tables_and_refuses_cycles_and_equal_names(spark, layout):
-    reg = Registry()
-    reg.table(lambda s: None, name="b", reads=["a"])
-    reg.table(lambda s: None, name="a")
-    assert reg._in_order() == ["a", "b"]
-    reg.table(lambda s: None, name="a", reads=["b"])
-    with pytest.raises(ValueError, match="each other"):
-        reg._in_order()
+def test_registry_builds_what_is_read_and_refuses_cycles_and_equal_names(spark, layout):
+    reg, order = Registry(), []
+
+    def build(name, *reads):
+        def fn(s):
+            for r in reads:
+                reg.read(s, r)
+            order.append(name)
+            return frame(spark, FIRST)
+        return fn
+
+    reg.table(build("b", "a"), name="b")
+    reg.table(build("a"), name="a")
+    reg.table(build("c"), name="c", reads=["a"])
+    reg.run(spark, layout)
+    assert order == ["a", "b", "c"]
+    reg.table(build("a", "b"), name="a")
+    with pytest.raises(ValueError, match="each other: b -> a -> b"):
+        reg.run(spark, layout)
+    reg.table(build("a", "nothing"), name="a")
+    with pytest.raises(ValueError, match="'nothing' is not a declared table"):
+        reg.run(spark, layout)
     reg.create_streaming_table("x")
     reg.create_auto_cdc_flow("x", "b", ["k"], "s")
     with pytest.raises(ValueError, match="name"):
         reg.create_auto_cdc_flow("x", "a", ["k"], "s")
 
 
+def test_snapshots_of_a_batch_table(spark, layout):
+    """Every run leaves a snapshot that was written whole; readers see the last one, the
+    metrics have all; older ones but the previous go."""
+    for i in range(4):
+        reg = Registry()
+        reg.table(Registry.expect_all_or_drop({"low": f"k < {10 + i}"})(lambda s: frame(spark, FIRST)), name="snap_t")
+        reg.run(spark, layout, Namespace(schema="default"))
+        assert reg.read(spark, "snap_t").count() == 10 + i == spark.table("default.snap_t").count()
+    path = reg._dataset_path(layout, "snap_t")
+    assert reg._snapshots(spark, layout, "snap_t") == [2, 3]
+    fs.write_text(spark, f"{path}/__batch=4/part-0.parquet", "a run that stopped")
+    assert reg.read(spark, "snap_t").count() == 13
+    got = reg.dataset_metrics(spark, layout).orderBy("batch").collect()
+    assert [(r.dataset, r.batch, r.rows_in, r.rows_out, r.failed) for r in got] == [
+        ("snap_t", i, 40, 10 + i, {"low": 30 - i}) for i in range(4)]
+    reg.run(spark, layout)
+    assert reg.read(spark, "snap_t").count() == 13
+    spark.sql("DROP TABLE default.snap_t")
+
+
 def test_once_flow_over_a_stream(spark, layout):
     from tidemark.streaming.gold import run_flow
     path = f"{layout.root}/src"
@@ -192,5 +226,14 @@ def test_a_join_without_equality_needs_a_bounded_side(spark):
     first = JoinSpec("f", "f", ["f.id"])
     with pytest.raises(ValueError, match="bounded"):
         star_join([first, JoinSpec("b", "b", ["b.lo"], "f.id BETWEEN b.lo AND b.hi")], tables.__getitem__)
-    out = star_join([first, JoinSpec("b", "b", ["b.lo"], "f.id BETWEEN b.lo AND b.hi", bounded=True)], tables.__getitem__)
+    theta = JoinSpec("b", "b", ["b.lo"], "f.id BETWEEN b.lo AND b.hi", bounded=True)
+    out = star_join([first, theta], tables.__getitem__)
     assert out.count() == 10 and Namespace(schema="a").qualify("b") == "a.b"
+    # a plain equality behind a bounded range is no fault of its own
+    both = [first, theta, JoinSpec("f", "g", ["g.id"], "f.id = g.id")]
+    assert star_join(both, tables.__getitem__).count() == 10
+    # a side that is larger than it says is not sent: fine with an equality, refused without
+    with pytest.raises(ValueError, match="max_rows=1"):
+        star_join([first, JoinSpec("b", "b", ["b.lo"], "f.id BETWEEN b.lo AND b.hi", bounded=True, max_rows=1)], tables.__getitem__)
+    plan = star_join([first, JoinSpec("f", "g", ["g.id"], "f.id = g.id", bounded=True, max_rows=5)], tables.__getitem__)
+    assert plan.count() == 10 and "ResolvedHint (strategy=broadcast)" not in plan._jdf.queryExecution().analyzed().toString()

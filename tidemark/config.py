@@ -20,6 +20,9 @@ class SourceTable:
     schema: str = "dbo"
     from_date: str = ""
     keys: tuple[str, ...] = ()
+    #: how far below the stored mark rows may still arrive ("30 days"; a plain
+    #: number for a numeric change column); "" = rows below the mark are not read
+    lookback: str = ""
 
     @property
     def qualified(self) -> str:
@@ -54,6 +57,9 @@ class JoinSpec:
     #: the table's size is bounded whatever the facts' size (a calendar, a band
     #: table): it may be sent to every task, and its condition needs no equality
     bounded: bool = False
+    #: ... and has at most so many rows (counted before it is sent); beyond that it
+    #: is joined like any other table, which needs an equality
+    max_rows: int = 1_000_000
 
 
 @dataclass
@@ -61,8 +67,9 @@ class JdbcOptions:
     """Options for reading a relational source in parallel.
 
     ``partition_column`` (an integer or date column, usually the key) with
-    bounds and ``num_partitions`` splits the read into range queries so the
-    extract is not a single reader.
+    ``num_partitions`` splits the read into range queries so the extract is not a
+    single reader: equal widths between given bounds, or, without bounds, equal
+    numbers of rows by cut points that the database measures.
     """
 
     url: str
@@ -73,3 +80,6 @@ class JdbcOptions:
     num_partitions: int | None = None
     fetch_size: int = 10000
     query_timeout_s: int = 7200
+    #: fraction digits that the change column keeps and accepts in a text literal
+    #: (3 for DATETIME, 6 or 7 for DATETIME2); marks are cut to it, downwards
+    fraction_digits: int = 3

@@ -141,23 +141,55 @@ def bucket_of(schema: T.StructType, keys: Sequence[str], buckets: int, width: in
     return F.pmod(F.xxhash64(*[canonical(k, schema[k].dataType) for k in keys]), F.lit(buckets)).cast("long")
 
 
+def _converted(c: Column, dtype: T.DataType, truncate: bool) -> Column:
+    if isinstance(dtype, (T.VarcharType, T.CharType)):
+        c = c.cast("string")
+        return F.left(c, F.lit(dtype.length)) if truncate else F.when(F.length(c) <= dtype.length, c)
+    return c.try_cast(dtype) if truncate else c.cast(dtype)
+
+
 def casted_to(df: DataFrame, schema: T.StructType, truncate: bool = True) -> DataFrame:
     """Convert columns to a declared schema (type conversion on copy).
 
-    ``truncate=True`` uses ``try_cast``: values that do not fit become NULL
-    instead of failing the job; ``False`` fails on the first bad value.
-    Columns missing from ``df`` are added as NULL; extra columns are dropped.
+    ``truncate=True`` cuts what a type can't hold in full (fractions of whole numbers,
+    texts longer than VARCHAR(n)); values that do not convert at all become NULL
+    instead of failing the job (``misfits`` tells which). ``False`` fails on the first
+    bad value. Columns missing from ``df`` are added as NULL; extra columns are dropped.
     """
+    return df.select(*[c.alias(n) for n, c in conversions(df, schema, truncate).items()])
+
+
+def conversions(df: DataFrame, schema: T.StructType, truncate: bool = True) -> dict[str, Column]:
+    """column -> the expression by which ``casted_to`` makes it."""
     present = set(df.columns)
-    out = []
+    out = {}
     for f in schema.fields:
-        if f.name in present:
-            c = F.col(f.name)
-            c = c.try_cast(f.dataType) if truncate else c.cast(f.dataType)
-        else:
-            c = F.lit(None).cast(f.dataType)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+        kind = T.StringType() if isinstance(f.dataType, (T.VarcharType, T.CharType)) else f.dataType
+        out[f.name] = (_converted(F.col(f"`{f.name}`"), f.dataType, truncate) if f.name in present
+                       else F.lit(None).cast(kind))
+    return out
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """column -> whether its value is lost when ``casted_to`` converts it."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return {f.name: F.col(f"`{f.name}`").isNotNull() & _converted(F.col(f"`{f.name}`"), f.dataType, True).isNull()
+            for f in schema.fields if f.name in have and have[f.name] != f.dataType}
+
+
+def rejected(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per value that does not convert: column, value (as text), wanted type and
+    the row it came from (JSON)."""
+    lost = misfits(df, schema)
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    empty = df.select(*[F.lit(None).cast("string").alias(c) for c in ("column_name", "value", "wanted", "source_row")]).where("false")
+    if not lost:
+        return empty
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    each = [F.when(bad, F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"),
+                                 F.lit(kinds[c]).alias("wanted"))) for c, bad in lost.items()]
+    return (df.select(F.filter(F.array(*each), lambda x: x.isNotNull()).alias("found"), row.alias("source_row"))
+            .select(F.explode("found").alias("x"), "source_row").select("x.*", "source_row"))
 
 
 _DIGITS = dict(zip(("tinyint", "smallint", "int", "bigint"), (3, 5, 10, 19), strict=True))

@@ -24,6 +24,10 @@ class Layout:
     def watermark(self, table: str) -> str:
         return self._p("bronze", f"{table}_cdc")
 
+    # values that did not convert on the way to bronze, and their rows
+    def rejects(self, table: str) -> str:
+        return self._p("bronze", f"{table}_rejects")
+
     def silver_data(self, table: str) -> str:
         return self._p("silver", table, "data")
 

@@ -6,6 +6,9 @@ Per table and run:
 2. one aggregate job: rows in the window and their maximum change value;
 3. if there are rows: one copy job ``low < cdc <= high`` appended to bronze,
    counted on the fly with an ``Observation`` (no second pass);
+   With a look-back, rows below the mark that no earlier run delivered go with
+   them; with a target schema, values that do not convert are counted, and kept
+   in a side table of rejects;
 4. append the new mark. Data first, mark second: a crash in between means
    the same rows are delivered again, which the gold merges absorb.
 
@@ -26,11 +29,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fs
 from ..config import SourceTable
-from ..functions.columns import casted_to
+from ..functions.columns import casted_to, conversions, misfits, rejected, typed_literal
 from ..paths import Layout
 from ..sinks.bronze import append_bronze
-from ..sources.extract import incremental_extract, window_stats
+from ..sources.extract import incremental_extract, late_rows, window_stats
 from ..sources.relational import SourceReader
 from ..sources.watermark import read_watermark, write_watermark
 
@@ -44,6 +48,8 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("watermark", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("pipeline", T.StringType()),
+    T.StructField("rows_late", T.LongType()),
+    T.StructField("rejected", T.MapType(T.StringType(), T.LongType())),
 ])
 
 SUCCEEDED, NO_DATA, FAILED = "SUCCEEDED", "NO_DATA", "FAILED"
@@ -59,10 +65,12 @@ class IngestResult:
     low_mark: str | None
     watermark: str | None
     error: str | None = None
+    rows_late: int = 0                  # of rows_read: below the mark
+    rejected: tuple[tuple[str, int], ...] = ()   # (column, values that did not convert)
 
     def as_row(self, pipeline: str) -> tuple:
-        return (self.run_id, self.run_at, self.table_name, self.status,
-                self.rows_read, self.low_mark, self.watermark, self.error, pipeline)
+        return (self.run_id, self.run_at, self.table_name, self.status, self.rows_read, self.low_mark,
+                self.watermark, self.error, pipeline, self.rows_late, dict(self.rejected))
 
 
 def utc_now() -> str:
@@ -86,16 +94,55 @@ def ingest_table(spark: SparkSession, cfg: SourceTable, reader: SourceReader, la
     src = reader(cfg)
     at_source = getattr(reader, "window", None)
     stats = window_stats(src, cfg.cdc_col, low, at_source(cfg, low) if at_source else None)
-    if stats.rows == 0:
+    delta = incremental_extract(src, cfg.cdc_col, low, stats.high) if stats.rows else src.where("false")
+    schema = target_schema if target_schema is not None else src.schema
+    if cfg.lookback and stored and not override and fs.has_data_files(spark, layout.bronze(cfg.table)):
+        late = _late(spark, cfg, src, stored, layout, schema)
+        if stats.rows or not late.isEmpty():
+            delta = delta.unionByName(late)
+        elif not stats.rows:
+            return IngestResult(run_id, run_at, cfg.table, NO_DATA, 0, low, stored)
+    elif not stats.rows:
         return IngestResult(run_id, run_at, cfg.table, NO_DATA, 0, low, stored)
-    delta = incremental_extract(src, cfg.cdc_col, low, stats.high)
-    if target_schema is not None:
-        delta = casted_to(delta, target_schema)
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if cfg.lookback and stored and not override:
+        counts.append(F.count_if(F.col(cfg.cdc_col) <= typed_literal(stored, src.schema[cfg.cdc_col].dataType)).alias("late"))
+    lost = misfits(src, schema) if target_schema is not None else {}
+    counts += [F.count_if(bad).alias(f"lost_{i}") for i, bad in enumerate(lost.values())]
     obs = Observation(f"extract_{cfg.table}_{run_id[:8]}")
-    append_bronze(delta.observe(obs, F.count(F.lit(1)).alias("rows")), layout.bronze(cfg.table))
-    written = int(obs.get["rows"])
-    write_watermark(spark, layout.watermark(cfg.table), stats.high, run_at, run_id)
-    return IngestResult(run_id, run_at, cfg.table, SUCCEEDED, written, low, stats.high)
+    copy = delta.observe(obs, *counts)
+    append_bronze(casted_to(copy, schema) if target_schema is not None else copy, layout.bronze(cfg.table))
+    seen = obs.get
+    refused = tuple((c, int(seen[f"lost_{i}"])) for i, c in enumerate(lost) if seen[f"lost_{i}"])
+    if refused:
+        write_rejects(delta, schema, cfg.table, run_id, layout)
+    mark = stats.high if stats.rows else stored
+    if stats.rows:
+        write_watermark(spark, layout.watermark(cfg.table), mark, run_at, run_id)
+    return IngestResult(run_id, run_at, cfg.table, SUCCEEDED, int(seen["rows"]), low, mark, None,
+                        int(seen.get("late") or 0), refused)
+
+
+def _late(spark: SparkSession, cfg: SourceTable, src: DataFrame, mark: str, layout: Layout, schema: T.StructType) -> DataFrame:
+    """Source rows of the look-back window that bronze does not hold, compared in the
+    form in which bronze holds them."""
+    form = conversions(src, schema)
+    delivered = spark.read.schema(casted_to(src.limit(0), schema).schema).parquet(layout.bronze(cfg.table))
+    return late_rows(src, delivered, cfg.cdc_col, mark, cfg.lookback, form)
+
+
+def write_rejects(delta: DataFrame, schema: T.StructType, table_name: str, run_id: str, layout: Layout) -> None:
+    """Append the values of a run that did not convert to the table's rejects."""
+    (rejected(delta, schema).select(F.lit(run_id).alias("run_id"), "*")
+     .write.mode("append").parquet(layout.rejects(table_name)))
+
+
+def read_rejects(spark: SparkSession, table_name: str, layout: Layout) -> DataFrame:
+    """run_id, column_name, value, wanted, source_row of all runs of a table."""
+    schema = "run_id string, column_name string, value string, wanted string, source_row string"
+    if not fs.has_data_files(spark, layout.rejects(table_name)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(layout.rejects(table_name))
 
 
 def _safe_ingest(spark, cfg, reader, layout, run_id, run_at, schemas) -> IngestResult:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import (EVENT_RULES, TARGET_RULES, LINEAGE_KEYS, ORDERS_BACKFILL_FROM, ORDERS_FIRST_RUN_CAP,
+from .queries import (EVENT_RULES, LINEAGE_KEYS, LOOKBACK, MARK_CAPS, TARGET_RULES, ORDERS_BACKFILL_FROM, ORDERS_FIRST_RUN_CAP,
                       ORDERS_LOW_MARK)
 
 _RULES = " AND ".join(f"coalesce({r}, false)" for r in EVENT_RULES.values())
@@ -60,6 +60,18 @@ def _metric_row(name: str, rule: str) -> str:
             f"AS failed_rows, count(*) AS total_rows FROM events")
 
 
+def _counters(dataset: str, batch: int, rows: str, rules: dict[str, str]) -> str:
+    kept = " AND ".join(f"coalesce({r}, false)" for r in rules.values())
+    return " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, {batch}::BIGINT AS batch, count(*) AS rows_in, count(*) FILTER (WHERE {kept}) AS rows_out, "
+        f"'{n}' AS rule, count(*) FILTER (WHERE NOT coalesce({r}, false)) AS failed_rows FROM events WHERE {rows}"
+        for n, r in rules.items())
+
+
+_BATCH_METRICS = " UNION ALL ".join([
+    _counters("events_stg", 0, "event_id % 2 = 0", EVENT_RULES), _counters("events_stg", 1, "true", EVENT_RULES),
+    _counters("purchases", 0, f"event_id % 2 = 0 AND {_RULES}", TARGET_RULES), _counters("purchases", 1, _RULES, TARGET_RULES)])
+
 ORACLES: dict[str, str] = {
     "incremental_extract": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_LOW_MARK}'",
     "backfill_extract": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_BACKFILL_FROM}'",
@@ -147,8 +159,35 @@ ORACLES: dict[str, str] = {
         "SELECT 'daily' AS pipeline, 'orders' AS table_name, 'SUCCEEDED' AS status, count(*) AS rows_read FROM orders "
         "WHERE o_orderdate IS NOT NULL UNION ALL SELECT 'daily', 'events', 'FAILED', 0 UNION ALL "
         "SELECT 'daily', 'lineitem', 'SUCCEEDED', count(*) FROM lineitem WHERE l_shipdate IS NOT NULL"),
-    "converted_copy": ("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS o_totalprice, "
-                       "o_orderdate FROM orders WHERE o_orderdate IS NOT NULL"),
+    "converted_copy": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, o_orderstatus, "
+        "CAST(trunc(o_totalprice) AS INTEGER) AS o_totalprice, o_orderdate, left(o_orderpriority, 3) AS o_orderpriority "
+        "FROM orders WHERE o_orderdate IS NOT NULL"),
+    "converted_copy_rejects": (
+        "SELECT column_name, wanted, count(*) AS n, count(DISTINCT value) AS n_values, min(value) AS least, max(value) AS greatest, "
+        "count(*) AS reported FROM ("
+        "SELECT 'o_custkey' AS column_name, 'bigint' AS wanted, 'C-' || o_custkey AS value FROM orders "
+        "WHERE o_custkey % 11 = 0 AND o_orderdate IS NOT NULL UNION ALL "
+        "SELECT 'o_orderkey', 'smallint', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey > 32767 AND o_orderdate IS NOT NULL) "
+        "GROUP BY column_name, wanted"),
+    "late_rows_lookback": (
+        f"WITH one AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '{ORDERS_FIRST_RUN_CAP}' AND o_orderkey % 7 > 0), "
+        "two AS (SELECT max(o_orderdate) AS m FROM one) "
+        "SELECT * FROM one UNION ALL SELECT orders.* FROM orders, two WHERE o_orderdate > two.m "
+        f"OR o_orderkey % 7 = 0 AND o_orderdate > two.m - INTERVAL '{LOOKBACK}'"),
+    "declared_batch_metrics": _BATCH_METRICS,
+    "declared_chain_over_batch": (
+        f"SELECT {_EVENTS} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events "
+        f"WHERE {_RULES} AND user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND {_RULES})) WHERE rn = 1"),
+    "star_bounded_theta": (
+        "SELECT o_orderkey, o_totalprice, b.least, c_name FROM orders LEFT JOIN "
+        "(SELECT n_nationkey * 20000.0::DOUBLE AS least, (n_nationkey + 1) * 20000.0::DOUBLE AS below FROM nation) AS b "
+        "ON o_totalprice >= b.least AND o_totalprice < b.below LEFT JOIN customer ON o_custkey = c_custkey"),
+    "watermark_log": " UNION ALL ".join(
+        f"SELECT strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS cdc FROM orders WHERE o_orderdate <= TIMESTAMP '{cap}'"
+        for cap in MARK_CAPS),
+    "silver_reset": "SELECT * FROM events WHERE ts IS NOT NULL",
+    "one_shot_flow": _SCD1_ORDERS.replace("FROM orders WHERE", "FROM orders WHERE o_orderkey % 2 = 0 AND"),
     "constant_column": "SELECT *, '2025-01-01' AS cdc FROM customer",
     "range_flag_nulls": (
         "SELECT p_partkey, s AS p_size, CASE WHEN s < 15 THEN 'low' WHEN s < 30 THEN 'medium' ELSE 'high' END AS size_flag "

@@ -24,12 +24,12 @@ from ..paths import Layout
 from ..session import scratch
 from ..sources.extract import high_water_mark
 from ..sources.relational import frame_reader, parquet_reader
-from ..sources.watermark import write_watermark
+from ..sources.watermark import watermark_history, write_watermark
 from ..sinks.bronze import append_bronze
 from ..streaming.gold import CdcFlow, merge_batch, read_target, register_target, run_flow, upsert_report
-from ..streaming.silver import SilverSpec, read_silver, run_silver, table_stream
+from ..streaming.silver import SilverSpec, read_silver, reset_silver, run_silver, table_stream
 from .declare import Registry
-from .ingest import NO_DATA, ingest_all, ingest_table
+from .ingest import NO_DATA, ingest_all, ingest_table, read_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,8 @@ ORDERS_LOW_MARK = "1998-01-01 00:00:00.000000"
 ORDERS_STORED_MARK = "2000-01-01 00:00:00.000000"
 ORDERS_BACKFILL_FROM = "1997-06-30"
 ORDERS_FIRST_RUN_CAP = "1998-12-31"
+LOOKBACK = "400 days"
+MARK_CAPS = ("1996-12-31", "1997-12-31", ORDERS_FIRST_RUN_CAP)
 EVENT_RULES = {
     "rule_1": "user_id IS NOT NULL",
     "known_type": "event_type IN ('click', 'view', 'purchase', 'signup')",
@@ -97,6 +99,20 @@ def extract_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(lay.bronze("orders"))
 
 
+def late_rows_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh order is committed after the first run; those up to ``LOOKBACK``
+    below the mark of that run are delivered by the second, and nothing twice."""
+    lay = Layout(scratch(spark, "late_rows_lookback"))
+    orders = table(spark, sf_dir, "orders")
+    cfg = SourceTable(table="orders", cdc_col="o_orderdate", keys=("o_orderkey",), lookback=LOOKBACK)
+    early = orders.where(F.col("o_orderdate") <= F.to_timestamp_ntz(F.lit(ORDERS_FIRST_RUN_CAP))).where("o_orderkey % 7 > 0")
+    ingest_table(spark, cfg, frame_reader({"orders": early}), lay)
+    ingest_table(spark, cfg, frame_reader({"orders": orders}), lay)
+    # the new mark's window holds nothing that was not delivered, but rows that were late before
+    ingest_table(spark, cfg, frame_reader({"orders": orders}), lay)
+    return spark.read.parquet(lay.bronze("orders"))
+
+
 def watermark_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high_water_mark(table(spark, sf_dir, "orders"), "o_orderdate")
 
@@ -479,6 +495,89 @@ def declared_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.run(spark, lay)["last_purchase"]
 
 
+def declared_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of two runs of a declared batch table and of the target it feeds."""
+    lay = Layout(scratch(spark, "declared_batch_metrics"))
+    ev = table(spark, sf_dir, "events")
+    for part in (ev.where("event_id % 2 = 0"), ev):
+        reg = Registry()
+
+        @reg.table
+        @reg.expect_all_or_drop(EVENT_RULES)
+        def events_stg(s: SparkSession, part: DataFrame = part) -> DataFrame:
+            return part
+
+        reg.create_streaming_table("purchases", expect_all_or_drop=TARGET_RULES, buckets=4)
+        reg.create_auto_cdc_flow(target="purchases", source="events_stg", keys=["user_id"], sequence_by="ts")
+        reg.run(spark, lay)
+    rule = F.explode("failed").alias("rule", "failed_rows")
+    return reg.dataset_metrics(spark, lay).select("dataset", "batch", "rows_in", "rows_out", rule)
+
+
+def declared_chain_over_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch table feeds a batch table and a stream table, declared in any order and
+    run twice; the stream table feeds a target."""
+    lay = Layout(scratch(spark, "declared_chain_over_batch"))
+    ev = table(spark, sf_dir, "events")
+    for part in (ev.where("event_id % 2 = 0"), ev):
+        reg = Registry()
+
+        @reg.table
+        def purchases(s: SparkSession, reg: Registry = reg) -> DataFrame:
+            return reg.read_stream(s, "events_stg").join(reg.read(s, "buyers"), "user_id", "left_semi")
+
+        @reg.table
+        def buyers(s: SparkSession, reg: Registry = reg) -> DataFrame:
+            return reg.read(s, "events_stg").where("event_type = 'purchase'").select("user_id").distinct()
+
+        @reg.table
+        @reg.expect_all_or_drop(EVENT_RULES)
+        def events_stg(s: SparkSession, part: DataFrame = part) -> DataFrame:
+            return part
+
+        reg.create_streaming_table("buyers_last", buckets=4)
+        reg.create_auto_cdc_flow(target="buyers_last", source="purchases", keys=["user_id"], sequence_by="ts")
+        out = reg.run(spark, lay, namespace=Namespace(schema="default"))
+    for name in ("purchases", "buyers", "events_stg"):
+        spark.sql(f"DROP TABLE default.{name}")
+    return out["buyers_last"]
+
+
+def one_shot_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named one-shot flow is applied once per checkpoint: what its source holds when
+    it runs again is left alone."""
+    root = scratch(spark, "one_shot_flow")
+    orders = table(spark, sf_dir, "orders")
+    flow = CdcFlow(target="orders_gold", source="orders", keys=["o_custkey"], sequence_by="o_orderdate", name="backfill",
+                   once=True, buckets=8)
+    run_flow(spark, orders.where("o_orderkey % 2 = 0"), flow, root, f"{root}/_cp/{flow.flow_name}")
+    run_flow(spark, orders, flow, root, f"{root}/_cp/{flow.flow_name}")
+    return read_target(spark, root)
+
+
+def watermark_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marks of a table's runs, read recursively from the folder of its documents."""
+    lay = Layout(scratch(spark, "watermark_log"))
+    orders = table(spark, sf_dir, "orders")
+    for cap in MARK_CAPS:
+        state = orders.where(F.col("o_orderdate") <= F.to_timestamp_ntz(F.lit(cap)))
+        ingest_table(spark, ORDERS, frame_reader({"orders": state}), lay)
+    return watermark_history(spark, lay.watermark("orders")).select("cdc")
+
+
+def silver_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named silver table, its data and its checkpoint are dropped; the next run
+    creates it again from all of bronze."""
+    lay = Layout(scratch(spark, "silver_reset"))
+    ingest_table(spark, EVENTS, parquet_reader(spark, _paths(sf_dir)), lay)
+    spec = SilverSpec(table="events", transform=drop_rescued, catalog_name=_named("reset"))
+    run_silver(spark, spec, lay)
+    reset_silver(spark, spec, lay)
+    assert not spark.catalog.tableExists(spec.catalog_name)
+    run_silver(spark, spec, lay)
+    return spark.table(spec.catalog_name)
+
+
 def _ruled_target(spark: SparkSession, sf_dir: str, name: str) -> Layout:
     lay = Layout(scratch(spark, name))
     reg, ev = Registry(), table(spark, sf_dir, "events")
@@ -516,14 +615,33 @@ def failed_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def converted_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type conversion on the way to bronze: prices cut to whole numbers, keys to text."""
+    """Type conversion on the way to bronze: prices cut to whole numbers, keys to text,
+    priorities to their first characters."""
     lay = Layout(scratch(spark, "converted_copy"))
-    schema = T.StructType([T.StructField("o_orderkey", T.StringType()), T.StructField("o_totalprice", T.IntegerType()),
-                           T.StructField("o_orderdate", T.TimestampNTZType())])
+    schema = T.StructType([T.StructField("o_orderkey", T.StringType()), T.StructField("o_custkey", T.DoubleType()),
+                           T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.IntegerType()),
+                           T.StructField("o_orderdate", T.TimestampNTZType()),
+                           T.StructField("o_orderpriority", T.VarcharType(3))])
     ingest_table(spark, ORDERS, parquet_reader(spark, _paths(sf_dir)), lay, target_schema=schema)
     return spark.read.parquet(lay.bronze("orders"))
 
 
+def converted_copy_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that do not convert on the way to bronze: counted in the run report, and
+    kept with their rows."""
+    lay = Layout(scratch(spark, "converted_copy_rejects"))
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_custkey") % 11 == 0, F.concat(F.lit("C-"), "o_custkey")).otherwise(F.col("o_custkey").cast("string")))
+    schema = T.StructType([T.StructField("o_orderkey", T.ShortType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.IntegerType()), T.StructField("o_orderdate", T.DateType())])
+    rep = ingest_all(spark, [ORDERS], frame_reader({"orders": orders}), lay, schemas={"orders": schema})
+    per_column = rep.select(F.explode_outer("rejected").alias("column_name", "reported"))
+    return (read_rejects(spark, "orders", lay).groupBy("column_name", "wanted")
+            .agg(F.count("*").alias("n"), F.countDistinct("value").alias("n_values"), F.min("value").alias("least"),
+                 F.max("value").alias("greatest"))
+            .join(per_column, "column_name", "full"))
+
+
 def constant_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").transform(with_constants({"cdc": "2025-01-01"}))
 
@@ -571,6 +689,17 @@ def star_dup_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_join(specs, tables.__getitem__)
 
 
+def star_bounded_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small table joined by a range, then a plain equality: the range's side is
+    counted before it is sent to every task."""
+    specs = [JoinSpec("orders", "o", ["o.o_orderkey", "o.o_totalprice"]),
+             JoinSpec("bands", "b", ["b.least"], "o.o_totalprice >= b.least AND o.o_totalprice < b.below", bounded=True, max_rows=1000),
+             JoinSpec("customer", "c", ["c.c_name"], "o.o_custkey = c.c_custkey")]
+    bands = (table(spark, sf_dir, "nation")
+             .select((F.col("n_nationkey") * 20_000.0).alias("least"), ((F.col("n_nationkey") + 1) * 20_000.0).alias("below")))
+    return star_join(specs, lambda t: bands if t == "bands" else table(spark, sf_dir, t))
+
+
 # --- the whole chain ----------------------------------------------------------------
 
 def orders_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -645,6 +774,14 @@ QUERIES: dict[str, Query] = {
     "upserted_rows": upserted_rows,
     "failed_table_report": failed_table_report,
     "converted_copy": converted_copy,
+    "converted_copy_rejects": converted_copy_rejects,
+    "late_rows_lookback": late_rows_lookback,
+    "declared_batch_metrics": declared_batch_metrics,
+    "declared_chain_over_batch": declared_chain_over_batch,
+    "star_bounded_theta": star_bounded_theta,
+    "watermark_log": watermark_log,
+    "silver_reset": silver_reset,
+    "one_shot_flow": one_shot_flow,
     "constant_column": constant_column,
     "range_flag_nulls": range_flag_nulls,
     "expect_or_drop_nulls": expect_or_drop_nulls,

@@ -10,9 +10,11 @@ Rows with a NULL change value never qualify.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import typed_literal, watermark_string
 
@@ -33,6 +35,39 @@ def incremental_extract(df: DataFrame, cdc_col: str, low: str | None, high: str
     return df.where(change_filter(df, cdc_col, low, high))
 
 
+def lookback_filter(df: DataFrame, cdc_col: str, mark: str, lookback: str) -> Column:
+    """Rows at or below the mark, by no more than ``lookback`` (an interval such as
+    "30 days", or a number for a numeric change column)."""
+    dtype = df.schema[cdc_col].dataType
+    c, low = F.col(cdc_col), typed_literal(mark, dtype)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        since = (low - F.expr(f"INTERVAL {lookback}")).cast(dtype)
+    else:
+        since = (low - F.lit(lookback).cast(dtype)).cast(dtype)
+    return (c > since) & (c <= low)
+
+
+def row_digest(columns: Mapping[str, Column]) -> Column:
+    """128 bits of the named values of a row (NULLs included)."""
+    return F.md5(F.to_json(F.struct(*[columns[c].alias(c) for c in sorted(columns)]), {"ignoreNullFields": "false"}))
+
+
+def late_rows(df: DataFrame, delivered: DataFrame, cdc_col: str, mark: str, lookback: str,
+              form: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows of ``df`` in the look-back window that ``delivered`` does not hold: what was
+    committed, or re-dated, below the mark after an earlier run. ``form`` says how
+    ``delivered``'s columns were made from those of ``df`` (default: as they are). Only
+    the window of both sides is read, and only digests of the delivered one are
+    shuffled. Equal rows count as one. Without a delivered change column its whole
+    table is compared."""
+    own = "__digest"
+    there = delivered.where(lookback_filter(delivered, cdc_col, mark, lookback)) if cdc_col in delivered.columns else delivered
+    digests = there.select(row_digest({c: F.col(f"`{c}`") for c in there.columns}).alias(own)).distinct()
+    window = df.where(lookback_filter(df, cdc_col, mark, lookback))
+    form = form or {c: F.col(f"`{c}`") for c in df.columns}
+    return window.withColumn(own, row_digest(form)).join(digests, own, "left_anti").drop(own)
+
+
 @dataclass(frozen=True)
 class WindowStats:
     rows: int

@@ -417,7 +417,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
             if not spark.catalog.tableExists(spec.catalog_name):
                 spark.catalog.createTable(spec.catalog_name, path=layout.silver_data(spec.table),
                                           source="parquet", schema=out_schema, recursiveFileLookup="true")
-            _follow_schema(spark, spec.catalog_name, out_schema)
+            follow_schema(spark, spec.catalog_name, out_schema)
         return read_silver(spark, spec, layout, schema=out_schema)
     df = silver_stream(spark, spec, layout)
     w = (df.writeStream.format("parquet")
@@ -432,7 +432,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec, layout: Layout,
     q.awaitTermination()
     _save_output_schema(spark, spec, layout, df.schema)
     if spec.catalog_name:
-        _follow_schema(spark, spec.catalog_name, df.schema)
+        follow_schema(spark, spec.catalog_name, df.schema)
     return read_silver(spark, spec, layout, schema=df.schema)
 
 
@@ -443,7 +443,7 @@ def named_in(spec: SilverSpec, namespace: Namespace | None) -> SilverSpec:
     return replace(spec, catalog_name=namespace.qualify(spec.table))
 
 
-def _follow_schema(spark: SparkSession, name: str, schema: T.StructType) -> None:
+def follow_schema(spark: SparkSession, name: str, schema: T.StructType) -> None:
     """Columns the table has gained are added to its catalog entry, so that readers
     and streams by name see them."""
     there = set(spark.table(name).columns)

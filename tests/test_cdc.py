@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tidemark.operators import cdc
 from tidemark.operators.cdc import (closed_versions, current_versions, lineage, resolve_ties,
                                     scd1_latest, scd2_versions)
 from tidemark.streaming.gold import CdcFlow, merge_batch, read_target
@@ -92,14 +94,28 @@ def test_history_queries(spark):
     assert lineage(v, "k", [1]).count() == 2
 
 
-def test_hot_key_spans_many_chunks(spark):
-    # one key with events over 3 days (72 hourly chunks) plus a few others
-    ev = [(1, t(h), "A" if (h // 5) % 2 else "B", h) for h in range(0, 72)]
+SEQUENCES = ["timestamp_ntz", "timestamp", "date", "int", "bigint", "double", "decimal(12,3)", "string", "binary"]
+
+
+@pytest.mark.parametrize("kind,except_cols", [(k, None) for k in SEQUENCES] + [(k, ["seq", "b"]) for k in ("timestamp_ntz", "string")])
+def test_hot_keys_are_split_by_measured_cuts(spark, kind, except_cols):
+    """Keys over the limit are split, others are not; same versions as brute force."""
+    from pyspark.sql import functions as F
+    ev = [(1, t(h), "A" if (h // 5) % 2 else "B", h) for h in range(0, 90)]
+    ev += [(1, t(40), "A", 1), (None, t(7), "N", 0)] + [(None, t(h), "N", h) for h in range(10, 60, 2)]
     ev += [(2, t(h), "X", h) for h in (0, 30, 31)]
     df = spark.createDataFrame(ev, SCHEMA).repartition(5)
-    assert rows(scd2_versions(df, ["k"], "seq")) == brute_scd2(ev)
-    assert rows(scd2_versions(df, ["k"], "seq", ["seq", "b"])) == brute_scd2(ev, ["seq", "b"])
-    assert rows(scd1_latest(df, ["k"], "seq")) == brute_scd1(ev)
+    hour = (F.unix_seconds(F.col("seq").cast("timestamp")) / 3600).cast("int")
+    as_kind = {"date": F.date_add(F.lit("2025-01-01").cast("date"), hour % 10_000), "string": F.lpad(hour.cast("string"), 9, "0"),
+               "binary": F.lpad(hour.cast("string"), 9, "0").cast("binary"), "timestamp": F.col("seq").cast("timestamp")}
+    typed = df if kind == "timestamp_ntz" else df.withColumn("seq", as_kind.get(kind, hour).cast(kind))
+    chunks = {(r.k, r["__chunk"]) for r in cdc._keyed(typed, ["k"], "seq", 20)[0].collect()}
+    split = kind != "binary"
+    assert (2, -1) in chunks and ((1, -1) not in chunks and len(chunks) > 30) == split
+    whole = rows(scd2_versions(typed, ["k"], "seq", except_cols))
+    assert rows(scd2_versions(typed, ["k"], "seq", except_cols, hot_rows=20)) == whole
+    if kind == "timestamp_ntz":
+        assert whole == brute_scd2(ev, except_cols)
 
 
 events_strategy = st.lists(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import key_struct
-from .sequence import CHUNK, KEY, chunk_expr, last_of_runs, with_next
+from .sequence import CHUNK, CUTS, HOT_ROWS, KEY, SKIP, chunked, last_of_runs, with_next
 
 START = "__START_AT"
 END = "__END_AT"
@@ -37,7 +37,7 @@ INTERVAL_COLS = (START, END)
 
 
 #: columns the engine adds itself; a source must not bring them
-OWN_COLS = frozenset((*INTERVAL_COLS, KEY, CHUNK, "__bucket", "__w", "__run", "__arrival"))
+OWN_COLS = frozenset((*INTERVAL_COLS, KEY, CHUNK, CUTS, SKIP, "__bucket", "__w", "__run", "__arrival"))
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -53,18 +53,16 @@ def valid_sequence(df: DataFrame, seq: str) -> DataFrame:
     return df.where(F.col(seq).isNotNull())
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], seq: str, granularity: str) -> DataFrame:
-    """Valid rows with the key struct and the chunk column."""
-    dtype = df.schema[seq].dataType
-    return (valid_sequence(df, seq)
-            .withColumn(KEY, key_struct(keys))
-            .withColumn(CHUNK, chunk_expr(seq, dtype, granularity)))
+def _keyed(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
+    """Valid rows with the key struct and the chunk column; whether any key is split."""
+    return chunked(valid_sequence(df, seq).withColumn(KEY, key_struct(keys)), seq, hot_rows)
 
 
-def _prepare(keyed: DataFrame) -> DataFrame:
-    """One shuffle on (key, chunk) that the tie aggregate and every window of
-    the SCD2 computation reuse (no further exchange of the wide rows)."""
-    return keyed.repartition(KEY, CHUNK)
+def _prepare(keyed: DataFrame, split: bool = True) -> DataFrame:
+    """One shuffle on (key, chunk), on the key where none is split, that the tie
+    aggregate and every window of the SCD2 computation reuse (no further exchange
+    of the wide rows)."""
+    return keyed.repartition(KEY, CHUNK) if split else keyed.repartition(KEY)
 
 
 def _resolve_ties(df: DataFrame, seq: str, cols: Sequence[str]) -> DataFrame:
@@ -102,25 +100,26 @@ def scd1_latest(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 def scd2_versions(events: DataFrame, keys: Sequence[str], seq: str,
                   except_cols: Sequence[str] | None = None,
-                  granularity: str = "hour", resolved: bool = False) -> DataFrame:
-    """All versions with validity intervals from a set of events.
+                  hot_rows: int = HOT_ROWS, resolved: bool = False) -> DataFrame:
+    """All versions with validity intervals from a set of events. A key with
+    ``hot_rows`` events or more is spread over tasks.
 
     ``resolved=True`` says the events are already one row per (key,
     sequence) (``resolve_ties`` output), which skips a sort of every row.
     """
     cols = data_columns(events)
-    keyed = _keyed(events, keys, seq, granularity)
-    p = _prepare(keyed)
+    keyed, split = _keyed(events, keys, seq, hot_rows)
+    p = _prepare(keyed, split)
     if not resolved:
         p = _resolve_ties(p, seq, cols)
     if except_cols is None:
-        v = with_next(p, seq, END, summary_src=keyed)
+        v = with_next(p, seq, END, keyed if split else None)
         return v.select(*cols, F.col(seq).alias(START), END)
     # every non-key column is tracked unless listed -- the sequence column
     # too, so it must be listed for versions to collapse
     tracked = [c for c in cols if c not in keys and c not in set(except_cols)]
     # with every column excluded a key has one version
-    v = last_of_runs(p, seq, F.struct(*([F.col(c) for c in tracked] or [F.lit(True)])), START, END)
+    v = last_of_runs(p, seq, F.struct(*([F.col(c) for c in tracked] or [F.lit(True)])), START, END, split)
     return v.select(*cols, START, END)
 
 

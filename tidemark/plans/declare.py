@@ -46,6 +46,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from .. import fs
 from ..config import Namespace
 from ..operators.quality import expect_all_or_drop, metric_columns, observe_rules
+from ..operators.sequence import HOT_ROWS
 from ..paths import Layout
 from ..streaming.gold import CdcFlow, flow_log, read_target, register_target, run_flow, target_exists
 from ..streaming.silver import BATCH, follow_schema
@@ -70,7 +71,7 @@ class _Target:
     buckets: int = 64
     bucket_width: int | None = None
     broadcast_keys_max: int = 1_000_000
-    granularity: str = "hour"
+    hot_rows: int = HOT_ROWS
 
 
 class _Progress(StreamingQueryListener):
@@ -127,13 +128,13 @@ class Registry:
 
     def create_streaming_table(self, name: str, expect_all_or_drop: Mapping[str, str] | None = None,
                                buckets: int = 64, bucket_width: int | None = None,
-                               broadcast_keys_max: int = 1_000_000, granularity: str = "hour") -> None:
+                               broadcast_keys_max: int = 1_000_000, hot_rows: int = HOT_ROWS) -> None:
         """Declare a keyed target. ``buckets`` hash buckets by default;
         ``bucket_width`` switches to range buckets on a growing integral key;
         ``broadcast_keys_max`` bounds the batch key set a merge may broadcast;
-        ``granularity`` is the piece of the time axis a hot key is split by."""
+        a key with ``hot_rows`` events or more is spread over tasks (type 2)."""
         self.targets[name] = _Target(name, dict(expect_all_or_drop or {}), buckets, bucket_width,
-                                     broadcast_keys_max, granularity)
+                                     broadcast_keys_max, hot_rows)
 
     def create_auto_cdc_flow(self, target: str, source: str, keys: Sequence[str], sequence_by: str,
                              stored_as_scd_type: int = 1,
@@ -149,7 +150,7 @@ class Registry:
                                                          else None),
                        name=name, once=once, expectations=t.expectations, buckets=t.buckets,
                        bucket_width=t.bucket_width, broadcast_keys_max=t.broadcast_keys_max,
-                       granularity=t.granularity)
+                       hot_rows=t.hot_rows)
         if any(f.flow_name == flow.flow_name for f in self.flows):
             raise ValueError(f"a flow named {flow.flow_name!r} exists: flows share nothing, give each a name")
         self.flows.append(flow)

@@ -174,11 +174,10 @@ def stream_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_runs(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, DataFrame]:
-    """One ingest run per day of events (the source grows day by day, its rows in
-    order of time); the day list is bounded by the time range, not the row count."""
+    """One ingest run per day of events (the source grows day by day, and holds its
+    rows in order of time); the day list is bounded by the time range, not the row count."""
     lay = Layout(scratch(spark, name))
-    table(spark, sf_dir, "events").orderBy("ts", "event_id").write.parquet(f"{lay.root}/source")
-    ev = spark.read.parquet(f"{lay.root}/source")
+    ev = table(spark, sf_dir, "events")
     days = [r["d"] for r in ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
     for d in days:
         cap = f"{d.isoformat()} 23:59:59.999999"

@@ -53,6 +53,7 @@ from .. import fs
 from ..functions.columns import bucket_of, conform, key_classes, key_struct, reads_as, wider_schema
 from ..operators.cdc import END, START, data_columns, resolve_ties, scd1_latest, scd2_versions
 from ..operators.quality import all_rules, rule_column
+from ..operators.sequence import HOT_ROWS
 from . import live as L
 from .live import BUCKET
 from .silver import BATCH
@@ -77,7 +78,8 @@ class CdcFlow:
     expectations: Mapping[str, str] = field(default_factory=dict)
     buckets: int = 64
     bucket_width: int | None = None   # range buckets on a growing integral key
-    granularity: str = "hour"
+    # type 2: a key with so many events or more is spread over tasks
+    hot_rows: int = HOT_ROWS
     # largest batch (applicable rows, counted exactly before the merge) whose
     # key set is broadcast to split old rows into touched / untouched keys
     broadcast_keys_max: int = 1_000_000
@@ -237,7 +239,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                     if old is not None:
                         _, unchanged = _split_by_keys(_widened(old, schema), key_set, keys)
                 result = scd2_versions(staged_events, keys, seq,
-                                       flow.track_history_except_column_list, flow.granularity, resolved=True)
+                                       flow.track_history_except_column_list, flow.hot_rows, resolved=True)
             else:
                 old = base
                 events = clean.drop(BUCKET)
@@ -249,7 +251,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, flow: CdcFlow, target_pat
                 if flow.stored_as_scd_type == 1:
                     result = scd1_latest(events, keys, seq)
                 else:
-                    result = scd2_versions(events, keys, seq, None, flow.granularity)
+                    result = scd2_versions(events, keys, seq, None, flow.hot_rows)
             staged.append(L.stage(_with_unchanged(result.withColumn(BUCKET, bucket), unchanged), target_path, "data"))
             L.publish(spark, target_path, live, staged, flow.flow_name, batch_id, key_classes(schema, keys), whole)
     finally:

@@ -23,10 +23,12 @@ bounds |A ^ B| by (|A| + |B|) / 7. By the pigeonhole principle at least
 * A group's pairs are not enumerated. A round verifies every member against one
   pivot of the group (a role-0 member of the smallest component in it); then
   components of the links are formed, the pivot leaves the group, and the next
-  round only looks at groups that still hold several components. When the
-  pairs between components are at most ``PAIRS_PER_MEMBER`` times the members of
-  the first round, they are tested all at once, first by the Hamming distance of short bit
-  sketches, which bounds |A ^ B| from below, then exactly. So every pair of sets that shares a sketch
+  round only looks at groups that still hold several components. Rounds go on
+  while each halves the pairs left between components (a cluster of near copies
+  falls together in few). When a round no longer does, and those pairs are at most
+  ``PAIRS_PER_MEMBER`` times the members of the first round, they are tested all at
+  once, first by the Hamming distance of short bit sketches, which bounds |A ^ B|
+  from below, then exactly. So every pair of sets that shares a sketch
   word is verified, or both are already in one component.
 * Verification intersects the exact shingle sets (64-bit hashes), recomputed
   from the texts of the documents involved.
@@ -309,7 +311,7 @@ def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
               .select("set_id", F.col("one.text_id").alias("its_text"), F.col("one.doc_id").alias("its_doc")))
     shingles = written(_shingles(docs, wanted), "shingles")
     links = written(docs.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b")), "links")
-    label, budget = None, 0
+    label, budget, before = None, 0, 0
     while True:
         # a row per member: its set, role and current component
         s = m.select("key", F.shiftright("owner", 1).alias("set"), F.col("owner").bitwiseAND(1).alias("role"))
@@ -334,7 +336,8 @@ def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
         budget = budget or PAIRS_PER_MEMBER * size
         s = s.join(groups.select("key", F.col("main.comp").alias("main"), F.col("pivot.least").alias("pivot"),
                                  F.col("pivot.comp").alias("pivot_comp")), "key")
-        last = label is not None and across <= budget
+        last = label is not None and across <= budget and 2 * across > before
+        before = across
         if last:
             sized = s.join(shingles.drop("shingles"), s["set"] == shingles["set_id"])
             pairs = (_side(sized.where("comp <> main"), "x").join(_side(sized, "y"), "key")

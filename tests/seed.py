@@ -20,9 +20,9 @@ FACT_SCHEMA = ("stream_id bigint, user_id int, track_id int, date_key int, liste
                "device_type string, stream_timestamp timestamp_ntz")
 
 COUNTRIES = ["India", "USA", "UK", "Canada", "Germany", "Brazil", "Japan", "Australia"]
-SUBS = ["Free"] * 182 + ["Family"] * 160 + ["Premium"] * 158
-GENRES = ["Pop"] * 100 + ["Hip-Hop"] * 85 + ["Jazz"] * 85 + ["Electronic"] * 79 + ["Rock"] * 78 + ["Classical"] * 73
-DEVICES = ["Mobile"] * 343 + ["Desktop"] * 331 + ["Smart Speaker"] * 326
+SUBS = ["Free", "Family", "Premium"] * 167
+GENRES = ["Pop", "Hip-Hop", "Jazz", "Electronic", "Rock", "Classical"] * 84
+DEVICES = ["Mobile", "Desktop", "Smart Speaker"] * 334
 
 
 def _stamp(rng, first: dt.date, last: dt.date, second: int) -> dt.datetime:

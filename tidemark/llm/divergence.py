@@ -108,6 +108,8 @@ def counted(docs: DataFrame) -> DataFrame:
                     else:
                         cell[0] += n * c
                         cell[1] += n
+                if len(held) > HELD:  # also inside a long text that many sources have
+                    yield out()
 
         def out():
             k = list(held)
@@ -124,14 +126,12 @@ def counted(docs: DataFrame) -> DataFrame:
             for lang, digest, source, n, t in zip(*(b.column(c).to_pylist() for c in ("lang", "digest", "source", "n", "text")),
                                                   strict=True):
                 if (lang, digest) != key:
-                    settle()
+                    yield from settle()
                     key, text = (lang, digest), None
                     sources.clear()
-                    if len(held) > HELD:
-                        yield out()
                 sources[source] += n
                 text = text or t
-        settle()
+        yield from settle()
         yield out()
 
     return arrow_map(together, run, "lang string, term string, source string, n long, docs long")

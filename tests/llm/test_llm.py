@@ -125,6 +125,27 @@ def test_parity_join_rounds_find_the_same(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_pivots_differ_between_groups(spark, monkeypatch):
+    """Texts that each lie around the threshold from each other: one pivot per group
+    joins nearly all of them, so few pairs are left for the last step."""
+    rows, r = [], np.random.default_rng(3)
+    for i in range(120):
+        t = [f"w{k}" for k in range(200)]
+        for k in r.choice(200, r.integers(3, 5), replace=False):
+            t[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(t)))
+    df, steps, verify = spark.createDataFrame(rows, "doc_id long, text string"), [], parity_join._verify
+
+    def counted(pairs, sets):
+        steps.append(pairs.count())
+        return verify(pairs, sets)
+
+    monkeypatch.setattr(parity_join, "_verify", counted)
+    got = sorted((tuple(x) for x in parity_join.classes(df).drop("text_id").collect()), key=str)
+    assert got == brute_components(rows)
+    assert len(steps) > 1 and steps[-1] < len(rows)
+
+
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=80, unique=True), st.integers(0, 40), st.integers(0, 40), st.data())
 @settings(max_examples=150, deadline=None)
 def test_sketch_words_meet_their_bound(base, drop, add, data):

@@ -21,13 +21,14 @@ bounds |A ^ B| by (|A| + |B|) / 7. By the pigeonhole principle at least
   a set that a batch holds many times is sent once, so a group of copies
   costs a bucket one entry per batch. Buckets follow the data's size.
 * A group's pairs are not enumerated. A round verifies every member against one
-  pivot of the group (a role-0 member of the smallest component in it); then
-  components of the links are formed, the pivot leaves the group, and the next
-  round only looks at groups that still hold several components. When the
+  pivot of the group (a role-0 member of the smallest component in it, drawn by a
+  number that the group's key gives, so that a set, which is in many groups, meets
+  many pivots); then components of the links are formed, the pivot leaves the group,
+  and the next round only looks at groups that still hold several components. When the
   pairs between components are at most ``PAIRS_PER_MEMBER`` times the members of
-  the first round, they are tested all at once, first by the Hamming distance of short bit
-  sketches, which bounds |A ^ B| from below, then exactly. So every pair of sets that shares a sketch
-  word is verified, or both are already in one component.
+  the first round, they are tested all at once. Pairs are tested first by the Hamming distance
+  of short bit sketches, which bounds |A ^ B| from below, then exactly. So every pair of sets that
+  shares a sketch word is verified, or both are already in one component.
 * Verification intersects the exact shingle sets (64-bit hashes), recomputed
   from the texts of the documents involved.
 
@@ -301,6 +302,18 @@ def _near() -> Column:
     return (4 * F.least("x_size", "y_size") >= 3 * F.greatest("x_size", "y_size")) & (7 * distance <= sizes)
 
 
+def _near_pairs(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """The pairs (x, y) of set ids that may link."""
+    a, b = (shingles.select(F.col("set_id").alias(of), *[F.col(c).alias(f"{of}_{c}") for c in ("size", *_BITS)]) for of in "xy")
+    return pairs.join(a, "x").join(b, "y").where(_near()).select("x", "y")
+
+
+def drawn(key: str, value: Column) -> Column:
+    """A set id as its place in the order that draws a group's pivot, and back again:
+    XOR with a number that the group's key gives."""
+    return F.xxhash64(key).bitwiseXOR(value)
+
+
 def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
     """(node, component) in set ids, of all sets that link with another one.
     ``docs`` and ``sets`` carry doc_id and text_id; ``sets`` also set_id."""
@@ -320,19 +333,20 @@ def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
                  .select("key", "set", "role", F.coalesce("component", "set").alias("comp")))
         s = written(s, "sketch_members")
         parts = s.groupBy("key", "comp").agg(
-            F.count("*").alias("n"), F.min(F.when(F.col("role") == 0, F.col("set"))).alias("least"))
+            F.count("*").alias("n"), F.min(F.when(F.col("role") == 0, drawn("key", F.col("set")))).alias("least"))
         groups = (parts.groupBy("key").agg(
             F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("squares"),
             F.max(F.struct("n", "comp")).alias("main"),
             F.min(F.when(F.col("least").isNotNull(), F.struct("n", "least", "comp"))).alias("pivot"))
-            .where("size * size > squares and pivot is not null"))
+            .where("size * size > squares and pivot is not null")
+            .withColumn("pivot_set", drawn("key", F.col("pivot.least"))))
         groups = written(groups, "sketch_open")
         size, across = groups.agg(
             F.sum("size"), F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2)).first()
         if not size:
             return components(links)
         budget = budget or PAIRS_PER_MEMBER * size
-        s = s.join(groups.select("key", F.col("main.comp").alias("main"), F.col("pivot.least").alias("pivot"),
+        s = s.join(groups.select("key", F.col("main.comp").alias("main"), "pivot_set",
                                  F.col("pivot.comp").alias("pivot_comp")), "key")
         last = label is not None and across <= budget
         if last:
@@ -341,13 +355,14 @@ def linked(docs: DataFrame, sets: DataFrame, m: DataFrame) -> DataFrame:
                      .where("x_comp <> y_comp and x_role + y_role < 2").where(_near())
                      .select(F.col("x_set").alias("x"), F.col("y_set").alias("y")))
         else:
-            pairs = s.where("comp <> pivot_comp").select(F.col("pivot").alias("x"), F.col("set").alias("y"))
+            pairs = s.where("comp <> pivot_comp").select(F.least("pivot_set", "set").alias("x"), F.greatest("pivot_set", "set").alias("y"))
+            pairs = _near_pairs(pairs.distinct(), shingles)
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         links = written(links.unionByName(_verify(pairs, shingles)), "links")
         if last:
             return components(links)
         label = written(components(links), "sketch_labels")
-        done = groups.select("key", (F.col("pivot.least") * 2).alias("owner"))
+        done = groups.select("key", (F.col("pivot_set") * 2).alias("owner"))
         m = m.join(done, ["key", "owner"], "left_anti").join(groups.select("key"), "key", "left_semi")
         m = written(m, "sketch_members")
 

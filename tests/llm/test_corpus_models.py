@@ -168,6 +168,21 @@ def test_copies_of_a_text_travel_once(spark):
     assert sum(r.n for r in got) == 500 and sum(r.text is not None for r in got) <= 2 and len(got) <= 16
 
 
+def test_counts_of_copies_and_many_sources(spark, monkeypatch):
+    """Copies weigh by their number, texts of one source once; also when sums are passed on often."""
+    rows = [("b a a c", "en", f"s{i % 3}") for i in range(7)] + [("a d", "en", "s0"), ("a d", "de", "s0"), (None, "en", "s9")]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    want = collections.defaultdict(lambda: [0, 0])
+    for t, lang, s in rows:
+        for w, n in [*collections.Counter((t or "").split()).items(), (None, 0)]:
+            want[lang, w, s][0] += n
+            want[lang, w, s][1] += 1
+    for held in (400_000, 1):
+        monkeypatch.setattr(divergence, "HELD", held)
+        got = divergence.counted(df).groupBy("lang", "term", "source").agg(F.sum("n"), F.sum("docs")).collect()
+        assert {tuple(r[:3]): list(r[3:]) for r in got} == want
+
+
 def test_shares_by_long_division(spark):
     cases = [(1, 3), (7, 7), (10**14, 10**15), (1, 8 * 10**15), (8 * 10**15 - 1, 8 * 10**15), (123456789, 987654321)]
     got = spark.createDataFrame(cases, "c long, t long").select(divergence.share(F.col("c"), F.col("t")).alias("p")).collect()

@@ -88,39 +88,55 @@ def counted(docs: DataFrame) -> DataFrame:
     together = collapsed(docs).repartition("lang", "digest").sortWithinPartitions("lang", "digest")
 
     def run(batches):
-        held: dict = {}
+        held: dict = {}  # (lang, source) -> occurrences and documents by term
+        groups: Counter = Counter()
         sources: Counter = Counter()
-        key, text = None, None
+        key, text, size = None, None, 0
 
         def settle():
+            nonlocal size
             if key is None:
                 return
-            lang = key[0]
-            weight = list(sources.items())
-            for s, n in weight:
-                cell = held.setdefault((lang, None, s), [0, 0])
-                cell[1] += n
-            for t, c in Counter(terms(text)).items():
-                for s, n in weight:
-                    cell = held.get((lang, t, s))
-                    if cell is None:
-                        held[lang, t, s] = [n * c, n]
-                    else:
-                        cell[0] += n * c
-                        cell[1] += n
-                if len(held) > HELD:  # also inside a long text that many sources have
-                    yield out()
+            found = terms(text)
+            count = Counter(found) if len(sources) > 1 or max(sources.values()) > 1 else None
+            distinct = count or set(found)
+            for s, n in sources.items():
+                of = key[0], s
+                groups[of] += n
+                cells = held.get(of)
+                if cells is None:
+                    cells = held[of] = Counter(), Counter()
+                occurrences, docs = cells
+                size -= len(docs)
+                if n == 1:
+                    occurrences.update(found)
+                    docs.update(iter(distinct))
+                else:
+                    for t, c in count.items():
+                        occurrences[t] += n * c
+                        docs[t] += n
+                size += len(docs)
+                if size > HELD:  # also between the sources of a text that many have
+                    yield from out()
 
         def out():
-            k = list(held)
-            v = np.array(list(held.values()), np.int64).reshape(-1, 2)
-            b = pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in k], pa.string()),
-                 pa.array([x[1] for x in k], pa.binary()).cast(pa.string()),
-                 pa.array([x[2] for x in k], pa.string()), pa.array(v[:, 0]), pa.array(v[:, 1])],
-                ["lang", "term", "source", "n", "docs"])
+            nonlocal size
+            cells = list(held.values())
+            term = pa.array([t for c, _ in cells for t in c], pa.binary()).cast(pa.string())
+            n = np.fromiter((v for c, _ in cells for v in c.values()), np.int64, size)
+            docs = np.fromiter((d[t] for c, d in cells for t in c), np.int64, size)
+            yield rows(held, [len(c) for c, _ in cells], term, n, docs)
+            k = len(groups)
+            yield rows(groups, [1] * k, pa.nulls(k, pa.string()), np.zeros(k, np.int64), np.fromiter(groups.values(), np.int64, k))
             held.clear()
-            return b
+            groups.clear()
+            size = 0
+
+        def rows(of, times, term, n, docs):
+            at = pa.array(np.repeat(np.arange(len(of)), times))
+            lang, source = (pa.array([x[i] for x in of], pa.string()).take(at) for i in range(2))
+            return pa.RecordBatch.from_arrays([lang, term, source, pa.array(n), pa.array(docs)],
+                                              ["lang", "term", "source", "n", "docs"])
 
         for b in batches:
             for lang, digest, source, n, t in zip(*(b.column(c).to_pylist() for c in ("lang", "digest", "source", "n", "text")),
@@ -132,7 +148,7 @@ def counted(docs: DataFrame) -> DataFrame:
                 sources[source] += n
                 text = text or t
         yield from settle()
-        yield out()
+        yield from out()
 
     return arrow_map(together, run, "lang string, term string, source string, n long, docs long")
 

@@ -600,6 +600,18 @@ def test_plain_words_stay(restorer):
     assert toxicity.restored_words("A plain text, with words: 2024 and 3.5", restorer) >= {"plain", "text", "with", "words", "2024"}
 
 
+def test_only_texts_with_single_letters_are_searched(restorer, monkeypatch):
+    """Plain texts never meet the patterns of spaced letters; others give all their words."""
+    for low in ("you i d i o t", "you i  d\ti\no  t", "a b c de", "x\ny\nz", "\u00e9 \u00e8 \u00e0", "s t u\x1cp i d"):
+        rows = dict.fromkeys(" ".join(m.split()) for r in (toxicity._SPACED, toxicity._APART) for m in r.findall(low))
+        want = [w for m in rows for w in restorer.restore(m).split()]
+        assert want and toxicity.spaced_words(low, low.split(), restorer) == want
+    monkeypatch.setattr(toxicity, "_SPACED", None)
+    monkeypatch.setattr(toxicity, "_APART", None)
+    for low in ("", "a plain text i say", "a b cd e f", "x\n\ny"):
+        assert toxicity.spaced_words(low, low.split(), restorer) == []
+
+
 def test_toxicity_is_learned_from_training_rows_only(spark, odd, none):
     r = np.random.default_rng(4)
     rows, labels = [], []

@@ -26,6 +26,7 @@ gives an empty result. Extra columns are ignored by ``scored``.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ TRAIN_ROWS = 50_000
 THRESHOLD = 0.3
 MIN_TEXTS = 3  # toxic texts a feature needs
 SMOOTH = 8.0  # texts of the average kind added to every feature
+HELD = 400_000  # features a task sums before it passes them on
 BEGINNINGS = (3, 4, 5, 6)
 KINDS = 28
 
@@ -189,8 +191,11 @@ def disguised(word: str) -> bool:
     return not word.isalpha() and _INNER.search(word) is not None or _RUN.search(word) is not None
 
 
-def spaced_words(low: str, fix: Restorer) -> list[str]:
-    """Words behind single letters in a row, a blank or any blanks between them."""
+def spaced_words(low: str, tokens: list[str], fix: Restorer) -> list[str]:
+    """Words behind single letters in a row, a blank or any blanks between them;
+    ``tokens`` are the pieces of ``low`` between blanks."""
+    if b"\1\1\1" not in bytes([len(t) == 1 for t in tokens]):
+        return []
     rows = dict.fromkeys(" ".join(m.split()) for r in (_SPACED, _APART) for m in r.findall(low))
     return [w for m in rows for w in fix.restore(m).split()]
 
@@ -198,8 +203,9 @@ def spaced_words(low: str, fix: Restorer) -> list[str]:
 def restored_words(text: str, fix: Restorer) -> set[str]:
     """Distinct words of the restored text, with the words as they stand."""
     low = text.lower()
-    found = set(spaced_words(low, fix))
-    for t in set(low.split()):
+    tokens = low.split()
+    found = set(spaced_words(low, tokens, fix))
+    for t in set(tokens):
         found.update(fix.words_of(t))
     return found
 
@@ -220,16 +226,31 @@ def train(docs: DataFrame, labels: DataFrame, model) -> tuple[dict[str, tuple[fl
 
     def run(batches):
         fix = Restorer(model.value)
+        n, toxic = Counter(), Counter()  # texts by feature
+
+        def sums():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(list(n), pa.string()), pa.array(np.fromiter(map(toxic.__getitem__, n), np.int64, len(n))),
+                 pa.array(np.fromiter(n.values(), np.int64, len(n)))], ["feature", "t", "n"])
+            n.clear()
+            toxic.clear()
+            return out
+
         for b in batches:
             for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                f = sorted({x for w in restored_words(t, fix) for x in features(w)})
-                yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array([int(y)] * len(f), pa.int32())], ["feature", "toxic"])
+                f = {x for w in restored_words(t, fix) for x in features(w)}
+                n.update(f)
+                if y:
+                    toxic.update(dict.fromkeys(f, int(y)))
+                if len(n) > HELD:
+                    yield sums()
+        yield sums()
 
     rows = written(rows.select("text", "toxic"), "labelled")
     n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
     base = (toxic or 0) / n if n else 0.0
-    counted = (arrow_map(rows, run, "feature string, toxic int").groupBy("feature")
-               .agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    counted = (arrow_map(rows, run, "feature string, t long, n long").groupBy("feature")
+               .agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
                .withColumn("p", (F.col("t") + SMOOTH * base) / (F.col("n") + SMOOTH))
                .where((F.col("t") >= MIN_TEXTS) & (F.col("p") >= max(0.2, 1.5 * base))))
     rank = {r["feature"]: r["p"] for r in counted.collect()}  # bounded by TRAIN_ROWS
@@ -267,7 +288,8 @@ def _leading(docs: DataFrame, model, keep: list[str]) -> DataFrame:
                 if len(tokens) > 400_000:
                     tokens.clear()
                 low = t.lower() if t else ""
-                out.append(max(max(map(tokens.__getitem__, set(low.split())), default=(0.0, "")), best(spaced_words(low, fix)))[1])
+                pieces = low.split()
+                out.append(max(max(map(tokens.__getitem__, set(pieces)), default=(0.0, "")), best(spaced_words(low, pieces, fix)))[1])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "feature"])
 
     return arrow_map(docs, run, ", ".join(f"{c} {types[c]}" for c in keep) + ", feature string")

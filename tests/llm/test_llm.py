@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (chunk_dedup, decontaminate, graph, lm_scores, packing, parity_join, quality, range_coder,
-                          sharding, token_counts, toxicity)
+                          sharding, token_counts, toxicity, units)
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.store import scratch
 from tidemark.llm.text import shingle_set
@@ -280,6 +280,34 @@ def test_units_encode_like_any_text(t):
         assert np.frombuffer(encoder(path).encode(t), "<u4").tolist() == ids_of(path, t)
 
 
+@given(st.text(st.sampled_from("aBzéÀßÿŸµªſİ×\u0301 .,'#_&12\n"), max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_letters_and_signs_encode_like_any_text(t):
+    for path in (BYTE, WORD):
+        assert np.frombuffer(encoder(path).encode(t), "<u4").tolist() == ids_of(path, t)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_letters_go_to_the_model_alone(path, monkeypatch):
+    text = "Unseen wordlings, ÉLAN and élan### go straight"
+    enc = units.Encoder(path)
+    for ids in (enc.bare, enc.spaced):
+        monkeypatch.setattr(ids, "encode", lambda unit: {"###": np.array(ids_of(path, "###"), "<u4").tobytes()}.get(unit))
+    enc.bare.end[","] = np.array(ids_of(path, ","), "<u4").tobytes()
+    monkeypatch.setattr(enc.bare, "signs", {",": enc.bare.end[","]})
+    monkeypatch.setattr(enc.spaced, "signs", {",": enc.bare.end[","]})
+    assert np.frombuffer(enc.encode(text), "<u4").tolist() == ids_of(path, text)
+
+
+def test_full_memory_keeps_the_latest_words(monkeypatch):
+    monkeypatch.setattr(units, "MEMORY", 3)
+    enc = units.Encoder(BYTE)
+    enc.encode("one two three four")
+    enc.encode("five")  # more than MEMORY held: a new generation
+    monkeypatch.setattr(enc.spaced, "letters", None)  # would be called for a forgotten word
+    assert np.frombuffer(enc.encode("five two four"), "<u4").tolist() == ids_of(BYTE, "five two four")
+
+
 @pytest.mark.parametrize("head", [8_000_000, 8])
 def test_token_counts(odd, none, docs, monkeypatch, head):
     """With the whole vocabulary broadcast, and with nearly all of it joined."""

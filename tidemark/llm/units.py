@@ -12,22 +12,31 @@ neighbours and can be remembered. Units are "words" with their blank:
 
 Special strings of the tokenizer inside a text are cut out first and encoded
 as the library does by default.
+
+A unit of letters a-z, A-Z and of Latin-1 is one pre-token whatever stands around
+it, and signs after such letters are another, so these go to the library's
+BPE model without the normaliser and the pre-tokenizer.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from unicodedata import normalize
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
-#: words remembered by a worker; the memory is emptied when it holds more
-MEMORY = 500_000
+#: words remembered by a worker in one generation; of full ones, the latest is kept
+MEMORY = 400_000
 _ODD_BYTES = bytes([9, 11, 12, 13, 28, 29, 30, 31])
 _ODD = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 _IDLE_END = ".,"
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"  # composed letters: NFC and lower case leave their number alone
+#: such letters, and marks that are no part of a contraction ('s)
+_LETTERS = re.compile(f"([{_LATIN}]+)([!-&(-/:-@\\[-`{{-~]*)")
 
 
 def plain_blanks(text: str) -> bool:
@@ -53,23 +62,62 @@ def units(text: str) -> tuple[list[str], list[str]]:
         [p[1:] for p in parts if p[0] == " " and len(p) > 1 and not p[1].isspace()]
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter by which byte-level tokenizers write each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_AS_LETTERS = _byte_letters()
+
+
 class _Ids(dict):
     """unit -> little-endian 32-bit ids, encoded on first sight."""
 
-    def __init__(self, tokenizer: Tokenizer, before: str, split_end: bool):
+    def __init__(self, tokenizer: Tokenizer, before: str, model, lower: bool):
         super().__init__()
-        self.tokenizer, self.before, self.split_end = tokenizer, before, split_end
+        self.tokenizer, self.before, self.model, self.lower = tokenizer, before, model, lower
+        self.first = before.translate(_AS_LETTERS)
+        self.old: dict[str, bytes] = {}
         self.end = {c: self.encode(c) for c in _IDLE_END}
+        self.signs: dict[str, bytes] = {}
+
+    def next_generation(self):
+        self.old = dict(self)
+        self.clear()
+        self.signs.clear()
 
     def encode(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def letters(self, word: str) -> bytes:
+        """Ids of one pre-token of letters."""
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(_AS_LETTERS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(self.first + word)])
+
     def __missing__(self, unit: str) -> bytes:
-        # a full stop or comma after a letter is a pre-token of its own
-        if self.split_end and unit[-1:] in self.end and unit[-2:-1].isalpha():
-            ids = self[unit[:-1]] + self.end[unit[-1]]
-        else:
-            ids = self.encode(self.before + unit)
+        ids = self.old.get(unit)
+        if ids is None:
+            m = self.model and _LETTERS.fullmatch(unit)
+            if m:
+                word, signs = m.groups()
+                if signs:
+                    ids = self.signs.get(signs)
+                    if ids is None:
+                        ids = self.signs[signs] = self.encode(signs)
+                    ids = self[word] + ids
+                elif self.lower and (low := word.lower()) != word:
+                    ids = self[low]
+                else:
+                    ids = self.letters(word)
+            # a full stop or comma after a letter is a pre-token of its own, unless
+            # the letter is normalised into one and a mark (İ)
+            elif unit[-1:] in self.end and (normalize("NFC", unit[-2:-1]).lower()[-1:] if self.lower else unit[-2:-1]).isalpha():
+                ids = self[unit[:-1]] + self.end[unit[-1]]
+            else:
+                ids = self.encode(self.before + unit)
         self[unit] = ids
         return ids
 
@@ -90,7 +138,13 @@ class Encoder:
             raise ValueError(f"{path}: pre-tokens of this tokenizer are not known")
         self.specials = {a.content for a in added}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len)[::-1])) + ")") if added else None
-        self.bare, self.spaced = _Ids(t, "", True), _Ids(t, " " if self.byte_level else "", True)
+        plain = ["NFC()", r'Replace(pattern=Regex("\s+"), content=" ")', "Lowercase()"]  # leave composed letters, but their case
+        normal = repr(t.normalizer) in ("None", f"Sequence(normalizers=[{', '.join(plain)}])")
+        # a tokenizer that also keeps whole words, or strings of letters, as added tokens goes the plain path
+        alone = isinstance(t.model, BPE) and not t.model.dropout and normal and not any(_LETTERS.fullmatch(a.content) for a in added)
+        model = t.model if alone else None
+        lower = t.normalizer is not None
+        self.bare, self.spaced = _Ids(t, "", model, lower), _Ids(t, " " if self.byte_level else "", model, lower)
 
     def segments(self, text: str) -> list[str]:
         """The text around special strings, and the special strings."""
@@ -103,8 +157,8 @@ class Encoder:
         if not text:
             return b""
         if len(self.bare) + len(self.spaced) > MEMORY:
-            self.bare.clear()
-            self.spaced.clear()
+            self.bare.next_generation()
+            self.spaced.next_generation()
         out: list[bytes] = []
         for s in self.segments(text):
             if s in self.specials:

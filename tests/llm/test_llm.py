@@ -342,6 +342,16 @@ def test_blocks_decode(blocks, times):
     assert all((a == b).all() for a, b in zip(blocks, out, strict=True))
 
 
+def test_low_bytes_of_unforeseen_ids_stand_behind_the_digits():
+    ids = np.random.default_rng(5).permutation(1 << 16)[:1024].astype("<u4")
+    ids[:3] = 65535, 0, 65534
+    short = ids[:7]
+    both = range_coder.encode_blocks([ids, short])
+    assert both[0].endswith((ids & 255).astype(np.uint8)[::-1].tobytes())
+    assert both[1].endswith((short & 255).astype(np.uint8)[::-1].tobytes())
+    assert all((a == b).all() for a, b in zip([ids, short], range_coder.decode_blocks(both, [1024, 7]), strict=True))
+
+
 def test_repetition_is_compressed_and_damage_found(spark, docs):
     ids = np.tile(np.arange(100, 150, dtype="<u4"), 20)[:1024]
     assert len(range_coder.encode_blocks([ids])[0]) < 400

@@ -48,10 +48,18 @@ PART_BYTES = 40 << 20
 SLOTS = 1 << 9  # contexts a block remembers, by hash, for each order
 TOTAL = 1 << 16
 HIGH = 256  # high bytes: ids below 2^16
+NONE = 0xFFFF  # no id remembered
 REFRESH = 32  # steps between updates of the order-0 frequencies
 U = np.uint64
 
 
+def _reached(starts: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Per row of 16 ascending numbers, the place of the last one that is at most
+    ``v``. The first one always is. Truth values are bytes, added up in 64 bits."""
+    half = (starts <= v[:, None]).view(U)
+    return (((half[:, 0] + half[:, 1]) * U(0x0101010101010101)) >> U(56)).astype(np.int64) - 1
+
+
 class Model:
     """Predictions of ``n`` blocks side by side. Identical in both directions:
     it only looks at ids already coded."""
@@ -60,39 +68,50 @@ class Model:
         self.n = n
         self.slot = np.arange(n) * SLOTS
         self.row = np.arange(n) * HIGH
-        self.cell = np.arange(n) * (HIGH + 1)
-        self.seen2 = np.full(n * SLOTS, -1, np.int32)
-        self.seen1 = np.full(n * SLOTS, -1, np.int32)
-        self.right2 = np.full(n, 1 << 12)  # chance of being right, of 2^16
-        self.right1 = np.full(n, 1 << 12)
-        self.prev = np.zeros(n, np.int64)
-        self.prev2 = np.zeros(n, np.int64)
-        self.count = np.zeros(n * HIGH, np.int64)
+        self.line = np.arange(n) * (HIGH // 16 + 1)
+        self.cell = self.line * 16
+        self.seen2 = np.full(n * SLOTS, NONE, np.uint16)
+        self.seen1 = np.full(n * SLOTS, NONE, np.uint16)
+        self.right2 = np.full(n, 1 << 12, np.int32)  # chance of being right, of 2^16
+        self.right1 = np.full(n, 1 << 12, np.int32)
+        self.prev = np.zeros(n, np.int32)
+        self.prev2 = np.zeros(n, np.int32)
+        self.count = np.zeros(n * HIGH, np.uint16)
         self.step = 0
         self.refresh()
 
     def refresh(self):
-        """Order 0: each high byte has 1 + 32 x its count, in units of 256 low bytes."""
-        cum = np.zeros((self.n, HIGH + 1), np.int64)
-        np.cumsum((1 + 32 * self.count).reshape(self.n, HIGH), axis=1, out=cum[:, 1:])
-        self.cum = cum.ravel()
-        self.total = (cum[:, HIGH] << 8).astype(U)
+        """Order 0: each high byte has 1 + 32 x its count, scaled to a sum of TOTAL
+        (at most 256 + 32 x BLOCK before, so each keeps a part). The last sum, TOTAL,
+        is 0 in 16 bits, and the differences are right."""
+        cum = np.zeros((self.n, HIGH + 16), np.uint32)
+        np.cumsum((1 + 32 * self.count).reshape(self.n, HIGH), axis=1, dtype=np.uint32, out=cum[:, 1:HIGH + 1])
+        cum <<= 16
+        cum //= np.uint32(HIGH + 32 * self.step)
+        cum = cum.astype(np.uint16)
+        self.cum, self.lines, self.firsts = cum.ravel(), cum.reshape(-1, 16), cum[:, :HIGH:16].copy()
+
+    def high_byte(self, v):
+        """The last high byte that starts at or below ``v``: its line of 16, and its place there."""
+        line = _reached(self.firsts, v)
+        return (line << 4) + _reached(self.lines.take(self.line + line, axis=0), v)
 
     def predict(self):
-        """Per lane: the ids of order 2 and 1 (-1: none) and their shares of TOTAL."""
-        self.at2 = self.slot + (((self.prev * 40503 + self.prev2 * 30011) >> 3) & (SLOTS - 1))
-        self.at1 = self.slot + ((self.prev * 40503 >> 3) & (SLOTS - 1))
+        """Per lane: the ids of order 2 and 1 (or ``NONE``) and their shares of TOTAL."""
+        one = self.prev * 40503
+        self.at2 = self.slot + (((one + self.prev2 * 30011) >> 3) & (SLOTS - 1))
+        self.at1 = self.slot + ((one >> 3) & (SLOTS - 1))
         p2, p1 = self.seen2.take(self.at2), self.seen1.take(self.at1)
-        self.had2 = p2 >= 0
-        self.had1 = (p1 >= 0) & (p1 != p2)
+        self.had2 = p2 != NONE
+        self.had1 = (p1 != NONE) & (p1 != p2)
         m2 = self.right2 * self.had2
         m1 = ((((TOTAL - m2) >> 4) * (self.right1 >> 4)) >> 8) * self.had1
         return p2, p1, m2, m1
 
     def update(self, ids, hit2, hit1):
         """Learn the coded ids; ``hit``: which order was right."""
-        self.right2 += ((np.where(hit2, 62000, 64) - self.right2) >> 4) * self.had2
-        self.right1 += ((np.where(hit1, 62000, 64) - self.right1) >> 4) * (self.had1 & ~hit2)
+        self.right2 += (((hit2 * np.int32(61936) + np.int32(64)) - self.right2) >> 4) * self.had2
+        self.right1 += (((hit1 * np.int32(61936) + np.int32(64)) - self.right1) >> 4) * (self.had1 & ~hit2)
         self.seen2[self.at2] = ids
         self.seen1[self.at1] = ids
         self.count[self.row + (ids >> 8)] += 1  # a lane has one row: no index comes twice
@@ -102,9 +121,17 @@ class Model:
             self.refresh()
 
 
-_LOW = U(0xFFFFFFFF)
+def _turned(a: np.ndarray) -> np.ndarray:
+    """The transpose, written in stripes that fit the cache."""
+    out = np.empty(a.shape[::-1], a.dtype)
+    for i in range(0, len(a), 64):
+        out[:, i:i + 64] = a[i:i + 64].T
+    return out
+
+
 _SMALL = U(1 << 32)
 _START = (1 << 64) - 1
+_32 = U(32)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -112,112 +139,113 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     the reader cuts off again.
 
     A lane whose range falls under 2^32 moves 32 bits out (that is enough: a
-    step divides the range by 2^23 at most). Carries are noted and added to
+    step divides the range by 2^32 at most). Carries are noted and added to
     the digits moved out before."""
     n, length = len(blocks), max(map(len, blocks))
-    ids = np.zeros((length, n), np.int64)
-    for i, b in enumerate(blocks):
-        ids[:len(b), i] = b
+    given = np.zeros((n, length), np.int32)
+    for row, b in zip(given, blocks, strict=True):
+        row[:len(b)] = b
+    ids = _turned(given)
     model = Model(n)
     low, rng = np.zeros(n, U), np.full(n, _START, U)
-    digits = np.zeros((2 * length + 2, n), U)
-    moved = np.zeros((2 * length + 2, n), bool)
-    carry = np.zeros((2 * length + 2, n), bool)
-
-    def narrow(low, rng, add, at):
-        new = low + add
-        carry[at] = new < low
-        small = rng < _SMALL
-        digits[at], moved[at] = new >> U(32), small
-        bits = small * U(32)
-        return new << bits, rng << bits
+    digits = np.zeros((length + 2, n), np.uint32)
+    moved = np.zeros((length + 2, n), bool)
+    carry = np.zeros((length + 2, n), bool)
+    plain = np.zeros((length, n), bool)  # coded by order 0
 
     for t in range(length):
         x = ids[t]
         p2, p1, m2, m1 = model.predict()
-        hit2 = x == p2
-        hit1 = (x == p1) & (m1 > 0) & ~hit2
-        rest = ~(hit2 | hit1)
+        hit2 = (x == p2) & model.had2
+        hit1 = (x == p1) & model.had1
+        hit = hit2 | hit1
         m12 = m2 + m1
-        r = rng >> U(16)  # TOTAL is 2^16
-        rng = np.where(hit2, m2, np.where(hit1, m1, TOTAL - m12)).astype(U) * r
-        low, rng = narrow(low, rng, np.where(hit2, 0, np.where(hit1, m2, m12)).astype(U) * r, 2 * t)
-        # order 0, for the lanes where the other orders were wrong
         cell = model.cell + (x >> 8)
         cum = model.cum.take(cell)
-        f = model.cum.take(cell + 1) - cum
-        r = rng // model.total
-        rng = np.where(rest, f.astype(U) * r, rng)
-        low, rng = narrow(low, rng, (((cum << 8) + (x & 255) * f) * rest).astype(U) * r, 2 * t + 1)
+        cell += 1
+        f = (model.cum.take(cell) - cum).astype(np.uint32)
+        free = (TOTAL - m12).view(np.uint32)
+        width = np.where(hit, np.where(hit2, m2, m1).view(np.uint32) << 16, f * free)
+        start = np.where(hit, (m2 * hit1).view(np.uint32) << 16, (m12.view(np.uint32) << 16) + free * cum)
+        r = rng >> _32
+        rng = r * width
+        r *= start
+        new = low + r
+        carry[t] = new < low
+        small = rng < _SMALL
+        digits[t], moved[t] = new >> _32, small
+        bits = small * _32
+        low, rng = new << bits, rng << bits
+        plain[t] = ~hit
         model.update(x, hit2, hit1)
     for k in range(2):
-        digits[2 * length + k], moved[2 * length + k] = low >> U(32), True
-        low = low << U(32)
-    out = []
-    for i in range(n):
-        m = moved[:, i]
-        d = digits[m, i].astype(np.int64)
-        before = (np.cumsum(m) - m - 1)[carry[:, i]]  # the digit moved out last before the carry
-        np.add.at(d, before, 1)
-        while (over := d >> 32).any():
-            d &= 0xFFFFFFFF
-            d[:-1] += over[1:]
-        out.append(d.astype("<u4").tobytes())
-    return out
+        digits[length + k], moved[length + k] = low >> _32, True
+        low = low << _32
+    m, sizes = _turned(moved), np.array([len(b) for b in blocks])
+    d = _turned(digits)[m].astype(np.int64)  # of all blocks, one behind the other
+    ends, m = 4 * np.cumsum(m.sum(1)), m.ravel()
+    c = np.flatnonzero(_turned(carry))  # the digit moved out last before the carry
+    np.add.at(d, np.cumsum(m)[c] - m[c] - 1, 1)
+    while (over := d >> 32).any():
+        d &= 0xFFFFFFFF
+        d[:-1] += over[1:]  # no block's first digit overflows
+    d = d.astype("<u4").tobytes()
+    p = (_turned(plain) & (np.arange(length) < sizes[:, None]))[:, ::-1]
+    x, last = given.astype(np.uint8)[:, ::-1][p].tobytes(), np.cumsum(p.sum(1))
+    return [d[i:j] + x[k:l] for i, j, k, l in zip([0, *ends[:-1]], ends, [0, *last[:-1]], last, strict=True)]
 
 
 def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     """The ids of every block."""
     n, length = len(payloads), max(lengths)
-    width = max(len(p) // 4 for p in payloads) + 2 * length + 2  # a padded block reads on
-    width = min(width, 2 * length + 4)
+    size = np.array([len(p) for p in payloads])
+    width = min(int(size.max()) // 4, length + 2) + 1
     digits = np.zeros((n, width), np.uint32)
-    for i, p in enumerate(payloads):
-        digits[i, :len(p) // 4] = np.frombuffer(p, "<u4")
+    for i, p in enumerate(payloads):  # the bytes behind the digits are read by padded blocks only
+        d = np.frombuffer(p, "<u4", min(len(p) // 4, width))
+        digits[i, :len(d)] = d
     digits = digits.ravel()
+    lows = np.frombuffer(b"".join(payloads), np.uint8)
+    tail = np.cumsum(size) - 1  # of each block, the low byte that comes next
     model = Model(n)
     at = np.arange(n) * width
     x = np.zeros(n, U)
     for _ in range(2):
-        x = (x << U(32)) | digits.take(at)
+        x = (x << _32) | digits.take(at)
         at += 1
     rng = np.full(n, _START, U)
-    ids = np.zeros((length, n), np.int64)
-
-    def shift(x, rng):
-        small = rng < _SMALL
-        x = np.where(small, (x << U(32)) | digits.take(at, mode="clip"), x)
-        np.add(at, small, out=at)
-        return x, rng << (small * U(32))
+    ids = np.zeros((length, n), np.int32)
 
     for t in range(length):
         p2, p1, m2, m1 = model.predict()
         m12 = m2 + m1
-        r = rng >> U(16)
-        v = np.minimum((x // r).astype(np.int64), TOTAL - 1)
-        hit2 = v < m2
-        hit1 = (v < m12) & ~hit2
-        rest = v >= m12
-        x = x - np.where(hit2, 0, np.where(hit1, m2, m12)).astype(U) * r
-        rng = np.where(hit2, m2, np.where(hit1, m1, TOTAL - m12)).astype(U) * r
-        x, rng = shift(x, rng)
-        r = rng // model.total
-        v = (np.minimum(x // r, model.total - U(1))).astype(np.int64)
-        high = v >> 8
-        hi = np.zeros(n, np.int64)
-        for bit in (128, 64, 32, 16, 8, 4, 2, 1):  # the last high byte that starts at or below v
-            hi += bit * (model.cum.take(model.cell + hi + bit) <= high)
-        cell = model.cell + hi
+        free = TOTAL - m12
+        r = rng >> _32
+        v = np.minimum(x // r, U(_SMALL - U(1))).astype(np.int64)
+        part = v >> 16
+        hit2 = part < m2
+        hit = part < m12
+        hit1 = hit & ~hit2
+        rest = ~hit
+        v = np.minimum((v - (m12.astype(np.int64) << 16)) / free, TOTAL - 1).astype(np.uint16)
+        high = model.high_byte(v)
+        cell = model.cell + high
         cum = model.cum.take(cell)
-        f = model.cum.take(cell + 1) - cum
-        lo = (v - (cum << 8)) // f
-        x = np.where(rest, x - ((cum << 8) + lo * f).astype(U) * r, x)
-        rng = np.where(rest, f.astype(U) * r, rng)
-        x, rng = shift(x, rng)
-        got = np.where(hit2, p2, np.where(hit1, p1, (hi << 8) | lo))
+        cell += 1
+        f = (model.cum.take(cell) - cum).astype(np.uint32)
+        free = free.view(np.uint32)
+        x -= r * np.where(hit, (m2 * hit1).view(np.uint32) << 16, (m12.view(np.uint32) << 16) + free * cum)
+        rng = r * np.where(hit, np.where(hit2, m2, m1).view(np.uint32) << 16, f * free)
+        small = rng < _SMALL
+        bits = small * _32
+        x = (x << bits) | digits.take(at, mode="clip") * small
+        at += small
+        rng = rng << bits
+        got = np.where(hit2, p2, np.where(hit1, p1, (high << 8) | lows.take(tail, mode="clip"))).astype(np.int32)
+        tail -= rest
         ids[t] = got
         model.update(got, hit2, hit1)
-    return [ids[:k, i] for i, k in enumerate(lengths)]
+    return [x[:k] for x, k in zip(_turned(ids), lengths, strict=True)]
 
 
 SEGMENT_SQL = ("part int, start long, doc_ids array<long>, lengths array<long>, payloads array<binary>, "

@@ -613,6 +613,18 @@ def test_scores_keep_every_word(spark, odd, docs, none, monkeypatch, share):
 
 # --- 1: toxicity -----------------------------------------------------------------
 
+@pytest.mark.parametrize("piece", [1, 40, 1 << 19])
+def test_characters_are_counted_in_pieces(odd, docs, none, monkeypatch, piece):
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    for df in (odd, docs, none):
+        want = collections.Counter()
+        for r in df.collect():
+            c = [toxicity.kind(chr(b).lower()) if b < 128 else 27 for b in f" {r.text} ".encode()] if r.text else []
+            want.update(zip(c, c[1:], c[2:], c[3:], strict=False))
+        got = toxicity.char_counts(df).reshape((toxicity.KINDS,) * 4)
+        assert {tuple(map(int, k)): int(got[tuple(k)]) for k in np.argwhere(got)} == want
+
+
 @pytest.fixture(scope="module")
 def restorer():
     text = " ".join(["the idiot is a stupid loser and an idiot or a clown", "this list of leet rest data one two"] * 50)

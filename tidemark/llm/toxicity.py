@@ -66,29 +66,30 @@ def kind(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 0 if c.isspace() else 27
 
 
-_KIND_OF_BYTE = np.array([kind(chr(b).lower()) if b < 128 else 27 for b in range(256)], np.int64)
+_KIND_OF_BYTE = np.array([kind(chr(b).lower()) if b < 128 else 27 for b in range(256)], np.int32)
+PIECE = 1 << 19  # characters that are counted at once
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
     """Counts of 4 classes in a row over all texts: at most 28^4 rows reach the driver."""
     def run(batches):
-        total = np.zeros(KINDS ** 4, np.int64)
+        total, held, size = np.zeros(KINDS ** 4, np.int64), [], 0
         for b in batches:
             for t in b.column("text").to_pylist():
                 if not t:
                     continue
                 c = _KIND_OF_BYTE[np.frombuffer(f" {t} ".encode("utf-8"), np.uint8)]
-                total += np.bincount(((c[:-3] * KINDS + c[1:-2]) * KINDS + c[2:-1]) * KINDS + c[3:],
-                                     minlength=KINDS ** 4) if len(c) > 20_000 else 0
-                if 4 <= len(c) <= 20_000:
-                    held.append(((c[:-3] * KINDS + c[1:-2]) * KINDS + c[2:-1]) * KINDS + c[3:])
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=KINDS ** 4)
-                held.clear()
+                two = c[:-1] * KINDS + c[1:]
+                held.append(two[:-2] * KINDS ** 2 + two[2:])
+                size += len(c)
+                if size > PIECE:
+                    total += np.bincount(np.concatenate(held), minlength=KINDS ** 4)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=KINDS ** 4)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
-    held: list = []
     got = arrow_map(docs.select("text"), run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(KINDS ** 4, np.int64)
     out[got.column("at").to_numpy()] = got.column("n").to_numpy()

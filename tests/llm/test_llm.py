@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (chunk_dedup, decontaminate, graph, lm_scores, packing, parity_join, quality, range_coder,
-                          sharding, token_counts, toxicity, units)
+                          sharding, store, token_counts, toxicity, units)
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.store import scratch
 from tidemark.llm.text import shingle_set
@@ -317,6 +318,21 @@ def test_token_counts(odd, none, docs, monkeypatch, head):
         assert sorted((tuple(r) for r in token_counts.counted(df).collect()), key=str) == want
 
 
+def test_token_counts_hold_few_rows_at_a_time(spark, odd, monkeypatch):
+    """A worker takes rows and units in slices, and keeps no unit it has counted."""
+    rows = [pa.RecordBatch.from_pydict({"x": list(range(7))})]
+    assert [b.column("x").to_pylist() for b in store.slices(rows, 3)] == [[0, 1, 2], [3, 4, 5], [6]]
+    enc, batch = units.Encoder(BYTE), [" a", "a", " ", "\n", " Zoë's,", "ﬁ x\u2003", "<|", " İ."]
+    assert enc.counts(batch) == [len(ids_of(BYTE, u)) for u in batch]
+    for i in range(50):
+        enc.counts([f" w{i}", f"w{i}"])
+    assert len(enc.bare) + len(enc.spaced) + len(enc.bare.old) + len(enc.spaced.old) < 20
+    monkeypatch.setattr(token_counts, "SLICE", 2)
+    monkeypatch.setattr(token_counts, "UNITS", 3)
+    want = sorted(((r.doc_id, len((r.text or "").encode()), len(ids_of(BYTE, r.text))) for r in odd.collect()), key=str)
+    assert sorted((tuple(r) for r in token_counts.counted(odd).collect()), key=str) == want
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

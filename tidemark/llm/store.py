@@ -52,6 +52,14 @@ def ship(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
+def slices(batches, rows: int):
+    """Arrow batches in slices of at most ``rows`` rows, so that a worker makes
+    Python objects of a few of them at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand."""
     ship(df.sparkSession)

@@ -9,7 +9,9 @@
    (text, unit, frequency) rows and meet the vocabulary in a shuffle join,
    summed per text.
 
-No ids are kept, and a document never exceeds its batch's memory.
+No ids are kept. A worker makes Python objects of ``SLICE`` rows at a time and holds
+at most ``GATHER`` units and those of one document, so its memory depends neither on
+the input nor on the rows of an Arrow batch.
 
 Null and empty texts have 0 bytes and 0 tokens. Repeated rows each keep their
 row. Special strings inside texts count as the library counts them. An empty
@@ -28,14 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .native import text_key
-from .store import arrow_map, table, written
+from .store import arrow_map, slices, table, written
 from .units import encoder, units
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 1024
 HEAD = 8_000_000
 #: units a task gathers before it sends them on
-GATHER = 400_000
+GATHER = 200_000
+#: rows, and units to count, that are Python objects at a time
+SLICE, UNITS = 500, 10_000
 _TAIL = 1 << 40
 
 
@@ -63,7 +67,7 @@ def vocabulary(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
             spaced.clear()
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.int64())], ["unit", "n"])
 
-        for b in batches:
+        for b in slices(batches, SLICE):
             for t in b.column("text").to_pylist():
                 x, y = _split(enc, t)
                 bare.update(x)
@@ -74,10 +78,10 @@ def vocabulary(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def count(batches):
         enc = encoder(path)
-        for b in batches:
-            ids = enc.tokenizer.encode_batch(b.column("unit").to_pylist(), add_special_tokens=False)
+        for b in slices(batches, UNITS):
             yield pa.RecordBatch.from_arrays(
-                [b.column("unit"), b.column("n"), pa.array([len(i.ids) for i in ids], pa.int32())], ["unit", "n", "n_tokens"])
+                [b.column("unit"), b.column("n"), pa.array(enc.counts(b.column("unit").to_pylist()), pa.int32())],
+                ["unit", "n", "n_tokens"])
 
     found = arrow_map(docs.select("text"), gather, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     return arrow_map(found, count, "unit string, n long, n_tokens int")
@@ -133,7 +137,7 @@ def counted(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
                 return v
 
         bare, spaced = Counts(""), Counts(" ")
-        for b in batches:
+        for b in slices(batches, SLICE):
             known, rest, size = [], [], []
             for t in b.column("text").to_pylist():
                 if len(bare) + len(spaced) > GATHER:

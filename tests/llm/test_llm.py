@@ -627,6 +627,31 @@ def test_scores_keep_every_word(spark, odd, docs, none, monkeypatch, share):
         assert np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+def test_scores_come_back_once_a_text(odd, docs, monkeypatch):
+    """However many buckets there are, a text's sums are one row of its chunk."""
+    monkeypatch.setattr(lm_scores, "BYTES_PER_BUCKET", 500)
+    made, groups = [], lm_scores.arrow_groups
+    monkeypatch.setattr(lm_scores, "arrow_groups", lambda *a: made.append(groups(*a)) or made[-1])
+    lm_scores.scores(docs.repartition(1), pool_once=False)
+    texts = docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert [d.where("text_id is not null").count() for d in made if "text_id" in d.columns] == [texts]
+    monkeypatch.setattr(lm_scores, "CHUNK", 100)  # copies in several chunks
+    for df in (odd.unionByName(odd).repartition(5), docs):
+        rows = df.select("doc_id", "text").collect()
+        want = sorted(((r.doc_id, *s) for r, s in zip(rows, whole_scores([r.text for r in rows]), strict=True)), key=str)
+        got = sorted((tuple(r) for r in lm_scores.scores(df, pool_once=False).collect()), key=str)
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_keys_and_numbers_of_chunks_round_trip():
+    keys = np.array([0, 1, 255, 1 << 40, (1 << 64) - 1], np.uint64)
+    assert (lm_scores._keys(lm_scores._columns(keys)) == keys).all()
+    for n in ([0, 1, 254], [255, 3, 256, 1 << 40]):
+        n = np.array(n)
+        assert (lm_scores._numbers(lm_scores._small(n), len(n)) == n).all()
+
+
 # --- 1: toxicity -----------------------------------------------------------------
 
 @pytest.mark.parametrize("piece", [1, 40, 1 << 19])

@@ -11,15 +11,19 @@ has no v. All texts are both corpus and scored texts, and every word counts.
 * Bigrams of two words that each make up ``HOT_SHARE`` of the corpus (at most
   1 / HOT_SHARE words, squared) are summed to a small table and joined map-side,
   so no group of the shuffle holds a larger share than that.
-* All other bigrams go to the partition of their hash, packed (8 bytes each,
-  one row per Arrow batch and bucket; a text that a batch holds many times is
-  sent once with its number). There they are counted, joined with the
-  documents' occurrences and summed per text; only sums come back. A bigram with
-  a word outside the head travels as two words (16 bytes); if it was seen, it asks
-  the partitions of those words for their counts.
+* All other bigrams are counted by the partition of their hash. A task takes its
+  texts in *chunks* of about ``CHUNK`` words (a text that a chunk holds many times
+  is kept once with its number). For every bucket a chunk sends the sorted distinct
+  64-bit keys that fall there with their numbers, and gets back one number
+  per key in the same order: the count in the corpus. Words outside the
+  head are asked for in the same way. The chunk's compressed texts meet the
+  answers, and every text is summed there.
+
+So what travels follows the number of words, and not that of buckets: a key and an
+answer per distinct bigram of a chunk, and the compressed texts.
 
 Null and empty texts, and texts without words, have 0 words and score 0. Equal
-texts are all counted and get equal scores (sums are joined by text digest).
+texts are all counted and get equal scores (scores are joined by text digest).
 An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -27,12 +31,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .native import text_key
-from .store import arrow_groups, arrow_map, bucket_count, table, text_bytes, written
-from .text import _STEP, U, lower_hashes, mix
+from .store import arrow_groups, arrow_map, bucket_count, slices, table, text_bytes, written
+from .text import _STEP, U, lower_hashes, mix, word_hashes
 
 ALPHA = 0.4
 MIN_BIGRAM = 2
@@ -40,17 +45,16 @@ VOCAB_SHARE = 2e-7
 HOT_SHARE = 1e-3
 BYTES_PER_BUCKET = 16 << 20
 GATHER = 2_000_000
-IDS, PAIRS, WORDS = range(3)  # what a packed row holds: id pairs, word pairs with a rare word, rare words
+CHUNK = 1_500_000  # words whose texts are summed together
+IDS, PAIRS, WORDS, TEXTS = range(4)  # id pairs, word pairs with a rare word, rare words; a chunk's texts
 RARE = U(1 << 63)  # marks the hash of a word outside the head among ids
-PACKED = pa.schema([("kind", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary()),
-                    ("counts", pa.binary()), ("weights", pa.binary())])
-PACKED_SQL = "kind long, bucket long, keys binary, owners binary, counts binary, weights binary"
-#: sums of a text, or (with a bucket) counts of rare words and the texts that ask for them
-SUMS = pa.schema([("text_id", pa.string()), ("seen", pa.int64()), ("gain", pa.float64()),
-                  ("bucket", pa.int64()), ("known", pa.binary()), ("asked", pa.binary())])
-SUMS_SQL = "text_id string, seen long, gain double, bucket long, known binary, asked binary"
-KNOWN = np.dtype([("word", "<u8"), ("n", "<i8")])
-ASKED = np.dtype([("word", "<u8"), ("owner", "V16"), ("times", "<f8")])
+#: keys of a chunk and their numbers, or (kind TEXTS) text digests, lengths and compressed texts of a chunk
+ASKED = pa.schema([("kind", pa.int64()), ("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()),
+                   ("numbers", pa.binary()), ("texts", pa.binary())])
+ASKED_SQL = "kind long, bucket long, chunk long, keys binary, numbers binary, texts binary"
+SCORED_SQL = "text_id string, n_words long, n_seen long, log_score double"
+ZSTD = 6  # level
+SLICE = 500  # rows that are Python objects at a time
 
 
 class Vocabulary:
@@ -125,10 +129,53 @@ def hot_bigrams(docs: DataFrame, vocab) -> np.ndarray:
     return out
 
 
-def _gain(v: Vocabulary, first, second, n):
-    """What a seen bigram adds to a score over the backed-off word."""
-    c = v.counts
-    return np.log(n) - np.log(c[first]) - (np.log(ALPHA) + np.log(c[second]) - np.log(v.total))
+def _columns(keys: np.ndarray) -> bytes:
+    """64-bit keys byte by byte: the first bytes of sorted keys repeat, and a shuffle's codec sees that."""
+    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _keys(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(U)
+
+
+def _small(n: np.ndarray) -> bytes:
+    """Whole numbers of 0 or more: a byte each, those from 255 in 8 more."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype("<i8").tobytes()
+
+
+def _numbers(raw: bytes, size: int) -> np.ndarray:
+    n = np.frombuffer(raw, np.uint8, size).astype(np.int64)
+    n[n == 255] = np.frombuffer(raw[size:], "<i8")
+    return n
+
+
+def _cuts(ascending: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of equal values."""
+    cuts = np.flatnonzero(np.concatenate(([True], ascending[1:] != ascending[:-1])))
+    return list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(ascending)], strict=True))
+
+
+class Words:
+    """The words of a chunk's texts, one text behind the other."""
+
+    def __init__(self, v: Vocabulary, hashes: list[np.ndarray]):
+        self.sizes = np.array([len(h) for h in hashes], np.int64)
+        h = np.concatenate([np.empty(0, U), *hashes])
+        self.ids = i = v.ids(h)
+        self.first = np.zeros(len(h), bool)
+        self.first[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = True
+        x, y, inside = i[:-1], i[1:], ~self.first[1:]
+        rare = ((x == 0) | (y == 0)) & inside
+        hot = (x <= v.hot) & (y <= v.hot) & inside & ~rare
+        cold = inside & ~rare & ~hot
+        code = np.where(i > 0, i.astype(U), h | RARE)
+        #: the second word of each bigram of hot words
+        self.hot = np.flatnonzero(hot) + 1
+        #: by kind: places (of the second word), and keys
+        self.asked = [
+            (np.flatnonzero(cold) + 1, mix((x[cold].astype(U) << U(32)) | y[cold].astype(U))),
+            (np.flatnonzero(rare) + 1, mix(code[:-1][rare] * _STEP + code[1:][rare])),
+            (np.flatnonzero(i == 0), mix(code[i == 0]))]
 
 
 def scores(docs: DataFrame, pool_once: bool = True) -> DataFrame:
@@ -143,167 +190,115 @@ def scores(docs: DataFrame, pool_once: bool = True) -> DataFrame:
     hot = sc.broadcast(hot_bigrams(docs, vocab))
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_id"))
 
-    def sums(batches):
-        v, h = vocab.value, hot.value
-        base = np.log(v.counts) - np.log(max(v.total, 1)) + np.log(ALPHA)
-        m = v.hot + 1
-        for b in batches:
-            n, seen, score = [], [], []
-            for t in b.column("text").to_pylist():
-                i = v.ids(lower_hashes(t))
-                s, k = float(base[i].sum()), 0
-                if len(i):
-                    s -= np.log(ALPHA)  # the first word is not backed off
-                    x, y = i[:-1], i[1:]
-                    both = (x <= v.hot) & (y <= v.hot) & (x > 0) & (y > 0)
-                    x, y = x[both], y[both]
-                    c = h[x * m + y]
-                    ok = c >= MIN_BIGRAM
-                    s += float(_gain(v, x[ok], y[ok], c[ok]).sum())
-                    k = int(ok.sum())
-                n.append(len(i))
-                seen.append(k)
-                score.append(s)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_id"), pa.array(n, pa.int64()), pa.array(seen, pa.int64()),
-                 pa.array(score, pa.float64())], ["doc_id", "text_id", "n_words", "hot_seen", "hot_score"])
-
     def bucket_of(hashed):
-        return (((hashed >> U(32)) * U(buckets)) >> U(32)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        return ((hashed >> U(32)) * U(buckets)) >> U(32)  # ascending, if ``hashed`` is
 
-    def cuts_of(sorted_values):
-        cuts = np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
-        return zip(cuts, [*cuts[1:], len(sorted_values)], strict=True)
-
-    def paired(k):
-        return mix(k[:, 0] * _STEP + k[:, 1])
-
-    def explode(batches):
-        v = vocab.value
-        keys, owners, held = ([], [], []), {}, 0
+    def ask(batches):
+        from pyspark import TaskContext
+        v, part, made = vocab.value, TaskContext.get().partitionId(), 0
+        owners, raws, hashes, held = {}, [], [], 0
 
         def pack():
-            names = np.frombuffer(b"".join(owners), "V16")
-            weights = np.fromiter(owners.values(), np.uint32, len(owners))
-            out = {c: [] for c in PACKED.names}
-            for kind, each in enumerate(keys):
-                k = np.concatenate(each)
-                if not len(k):
+            words, names = Words(v, hashes), b"".join(owners)
+            # a task that runs again on other rows makes other chunks
+            chunk = xxhash.xxh3_64_intdigest(names, seed=part << 32 | made) >> 1
+            weight = np.repeat(np.fromiter(owners.values(), np.int64, len(owners)), words.sizes)
+            blob = pa.Codec("zstd", ZSTD).compress(b"".join(raws), asbytes=True)
+            lengths = np.array([len(r) for r in raws], "<i8").tobytes()
+            out = [[TEXTS], [chunk % buckets], [chunk], [names], [lengths], [blob]]
+            for kind, (at, keys) in enumerate(words.asked):
+                if not len(keys):
                     continue
-                bucket = bucket_of(paired(k) if kind == PAIRS else mix(k))
-                who = np.repeat(np.arange(len(each)), [len(x) for x in each])
-                order = np.argsort(bucket, kind="stable")
-                k, who, bucket = k[order], who[order], bucket[order]
-                for lo, hi in cuts_of(bucket):
-                    w = who[lo:hi]
-                    run = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-                    out["kind"].append(kind)
-                    out["bucket"].append(int(bucket[lo]))
-                    out["keys"].append(k[lo:hi].tobytes())
-                    out["owners"].append(names[w[run]].tobytes())
-                    out["weights"].append(weights[w[run]].tobytes())
-                    out["counts"].append(np.diff(np.append(run, hi - lo)).astype(np.uint32).tobytes())
-            return pa.RecordBatch.from_pydict(out, PACKED)
-
-        for b in batches:
+                order = np.argsort(keys)
+                keys, n = keys[order], weight[at[order]]
+                start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+                keys, n = keys[start], np.add.reduceat(n, start)
+                bucket = bucket_of(keys)
+                for lo, hi in _cuts(bucket):
+                    row = kind, int(bucket[lo]), chunk, _columns(keys[lo:hi]), _small(n[lo:hi]), None
+                    for column, x in zip(out, row, strict=True):
+                        column.append(x)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, ASKED, strict=True)], schema=ASKED)
+
+        for b in slices(batches, SLICE):
             for t, i in zip(b.column("text").to_pylist(), b.column("text_id").to_pylist(), strict=True):
                 own = bytes.fromhex(i)
-                if own in owners:  # a copy: sent once with its number
+                if own in owners:  # a copy: kept once with its number
                     owners[own] += 1
                     continue
-                h = lower_hashes(t)
-                i = v.ids(h)
-                x, y = i[:-1], i[1:]
-                rare = (x == 0) | (y == 0)
-                cold = ((x > v.hot) | (y > v.hot)) & ~rare
-                code = np.where(i > 0, i.astype(U), h | RARE)
-                found = ((x[cold].astype(U) << U(32)) | y[cold].astype(U),
-                         np.stack((code[:-1][rare], code[1:][rare]), 1), code[i == 0])
-                size = sum(k.size for k in found)
-                if not size:
-                    continue
-                for k, each in zip(found, keys, strict=True):
-                    each.append(k)
+                raw = (t or "").encode("utf-8").lower()
                 owners[own] = 1
-                held += size
-                if held > 2_000_000:
+                raws.append(raw)
+                hashes.append(word_hashes(raw))
+                held += len(hashes[-1]) + len(raw) // 16
+                if held > CHUNK:
                     yield pack()
-                    keys, owners, held = ([], [], []), {}, 0
+                    owners, raws, hashes, held, made = {}, [], [], 0, made + 1
         if owners:
             yield pack()
 
-    def texts(names):
-        return pa.array([x.ljust(16, b"\0").hex() for x in names.tolist()], pa.string())
-
-    def resolve(t: pa.Table) -> pa.Table:
-        v = vocab.value
-        kind, own_bucket = t.column("kind")[0].as_py(), t.column("bucket")[0].as_py()
-        raw = np.frombuffer(b"".join(t.column("keys").to_pylist()), U)
-        runs = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
-        owner = np.frombuffer(b"".join(t.column("owners").to_pylist()), "S16")
-        weight = np.repeat(np.frombuffer(b"".join(t.column("weights").to_pylist()), np.uint32), runs).astype(np.int64)
-        names, place = np.unique(owner, return_inverse=True)
-        sent = np.bincount(place)  # by how many batches a text was sent
-        place = np.repeat(place, runs)
-        if kind == PAIRS:
-            raw = raw.reshape(-1, 2)
-        key = paired(raw) if kind == PAIRS else raw
-        order = np.argsort(key)
-        key, place = key[order], place[order]
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        times = np.diff(np.append(start, len(key)))
-        n = np.add.reduceat(weight[order], start)
-        extra = []
-        if kind == WORDS:
-            ok, gain = np.zeros(len(n), bool), np.log(np.where(n == 1, single, n))
-            again = np.empty(int((n >= MIN_BIGRAM).sum()), KNOWN)
-            again["word"], again["n"] = key[start][n >= MIN_BIGRAM], n[n >= MIN_BIGRAM]
-            extra.append((own_bucket, again.tobytes(), None))
-        else:
-            ok = n >= MIN_BIGRAM
-            gain = np.zeros(len(n))
-            k = raw[order[start[ok]]]
-            x, y = (k[:, 0], k[:, 1]) if kind == PAIRS else (k >> U(32), k & U(0xFFFFFFFF))
-            gain[ok] = _gain(v, *(np.where(w < RARE, w, U(0)).astype(np.int64) for w in (x, y)), n[ok])
-        if kind == PAIRS:  # the counts of the rare words are yet to be taken off
-            seen = np.repeat(ok, times)
-            word, who = raw[order[seen]], place[seen]
-            rare = word >= RARE
-            ask = np.empty(int(rare.sum()), ASKED)
-            ask["word"] = word[rare]
-            who = np.broadcast_to(who[:, None], word.shape)[rare]
-            ask["owner"], ask["times"] = names.view("V16")[who], 1.0 / sent[who]
-            bucket = bucket_of(mix(ask["word"]))
-            by = np.argsort(bucket, kind="stable")
-            ask, bucket = ask[by], bucket[by]
-            if len(ask):
-                extra += [(int(bucket[lo]), None, ask[lo:hi].tobytes()) for lo, hi in cuts_of(bucket)]
-        total = np.bincount(place, weights=np.repeat(gain, times), minlength=len(names)) / sent
-        hits = np.bincount(place, weights=np.repeat(ok, times), minlength=len(names)).astype(np.int64) // sent
-        some = (hits > 0) | (total != 0)
-        none, more = [None] * int(some.sum()), [None] * len(extra)
-        return pa.concat_tables([
-            pa.table([texts(names[some]), pa.array(hits[some]), pa.array(total[some]), none, none, none], schema=SUMS),
-            pa.table([more, more, more, *([e[c] for e in extra] for c in range(3))], schema=SUMS)])
-
-    def correct(t: pa.Table) -> pa.Table:
-        known = np.sort(np.frombuffer(b"".join(t.column("known").drop_null().to_pylist()), KNOWN), order="word")
-        ask = np.frombuffer(b"".join(t.column("asked").drop_null().to_pylist()), ASKED)
-        n = known["n"][np.searchsorted(known["word"], ask["word"])] if len(ask) else np.empty(0)
-        names, place = np.unique(np.ascontiguousarray(ask["owner"]).view("S16"), return_inverse=True)
-        off = np.bincount(place, weights=-ask["times"] * np.log(n), minlength=len(names)).astype(float)
-        return pa.table({"text_id": texts(names), "seen": pa.array(np.zeros(len(names), np.int64)), "gain": pa.array(off)})
-
-    rows = arrow_map(keyed, sums, f"doc_id {dict(docs.dtypes)['doc_id']}, text_id string, n_words long, hot_seen long, hot_score double")
-    packed = arrow_map(keyed.select("text", "text_id"), explode, PACKED_SQL)
-    got = written(arrow_groups(packed, ["kind", "bucket"], resolve, SUMS_SQL), "bigram_gains")
-    off = arrow_groups(got.where("bucket is not null").select("bucket", "known", "asked"), ["bucket"], correct,
-                       "text_id string, seen long, gain double")
-    per_text = (got.where("bucket is null").select("text_id", "seen", "gain").unionByName(off)
-                .groupBy("text_id").agg(F.sum("seen").alias("seen"), F.sum("gain").alias("gain")))
-    return (written(rows, "hot_scores").join(per_text, "text_id", "left")
-            .select("doc_id", "n_words", (F.col("hot_seen") + F.coalesce("seen", F.lit(0))).alias("n_seen"),
-                    (F.col("hot_score") + F.coalesce("gain", F.lit(0.0))).alias("log_score")))
+    def answer(t: pa.Table) -> pa.Table:
+        """The corpus count of each key of each chunk, in place of its numbers."""
+        if t.column("kind")[0].as_py() == TEXTS:
+            return t
+        keys = [_keys(k) for k in t.column("keys").to_pylist()]
+        sizes = [len(k) for k in keys]
+        n = np.concatenate([_numbers(r, k) for r, k in zip(t.column("numbers").to_pylist(), sizes, strict=True)])
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        total = np.add.reduceat(n[order], start)
+        n[order] = np.repeat(total, np.diff(np.append(start, len(keys))))
+        ends = np.cumsum(sizes)
+        numbers = [_small(n[e - k:e]) for e, k in zip(ends, sizes, strict=True)]
+        size = pa.array([np.int64(k).tobytes() for k in sizes], pa.binary())
+        return t.set_column(3, "keys", size).set_column(4, "numbers", pa.array(numbers, pa.binary()))
+
+    def score(t: pa.Table) -> pa.Table:
+        """Sums of a chunk's texts, by the answers to its keys."""
+        v, h = vocab.value, hot.value
+        got = {k: [] for k in (IDS, PAIRS, WORDS, TEXTS)}
+        for r in t.sort_by([("kind", "ascending"), ("bucket", "ascending")]).to_pylist():
+            got[r["kind"]].append(r)
+        if len(got[TEXTS]) != 1:
+            raise ValueError("a chunk's texts are not there once")
+        names, lengths, blob = (got[TEXTS][0][c] for c in ("keys", "numbers", "texts"))
+        names, lengths = np.frombuffer(names, "V16"), np.frombuffer(lengths, "<i8")
+        ends = np.cumsum(lengths)
+        raw = pa.Codec("zstd").decompress(blob, int(ends[-1]), asbytes=True)
+        words = Words(v, [word_hashes(raw[e - k:e]) for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)])
+        i = words.ids
+        pair, count = np.zeros(len(i), np.int64), v.counts[i]
+        pair[words.hot] = h[i[words.hot - 1] * (v.hot + 1) + i[words.hot]]
+        for kind, (at, keys) in enumerate(words.asked):
+            known = [_numbers(r["numbers"], int(np.frombuffer(r["keys"], np.int64)[0])) for r in got[kind]]
+            known = np.concatenate([np.empty(0, np.int64), *known])
+            distinct_keys, place = np.unique(keys, return_inverse=True)
+            if len(known) != len(distinct_keys):
+                raise ValueError("a chunk's keys and the answers differ")
+            if kind == WORDS:
+                known[known == 1] = single
+                count[at] = known[place]
+            else:
+                pair[at] = known[place]
+        logs = np.log(count)
+        value = logs + (np.log(ALPHA) - np.log(max(v.total, 1)))
+        value[words.first] -= np.log(ALPHA)  # the first word is not backed off
+        seen = np.flatnonzero(pair >= MIN_BIGRAM)
+        value[seen] = np.log(pair[seen]) - logs[seen - 1]
+        who = np.repeat(np.arange(len(names)), words.sizes)
+        return pa.table({
+            "text_id": pa.array([x.tobytes().hex() for x in names], pa.string()), "n_words": pa.array(words.sizes),
+            "n_seen": pa.array(np.bincount(who[seen], minlength=len(names)).astype(np.int64)),
+            "log_score": pa.array(np.bincount(who, weights=value, minlength=len(names)).astype(float))})
+
+    asked = arrow_map(keyed.select("text", "text_id"), ask, ASKED_SQL)
+    answered = arrow_groups(asked, ["kind", "bucket"], answer, ASKED_SQL)
+    # a text of several chunks has the same sums in each
+    per_text = (arrow_groups(answered, ["chunk"], score, SCORED_SQL).groupBy("text_id")
+                .agg(*(F.max(c).alias(c) for c in ("n_words", "n_seen", "log_score"))))
+    return keyed.select("doc_id", "text_id").join(per_text, "text_id").drop("text_id")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -358,6 +358,44 @@ def test_blocks_decode(blocks, times):
     assert all((a == b).all() for a, b in zip(blocks, out, strict=True))
 
 
+def test_many_texts_meet_the_model_together():
+    """Each distinct unit is encoded once for many texts, words of letters in one call of the model."""
+    enc = units.Encoder(BYTE)
+
+    class Counted:
+        def __init__(self, of):
+            self.of, self.calls = of, 0
+
+        def tokenize(self, s):
+            self.calls += 1
+            return self.of.tokenize(s)
+
+    enc.model = Counted(enc.model)
+    texts = [f"Zoë the wordage{c}, wordage{c}! the\nlast.{c}" for c in "abcdefgh" * 5]
+    assert enc.encode_all(texts) == [np.array(ids_of(BYTE, t), "<u4").tobytes() for t in texts]
+    assert enc.model.calls == 1 and not enc.bare and not enc.spaced
+
+
+@given(st.lists(st.none() | st.lists(st.sampled_from([
+    "a", "the", "Zoë", "é,", "é", "İ.", " ", "  ", "\n", ",", ".", "don't", "'s", "x.", "(hi)", "a!?", "<|endoftext|>", "<|", "\t",
+    "\xa0", "\u3000", "\x85", "日本", "a×", "÷.", "ÿ", "Ġ", "Ã", "1,", "¼", "ª,", "\0"]), max_size=12).map("".join), max_size=8),
+    st.sampled_from([1, 20, 1 << 20]), st.sampled_from([1, 2, 100]))
+@settings(max_examples=60, deadline=None)
+def test_many_texts_have_the_ids_of_each(texts, size, together):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(units, "SLICE", size)
+        m.setattr(units, "_TOGETHER", together)
+        m.setattr(units, "_GATHERED", 2)
+        for path in (BYTE, packing.TOKENIZER):
+            assert units.encoder(path).encode_all(texts) == [np.array(ids_of(path, t), "<u4").tobytes() for t in texts]
+
+
+def test_carries_run_through_full_digits():
+    digits = np.array([0, 5, 0xFFFFFFFF, 0xFFFFFFFF, 7, 0, 8], np.uint32)
+    range_coder._carry(digits, np.array([4, 7]))
+    assert digits.tolist() == [0, 6, 0, 0, 7, 0, 9]
+
+
 def test_low_bytes_of_unforeseen_ids_stand_behind_the_digits():
     ids = np.random.default_rng(5).permutation(1 << 16)[:1024].astype("<u4")
     ids[:3] = 65535, 0, 65534

@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_map, bucket_count, scratch, table, text_bytes
-from .units import encoder
+from .store import arrow_map, bucket_count, scratch, slices, table, text_bytes
+from .units import SLICE, encoder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
@@ -50,7 +50,9 @@ TOTAL = 1 << 16
 HIGH = 256  # high bytes: ids below 2^16
 NONE = 0xFFFF  # no id remembered
 REFRESH = 32  # steps between updates of the order-0 frequencies
+STRIPE = 64  # lanes whose frequencies are updated together
 U = np.uint64
+_ONES = U(0x0001000100010001)
 
 
 def _reached(starts: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -67,7 +69,7 @@ class Model:
     def __init__(self, n: int):
         self.n = n
         self.slot = np.arange(n) * SLOTS
-        self.row = np.arange(n) * HIGH
+        self.row = (np.arange(n) % STRIPE * HIGH).astype(np.int32)
         self.line = np.arange(n) * (HIGH // 16 + 1)
         self.cell = self.line * 16
         self.seen2 = np.full(n * SLOTS, NONE, np.uint16)
@@ -76,24 +78,40 @@ class Model:
         self.right1 = np.full(n, 1 << 12, np.int32)
         self.prev = np.zeros(n, np.int32)
         self.prev2 = np.zeros(n, np.int32)
-        self.count = np.zeros(n * HIGH, np.uint16)
+        self.count = np.ones((n, HIGH), np.uint16)  # 1 + 32 x the high byte's ids
+        self.late = np.zeros((REFRESH, n), np.uint16)  # high bytes not counted yet, in rows of a stripe
+        self.cum = np.zeros(n * (HIGH + 16), np.uint16)
+        self.lines = self.cum.reshape(-1, 16)
+        self.firsts = np.zeros((16, n), np.uint16)
         self.step = 0
         self.refresh()
 
     def refresh(self):
         """Order 0: each high byte has 1 + 32 x its count, scaled to a sum of TOTAL
         (at most 256 + 32 x BLOCK before, so each keeps a part). The last sum, TOTAL,
-        is 0 in 16 bits, and the differences are right."""
-        cum = np.zeros((self.n, HIGH + 16), np.uint32)
-        np.cumsum((1 + 32 * self.count).reshape(self.n, HIGH), axis=1, dtype=np.uint32, out=cum[:, 1:HIGH + 1])
-        cum <<= 16
-        cum //= np.uint32(HIGH + 32 * self.step)
-        cum = cum.astype(np.uint16)
-        self.cum, self.lines, self.firsts = cum.ravel(), cum.reshape(-1, 16), cum[:, :HIGH:16].copy()
+        is 0 in 16 bits, and the differences are right. Lanes are taken in stripes
+        that fit the cache."""
+        cum = self.cum.reshape(self.n, HIGH + 16)
+        part = np.empty((STRIPE, HIGH), np.uint32)
+        for i in range(0, self.n, STRIPE):
+            count = self.count[i:i + STRIPE]
+            if self.step:
+                new = np.bincount(self.late[:, i:i + STRIPE].ravel(), minlength=count.size).astype(np.uint16)
+                new <<= 5
+                count += new.reshape(count.shape)
+            four = count.view(U) * _ONES  # sums inside four counts, of 16 bits each
+            whole = four >> U(48)
+            four += (np.cumsum(whole, axis=1) - whole) * _ONES
+            p = part[:len(count)]
+            p[:] = four.view(np.uint16)
+            p <<= 16
+            p //= np.uint32(HIGH + 32 * self.step)
+            cum[i:i + STRIPE, 1:HIGH + 1] = p
+        self.firsts[:] = cum[:, :HIGH:16].T
 
     def high_byte(self, v):
         """The last high byte that starts at or below ``v``: its line of 16, and its place there."""
-        line = _reached(self.firsts, v)
+        line = np.add.reduce((self.firsts <= v).view(np.uint8), axis=0, dtype=np.uint8) - np.int64(1)
         return (line << 4) + _reached(self.lines.take(self.line + line, axis=0), v)
 
     def predict(self):
@@ -114,7 +132,7 @@ class Model:
         self.right1 += (((hit1 * np.int32(61936) + np.int32(64)) - self.right1) >> 4) * (self.had1 & ~hit2)
         self.seen2[self.at2] = ids
         self.seen1[self.at1] = ids
-        self.count[self.row + (ids >> 8)] += 1  # a lane has one row: no index comes twice
+        self.late[self.step % REFRESH] = self.row + (ids >> 8)
         self.prev2, self.prev = self.prev, ids
         self.step += 1
         if self.step % REFRESH == 0:
@@ -134,13 +152,21 @@ _START = (1 << 64) - 1
 _32 = U(32)
 
 
+def _carry(digits: np.ndarray, at: np.ndarray) -> None:
+    """Add one to the number in front of each place of ``at``."""
+    while len(at):
+        at = at - 1
+        digits[at] += np.uint32(1)  # no place comes twice
+        at = at[digits[at] == 0]
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """The payload of every block. Shorter blocks are padded with id 0, which
     the reader cuts off again.
 
     A lane whose range falls under 2^32 moves 32 bits out (that is enough: a
-    step divides the range by 2^32 at most). Carries are noted and added to
-    the digits moved out before."""
+    step divides the range by 2^32 at most). A carry is added to the digits
+    moved out before."""
     n, length = len(blocks), max(map(len, blocks))
     given = np.zeros((n, length), np.int32)
     for row, b in zip(given, blocks, strict=True):
@@ -148,9 +174,10 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     ids = _turned(given)
     model = Model(n)
     low, rng = np.zeros(n, U), np.full(n, _START, U)
-    digits = np.zeros((length + 2, n), np.uint32)
-    moved = np.zeros((length + 2, n), bool)
-    carry = np.zeros((length + 2, n), bool)
+    room = length + 3  # a digit a step and the last two, behind one that takes no carry
+    digits = np.zeros(n * room, np.uint32)
+    at = np.arange(n) * room + 1
+    begin = at.copy()
     plain = np.zeros((length, n), bool)  # coded by order 0
 
     for t in range(length):
@@ -163,36 +190,35 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         cell = model.cell + (x >> 8)
         cum = model.cum.take(cell)
         cell += 1
-        f = (model.cum.take(cell) - cum).astype(np.uint32)
         free = (TOTAL - m12).view(np.uint32)
-        width = np.where(hit, np.where(hit2, m2, m1).view(np.uint32) << 16, f * free)
-        start = np.where(hit, (m2 * hit1).view(np.uint32) << 16, (m12.view(np.uint32) << 16) + free * cum)
+        width = (model.cum.take(cell) - cum) * free
+        start = (m12.view(np.uint32) << 16) + free * cum
+        to = np.flatnonzero(hit)
+        second, m = hit2[to], m2[to]
+        width[to] = np.where(second, m, m1[to]) << 16
+        start[to] = (m * ~second) << 16
         r = rng >> _32
         rng = r * width
         r *= start
         new = low + r
-        carry[t] = new < low
-        small = rng < _SMALL
-        digits[t], moved[t] = new >> _32, small
-        bits = small * _32
-        low, rng = new << bits, rng << bits
+        _carry(digits, at[new < low])
+        low = new
+        small = np.flatnonzero(rng < _SMALL)
+        to, out = at[small], new[small]
+        digits[to] = out >> _32
+        at[small] = to + 1
+        low[small] = out << _32
+        rng[small] <<= _32
         plain[t] = ~hit
         model.update(x, hit2, hit1)
-    for k in range(2):
-        digits[length + k], moved[length + k] = low >> _32, True
+    for _ in range(2):
+        digits[at] = low >> _32
+        at += 1
         low = low << _32
-    m, sizes = _turned(moved), np.array([len(b) for b in blocks])
-    d = _turned(digits)[m].astype(np.int64)  # of all blocks, one behind the other
-    ends, m = 4 * np.cumsum(m.sum(1)), m.ravel()
-    c = np.flatnonzero(_turned(carry))  # the digit moved out last before the carry
-    np.add.at(d, np.cumsum(m)[c] - m[c] - 1, 1)
-    while (over := d >> 32).any():
-        d &= 0xFFFFFFFF
-        d[:-1] += over[1:]  # no block's first digit overflows
-    d = d.astype("<u4").tobytes()
+    sizes, digits = np.array([len(b) for b in blocks]), digits.astype("<u4", copy=False)
     p = (_turned(plain) & (np.arange(length) < sizes[:, None]))[:, ::-1]
     x, last = given.astype(np.uint8)[:, ::-1][p].tobytes(), np.cumsum(p.sum(1))
-    return [d[i:j] + x[k:l] for i, j, k, l in zip([0, *ends[:-1]], ends, [0, *last[:-1]], last, strict=True)]
+    return [digits[i:j].tobytes() + x[k:l] for i, j, k, l in zip(begin, at, [0, *last[:-1]], last, strict=True)]
 
 
 def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
@@ -232,18 +258,25 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
         cell = model.cell + high
         cum = model.cum.take(cell)
         cell += 1
-        f = (model.cum.take(cell) - cum).astype(np.uint32)
         free = free.view(np.uint32)
-        x -= r * np.where(hit, (m2 * hit1).view(np.uint32) << 16, (m12.view(np.uint32) << 16) + free * cum)
-        rng = r * np.where(hit, np.where(hit2, m2, m1).view(np.uint32) << 16, f * free)
-        small = rng < _SMALL
-        bits = small * _32
-        x = (x << bits) | digits.take(at, mode="clip") * small
-        at += small
-        rng = rng << bits
-        got = np.where(hit2, p2, np.where(hit1, p1, (high << 8) | lows.take(tail, mode="clip"))).astype(np.int32)
+        width = (model.cum.take(cell) - cum) * free
+        start = (m12.view(np.uint32) << 16) + free * cum
+        to = np.flatnonzero(hit)
+        second, m = hit2[to], m2[to]
+        width[to] = np.where(second, m, m1[to]) << 16
+        start[to] = (m * ~second) << 16
+        x -= r * start
+        rng = r * width
+        small = np.flatnonzero(rng < _SMALL)
+        to = at[small]
+        x[small] = (x[small] << _32) | digits.take(to, mode="clip")
+        at[small] = to + 1
+        rng[small] <<= _32
+        got = ids[t]
+        got[:] = (high << 8) | lows.take(tail, mode="clip")
+        np.copyto(got, p1, where=hit1)
+        np.copyto(got, p2, where=hit2)
         tail -= rest
-        ids[t] = got
         model.update(got, hit2, hit1)
     return [x[:k] for x, k in zip(_turned(ids), lengths, strict=True)]
 
@@ -269,6 +302,20 @@ def _segments(rows: list[tuple[list, list, bytes, int]], part: int) -> pa.Record
     return pa.RecordBatch.from_pylist(out, SEGMENTS)
 
 
+def _together(batches):
+    """(doc_ids, texts) of many rows: about the bytes that the encoder takes at a time."""
+    docs, texts, size = [], [], 0
+    for b in slices(batches, 1000):
+        docs += b.column("doc_id").to_pylist()
+        texts += b.column("text").to_pylist()
+        size += b.column("text").nbytes
+        if size >= SLICE:
+            yield docs, texts
+            docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:
     """Write the ids of all documents to the folder ``path``."""
     parts = bucket_count(text_bytes(docs), PART_BYTES, 1)
@@ -280,9 +327,9 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END
         start, rows, held = 0, [], 0
         ids, lengths, raw, size = [], [], [], 0
 
-        for b in batches:
-            for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                x = enc.encode(t) + close
+        for docs, texts in _together(batches):
+            for doc, x in zip(docs, enc.encode_all(texts), strict=True):
+                x += close
                 ids.append(doc)
                 lengths.append(len(x) // 4)
                 raw.append(x)
